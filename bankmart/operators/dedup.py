@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,7 +13,8 @@ SOURCE_ORDER = "_source_order"
 
 
 def drop_null_keys(df: DataFrame, *keys: str) -> DataFrame:
-    return df.na.drop(subset=list(keys))
+    """Rows in which no key is null; plain null tests, which reach the scan."""
+    return reduce(lambda rows, key: rows.filter(F.col(key).isNotNull()), keys, df)
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = None) -> DataFrame:

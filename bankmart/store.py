@@ -39,6 +39,11 @@ def written(df: DataFrame, label: str = "result") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _overwrite(df: DataFrame, path: str) -> None:
+    """Replaces what a failed earlier attempt may have left."""
+    df.write.mode("overwrite").parquet(path)
+
+
 class TableStore:
     """Tables of one source, each written on first use within this application."""
 
@@ -51,7 +56,7 @@ class TableStore:
         self,
         name: str,
         build: Callable[[], DataFrame],
-        write: Callable[[DataFrame, str], object] = lambda df, path: df.write.parquet(path),
+        write: Callable[[DataFrame, str], object] = _overwrite,
     ) -> DataFrame:
         """The stored table, building and writing it if this is its first use."""
         if name not in self._tables:
