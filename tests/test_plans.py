@@ -1,0 +1,98 @@
+"""What the plans must look like to hold at scale."""
+
+import datetime as dt
+
+import pytest
+from helpers import base, plan_of, rows, settings
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from bankmart.plans import marts, staging
+from bankmart.sample.registry import bank
+from bankmart.store import written
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", list(entry.queries()))
+def test_no_cross_join_and_no_python(spark, name):
+    plan = plan_of(entry.queries()[name](spark, SF_DIR))
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas", "ArrowEval"):
+        assert operator not in plan
+
+
+def test_scan_reads_only_the_needed_columns_and_filters(spark):
+    transactions = bank(spark, SF_DIR).base("FactTransaction")
+    risk = plan_of(entry.queries()["failure_risk"](spark, SF_DIR))
+    assert "ReadSchema: struct<TransactionID:bigint,TransactionAmount:double,ProductID:bigint,Status:string>" in risk
+    successful = plan_of(transactions.filter("Status = 'Success'").select("AccountID"))
+    assert "EqualTo(Status,Success)" in successful
+
+
+def test_date_range_prunes_folders(spark):
+    plan = plan_of(entry.queries()["rolling_30d_in_range"](spark, SF_DIR))
+    assert "PartitionFilters: [isnotnull(year" in plan
+    assert "GreaterThanOrEqual(date_key,1997-01-31)" in plan and "LessThanOrEqual(date_key,1998-02-28)" in plan
+
+
+def test_transactions_are_aggregated_before_they_are_shuffled_or_joined(spark):
+    with settings(spark, spark_sql_autoBroadcastJoinThreshold="-1"):
+        for name in ("failure_risk", "product_volume_rank", "daily_volume", "branch_volume_rank"):
+            lines = plan_of(entry.queries()[name](spark, SF_DIR)).splitlines()
+            scan = next(i for i, line in enumerate(lines) if "FileScan" in line and "ransaction" in line)
+            above = [line for line in reversed(lines[:scan]) if "Exchange" in line or "partial_" in line]
+            assert "partial_" in above[0] and "Exchange" in above[1]
+
+
+def test_fact_takes_calendar_columns_from_the_date(spark):
+    plan = plan_of(entry.queries()["fact_transactions"](spark, SF_DIR))
+    assert plan.count("Join") == 2
+
+
+def hot_account_case(spark):
+    """40,000 transactions, a third of them on account 1."""
+    ids = spark.range(0, 40_000, numPartitions=8)
+    transactions = ids.select(
+        F.col("id").alias("TransactionID"),
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 5000).alias("AccountID"),
+        F.lit("2024-01-01").cast("timestamp_ntz").alias("TransactionDate"),
+        F.lit(1.0).alias("TransactionAmount"),
+        F.lit("credit").alias("TransactionType"), F.lit("atm").alias("TransactionChannel"),
+        F.lit(None).cast("long").alias("ProductID"), F.lit("Success").alias("Status"),
+        F.current_timestamp().alias("ingested_at"),
+    )
+    accounts = spark.range(5000).select(
+        F.col("id").alias("account_id"), F.col("id").alias("customer_id"), F.lit("S").alias("account_type"),
+        F.lit("OPEN").alias("account_status"), F.lit("W").alias("customer_region"),
+    )
+    products = marts.dim_product(
+        staging.stg_products(
+            base(spark, "DimProduct"), base(spark, "DimProductSubCategory"), base(spark, "DimProductCategory")
+        )
+    )
+    return written(transactions), written(accounts), products
+
+
+def test_hot_account_is_split_in_the_fact_join(spark):
+    transactions, accounts, products = hot_account_case(spark)
+    with settings(
+        spark,
+        spark_sql_autoBroadcastJoinThreshold="-1",
+        spark_sql_adaptive_skewJoin_skewedPartitionThresholdInBytes="50KB",
+        spark_sql_adaptive_skewJoin_skewedPartitionFactor="1.5",
+        spark_sql_adaptive_advisoryPartitionSizeInBytes="40KB",
+    ):
+        fact = marts.fact_transactions(staging.stg_transactions(transactions), accounts, products)
+        assert len(fact.collect()) == 40_000
+        assert "SortMergeJoin(skew=true)" in plan_of(fact)
+        assert rows(fact.filter("account_id = 1").groupBy("customer_id").count()) == [(1, 13_334 + 5)]
+
+
+def test_range_of_one_day(spark):
+    day = dt.date(1997, 3, 1)
+    b = bank(spark, SF_DIR)
+    from bankmart.plans.indicators import daily_volume
+
+    ranged = daily_volume(b.mart("fact_transactions"), b.mart("dim_date"), day, day)
+    whole = daily_volume(b.mart("fact_transactions"), b.mart("dim_date")).filter(F.col("date_key") == day)
+    assert rows(ranged) == rows(whole) and ranged.count() == 1

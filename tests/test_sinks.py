@@ -1,0 +1,125 @@
+import pytest
+from helpers import base, money, rows
+from pyspark.sql import functions as F
+
+from bankmart.sinks import load
+from bankmart.sinks.files import counted, write_parquet, write_partitioned
+from bankmart.sinks.tables import Layout, as_table, as_view, database_options, refresh_table
+from bankmart.sources.tables import base_tables, read_parquet
+from bankmart.store import TableStore, shared_folder, written
+
+
+def test_write_parquet_overwrites_and_counts(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert write_parquet(spark.range(5).withColumn("x", F.lit(1)), path) == (5, 2)
+    assert write_parquet(spark.range(2), path) == (2, 1)
+    assert rows(read_parquet(spark, path)) == [(0,), (1,)]
+
+
+def test_counted_reports_after_the_write(spark, tmp_path):
+    df, observation = counted(spark.range(7))
+    df.write.parquet(str(tmp_path / "t"))
+    assert observation.get == {"rows": 7}
+
+
+def test_partitioned_files_are_sorted_and_complete(spark, tmp_path):
+    df = spark.range(1000).select((F.col("id") % 3).alias("year"), (F.lit(1000) - F.col("id")).alias("account_id"))
+    path = tmp_path / "t"
+    write_partitioned(df, str(path), ["year"], ["account_id"])
+    assert sorted(p.name for p in path.glob("year=*")) == ["year=0", "year=1", "year=2"]
+    assert spark.read.parquet(str(path)).count() == 1000
+    for file in path.glob("year=*/*.parquet"):
+        ids = [r.account_id for r in spark.read.parquet(str(file)).collect()]
+        assert ids == sorted(ids)
+
+
+@pytest.fixture
+def database(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS bank_test")
+    yield "bank_test"
+    spark.sql("DROP DATABASE bank_test CASCADE")
+
+
+def test_table_with_layout(spark, database):
+    df = spark.range(100).select("id", (F.col("id") % 2).cast("int").alias("year"), (F.col("id") % 5).alias("k"))
+    table = as_table(df, f"{database}.t", Layout(partition_by=("year",), sort_by=("k",)))
+    assert table.columns == ["id", "year", "k"] and table.count() == 100
+    assert rows(as_table(df.limit(1), f"{database}.t"), "year") == [(0,)]
+    bucketed = as_table(df, f"{database}.b", Layout(bucket_by=("k",), buckets=4))
+    plan = bucketed.groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_refresh_replaces_rows_and_keeps_the_definition(spark, database):
+    name = f"{database}.accounts"
+    refresh_table(spark.createDataFrame([(1, "a")], "id long, v string"), name)
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('note' = 'bank')")
+    refresh_table(spark.createDataFrame([("b", 2), ("c", 3)], "v string, id long"), name)
+    assert rows(spark.table(name)) == [(2, "b"), (3, "c")]
+    assert spark.sql(f"SHOW TBLPROPERTIES {name} ('note')").collect()[0].value == "bank"
+
+
+def test_view_is_lazy(spark):
+    assert rows(as_view(spark.range(2), "lazy_view").filter("id = 1")) == [(1,)]
+    assert base_tables(spark, names=["lazy_view"])["lazy_view"].count() == 2
+
+
+def test_database_options():
+    assert database_options({"user": "x", "batchsize": "5"}, 4) == {
+        "truncate": "true", "cascadeTruncate": "true", "batchsize": "5", "numPartitions": "4", "user": "x",
+    }
+    assert database_options({}, 4)["batchsize"] == "1000"
+
+
+def test_load_goes_on_after_a_failure(spark, tmp_path, database):
+    write_parquet(spark.range(3), str(tmp_path / "dim_product"))
+    write_parquet(spark.range(4), str(tmp_path / "fact_transaction"))
+
+    def into(df, table):
+        if table == "DimProduct":
+            raise ValueError("refused")
+        refresh_table(df, f"{database}.{table}")
+
+    tables = (("dim_product", "DimProduct"), ("dim_customer", "DimCustomer"), ("fact_transaction", "FactTransaction"))
+    outcomes = load.load_tables(spark, str(tmp_path), into, tables)
+    assert [(o.name, o.status, o.rows, o.columns) for o in outcomes] == [
+        ("dim_product", "FAILED", None, None), ("dim_customer", "FAILED", None, None),
+        ("fact_transaction", "SUCCESS", 4, 1),
+    ]
+    assert outcomes[0].error == "refused"
+    frame = load.outcome_frame(spark, outcomes)
+    assert rows(frame, "status", "rows") == [("FAILED", None), ("FAILED", None), ("SUCCESS", 4)]
+    with pytest.raises(load.LoadFailed, match="dim_product, dim_customer"):
+        load.raise_on_failure(outcomes)
+    load.raise_on_failure(outcomes[2:])
+
+
+def test_parents_load_before_children():
+    order = [table for _, table in load.LOAD_ORDER]
+    for child, parent in (
+        ("DimProductSubCategory", "DimProductCategory"), ("DimProduct", "DimProductSubCategory"),
+        ("DimAccount", "DimCustomer"), ("FactTransaction", "DimAccount"), ("FactTransaction", "DimProduct"),
+    ):
+        assert order.index(parent) < order.index(child)
+
+
+def test_store_uses_the_configured_folder_and_writes_once(spark):
+    assert shared_folder(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
+    calls = []
+
+    def build():
+        calls.append(1)
+        return spark.range(3)
+
+    store = TableStore(spark, "test")
+    assert store.table("t", build).count() == store.table("t", build).count() == 3
+    assert len(calls) == 1
+
+
+def test_written_keeps_types_and_prunes_columns(spark):
+    stored = written(base(spark, "DimAccount", {"AccountID": 1, "Balance": 2.0}))
+    assert rows(stored, "AccountID", "Balance") == [(1, 2.0)]
+    plan = stored.select("AccountID")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<AccountID:bigint>" in plan
+    typed = written(spark.sql("SELECT CAST(1 AS DECIMAL(25,2)) AS m, TIMESTAMP_NTZ'2024-01-01' AS t, INTERVAL '3' DAY AS d"))
+    assert typed.collect()[0].m == money("1.00")
