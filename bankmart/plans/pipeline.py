@@ -13,6 +13,7 @@ from bankmart.sinks.files import write_parquet
 from bankmart.sinks.load import LOAD_ORDER
 from bankmart.sinks.tables import Layout, as_table, as_view
 from bankmart.sources.raw import read_raw_file
+from bankmart.sources.tables import base_tables
 
 Save = Callable[[str, DataFrame], DataFrame]
 
@@ -21,13 +22,20 @@ FACT_LAYOUT = Layout(partition_by=("year", "month"), sort_by=("account_id",))
 
 
 def clean_zone(
-    spark: SparkSession, raw_root: str, cleaned_root: str, file_names: Mapping[str, str]
+    spark: SparkSession,
+    raw_root: str,
+    cleaned_root: str,
+    file_names: Mapping[str, str],
+    options: Mapping[str, Mapping[str, str]] | None = None,
 ) -> dict[str, tuple[int, int]]:
-    """Clean the raw file of each base table into a Parquet dataset; returns shapes."""
+    """Clean the raw file of each base table into a Parquet dataset; returns shapes.
+
+    ``options`` are passed to a table's cleaning job, such as its date format.
+    """
     datasets = {table: name for name, table in LOAD_ORDER}
     return {
         table: write_parquet(
-            CLEANING_JOBS[table](read_raw_file(spark, raw_root, file_name)),
+            CLEANING_JOBS[table](read_raw_file(spark, raw_root, file_name), **(options or {}).get(table, {})),
             f"{cleaned_root.rstrip('/')}/{datasets[table]}",
         )
         for table, file_name in file_names.items()
@@ -70,6 +78,14 @@ def star_schema(
     return models
 
 
+MARTS = ("dim_customer", "dim_account", "dim_product", "dim_date", "fact_transactions")
+
+
+def published(base: Mapping[str, DataFrame], database: str) -> dict[str, DataFrame]:
+    """The nine models for reading: staging over the base tables, marts as stored."""
+    return staging_models(base) | base_tables(base["FactTransaction"].sparkSession, database, MARTS)
+
+
 def publish(base: Mapping[str, DataFrame], database: str, as_of: AsOf = None) -> dict[str, DataFrame]:
     """Register staging views and write the marts as tables of ``database``."""
 

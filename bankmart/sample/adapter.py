@@ -28,12 +28,13 @@ def _float_text(value: Column) -> Column:
 
 
 def _iso(value: Column) -> Column:
-    return F.date_format(value, "yyyy-MM-dd")
+    return value.cast("date").cast("string")
 
 
 def _as_csv(df: DataFrame, **columns: Column) -> DataFrame:
     """Text columns with markers read as null, as the CSV reader delivers them."""
-    return df.select(*[null_if_marker(value.cast("string")).alias(name) for name, value in columns.items()])
+    text = df.select(*[value.cast("string").alias(name) for name, value in columns.items()])
+    return text.select(*[null_if_marker(F.col(name)).alias(name) for name in columns])
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:

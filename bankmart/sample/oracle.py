@@ -14,10 +14,10 @@ from bankmart.plans.checks import CHECKS
 _LINES = """
 lines AS (
   SELECT
-    CASE WHEN l_partkey % 503 != 0 THEN number END AS "TransactionID",
-    CASE WHEN number % 401 != 0 THEN l_orderkey END AS "AccountID",
-    CASE WHEN number % 307 != 0 THEN l_shipdate END AS "TransactionDate",
-    CASE WHEN number % 211 != 0 THEN l_extendedprice END AS "TransactionAmount",
+    CASE WHEN l_partkey % 503 = 0 THEN NULL ELSE number END AS "TransactionID",
+    CASE WHEN number % 401 = 0 THEN NULL ELSE l_orderkey END AS "AccountID",
+    CASE WHEN number % 307 = 0 THEN NULL ELSE l_shipdate END AS "TransactionDate",
+    CASE WHEN number % 211 = 0 THEN NULL ELSE l_extendedprice END AS "TransactionAmount",
     l_linestatus AS "TransactionType",
     ' ch' || (l_suppkey % 4) || ' ' AS "TransactionChannel",
     l_partkey AS "ProductID",
@@ -27,14 +27,21 @@ lines AS (
          ELSE 'Success' END AS "Status"
   FROM (SELECT *, l_orderkey * 10 + l_linenumber AS number FROM lineitem))"""
 
-_TRANSACTION = _LINES + """,
-txn AS (
-  SELECT * FROM lines WHERE "TransactionID" IS NOT NULL
-  QUALIFY row_number() OVER (
-    PARTITION BY "TransactionID"
-    ORDER BY "AccountID" NULLS FIRST, "TransactionDate" NULLS FIRST, "TransactionAmount" NULLS FIRST,
-      "TransactionType" NULLS FIRST, "TransactionChannel" NULLS FIRST, "ProductID" NULLS FIRST,
-      "Status" NULLS FIRST) = 1)"""
+
+
+def _first_per(key: str, rows: str, *order_by: str) -> str:
+    """Rows with a key, the smallest one per key, nulls first."""
+    ordering = ", ".join(f'"{column}" NULLS FIRST' for column in order_by)
+    return f"""
+  SELECT * FROM {rows} WHERE "{key}" IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY "{key}" ORDER BY {ordering}) = 1"""
+
+
+_FIRST_TXN = _first_per(
+    "TransactionID", "lines", "AccountID", "TransactionDate", "TransactionAmount", "TransactionType",
+    "TransactionChannel", "ProductID", "Status",
+)
+_TRANSACTION = f"{_LINES},\ntxn AS ({_FIRST_TXN})"
 
 _ACCOUNT_ROWS = """
 account_rows AS (
@@ -42,20 +49,23 @@ account_rows AS (
     o_orderkey AS "AccountID",
     o_custkey AS "CustomerID",
     ' ' || o_orderpriority || ' ' AS "AccountType",
-    CASE WHEN o_orderkey % 389 != 0 THEN o_orderdate END AS "OpenDate",
+    CASE WHEN o_orderkey % 389 = 0 THEN NULL ELSE o_orderdate END AS "OpenDate",
     CASE WHEN o_orderstatus = 'F' THEN o_orderdate + INTERVAL 365 DAY END AS "ClosedDate",
     CASE WHEN o_orderstatus = 'F' THEN ' closed' ELSE 'Open ' END AS "Status",
     o_orderkey + 1000000 AS "RegistrationID",
     CASE WHEN o_orderkey % 97 = 0 THEN 0.0::DOUBLE ELSE o_totalprice END AS "Balance"
-  FROM orders WHERE o_orderkey % 499 != 0)"""
+  FROM orders WHERE (o_orderkey % 499 = 0) IS NOT TRUE)"""
 
-# Order keys are unique in the test data, so keeping one row per account is keeping all.
-_ACCOUNT = _ACCOUNT_ROWS + ', account AS (SELECT * FROM account_rows)'
+_ACCOUNT_DETAILS = ("AccountType", "OpenDate", "ClosedDate", "Status", "RegistrationID", "Balance")
+_FIRST_ACCOUNT = _first_per("AccountID", "account_rows", "CustomerID", *_ACCOUNT_DETAILS)
+_FIRST_OF_CUSTOMER = _first_per("CustomerID", "account_rows", "AccountID", *_ACCOUNT_DETAILS)
+_ACCOUNT = f"{_ACCOUNT_ROWS},\naccount AS ({_FIRST_ACCOUNT})"
 
 
 def _customer(name: str, condition: str) -> str:
+    details = ("FullName", "DOB", "Gender", "Region", "Email", "Status", "JoinDate")
     return f"""
-{name} AS (
+{name}_rows AS (
   SELECT
     c_custkey AS "CustomerID",
     '  ' || c_name || ' ' AS "FullName",
@@ -70,7 +80,8 @@ def _customer(name: str, condition: str) -> str:
          WHEN 'FURNITURE' THEN 'suspended' WHEN 'MACHINERY' THEN 'active' ELSE 'Dormant' END AS "Status",
     TIMESTAMP '2010-01-01' + to_days((c_custkey % 3650)::INT) AS "JoinDate"
   FROM customer, nation, region
-  WHERE c_nationkey = n_nationkey AND n_regionkey = r_regionkey AND {condition})"""
+  WHERE c_nationkey = n_nationkey AND n_regionkey = r_regionkey AND {condition}),
+{name} AS ({_first_per("CustomerID", f"{name}_rows", *details)})"""
 
 
 _CUSTOMER = _customer("cust", "TRUE")
@@ -81,14 +92,14 @@ cat AS (
 sub AS (
   SELECT
     min(p_partkey) AS "ProductSubCategoryID",
-    CASE WHEN min(p_partkey) % 41 != 0 THEN
+    CASE WHEN min(p_partkey) % 41 = 0 THEN NULL ELSE
       (SELECT "ProductCategoryID" FROM cat WHERE "ProductCategoryName" = p_type || ' ') END AS "ProductCategoryID",
     ' ' || p_brand AS "ProductSubCategoryName"
   FROM part GROUP BY p_type, p_brand),
 prod AS (
   SELECT
     p_partkey AS "ProductID",
-    CASE WHEN p_partkey % 97 != 0 THEN min(p_partkey) OVER (PARTITION BY p_type, p_brand) END AS "ProductSubcategoryID",
+    CASE WHEN p_partkey % 97 = 0 THEN NULL ELSE min(p_partkey) OVER (PARTITION BY p_type, p_brand) END AS "ProductSubcategoryID",
     ' ' || p_name || ' ' AS "ProductName"
   FROM part)"""
 
@@ -190,8 +201,8 @@ def _scaled(whole: str, digits: int, width: int = 25) -> str:
 
 
 def _average(cents: str, n: str) -> str:
-    """Average in cents, rounded half up; amounts are never negative here."""
-    return _scaled(f"(2 * {cents} + {n}) // (2 * {n})", 2)
+    """Average of whole cents, rounded half away from zero."""
+    return _scaled(f"sign({cents}) * ((2 * abs({cents}) + {n}) // (2 * {n}))", 2)
 
 
 _MONTHLY = _with([_TRANSACTION, _CENTS], f"""
@@ -351,9 +362,7 @@ SELECT transaction_id, account_id, customer_id, product_id, date_key, transactio
         "clean_product": _with([_PRODUCT], "SELECT * FROM prod"),
         "clean_customer": _with([_CUSTOMER], "SELECT * FROM cust"),
         "clean_customer_usa": _with([_customer("cust_usa", "r_name = 'AMERICA'")], "SELECT * FROM cust_usa"),
-        "dedup_accounts_per_customer": _with([_ACCOUNT_ROWS], """
-SELECT * FROM account_rows
-QUALIFY row_number() OVER (PARTITION BY "CustomerID" ORDER BY "AccountID") = 1"""),
+        "dedup_accounts_per_customer": _with([_ACCOUNT_ROWS], _FIRST_OF_CUSTOMER),
         "clean_account_by_id": _with([_ACCOUNT], "SELECT * FROM account"),
         "dedup_transactions": _with([_TRANSACTION], "SELECT * FROM txn"),
         "stg_transactions": _with([_TRANSACTION, _STG_TXN], "SELECT * FROM stg_transactions"),

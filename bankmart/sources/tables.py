@@ -16,6 +16,11 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 def base_tables(
     spark: SparkSession, database: str | None = None, names: Iterable[str] = tuple(BASE_TABLES)
 ) -> dict[str, DataFrame]:
-    """Base tables by name, from a catalog database or from temporary views."""
+    """Tables by name, from a catalog database or from temporary views."""
     prefix = f"`{database}`." if database else ""
     return {name: spark.table(f"{prefix}`{name}`") for name in names}
+
+
+def constant_rows(spark: SparkSession, column: str, *values: int | None) -> DataFrame:
+    """A one-column model of given values, one row each; ``None`` is null."""
+    return spark.createDataFrame([(value,) for value in values], f"`{column}` int")

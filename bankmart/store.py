@@ -15,20 +15,23 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+# Stand-in folders of local sessions with nothing configured, by application.
+_local_folders: dict[str, str] = {}
+
 
 def shared_folder(spark: SparkSession) -> str:
     """This application's folder under the one the cluster names for checkpoints.
 
     A machine-local folder is used only in local mode with nothing configured.
     """
-    root = spark.conf.get(CHECKPOINT_DIR, None)
+    context = spark.sparkContext
+    application = context.applicationId
+    root = spark.conf.get(CHECKPOINT_DIR, None) or _local_folders.get(application)
     if not root:
-        context = spark.sparkContext
         if not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="bankmart-")
-        spark.conf.set(CHECKPOINT_DIR, root)
-    return f"{root.rstrip('/')}/bankmart/{spark.sparkContext.applicationId}"
+        root = _local_folders[application] = tempfile.mkdtemp(prefix="bankmart-")
+    return f"{root.rstrip('/')}/bankmart/{application}"
 
 
 def written(df: DataFrame, label: str = "result") -> DataFrame:

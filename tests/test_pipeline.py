@@ -6,7 +6,8 @@ from functools import partial
 import pytest
 from helpers import money, rows
 
-from bankmart.operators.quality import run_checks
+from bankmart import jobs
+from bankmart.operators.quality import ChecksFailed, run_checks
 from bankmart.plans.checks import CHECKS
 from bankmart.plans.pipeline import clean_zone, publish, star_schema
 from bankmart.sinks.load import load_tables, raise_on_failure
@@ -99,3 +100,30 @@ def test_publishing_again_replaces(spark, database):
     publish_again = partial(publish, base_tables(spark, database), database, AS_OF)
     first = publish_again()["fact_transactions"].count()
     assert publish_again()["fact_transactions"].count() == first
+
+
+def test_jobs_run_the_whole_pipeline(spark, tmp_path, capsys):
+    raw, cleaned, output = (str(tmp_path / name) for name in ("raw", "cleaned", "report"))
+    for name, text in FILES.values():
+        (tmp_path / "raw").mkdir(exist_ok=True)
+        (tmp_path / "raw" / name).write_text(text)
+    files = [part for table, (name, _) in FILES.items() for part in ("--file", f"{table}={name}")]
+    target = ["--database", "bank_jobs"]
+    jobs.main(["clean", "--raw", raw, "--cleaned", cleaned, *files, "--date-format", "DimCustomer=yyyy-MM-dd"])
+    assert "FactTransaction: 4 rows, 9 columns" in capsys.readouterr().out
+    jobs.main(["load", "--cleaned", cleaned, *target])
+    jobs.main(["publish", *target, "--as-of", "2024-01-01"])
+    with pytest.raises(ChecksFailed, match="not_null_stg_transactions_transaction_date: 1"):
+        jobs.main(["check", *target])
+    expected = {"row_counts": 7, "failure_risk": 1, "top_customers": 2, "daily_volume": 3, "rolling_30d": 2}
+    for name, count in expected.items():
+        jobs.main(["report", *target, "--name", name, "--output", output])
+        assert spark.read.parquet(output).count() == count
+    spark.sql("DROP DATABASE bank_jobs CASCADE")
+
+
+def test_job_arguments_are_checked():
+    with pytest.raises(SystemExit):
+        jobs.main(["clean", "--raw", "r", "--cleaned", "c", "--file", "Unknown=x.csv"])
+    with pytest.raises(SystemExit):
+        jobs.main(["report", "--database", "d", "--name", "unknown", "--output", "o"])

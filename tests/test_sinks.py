@@ -1,11 +1,11 @@
 import pytest
-from helpers import base, money, rows
+from helpers import base, money, rows, settings
 from pyspark.sql import functions as F
 
 from bankmart.sinks import load
 from bankmart.sinks.files import counted, write_parquet, write_partitioned
 from bankmart.sinks.tables import Layout, as_table, as_view, database_options, refresh_table
-from bankmart.sources.tables import base_tables, read_parquet
+from bankmart.sources.tables import base_tables, constant_rows, read_parquet
 from bankmart.store import TableStore, shared_folder, written
 
 
@@ -33,6 +33,16 @@ def test_partitioned_files_are_sorted_and_complete(spark, tmp_path):
         assert ids == sorted(ids)
 
 
+def test_busy_folder_is_written_by_several_tasks(spark, tmp_path):
+    ids = spark.range(0, 200_000, numPartitions=8)
+    df = ids.select(F.when(F.col("id") % 3 > 0, 1).otherwise(F.col("id") % 5 + 2).alias("year"), F.uuid().alias("text"))
+    with settings(spark, spark_sql_adaptive_advisoryPartitionSizeInBytes="500KB"):
+        write_partitioned(df, str(tmp_path / "t"), ["year"])
+    files = {p.name: len(list(p.glob("*.parquet"))) for p in (tmp_path / "t").glob("year=*")}
+    assert len(files) == 6 and files["year=1"] > 3
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 200_000
+
+
 @pytest.fixture
 def database(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS bank_test")
@@ -64,6 +74,12 @@ def test_view_is_lazy(spark):
     assert base_tables(spark, names=["lazy_view"])["lazy_view"].count() == 2
 
 
+def test_constant_rows_as_table_and_view_over_it(spark, database):
+    first = as_table(constant_rows(spark, "id", 1).union(constant_rows(spark, "id", None)), f"{database}.first")
+    second = as_view(first.filter("id = 1"), "second")
+    assert rows(first) == [(None,), (1,)] and rows(second) == [(1,)]
+
+
 def test_database_options():
     assert database_options({"user": "x", "batchsize": "5"}, 4) == {
         "truncate": "true", "cascadeTruncate": "true", "batchsize": "5", "numPartitions": "4", "user": "x",
@@ -123,3 +139,22 @@ def test_written_keeps_types_and_prunes_columns(spark):
     assert "ReadSchema: struct<AccountID:bigint>" in plan
     typed = written(spark.sql("SELECT CAST(1 AS DECIMAL(25,2)) AS m, TIMESTAMP_NTZ'2024-01-01' AS t, INTERVAL '3' DAY AS d"))
     assert typed.collect()[0].m == money("1.00")
+
+
+def test_store_falls_back_to_a_local_folder_only_in_local_mode(spark, monkeypatch):
+    class Context:
+        applicationId, master = "app-1", "local[2]"
+
+    class Conf:
+        def get(self, name, default):
+            return default
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    folder = shared_folder(Session())
+    assert folder == shared_folder(Session()) and folder.endswith("/bankmart/app-1")
+    monkeypatch.setattr(Context, "master", "yarn")
+    monkeypatch.setattr(Context, "applicationId", "app-2")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session())
