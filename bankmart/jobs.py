@@ -13,6 +13,7 @@ from bankmart.plans import analytics, indicators
 from bankmart.plans.checks import CHECKS
 from bankmart.plans.pipeline import clean_zone, publish, published
 from bankmart.schemas import BASE_TABLES
+from bankmart.session import folder_bytes, size_for
 from bankmart.sinks.load import load_tables, outcome_frame, raise_on_failure
 from bankmart.sinks.tables import refresh_table
 from bankmart.sources.tables import base_tables
@@ -52,6 +53,7 @@ def _pair(text: str) -> tuple[str, str]:
 
 
 def clean(spark: SparkSession, args: argparse.Namespace) -> None:
+    size_for(spark, folder_bytes(spark, args.raw))
     options = {table: {"date_format": pattern} for table, pattern in args.date_format}
     shapes = clean_zone(spark, args.raw, args.cleaned, dict(args.file), options)
     for table, (rows, columns) in shapes.items():
@@ -88,10 +90,11 @@ def parser() -> argparse.ArgumentParser:
     def job(name: str, run: Callable[[SparkSession, argparse.Namespace], None]) -> argparse.ArgumentParser:
         sub = jobs.add_parser(name)
         sub.set_defaults(run=run)
+        sub.add_argument("--input-bytes", type=int, default=0, help="raw data size, to size splits and shuffles")
         return sub
 
     sub = job("clean", clean)
-    sub.add_argument("--raw", required=True)
+    sub.add_argument("--raw", required=True, help="folder tree; its size is measured")
     sub.add_argument("--cleaned", required=True)
     sub.add_argument("--file", type=_pair, action="append", required=True, metavar="TABLE=FILE")
     sub.add_argument("--date-format", type=_pair, action="append", default=[], metavar="TABLE=PATTERN")
@@ -112,7 +115,9 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: Sequence[str] | None = None) -> None:
     args = parser().parse_args(argv)
-    args.run(SparkSession.builder.appName("bankmart").getOrCreate(), args)
+    spark = SparkSession.builder.appName("bankmart").getOrCreate()
+    size_for(spark, args.input_bytes)
+    args.run(spark, args)
 
 
 if __name__ == "__main__":

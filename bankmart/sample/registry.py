@@ -21,6 +21,7 @@ from bankmart.plans.checks import CHECKS
 from bankmart.plans.pipeline import FACT_LAYOUT
 from bankmart.sample import adapter
 from bankmart.schemas import BASE_TABLES, INGESTED_AT
+from bankmart.session import folder_bytes, size_for
 from bankmart.sinks.files import write_partitioned
 from bankmart.store import TableStore
 
@@ -28,12 +29,16 @@ AS_OF = dt.date(2024, 1, 1)
 FIRST, LAST = dt.date(1997, 3, 1), dt.date(1998, 2, 28)
 TYPES = ("1-URGENT", "5-LOW")
 
+# The test tables are compressed Parquet; as text rows they are several times larger.
+TEXT_GROWTH = 4
+
 
 class Bank:
     """The models of one test data folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self._spark, self._sf_dir = spark, sf_dir
+        size_for(spark, TEXT_GROWTH * folder_bytes(spark, sf_dir))
         self._store = TableStore(spark, "sample")
 
     def raw(self, table: str) -> DataFrame:

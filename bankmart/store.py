@@ -8,6 +8,7 @@ push-down for every later reader, which an RDD checkpoint would not.
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable
 
@@ -54,6 +55,7 @@ class TableStore:
         self._spark = spark
         self._folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
         self._tables: dict[str, DataFrame] = {}
+        self._lock = threading.RLock()
 
     def table(
         self,
@@ -62,8 +64,9 @@ class TableStore:
         write: Callable[[DataFrame, str], object] = _overwrite,
     ) -> DataFrame:
         """The stored table, building and writing it if this is its first use."""
-        if name not in self._tables:
-            df, path = build(), f"{self._folder}/{name}"
-            write(df, path)
-            self._tables[name] = self._spark.read.parquet(path).select(*df.columns)
-        return self._tables[name]
+        with self._lock:
+            if name not in self._tables:
+                df, path = build(), f"{self._folder}/{name}"
+                write(df, path)
+                self._tables[name] = self._spark.read.parquet(path).select(*df.columns)
+            return self._tables[name]
