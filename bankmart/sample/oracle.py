@@ -363,6 +363,7 @@ SELECT transaction_id, account_id, customer_id, product_id, date_key, transactio
         "clean_customer": _with([_CUSTOMER], "SELECT * FROM cust"),
         "clean_customer_usa": _with([_customer("cust_usa", "r_name = 'AMERICA'")], "SELECT * FROM cust_usa"),
         "dedup_accounts_per_customer": _with([_ACCOUNT_ROWS], _FIRST_OF_CUSTOMER),
+        "raw_zone_accounts": _with([_ACCOUNT_ROWS], _FIRST_OF_CUSTOMER),
         "clean_account_by_id": _with([_ACCOUNT], "SELECT * FROM account"),
         "dedup_transactions": _with([_TRANSACTION], "SELECT * FROM txn"),
         "stg_transactions": _with([_TRANSACTION, _STG_TXN], "SELECT * FROM stg_transactions"),

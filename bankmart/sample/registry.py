@@ -23,6 +23,7 @@ from bankmart.sample import adapter
 from bankmart.schemas import BASE_TABLES, INGESTED_AT
 from bankmart.session import folder_bytes, size_for
 from bankmart.sinks.files import write_partitioned
+from bankmart.sources.raw import read_csv, typed
 from bankmart.store import TableStore
 
 AS_OF = dt.date(2024, 1, 1)
@@ -47,6 +48,24 @@ class Bank:
     def cleaned(self, table: str, **options: object) -> DataFrame:
         return cleaning.CLEANING_JOBS[table](self.raw(table), **options)
 
+    def raw_zone(self, table: str) -> DataFrame:
+        """A raw table written as a folder of CSV files and scanned back, positions included.
+
+        The files hold the rows in ascending order, nulls first, so the first row
+        of a key in file order is also its smallest.
+        """
+        raw = self.raw(table)
+        typed_columns = BASE_TABLES[table].fieldNames()
+        sortable = raw.select(F.struct(*typed_columns).alias("text"), "*")
+        ordered = typed(sortable, table, keep=["text"]).orderBy(*[F.col(c).asc_nulls_first() for c in typed_columns])
+
+        def write(path: str) -> None:
+            ordered.select("text.*").write.mode("overwrite").csv(
+                path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+            )
+
+        return read_csv(self._spark, self._store.path(f"raw_{table}", write))
+
     def base(self, table: str) -> DataFrame:
         """A loaded base table. All accounts are kept, not one per customer."""
         options = {"key": "AccountID"} if table == "DimAccount" else {}
@@ -137,6 +156,7 @@ def _cleaning_queries() -> dict[str, Callable[[Bank], DataFrame]]:
         "dedup_transactions": "FactTransaction",
     }
     jobs = {name: lambda b, t=table: _unstamped(b.cleaned(t)) for name, table in names.items()}
+    jobs["raw_zone_accounts"] = lambda b: _unstamped(cleaning.clean_account(b.raw_zone("DimAccount")))
     jobs["clean_account_by_id"] = lambda b: _unstamped(b.cleaned("DimAccount", key="AccountID"))
     return jobs
 

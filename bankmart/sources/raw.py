@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -61,11 +63,14 @@ def read_csv(spark: SparkSession, path: str | list[str], *, multi_line: bool = F
     return frame.select(*columns, position.alias(SOURCE_ORDER))
 
 
-def typed(df: DataFrame, table: str, date_format: str | None = None) -> DataFrame:
+def typed(
+    df: DataFrame, table: str, date_format: str | None = None, keep: Sequence[str] = (SOURCE_ORDER,)
+) -> DataFrame:
     """Text columns to the types of a base table; unreadable values become null.
 
-    Columns are picked by name without regard to case, as in the base tables. The
-    source position, when present, is kept for the deduplication that follows.
+    Columns are picked by name without regard to case, as in the base tables.
+    Columns to ``keep`` follow unchanged, if present: by default the source
+    position, for the deduplication that comes next.
     """
     converters = {
         "bigint": numbers.key,
@@ -77,4 +82,4 @@ def typed(df: DataFrame, table: str, date_format: str | None = None) -> DataFram
         converters[field.dataType.simpleString()](F.col(field.name)).alias(field.name)
         for field in BASE_TABLES[table].fields
     ]
-    return df.select(*columns, *[c for c in df.columns if c == SOURCE_ORDER])
+    return df.select(*columns, *[c for c in df.columns if c in keep])

@@ -54,19 +54,29 @@ class TableStore:
     def __init__(self, spark: SparkSession, name: str):
         self._spark = spark
         self._folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+        self._written: set[str] = set()
         self._tables: dict[str, DataFrame] = {}
         self._lock = threading.RLock()
 
+    def path(self, name: str, write: Callable[[str], object]) -> str:
+        """The folder of a stored dataset, calling ``write`` with it on first use."""
+        path = f"{self._folder}/{name}"
+        with self._lock:
+            if name not in self._written:
+                write(path)
+                self._written.add(name)
+        return path
+
     def table(
         self,
         name: str,
         build: Callable[[], DataFrame],
         write: Callable[[DataFrame, str], object] = _overwrite,
     ) -> DataFrame:
-        """The stored table, building and writing it if this is its first use."""
+        """The stored table, built and written as Parquet on first use."""
         with self._lock:
             if name not in self._tables:
-                df, path = build(), f"{self._folder}/{name}"
-                write(df, path)
+                df = build()
+                path = self.path(name, lambda path: write(df, path))
                 self._tables[name] = self._spark.read.parquet(path).select(*df.columns)
             return self._tables[name]
