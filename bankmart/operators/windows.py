@@ -17,10 +17,32 @@ def running_total(value: str, order_by: str, *partition_by: str) -> Column:
     return F.sum(value).over(frame.rangeBetween(Window.unboundedPreceding, Window.currentRow))
 
 
-def rank_within(partition_by: str, score: Column) -> Column:
-    """1 for the largest score of the partition, equal scores share a rank."""
-    frame = Window.partitionBy(partition_by).orderBy(score.desc_nulls_first())
-    return F.rank().over(frame).cast("bigint")
+def rank_within(stored: DataFrame, group: str, score: Column, output: str) -> DataFrame:
+    """Add the rank by descending score within the group; equal scores share a rank.
+
+    A rank is one more than the number of rows with a larger score, so the window
+    runs over one row per distinct score instead of over the rows, and a group
+    holding most of the rows is not sorted in one task. Of ``n`` counted events
+    there are at most ``sqrt(2 n)`` distinct counts. Null scores count as largest.
+    ``stored`` is read twice: pass a written table.
+    """
+    scored = stored.withColumn("_score", score)
+    larger = (
+        Window.partitionBy(group)
+        .orderBy(F.col("_score").desc_nulls_first())
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    ranks = (
+        scored.groupBy(group, "_score")
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .select(
+            F.col(group).alias("_group"),
+            F.col("_score").alias("_of"),
+            (F.coalesce(F.sum("_rows").over(larger), F.lit(0)) + 1).cast("bigint").alias(output),
+        )
+    )
+    same = F.col(group).eqNullSafe(F.col("_group")) & F.col("_score").eqNullSafe(F.col("_of"))
+    return scored.join(ranks, same).drop("_score", "_group", "_of")
 
 
 def rolling_average(df: DataFrame, key: str, day: str, value: str, days: int, output: str) -> DataFrame:

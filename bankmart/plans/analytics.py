@@ -118,7 +118,7 @@ def top_customers(transactions: DataFrame, accounts: DataFrame, customers: DataF
     ).orderBy("spend_rank", "CustomerID")
 
 
-def _outcomes_by(
+def product_outcomes(
     keys: list[str],
     transactions: DataFrame,
     products: DataFrame,
@@ -176,16 +176,15 @@ def failure_risk(
     transactions: DataFrame, products: DataFrame, sub_categories: DataFrame, categories: DataFrame
 ) -> DataFrame:
     """Failure rate per product, ranked within its category; failed volume is null without failures."""
-    outcomes = _outcomes_by(
+    outcomes = product_outcomes(
         ["category", "sub_category", "productname"],
         transactions, products, sub_categories, categories, SUCCESS, FAILED,
     )
     ratio = exact_ratio(F.col("failed"), F.col("total_txns"))
-    return outcomes.select(
+    return rank_within(written(outcomes, "outcomes"), "category", ratio, "risk_rank_in_category").select(
         "category", "sub_category", "productname", "total_txns", "completed", "failed",
         percent(F.col("failed"), F.col("total_txns"), 2).alias("failure_rate_pct"),
-        "total_volume", "failed_volume",
-        rank_within("category", ratio).alias("risk_rank_in_category"),
+        "total_volume", "failed_volume", "risk_rank_in_category",
     ).orderBy(F.col("failure_rate_pct").desc_nulls_first())
 
 
@@ -193,13 +192,12 @@ def product_volume_rank(
     transactions: DataFrame, products: DataFrame, sub_categories: DataFrame, categories: DataFrame
 ) -> DataFrame:
     """Products ranked by number of transactions within their category."""
-    outcomes = _outcomes_by(
+    outcomes = product_outcomes(
         ["category", "productname"],
         transactions, products, sub_categories, categories, SUCCESS, FAILED,
     )
-    return outcomes.select(
-        "category", "productname", "total_txns", "failed", "total_volume",
-        rank_within("category", F.col("total_txns")).alias("volume_rank"),
+    return rank_within(written(outcomes, "outcomes"), "category", F.col("total_txns"), "volume_rank").select(
+        "category", "productname", "total_txns", "failed", "total_volume", "volume_rank"
     ).orderBy(F.col("total_txns").desc_nulls_first())
 
 
@@ -212,13 +210,12 @@ def product_volume_rank_sub(
     failed: str = FAILED_UPPER,
 ) -> DataFrame:
     """As ``product_volume_rank``, per sub-category too and with completed counts."""
-    outcomes = _outcomes_by(
+    outcomes = product_outcomes(
         ["category", "sub_category", "productname"],
         transactions, products, sub_categories, categories, completed, failed,
     )
-    return outcomes.select(
-        "category", "sub_category", "productname", "total_txns", "completed", "failed", "total_volume",
-        rank_within("category", F.col("total_txns")).alias("volume_rank"),
+    return rank_within(written(outcomes, "outcomes"), "category", F.col("total_txns"), "volume_rank").select(
+        "category", "sub_category", "productname", "total_txns", "completed", "failed", "total_volume", "volume_rank"
     ).orderBy(F.col("total_txns").desc_nulls_first())
 
 

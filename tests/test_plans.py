@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from bankmart.plans import marts, staging
+from bankmart.plans.analytics import product_outcomes
+from bankmart.plans.indicators import daily_volume
 from bankmart.sample.registry import bank
 from bankmart.store import written
 
@@ -21,10 +23,14 @@ def test_no_cross_join_and_no_python(spark, name):
         assert operator not in plan
 
 
+def outcomes_per_product(spark):
+    return product_outcomes(["category", "productname"], *bank(spark, SF_DIR).product_tables(), "Success", "Failed")
+
+
 def test_scan_reads_only_the_needed_columns_and_filters(spark):
     transactions = bank(spark, SF_DIR).base("FactTransaction")
-    risk = plan_of(entry.queries()["failure_risk"](spark, SF_DIR))
-    assert "ReadSchema: struct<TransactionID:bigint,TransactionAmount:double,ProductID:bigint,Status:string>" in risk
+    outcomes = plan_of(outcomes_per_product(spark))
+    assert "ReadSchema: struct<TransactionID:bigint,TransactionAmount:double,ProductID:bigint,Status:string>" in outcomes
     successful = plan_of(transactions.filter("Status = 'Success'").select("AccountID"))
     assert "EqualTo(Status,Success)" in successful
 
@@ -37,8 +43,9 @@ def test_date_range_prunes_folders(spark):
 
 def test_transactions_are_aggregated_before_they_are_shuffled_or_joined(spark):
     with settings(spark, spark_sql_autoBroadcastJoinThreshold="-1"):
-        for name in ("failure_risk", "product_volume_rank", "daily_volume", "branch_volume_rank"):
-            lines = plan_of(entry.queries()[name](spark, SF_DIR)).splitlines()
+        plans = [entry.queries()[name](spark, SF_DIR) for name in ("daily_volume", "branch_volume_rank", "rolling_30d")]
+        for df in (*plans, outcomes_per_product(spark)):
+            lines = plan_of(df).splitlines()
             scan = next(i for i, line in enumerate(lines) if "FileScan" in line and "ransaction" in line)
             above = [line for line in reversed(lines[:scan]) if "Exchange" in line or "partial_" in line]
             assert "partial_" in above[0] and "Exchange" in above[1]
@@ -91,8 +98,6 @@ def test_hot_account_is_split_in_the_fact_join(spark):
 def test_range_of_one_day(spark):
     day = dt.date(1997, 3, 1)
     b = bank(spark, SF_DIR)
-    from bankmart.plans.indicators import daily_volume
-
     ranged = daily_volume(b.mart("fact_transactions"), b.mart("dim_date"), day, day)
     whole = daily_volume(b.mart("fact_transactions"), b.mart("dim_date")).filter(F.col("date_key") == day)
     assert rows(ranged) == rows(whole) and ranged.count() == 1

@@ -6,6 +6,7 @@ from helpers import money, plan_of, rows
 from hypothesis import HealthCheck, given
 from hypothesis import settings as hypothesis_settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from bankmart.operators.windows import rank_within, rolling_average, running_total, top_with_percentile
@@ -21,13 +22,24 @@ def test_running_total_includes_peers(spark):
     assert rows(by_group, "g", "m", "t") == [("a", 1, 12), ("a", 1, 12), ("a", 2, 13), ("b", 1, 5)]
 
 
-def test_rank_shares_ties_and_puts_nulls_first(spark):
-    df = spark.createDataFrame([("a", 3), ("a", 3), ("a", 1), ("a", None), ("b", 2)], "g string, v int")
-    ranked = df.withColumn("r", rank_within("g", F.col("v")))
-    assert rows(ranked) == sorted(
-        [("a", None, 1), ("a", 3, 2), ("a", 3, 2), ("a", 1, 4), ("b", 2, 1)],
-        key=lambda r: (r[0], r[1] is not None, r[1] or 0),
+@FEW
+@given(
+    st.lists(
+        st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.integers(0, 4))), min_size=1, max_size=25
     )
+)
+def test_rank_equals_the_window_function(spark, records):
+    df = spark.createDataFrame([(i, g, v) for i, (g, v) in enumerate(records)], "id int, g string, v int")
+    window = Window.partitionBy("g").orderBy(F.col("v").desc_nulls_first())
+    literal = df.withColumn("r", F.rank().over(window).cast("bigint"))
+    assert rows(rank_within(df, "g", F.col("v"), "r")) == rows(literal)
+
+
+def test_rank_sorts_distinct_scores_only(spark):
+    df = spark.range(1000).select("id", (F.col("id") % 2).alias("g"), (F.col("id") % 7).alias("v"))
+    plan = plan_of(rank_within(df, "g", F.col("v"), "r"))
+    window = plan.index("Window [")
+    assert plan.index("HashAggregate(keys=[g", window) > window and "Cartesian" not in plan and "NestedLoop" not in plan
 
 
 def literal_top(scores, k):
