@@ -78,5 +78,5 @@ class TableStore:
             if name not in self._tables:
                 df = build()
                 path = self.path(name, lambda path: write(df, path))
-                self._tables[name] = self._spark.read.parquet(path).select(*df.columns)
+                self._tables[name] = self._spark.read.schema(df.schema).parquet(path).select(*df.columns)
             return self._tables[name]
