@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,26 +23,43 @@ from bankmart.store import written
 Models = Mapping[str, DataFrame]
 
 
+@dataclass(frozen=True)
+class Selection:
+    """The dashboard's choices: a date range, both ends included, and account types; none means all."""
+
+    first: dt.date | None = None
+    last: dt.date | None = None
+    account_types: tuple[str, ...] = ()
+
+
 def _products(base: Models) -> tuple[DataFrame, ...]:
     return tuple(base[t] for t in ("FactTransaction", "DimProduct", "DimProductSubCategory", "DimProductCategory"))
 
 
-# Reports by name: base tables and models in, one result out.
-REPORTS: dict[str, Callable[[Models, Models], DataFrame]] = {
-    "monthly_revenue": lambda base, _: analytics.monthly_revenue(base["FactTransaction"]),
-    "top_customers": lambda base, _: analytics.top_customers(
+# Reports by name: base tables, models and the selection in, one result out.
+REPORTS: dict[str, Callable[[Models, Models, Selection], DataFrame]] = {
+    "monthly_revenue": lambda base, _, __: analytics.monthly_revenue(base["FactTransaction"]),
+    "top_customers": lambda base, _, __: analytics.top_customers(
         base["FactTransaction"], base["DimAccount"], base["DimCustomer"]
     ),
-    "failure_risk": lambda base, _: analytics.failure_risk(*_products(base)),
-    "product_volume_rank": lambda base, _: analytics.product_volume_rank(*_products(base)),
-    "product_volume_rank_sub": lambda base, _: analytics.product_volume_rank_sub(*_products(base)),
-    "row_counts": lambda base, _: analytics.row_counts(base),
-    "daily_volume": lambda _, models: indicators.daily_volume(models["fact_transactions"], models["dim_date"]),
-    "branch_liquidity": lambda _, models: indicators.branch_liquidity(models["dim_account"]),
-    "balance_distribution": lambda _, models: indicators.balance_distribution(models["dim_account"]),
-    "rolling_30d": lambda _, models: indicators.rolling_30d(models["fact_transactions"]),
-    "branch_volume_rank": lambda _, models: indicators.branch_volume_rank(models["fact_transactions"]),
-    "account_type_breakdown": lambda _, models: indicators.account_type_breakdown(models["dim_account"]),
+    "failure_risk": lambda base, _, __: analytics.failure_risk(*_products(base)),
+    "product_volume_rank": lambda base, _, __: analytics.product_volume_rank(*_products(base)),
+    "product_volume_rank_sub": lambda base, _, __: analytics.product_volume_rank_sub(*_products(base)),
+    "row_counts": lambda base, _, __: analytics.row_counts(base),
+    "daily_volume": lambda _, models, chosen: indicators.daily_volume(
+        models["fact_transactions"], models["dim_date"], chosen.first, chosen.last
+    ),
+    "branch_liquidity": lambda _, models, __: indicators.branch_liquidity(models["dim_account"]),
+    "balance_distribution": lambda _, models, __: indicators.balance_distribution(models["dim_account"]),
+    "rolling_30d": lambda _, models, chosen: indicators.rolling_30d(
+        models["fact_transactions"], chosen.first, chosen.last
+    ),
+    "branch_volume_rank": lambda _, models, chosen: indicators.branch_volume_rank(
+        models["fact_transactions"], chosen.first, chosen.last
+    ),
+    "account_type_breakdown": lambda _, models, chosen: indicators.account_type_breakdown(
+        models["dim_account"], chosen.account_types
+    ),
 }
 
 
@@ -79,7 +97,8 @@ def check(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def report(spark: SparkSession, args: argparse.Namespace) -> None:
     base = base_tables(spark, args.database)
-    result = REPORTS[args.name](base, published(base, args.database))
+    chosen = Selection(args.first, args.last, tuple(args.account_type))
+    result = REPORTS[args.name](base, published(base, args.database), chosen)
     result.write.mode("overwrite").parquet(args.output)
 
 
@@ -110,6 +129,9 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--database", required=True)
     sub.add_argument("--name", required=True, choices=sorted(REPORTS))
     sub.add_argument("--output", required=True)
+    sub.add_argument("--first", type=dt.date.fromisoformat, help="first day, for reports over days")
+    sub.add_argument("--last", type=dt.date.fromisoformat, help="last day")
+    sub.add_argument("--account-type", action="append", default=[], help="for account_type_breakdown; repeatable")
     return top
 
 

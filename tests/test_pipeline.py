@@ -119,6 +119,13 @@ def test_jobs_run_the_whole_pipeline(spark, tmp_path, capsys):
     for name, count in expected.items():
         jobs.main(["report", *target, "--name", name, "--output", output])
         assert spark.read.parquet(output).count() == count
+    chosen = {
+        "daily_volume": (["--first", "2023-12-31", "--last", "2024-01-01"], 2),
+        "account_type_breakdown": (["--account-type", "Savings"], 1),
+    }
+    for name, (arguments, count) in chosen.items():
+        jobs.main(["report", *target, "--name", name, "--output", output, *arguments])
+        assert spark.read.parquet(output).count() == count
     spark.sql("DROP DATABASE bank_jobs CASCADE")
 
 
