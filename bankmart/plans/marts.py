@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from bankmart.functions import dates
 from bankmart.functions.dates import AsOf
 from bankmart.functions.text import hierarchy_label
+from bankmart.operators.balance import HotKeys, balanced_left_join
 from bankmart.operators.calendar import date_spine
 
 # Upper age bound (not included) and label of each bucket.
@@ -37,7 +38,9 @@ def dim_customer(stg_customers: DataFrame, as_of: AsOf = None) -> DataFrame:
     )
 
 
-def dim_account(stg_accounts: DataFrame, customers: DataFrame, as_of: AsOf = None) -> DataFrame:
+def dim_account(
+    stg_accounts: DataFrame, customers: DataFrame, as_of: AsOf = None, hot_customers: HotKeys = HotKeys()
+) -> DataFrame:
     """Accounts with their customer's name, region and status, and their age."""
     owner = customers.select(
         "customer_id",
@@ -46,7 +49,7 @@ def dim_account(stg_accounts: DataFrame, customers: DataFrame, as_of: AsOf = Non
         F.col("status").alias("customer_status"),
     )
     age = dates.today(as_of).cast("timestamp_ntz") - F.col("open_date")
-    return stg_accounts.join(owner, "customer_id", "left").select(
+    return balanced_left_join(stg_accounts, owner, "customer_id", "account_id", hot_customers).select(
         "account_id", "customer_id", "customer_name", "customer_region", "account_type",
         "open_date", "closed_date", F.col("status").alias("account_status"), "customer_status",
         "registration_id", "balance", age.alias("account_age_days"),
@@ -85,6 +88,8 @@ def fact_transactions(
     accounts: DataFrame,
     products: DataFrame,
     calendar: DataFrame | None = None,
+    hot_accounts: HotKeys = HotKeys(),
+    hot_products: HotKeys = HotKeys(),
 ) -> DataFrame:
     """One row per transaction with the attributes of its account, product and day.
 
@@ -94,17 +99,14 @@ def fact_transactions(
     ``calendar`` to join a stored calendar with other contents instead.
 
     The account and product sides keep no ``broadcast`` hint: Spark broadcasts
-    them below its size threshold and otherwise shuffles, where adaptive
-    execution splits the partitions of very busy accounts or products.
+    them below its size threshold and otherwise shuffles, where busy accounts and
+    products are split if their keys are given.
     """
+    account = accounts.select("account_id", "customer_id", "account_type", "account_status", "customer_region")
+    product = products.select("product_id", "product_name", "sub_category_name", "category_name")
     rows = stg_transactions.withColumnRenamed("status", "transaction_status")
-    rows = rows.join(
-        accounts.select("account_id", "customer_id", "account_type", "account_status", "customer_region"),
-        "account_id", "left",
-    ).join(
-        products.select("product_id", "product_name", "sub_category_name", "category_name"),
-        "product_id", "left",
-    )
+    rows = balanced_left_join(rows, account, "account_id", "transaction_id", hot_accounts)
+    rows = balanced_left_join(rows, product, "product_id", "transaction_id", hot_products)
     day_columns = ["year", "month", "quarter", "quarter_label", "is_weekend"]
     if calendar is None:
         derived = _calendar_columns(F.col("transaction_date"))

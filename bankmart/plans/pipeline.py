@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from bankmart.functions.dates import AsOf
+from bankmart.operators.balance import HotKeys, find_hot_keys
 from bankmart.plans import marts, staging
 from bankmart.plans.cleaning import CLEANING_JOBS
 from bankmart.sinks.files import write_parquet
@@ -16,6 +17,7 @@ from bankmart.sources.raw import read_raw_file
 from bankmart.sources.tables import base_tables
 
 Save = Callable[[str, DataFrame], DataFrame]
+FindHot = Callable[[DataFrame, str], HotKeys]
 
 # The fact is pruned by month, and within a month's files by account.
 FACT_LAYOUT = Layout(partition_by=("year", "month"), sort_by=("account_id",))
@@ -57,23 +59,37 @@ def _keep_lazy(_name: str, df: DataFrame) -> DataFrame:
     return df
 
 
+def _none_hot(_df: DataFrame, _key: str) -> HotKeys:
+    return HotKeys()
+
+
 def star_schema(
     base: Mapping[str, DataFrame],
     as_of: AsOf = None,
     save_staging: Save = _keep_lazy,
     save_mart: Save = _keep_lazy,
+    find_hot: FindHot = _none_hot,
 ) -> dict[str, DataFrame]:
-    """All nine models; each is saved before the models that read it are built."""
+    """All nine models; each is saved before the models that read it are built.
+
+    Lazy by default. ``find_hot`` runs a job to find the keys that the joins split.
+    """
     models = {name: save_staging(name, df) for name, df in staging_models(base).items()}
+    transactions, accounts = models["stg_transactions"], models["stg_accounts"]
     models["dim_customer"] = save_mart("dim_customer", marts.dim_customer(models["stg_customers"], as_of))
     models["dim_account"] = save_mart(
-        "dim_account", marts.dim_account(models["stg_accounts"], models["dim_customer"], as_of)
+        "dim_account",
+        marts.dim_account(accounts, models["dim_customer"], as_of, find_hot(accounts, "customer_id")),
     )
     models["dim_product"] = save_mart("dim_product", marts.dim_product(models["stg_products"]))
-    models["dim_date"] = save_mart("dim_date", marts.dim_date(models["stg_transactions"]))
+    models["dim_date"] = save_mart("dim_date", marts.dim_date(transactions))
     models["fact_transactions"] = save_mart(
         "fact_transactions",
-        marts.fact_transactions(models["stg_transactions"], models["dim_account"], models["dim_product"]),
+        marts.fact_transactions(
+            transactions, models["dim_account"], models["dim_product"],
+            hot_accounts=find_hot(transactions, "account_id"),
+            hot_products=find_hot(transactions, "product_id"),
+        ),
     )
     return models
 
@@ -93,4 +109,4 @@ def publish(base: Mapping[str, DataFrame], database: str, as_of: AsOf = None) ->
         layout = FACT_LAYOUT if name == "fact_transactions" else Layout()
         return as_table(df, f"`{database}`.`{name}`", layout)
 
-    return star_schema(base, as_of, lambda name, df: as_view(df, name), save_mart)
+    return star_schema(base, as_of, lambda name, df: as_view(df, name), save_mart, find_hot_keys)

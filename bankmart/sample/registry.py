@@ -15,6 +15,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bankmart.operators.balance import HotKeys, find_hot_keys
 from bankmart.operators.quality import run_checks
 from bankmart.plans import analytics, cleaning, indicators, marts, staging
 from bankmart.plans.checks import CHECKS
@@ -41,6 +42,7 @@ class Bank:
         self._spark, self._sf_dir = spark, sf_dir
         size_for(spark, TEXT_GROWTH * folder_bytes(spark, sf_dir))
         self._store = TableStore(spark, "sample")
+        self._hot: dict[tuple[str, str], HotKeys] = {}
 
     def raw(self, table: str) -> DataFrame:
         return adapter.RAW_TABLES[table](self._spark, self._sf_dir)
@@ -71,6 +73,12 @@ class Bank:
         options = {"key": "AccountID"} if table == "DimAccount" else {}
         return self._store.table(table, lambda: self.cleaned(table, **options))
 
+    def hot(self, model: str, key: str) -> HotKeys:
+        """Keys with a large share of a staging model's rows, looked for once."""
+        if (model, key) not in self._hot:
+            self._hot[model, key] = find_hot_keys(getattr(self, model)(), key)
+        return self._hot[model, key]
+
     def stg_transactions(self) -> DataFrame:
         return staging.stg_transactions(self.base("FactTransaction"))
 
@@ -89,7 +97,8 @@ class Bank:
         return marts.dim_customer(self.stg_customers(), AS_OF)
 
     def dim_account(self) -> DataFrame:
-        return marts.dim_account(self.stg_accounts(), self.mart("dim_customer"), AS_OF)
+        hot = self.hot("stg_accounts", "customer_id")
+        return marts.dim_account(self.stg_accounts(), self.mart("dim_customer"), AS_OF, hot)
 
     def dim_product(self) -> DataFrame:
         return marts.dim_product(self.stg_products())
@@ -100,7 +109,8 @@ class Bank:
     def fact_transactions(self, joined_calendar: bool = False) -> DataFrame:
         calendar = self.mart("dim_date") if joined_calendar else None
         return marts.fact_transactions(
-            self.stg_transactions(), self.mart("dim_account"), self.mart("dim_product"), calendar
+            self.stg_transactions(), self.mart("dim_account"), self.mart("dim_product"), calendar,
+            self.hot("stg_transactions", "account_id"), self.hot("stg_transactions", "product_id"),
         )
 
     def mart(self, name: str) -> DataFrame:

@@ -7,7 +7,6 @@ from dataclasses import astuple, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bankmart.sinks.files import counted
 from bankmart.sources.tables import read_parquet
 
 # Cleaned dataset and base table, parents before children.
@@ -52,13 +51,16 @@ def load_tables(
     load: Callable[[DataFrame, str], object],
     tables: Iterable[tuple[str, str]] = LOAD_ORDER,
 ) -> list[LoadOutcome]:
-    """Load each cleaned dataset with ``load(df, table)``; a failure does not stop the rest."""
+    """Load each cleaned dataset with ``load(df, table)``; a failure does not stop the rest.
+
+    Row counts come from the datasets' file footers.
+    """
     outcomes = []
     for name, table in tables:
         try:
-            df, observation = counted(read_parquet(spark, f"{cleaned_root.rstrip('/')}/{name}"))
+            df = read_parquet(spark, f"{cleaned_root.rstrip('/')}/{name}")
             load(df, table)
-            outcomes.append(LoadOutcome(name, table, SUCCESS, observation.get["rows"], len(df.columns)))
+            outcomes.append(LoadOutcome(name, table, SUCCESS, df.count(), len(df.columns)))
         except Exception as error:  # noqa: BLE001 - recorded per table, raised at the end
             outcomes.append(LoadOutcome(name, table, FAILED, error=str(error)))
     return outcomes

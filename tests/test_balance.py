@@ -1,0 +1,70 @@
+from collections import Counter
+
+import pytest
+from helpers import plan_of, rows, settings
+from hypothesis import HealthCheck, given
+from hypothesis import settings as hypothesis_settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from bankmart.operators.balance import HotKeys, balanced_left_join, find_hot_keys
+
+KEY = st.one_of(st.none(), st.integers(1, 5))
+
+
+@hypothesis_settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    st.lists(KEY, max_size=25),
+    st.lists(st.tuples(KEY, st.sampled_from("xy")), max_size=8),
+    st.sets(st.integers(1, 5), max_size=3),
+    st.integers(1, 4),
+)
+def test_equals_the_plain_join_whatever_is_called_hot(spark, left_keys, right_rows, hot, pieces):
+    left = spark.createDataFrame(list(enumerate(left_keys)), "id int, k int")
+    right = spark.createDataFrame(right_rows, "k int, v string")
+    balanced = balanced_left_join(left, right, "k", "id", HotKeys(tuple(hot), pieces))
+    assert balanced.columns == ["k", "id", "v"]
+    assert rows(balanced, "id", "k", "v") == rows(left.join(right, "k", "left"), "id", "k", "v")
+
+
+def skewed(spark):
+    """A third of 30,000 rows on key 7, a sixth without a key, the rest on keys of their own."""
+    hot = F.when(F.col("id") % 6 < 2, 7).when(F.col("id") % 6 == 2, None).otherwise(F.col("id") + 100)
+    return spark.range(0, 30_000, numPartitions=4).select("id", hot.alias("k"))
+
+
+def test_finds_the_key_and_sizes_its_pieces(spark):
+    with settings(spark, spark_sql_shuffle_partitions="30"):
+        found = find_hot_keys(skewed(spark), "k", sample=0.5)
+    assert found.keys == (7,) and found.pieces in (10, 11)
+
+
+def test_nothing_is_hot_without_repeats_or_rows(spark):
+    assert find_hot_keys(spark.range(30_000).withColumnRenamed("id", "k"), "k", sample=0.5) == HotKeys()
+    assert find_hot_keys(spark.range(0).withColumnRenamed("id", "k"), "k") == HotKeys()
+
+
+def test_only_nulls_can_be_hot(spark):
+    df = spark.range(1000).select("id", F.lit(None).cast("long").alias("k"))
+    found = find_hot_keys(df, "k", sample=1.0)
+    assert found.keys == () and found.pieces == 4
+
+
+@pytest.mark.parametrize("balanced", [True, False])
+def test_no_task_gets_a_third_of_the_rows(spark, balanced):
+    right = spark.range(0, 40_000).select(F.col("id").alias("k"), F.lit("v").alias("v"))
+    with settings(
+        spark,
+        spark_sql_shuffle_partitions="30",
+        spark_sql_autoBroadcastJoinThreshold="-1",
+        spark_sql_adaptive_coalescePartitions_enabled="false",
+    ):
+        left = skewed(spark)
+        hot = find_hot_keys(left, "k", sample=0.5) if balanced else HotKeys()
+        joined = balanced_left_join(left, right, "k", "id", hot)
+        per_task = Counter(r.t for r in joined.select(F.spark_partition_id().alias("t")).collect())
+        assert "SortMergeJoin" in plan_of(joined)
+    assert sum(per_task.values()) == 30_000
+    assert (max(per_task.values()) > 10_000) is not balanced
+    if balanced:
+        assert max(per_task.values()) < 5_000

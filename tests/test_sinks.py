@@ -3,7 +3,7 @@ from helpers import base, money, rows, settings
 from pyspark.sql import functions as F
 
 from bankmart.sinks import load
-from bankmart.sinks.files import counted, write_parquet, write_partitioned
+from bankmart.sinks.files import write_parquet, write_partitioned
 from bankmart.sinks.tables import Layout, as_table, as_view, database_options, refresh_table
 from bankmart.sources.tables import base_tables, constant_rows, read_parquet
 from bankmart.store import TableStore, shared_folder, written
@@ -16,12 +16,6 @@ def test_write_parquet_overwrites_and_counts(spark, tmp_path):
     assert rows(read_parquet(spark, path)) == [(0,), (1,)]
 
 
-def test_counted_reports_after_the_write(spark, tmp_path):
-    df, observation = counted(spark.range(7))
-    df.write.parquet(str(tmp_path / "t"))
-    assert observation.get == {"rows": 7}
-
-
 def test_partitioned_files_are_sorted_and_complete(spark, tmp_path):
     df = spark.range(1000).select((F.col("id") % 3).alias("year"), (F.lit(1000) - F.col("id")).alias("account_id"))
     path = tmp_path / "t"
