@@ -9,9 +9,9 @@ treated as hot changes the work of each task, never the result.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bankmart.store import written
@@ -24,10 +24,20 @@ LEAST_SAMPLED = 100
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Keys to split, and into how many pieces; one piece means nothing is split."""
+    """Keys by the number of pieces their rows are dealt to, and the pieces for rows without a key."""
 
-    keys: tuple[object, ...] = ()
-    pieces: int = 1
+    keys: dict[int, tuple[object, ...]] = field(default_factory=dict)
+    null_pieces: int = 1
+
+    def pieces_of(self, key: Column) -> Column:
+        """Pieces of a row's key; 1 for keys that are not hot."""
+        pieces = F.when(key.isNull(), 1)
+        for count, keys in self.keys.items():
+            pieces = pieces.when(key.isin(*keys), count)
+        return pieces.otherwise(1)
+
+
+NONE_HOT = HotKeys()
 
 
 def _shuffle_partitions(spark: SparkSession) -> int:
@@ -35,32 +45,38 @@ def _shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or regular)
 
 
+def _power_of_two(pieces: float) -> int:
+    return 1 << max(0, math.ceil(math.log2(pieces)))
+
+
 def find_hot_keys(df: DataFrame, key: str, sample: float = SAMPLE) -> HotKeys:
     """Keys of ``df``, null included, with more than ``SHARE`` of its rows, from a sample of one column.
 
-    Fewer than ``1 / SHARE`` keys can have that share, so few come back. The
-    largest is split into pieces of about the size of an average shuffle partition.
+    Fewer than ``1 / SHARE`` keys can have that share, so few come back. Each is
+    dealt to so many pieces that one is no larger than an average shuffle
+    partition; all pieces together are about twice as many as there are partitions.
     """
     sampled = written(df.select(F.col(key).alias("key")).sample(sample, seed=1).groupBy("key").count(), "sample")
     rows = sampled.agg(F.sum("count")).first()[0] or 0
-    hot = (
-        sampled.filter(F.col("count") > max(LEAST_SAMPLED, SHARE * rows))
-        .orderBy(F.col("count").desc(), "key")
-        .collect()
-    )
-    if not hot:
-        return HotKeys()
-    pieces = math.ceil(hot[0]["count"] / rows * _shuffle_partitions(df.sparkSession))
-    return HotKeys(tuple(row["key"] for row in hot if row["key"] is not None), pieces)
+    largest = sampled.filter(F.col("count") > max(LEAST_SAMPLED, SHARE * rows)).orderBy("key").collect()
+    partitions = _shuffle_partitions(df.sparkSession)
+    keys: dict[int, tuple[object, ...]] = {}
+    null_pieces = 1
+    for row in largest:
+        pieces = _power_of_two(row["count"] / rows * partitions)
+        if row["key"] is None:
+            null_pieces = pieces
+        elif pieces > 1:
+            keys[pieces] = (*keys.get(pieces, ()), row["key"])
+    return HotKeys(keys, null_pieces)
 
 
 def balanced_left_join(left: DataFrame, right: DataFrame, key: str, spread_by: str, hot: HotKeys) -> DataFrame:
     """``left.join(right, key, "left")`` with the rows of hot and null keys dealt out by ``spread_by``."""
-    if hot.pieces == 1:
+    if not hot.keys and hot.null_pieces == 1:
         return left.join(right, key, "left")
-    is_hot = F.col(key).isin(*hot.keys) if hot.keys else F.lit(False)
-    dealt = F.pmod(F.xxhash64(spread_by), F.lit(hot.pieces)).cast("int")
-    piece = F.when(F.col(key).isNull() | is_hot, dealt).otherwise(0)
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(hot.pieces - 1))).otherwise(F.array(F.lit(0)))
-    copied = right.withColumn("_piece", F.explode(copies))
-    return left.withColumn("_piece", piece).join(copied, [key, "_piece"], "left").drop("_piece")
+    pieces = hot.pieces_of(F.col(key))
+    left_pieces = F.when(F.col(key).isNull(), hot.null_pieces).otherwise(pieces)
+    dealt = left.withColumn("_piece", F.pmod(F.xxhash64(spread_by), left_pieces).cast("int"))
+    copied = right.withColumn("_piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
+    return dealt.join(copied, [key, "_piece"], "left").drop("_piece")

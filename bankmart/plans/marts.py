@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from bankmart.functions import dates
 from bankmart.functions.dates import AsOf
 from bankmart.functions.text import hierarchy_label
-from bankmart.operators.balance import HotKeys, balanced_left_join
+from bankmart.operators.balance import NONE_HOT, HotKeys, balanced_left_join
 from bankmart.operators.calendar import date_spine
 
 # Upper age bound (not included) and label of each bucket.
@@ -39,7 +39,7 @@ def dim_customer(stg_customers: DataFrame, as_of: AsOf = None) -> DataFrame:
 
 
 def dim_account(
-    stg_accounts: DataFrame, customers: DataFrame, as_of: AsOf = None, hot_customers: HotKeys = HotKeys()
+    stg_accounts: DataFrame, customers: DataFrame, as_of: AsOf = None, hot_customers: HotKeys = NONE_HOT
 ) -> DataFrame:
     """Accounts with their customer's name, region and status, and their age."""
     owner = customers.select(
@@ -88,8 +88,8 @@ def fact_transactions(
     accounts: DataFrame,
     products: DataFrame,
     calendar: DataFrame | None = None,
-    hot_accounts: HotKeys = HotKeys(),
-    hot_products: HotKeys = HotKeys(),
+    hot_accounts: HotKeys = NONE_HOT,
+    hot_products: HotKeys = NONE_HOT,
 ) -> DataFrame:
     """One row per transaction with the attributes of its account, product and day.
 

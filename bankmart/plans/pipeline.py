@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from bankmart.functions.dates import AsOf
-from bankmart.operators.balance import HotKeys, find_hot_keys
+from bankmart.operators.balance import NONE_HOT, HotKeys, find_hot_keys
 from bankmart.plans import marts, staging
 from bankmart.plans.cleaning import CLEANING_JOBS
 from bankmart.sinks.files import write_parquet
@@ -60,7 +60,7 @@ def _keep_lazy(_name: str, df: DataFrame) -> DataFrame:
 
 
 def _none_hot(_df: DataFrame, _key: str) -> HotKeys:
-    return HotKeys()
+    return NONE_HOT
 
 
 def star_schema(
