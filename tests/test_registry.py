@@ -4,9 +4,10 @@ import compare
 import pytest
 
 import __spark_entry__ as entry
+from bankmart.sample import oracle, registry
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = registry.queries(), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +19,10 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
 
 
+def test_entry_lists_every_query():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
+
+
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_equals_sql(spark, duck, name):
     df = QUERIES[name](spark, SF_DIR)
