@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from bankmart.llm.columns import numbered
+from bankmart.llm.shipping import ship
 from bankmart.store import written
 
 NO_ID = 2**63 - 1
@@ -158,6 +159,7 @@ def line_dedup(docs: DataFrame, *, min_chars: int = 10, bits: int = 1 << 26) ->
     columns may bear any name, also ``n_lines``, which is then there twice. No rows: no rows.
     ``bits`` is a power of two from 2**20 to 2**32.
     """
+    ship(docs.sparkSession)
     plain, (doc, text) = numbered(docs, "doc_id", "text")
     key = F.coalesce(F.col(doc).cast("long"), F.lit(NO_ID))
     texts = plain.select(key.alias("doc"), F.col(text).alias("text"))

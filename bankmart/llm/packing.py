@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from bankmart.llm.columns import pick
+from bankmart.llm.shipping import ship
 
 TOKENIZER = "word_bpe_49k.json"
 END = 1
@@ -96,6 +97,7 @@ def pack(docs: DataFrame, *, longest: int = 2048, tokenizer: str | None = None)
     """
     if longest < 1 or longest & (longest - 1):
         raise ValueError("longest must be a power of two")
+    ship(docs.sparkSession)
     path = tokenizer or public_tokenizers.path(TOKENIZER)
     texts = pick(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
     out = texts.mapInArrow(

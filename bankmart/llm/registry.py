@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,9 @@ from pyspark.sql import functions as F
 
 from bankmart.llm.columns import table
 from bankmart.llm.line_dedup import line_dedup
+from bankmart.llm import chat, language, neighbours, warc
 from bankmart.llm.packing import pack
+from bankmart.store import shared_folder
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +20,24 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", marked), (-1, 1, "assistant", marked)], "conv_id long, turn long, role string, text string")
+    chats = chat.format_chats(table(spark, sf_dir, "conversations").select(extra.columns).union(extra))
+    turns = chat.parse(F.col("formatted"))
+    lines = F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    loss = F.array_join(chat.loss_texts(F.col("formatted"), F.col("loss_spans")), "")
+    return chats.select(
+        "conv_id", F.size(turns).cast("long").alias("n_turns"), F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = pack(table(spark, sf_dir, "documents"))
     return packed.select(
@@ -24,8 +45,20 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write_warc(table(spark, sf_dir, "pages"), path)
+    return warc.declared_pages(warc.captures(warc.read_warc(spark, path)))
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.identify(docs, language.train(docs))
+    return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op8_packing)}
+    return {f.__name__: f for f in (op1_line_dedup, op3_neighbours, op4_chat, op8_packing, op9_warc, op10_language)}
 
 
 LINE_DEDUP_SQL = r"""
@@ -44,5 +77,33 @@ FROM marked GROUP BY doc_id
 """
 
 
+NEIGHBOURS_SQL = """
+WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len(embedding) > 0
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+             AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+CHAT_SQL = r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+           UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+m AS (SELECT *, regexp_matches(text, '<</SYS>>|\[/INST\]|</s>|<</TURN>>|<s>|<<SYS>>|\[INST\]|<<TURN |\\[lgbe]') AS marked,
+             CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 13 WHEN 'assistant' THEN 4 ELSE 18 + length(role) END AS marks
+      FROM t)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       (3 + sum(marks + length(text) + CASE WHEN marked THEN length(text) - length(translate(text, '<>[\\', '')) ELSE 0 END))::BIGINT
+           AS formatted_chars
+FROM m GROUP BY conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": LINE_DEDUP_SQL}
+    return {"op1_line_dedup": LINE_DEDUP_SQL, "op3_neighbours": NEIGHBOURS_SQL, "op4_chat": CHAT_SQL}
