@@ -27,7 +27,8 @@ from bankmart.llm.shipping import ship
 TOKENIZER = "word_bpe_49k.json"
 END = 1
 ROWS = 256
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 250_000
+TOGETHER = 200
 
 # Texts of these characters alone are split into words here, as the tokenizer does; their
 # normal form is themselves in lower case. Any other text goes to the tokenizer whole.
@@ -38,26 +39,51 @@ WORDS = re.compile(rf"[{LETTERS}]+|'(?:s|t|re|ve|m|ll|d)|[{DIGITS}]|[^\s{LETTERS
 
 
 class Words:
-    """Token ids of texts as little-endian unsigned 32-bit bytes, remembering words met before."""
+    """Token ids of texts as little-endian unsigned 32-bit bytes, remembering words met before.
+
+    Words are kept in two generations: when the young one is full it becomes the old one, whose
+    words come back as they are met. Memory is bounded and frequent words stay.
+    """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         found = [WORDS.findall(t.lower()) if PLAIN.fullmatch(t) else None for t in texts]
-        new = list({w for words in found if words for w in words}.difference(self.known))
-        if len(self.known) + len(new) > KNOWN_WORDS:
-            self.known = {}
-            new = list({w for words in found if words for w in words})
-        for word, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[word] = np.array(e.ids, "<u4").tobytes()
-        get = self.known.__getitem__
+        missing = set().union(*(words for words in found if words)).difference(self.young)
+        if len(self.young) + len(missing) > KNOWN_WORDS:
+            self.young, self.old = {}, self.young
+            missing = set().union(*(words for words in found if words))
+        back = missing.intersection(self.old)
+        self.young.update((word, self.old[word]) for word in back)
+        self.learn(list(missing - back))
+        get = self.young.__getitem__
         return [b"".join(map(get, words)) if words is not None else self.whole(t) for words, t in zip(found, texts)]
 
+    def learn(self, words: list[str]) -> None:
+        """Tokenise words many at a time; a word's ids end with the one that closes a word."""
+        for start in range(0, len(words), TOGETHER):
+            part = words[start : start + TOGETHER]
+            ids = self.ids(" ".join(part))
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(part) and cuts[-1] == len(ids):
+                data = ids.tobytes()
+                at = [0, *(4 * cuts).tolist()]
+                self.young.update((word, data[a:b]) for word, a, b in zip(part, at, at[1:]))
+            else:
+                self.young.update((word, self.whole(word)) for word in part)
+
+    def ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return self.ids(text).tobytes()
 
 
 def pieces(length: int, longest: int) -> list[int]:

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from bankmart.llm.columns import table
 from bankmart.llm.line_dedup import line_dedup
-from bankmart.llm import chat, language, neighbours, warc
+from bankmart.llm import chat, decontaminate, language, license_scan, neighbours, secret_scan, warc
+from bankmart.llm.near_dedup import near_dedup
 from bankmart.llm.packing import pack
 from bankmart.store import shared_folder
 
@@ -20,6 +21,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(table(spark, sf_dir, "documents"))
+
+
 def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -38,6 +43,32 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.secrets(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"].isin("assign", "access", "hex"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
+        F.sha2(secret_scan.as_text(base), 256).alias("base_sha256"), secret_scan.as_text(F.col("spans")).alias("spans"),
+    )
+
+
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.licenses(table(spark, sf_dir, "documents"))
+    found = found.withColumn("base", F.filter("found", lambda f: f["base"]))
+    labels = lambda c: F.array_join(F.array_sort(F.array_distinct(F.transform(c, lambda f: f["label"]))), ",")
+    starts = F.transform("base", lambda f: f["start"].cast("long"))
+    return found.select(
+        "doc_id", "n_words", F.size("base").cast("long").alias("n_base"), F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"), labels("base").alias("base_labels"), labels("found").alias("labels"),
+        F.coalesce(F.array_max(F.transform("found", lambda f: f["share"])), F.lit(0.0)).alias("score"),
+    )
+
+
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = pack(table(spark, sf_dir, "documents"))
     return packed.select(
@@ -58,7 +89,9 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op3_neighbours, op4_chat, op8_packing, op9_warc, op10_language)}
+    return {f.__name__: f for f in (
+        op1_line_dedup, op2_near_dedup, op3_neighbours, op4_chat, op5_secrets, op6_licenses, op7_decontaminate, op8_packing, op9_warc, op10_language,
+    )}
 
 
 LINE_DEDUP_SQL = r"""
