@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from bankmart.llm.columns import numbered
+from bankmart.llm.joins import small
 from bankmart.llm.shipping import ship
 from bankmart.store import written
 
@@ -170,12 +171,14 @@ def line_dedup(docs: DataFrame, *, min_chars: int = 10, bits: int = 1 << 26) ->
         ),
         "line-suspects",
     )
-    first = (
+    # Written, so that the join shuffles it anew and can split a line that very many documents hold.
+    first = written(
         suspects.groupBy("digest").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
-        .where("first < last").select("digest", "first")
+        .where("first < last").select("digest", "first"),
+        "first-lines",
     )
     drop = (
-        suspects.join(first, "digest").where("doc > first")
+        suspects.join(small(first, 48), "digest").where("doc > first")
         .groupBy("doc").agg(F.collect_set("digest").alias("drop"))
     )
     joined = plain.withColumn("id", key).join(drop, F.col("id") == F.col("doc"), "left").select(*plain.columns, "drop")

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from bankmart.llm.columns import table
 from bankmart.llm.line_dedup import line_dedup
 from bankmart.llm import chat, decontaminate, language, license_scan, neighbours, secret_scan, warc
@@ -89,9 +90,10 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (
+    numbered = {f.__name__: f for f in (
         op1_line_dedup, op2_near_dedup, op3_neighbours, op4_chat, op5_secrets, op6_licenses, op7_decontaminate, op8_packing, op9_warc, op10_language,
     )}
+    return numbered | {"pipeline": corpus_pipeline.run}
 
 
 LINE_DEDUP_SQL = r"""
@@ -139,4 +141,6 @@ FROM m GROUP BY conv_id
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": LINE_DEDUP_SQL, "op3_neighbours": NEIGHBOURS_SQL, "op4_chat": CHAT_SQL}
+    return {"op1_line_dedup": LINE_DEDUP_SQL, "op3_neighbours": NEIGHBOURS_SQL, "op4_chat": CHAT_SQL} | (
+        {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    )
