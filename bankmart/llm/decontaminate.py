@@ -124,7 +124,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     laid = rows.select("doc_id", "dwords", "draw", F.explode("places").alias("p")).select("doc_id", "dwords", "draw", "p.*")
     laid = laid.join(small(items, 4096), "item_id")
     first = F.greatest(F.lit(0), -F.col("shift"))
-    count = F.least(F.size("words") - first, F.size("dwords") - F.col("shift") - first)
+    # None, where another row of the same id holds the place.
+    count = F.greatest(F.lit(0), F.least(F.size("words") - first, F.size("dwords") - F.col("shift") - first))
     laid = laid.where(count > 0).select(
         "doc_id", "item_id", "need",
         F.arrays_zip(

@@ -73,12 +73,11 @@ def _strings(parsed) -> tuple[set[str] | None, list[set[str]]]:
         elif name == "MAX_REPEAT":
             least, most, part = value
             once, inner = _strings(part)
+            inner = inner if least else []
             if once is not None and (least, most) == (0, 1):
                 own = once | {""}
             elif once is not None and least == most and len(once) ** least <= MOST_STRINGS:
                 own = {"".join(p) for p in product(once, repeat=least)}
-            elif least == 0:
-                inner = []
         runs += inner
         if own is None or len(current) * len(own) > MOST_STRINGS:
             cut()

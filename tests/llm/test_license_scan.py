@@ -1,0 +1,56 @@
+"""Licence places against a plain search for the phrases."""
+
+import re
+
+from bankmart.llm import registry
+from bankmart.llm.license_scan import TEMPLATES, licenses
+
+WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
+
+
+def words(text):
+    return WORDS.findall((text or "").translate(LOWER))
+
+
+def base(text):
+    own = words(text)
+    return sorted((i, label) for phrase, label in BASE.items() for p in [phrase.split()] for i in range(len(own)) if own[i : i + len(p)] == p)
+
+
+TEXTS = [
+    None, "", "Under the MIT License", "under the mit under the MIT\nlicense, under-the mit license", "apache license version 2.0 and CC BY-NC 4.0 cc by nc",
+    "cc by ncs", "cc cc by nc by nc", "under the Kit license", "éunder the mit license", "the mit license", "CC\u212aBY NC", "under\x00the\x7fmit`license",
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and", "Permission hereby granted free",
+    "Licensed under the GNU General Public License, version 3.", "licensed under the GNU Lesser Public License, version 3", "x " * 150_000 + "cc by nc",
+]
+
+
+def test_places_of_hard_texts(spark):
+    rows = [(i, t, "x") for i, t in enumerate(TEXTS)] + [(None, TEXTS[2], "x"), (2, TEXTS[2], "y"), (2, "nothing", "z")]
+    out = licenses(spark.createDataFrame(rows, "doc_id long, text string, TEXT string")).collect()
+    got = sorted(((r[0], r[1], [(f["start"], f["label"]) for f in r[2] if f["base"]]) for r in out), key=str)
+    assert got == sorted(((i, len(words(t)), base(t)) for i, t, _ in rows), key=str)
+    more = {r[0]: {f["label"] for f in r[2] if not f["base"]} for r in out if r[0] and r[0] > 2}
+    assert (more[12], more[13], more[14], more[15]) == ({"mit"}, set(), {"gpl"}, set())
+    assert all(0 <= f["share"] <= 1 for r in out for f in r[2])
+
+
+def test_query_equals_brute_force(spark, docs):
+    got = {r["doc_id"]: r for r in registry.op6_licenses(spark, "/root/testdata/sf0.001").collect()}
+    for row in docs.collect():
+        own, r = base(row.text), got[row.doc_id]
+        starts = [i for i, _ in own]
+        assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"]) == (len(words(row.text)), len(own), min(starts, default=None), max(starts, default=None))
+        assert r["base_labels"] == ",".join(sorted({x for _, x in own}))
+        assert set(r["base_labels"].split(",")) - {""} <= set(r["labels"].split(","))
+
+
+def test_no_rows(no_docs):
+    assert licenses(no_docs).count() == 0
+
+
+def test_keys_are_parts_of_their_templates():
+    for t in TEMPLATES:
+        assert " ".join(t.key) in " ".join(t.words)

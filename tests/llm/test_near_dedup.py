@@ -1,0 +1,91 @@
+"""Near-copy classes against all pairs, on small tables."""
+
+import random
+from itertools import combinations
+
+import numpy as np
+import pytest
+
+from bankmart.llm.near_dedup import _Hashes, bag, components, near_dedup, signatures, similarity
+
+
+def expected(rows):
+    known, parent = _Hashes(), {}
+    bags = [(i, bag(t, known)) for i, t in rows if i is not None]
+    parent = {i: i for i, _ in bags}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for (i, a), (j, b) in combinations(bags, 2):
+        if len(a[0]) and len(b[0]) and similarity(a, b) >= 0.8:
+            x, y = sorted((root(i), root(j)))
+            parent[y] = x
+    return sorted(((i, None if i is None else root(i)) for i, _ in rows), key=str)
+
+
+def found(df):
+    return sorted(((r["doc_id"], r["class_id"]) for r in df.collect()), key=str)
+
+
+def varied(words, places, mark):
+    out = list(words)
+    for p in places:
+        out[p] = f"{mark}{p}"
+    return " ".join(out)
+
+
+def test_equals_all_pairs(docs):
+    assert found(near_dedup(docs)) == expected([(r.doc_id, r.text) for r in docs.collect()])
+
+
+def test_odd_rows(odd_docs, no_docs):
+    assert found(near_dedup(odd_docs)) == expected([(r[0], r[1]) for r in odd_docs.collect()])
+    assert near_dedup(no_docs).count() == 0
+
+
+def test_copies_linked_through_an_original_alone(spark):
+    # Each copy is similar to the original, which has the largest id, but not to the other copies.
+    rng = random.Random(3)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+    rows = [(i, varied(words, range(i * 2 % 40, 300, 43), f"v{i}x")) for i in range(1, 21)] + [(99, " ".join(words))]
+    rows += [(200 + i, " ".join(f"u{rng.randrange(10**6)}" for _ in range(80))) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert found(near_dedup(df)) == expected(rows)
+
+
+def test_very_many_copies(spark):
+    base = " ".join(f"word{i}" for i in range(60))
+    rows = [(i, base) for i in range(400)] + [(i, f"{base} tail{i}") for i in range(400, 800)]
+    classes = {r["class_id"] for r in near_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert classes == {0}
+
+
+def test_joins_are_not_limited_to_small_tables(docs, monkeypatch):
+    monkeypatch.setattr("bankmart.llm.joins.SMALL_BYTES", -1)
+    assert found(near_dedup(docs)) == expected([(r.doc_id, r.text) for r in docs.collect()])
+
+
+@pytest.mark.parametrize("repeats", [1, 7, 100])
+def test_registers_agree_as_often_as_bags_are_similar(repeats):
+    known = _Hashes()
+    words = [f"w{i}" for i in range(200)]
+    a = bag(" ".join(words + words[:50] * repeats), known)
+    b = bag(" ".join(words[:180] + words[:50] * (repeats // 2 + 1)), known)
+    marks = signatures([a, b], 20_000)
+    assert abs((marks[0] == marks[1]).mean() - similarity(a, b)) < 0.015
+
+
+def test_registers_do_not_depend_on_the_batch():
+    known = _Hashes()
+    bags = [bag(" ".join(f"w{i * j % 97}" for i in range(j * 5)), known) for j in range(1, 30)]
+    alone = np.concatenate([signatures([b]) for b in bags])
+    assert (alone == signatures(bags)).all()
+
+
+def test_components_of_a_long_chain(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101)], "a long, b long")
+    got = {r["node"]: r["comp"] for r in components(links).collect()}
+    assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
