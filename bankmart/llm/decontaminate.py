@@ -89,13 +89,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     ``same_slots`` whether all stand for the very words of the item. ``docs`` has ``doc_id`` and
     ``text``, ``benchmark`` ``item_id`` and ``text``; other columns are ignored. Null or empty
     texts hold nothing. Rows that repeat an id, or have none, are searched each for itself and
-    reported under that id once. Stretches that are mostly placeholders don't count. No
+    reported under that id once; so are items. Stretches that are mostly placeholders don't count. No
     documents or no items: no rows.
     """
     items = pick(benchmark, "item_id", "text").where("text IS NOT NULL").select(
         "item_id", template_words(F.col("text")).alias("words"), raw_words(F.col("text")).alias("raw")
     ).withColumn("need", F.least(F.size("words"), F.lit(RUN)))
-    items = written(items.where("need > 0"), "benchmark-items")
+    # A number of its own for each row: ids may repeat or be null.
+    items = written(items.where("need > 0").withColumn("item", F.monotonically_increasing_id()), "benchmark-items")
     texts = pick(docs, "doc_id", "text").withColumn("doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)))
     parsed = texts.select("doc", template_words(F.col("text")).alias("words"))
 
@@ -105,24 +106,24 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = None
     for which, size, stride in plans:
         own = written(
-            _exploded(items.where(which), ["item_id", "words"], size, 1)
+            _exploded(items.where(which), ["item", "words"], size, 1)
             .where(F.size(F.filter(F.slice("words", F.col("at") + 1, size), _is_slot)) <= (1 - LEAST_WORDS) * size)
-            .select("item_id", F.col("at").alias("item_at"), "hash").distinct(),
+            .select("item", F.col("at").alias("item_at"), "hash"),
             "benchmark-windows",
         )
         hits = _exploded(parsed, ["doc"], size, stride).join(small(own, 48), "hash")
-        hits = hits.select("doc", "item_id", (F.col("at") - F.col("item_at")).alias("shift"))
+        hits = hits.select("doc", "item", (F.col("at") - F.col("item_at")).alias("shift"))
         found = hits if found is None else found.unionByName(hits)
     # Partial aggregates first: a document leaves a task with one row for each place of an item.
-    places = written(found.groupBy("doc", "item_id", "shift").agg(F.count("*").alias("n")).drop("n"), "benchmark-places")
+    places = written(found.groupBy("doc", "item", "shift").agg(F.count("*").alias("n")).drop("n"), "benchmark-places")
 
-    by_doc = written(places.groupBy("doc").agg(F.collect_list(F.struct("item_id", "shift")).alias("places")), "benchmark-documents")
+    by_doc = written(places.groupBy("doc").agg(F.collect_list(F.struct("item", "shift")).alias("places")), "benchmark-documents")
     rows = texts.join(small(by_doc, 16 + 64), "doc").select(
         "doc_id", template_words(F.col("text")).alias("dwords"), raw_words(F.col("text")).alias("draw"), "places"
     )
     # Of a document only the words beside each item go on.
     laid = rows.select("doc_id", "dwords", "draw", F.explode("places").alias("p")).select("doc_id", "dwords", "draw", "p.*")
-    laid = laid.join(small(items, 4096), "item_id")
+    laid = laid.join(small(items, 4096), "item")
     first = F.greatest(F.lit(0), -F.col("shift"))
     # None, where another row of the same id holds the place.
     count = F.greatest(F.lit(0), F.least(F.size("words") - first, F.size("dwords") - F.col("shift") - first))
