@@ -9,9 +9,10 @@ give candidates, and the overlap of the bags themselves confirms them.
 
 Bags that are equal are one node from the start. In a bucket, nodes are not paired with each
 other but with a hub, the one that shares most buckets. Where that leaves a bucket in several
-components, the nodes outside the largest are paired with those of other components, a growing
-number of them in each round, until none is left untried: no link between candidates is missed
-that would join two classes. Links are joined to components by contraction in Spark.
+components, the nodes outside the largest are paired with a few more hubs of it. Those that still
+lie apart are held against all other components of their buckets, block by block on registers,
+so no link between candidates is missed that would join two classes. Links are joined to
+components by contraction in Spark.
 """
 
 from __future__ import annotations
@@ -36,8 +37,10 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, BAND_ROWS = 25, 5
 REGISTERS = BANDS * BAND_ROWS
-# Candidates that agree in fewer registers are dropped: over five standard deviations below 0.8.
-LEAST_AGREEMENT = 0.6
+# Candidates that agree in fewer registers, this many standard deviations below, are dropped: as few as the bands miss.
+DEVIATIONS = 4
+PIVOTS = 8
+BLOCK = 512
 ROWS = 128
 WORD = re.compile(r"\w+")
 KNOWN_WORDS = 300_000
@@ -162,13 +165,17 @@ def _linked(batches: Iterable[pa.RecordBatch], least: float) -> Iterator[pa.Reco
             yield pa.RecordBatch.from_arrays([part.column(0).filter(mask), part.column(1).filter(mask)], names=["a", "b"])
 
 
+def _agreement(least: float) -> int:
+    return int(REGISTERS * least - DEVIATIONS * (REGISTERS * least * (1 - least)) ** 0.5)
+
+
 def verified(pairs: DataFrame, signs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """Of the pairs ``a``, ``b`` those whose bags are as similar as asked."""
     by = lambda df, side, *cols: df.select(F.col("doc").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in cols])
     close = (
         pairs.join(by(signs, "b", "signature"), "b").join(by(signs, "a", "signature"), "a")
         .select("a", "b", "signature_a", "signature_b")
-        .mapInArrow(partial(_agreeing, least=int(LEAST_AGREEMENT * REGISTERS * least / SIMILARITY)), "a long, b long").distinct()
+        .mapInArrow(partial(_agreeing, least=_agreement(least)), "a long, b long").distinct()
     )
     found = close.join(by(texts, "b", "text"), "b").join(by(texts, "a", "text"), "a").select("a", "b", "text_a", "text_b")
     return found.mapInArrow(partial(_linked, least=least), "a long, b long").distinct()
@@ -178,7 +185,7 @@ def components(links: DataFrame) -> DataFrame:
     """``node`` and ``comp``, its component's smallest node, for every node of the links ``a``, ``b``."""
     comp = written(links.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("comp", F.col("node")), "components")
     edges = links
-    while True:
+    while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         parent = written(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("up")), "parents")
         over = parent.select(F.col("a").alias("up"), F.col("up").alias("top"))
@@ -189,49 +196,83 @@ def components(links: DataFrame) -> DataFrame:
         )
         ends = edges.join(root.toDF("a", "ra"), "a").join(root.toDF("b", "rb"), "b")
         edges = written(ends.where("ra <> rb").select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct(), "edges")
-        if edges.isEmpty():
-            return comp
+    return comp
 
 
-def _stars(members: DataFrame, hubs: DataFrame) -> DataFrame:
-    """Each member of a bucket with the hubs of the bucket, as ordered pairs, once."""
-    return (
-        members.join(hubs, "key").where("node <> hub")
-        .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-    )
+def _pairs(a: str, b: str) -> list:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+
+def _placed(members: DataFrame, links: DataFrame) -> DataFrame:
+    """The members of buckets that lie in several components, with their own and the bucket's largest one, ``main``."""
+    comp = components(links)
+    placed = members.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    by_comp = placed.groupBy("key", "comp").agg(F.count("*").alias("n"))
+    mixed = by_comp.groupBy("key").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.count("*").alias("comps"), F.sum("n").alias("n"))
+    # Of two members the hub was one: the pair has been tried.
+    mixed = written(mixed.where("comps > 1 AND n > 2").drop("comps"), "mixed-buckets")
+    return written(placed.join(mixed, "key"), "open-buckets")
+
+
+def _tile(batches: Iterable[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """Pairs of a block of outer nodes and one of members that agree in enough registers and lie in different components."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            (x, cx, sx), (y, cy, sy) = (
+                (np.array(batch.column(n)[i].as_py()), np.array(batch.column(n + 1)[i].as_py()),
+                 np.frombuffer(b"".join(batch.column(n + 2)[i].as_py()), "<u4").reshape(-1, REGISTERS))
+                for n in (0, 3)
+            )
+            for at in range(0, len(x), 16):
+                own = slice(at, at + 16)
+                same = (sx[own, None, :] == sy[None, :, :]).sum(axis=2)
+                r, c = np.nonzero((same >= least) & (cx[own, None] != cy[None, :]))
+                a, b = x[own][r], y[c]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], names=["a", "b"])
+
+
+def _across(open_: DataFrame, signs: DataFrame, least: float) -> DataFrame:
+    """All pairs of the open buckets with a node outside the largest component that lie apart and seem similar enough.
+
+    Buckets are cut into blocks of about ``BLOCK`` nodes, and each pair of blocks is compared
+    as two matrices of registers. Pairs are rows only once they agree.
+    """
+    number = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK)).alias("block")
+    rows = open_.select("key", "node", "comp", "main", number).join(signs.withColumnRenamed("doc", "node"), "node")
+    lists = [F.collect_list(c) for c in ("node", "comp", "signature")]
+    all_ = written(rows.groupBy("key", "block").agg(*[x.alias(n) for x, n in zip(lists, ("y", "cy", "sy"))]), "member-blocks")
+    outer = written(rows.where("comp <> main").groupBy("key", "block").agg(*[x.alias(n) for x, n in zip(lists, ("x", "cx", "sx"))]), "outer-blocks")
+    tiles = outer.drop("block").join(all_.drop("block"), "key").select("x", "cx", "sx", "y", "cy", "sy")
+    return tiles.mapInArrow(partial(_tile, least=_agreement(least)), "a long, b long").distinct()
 
 
 def links_of(members: DataFrame, signs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """Links that join all candidates of the buckets (``key``, ``node``) whose bags are as similar as asked."""
-    sizes = members.groupBy("key").agg(F.count("*").alias("n"))
-    busy = members.join(sizes, "key").groupBy("node").agg(F.sum(F.col("n") - 1).alias("degree"))
-    ranked = members.join(busy, "node")
-    hubs = ranked.groupBy("key").agg(F.max(F.struct("degree", (-F.col("node")).alias("minus"))).alias("top"))
-    hubs = hubs.select("key", (-F.col("top.minus")).alias("hub"))
-    tried = written(_stars(members, hubs), "pairs")
+    sizes = written(members.groupBy("key").agg(F.count("*").alias("size")), "bucket-sizes")
+    busy = written(members.join(sizes, "key").groupBy("node").agg(F.sum(F.col("size") - 1).alias("degree")), "degrees")
+    ranked = written(members.join(busy, "node"), "ranked-members")
+    # A bucket's hub shares most buckets with others: of copies, most often their original.
+    hubs = written(ranked.groupBy("key").agg(F.max_by("node", F.struct("degree", -F.col("node"))).alias("hub")), "hubs")
+    tried = written(ranked.join(hubs, "key").where("node <> hub").select(*_pairs("node", "hub")).distinct(), "pairs")
     links = written(verified(tried, signs, texts, least), "links")
-    most = 8
-    while True:
-        comp = components(links) if not links.isEmpty() else None
-        placed = members.withColumn("comp", F.col("node")) if comp is None else (
-            members.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        )
-        mixed = placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("n")).where("x < y AND n > 2")
-        open_ = written(placed.join(mixed.select("key"), "key").select("key", "node", "comp"), "open-buckets")
-        if open_.isEmpty():
-            return links
-        largest = open_.groupBy("key", "comp").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"))
-        # Each round takes more hubs of a bucket than all before, so the rounds grow as a logarithm.
-        order = Window.partitionBy("key").orderBy("node")
-        outside = open_.join(largest, "key").where("comp <> main").select("key", "node", "comp")
-        hubs = outside.withColumn("n", F.row_number().over(order)).where(F.col("n") <= most).select("key", F.col("node").alias("hub"), F.col("comp").alias("hub_comp"))
-        across = open_.join(hubs, "key").where("comp <> hub_comp").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-        new = written(across.join(tried, ["a", "b"], "left_anti"), "pairs")
-        if new.isEmpty() and outside.groupBy("key").count().where(F.col("count") > most).isEmpty():
-            return links
-        more = written(verified(new, signs, texts, least), "links")
-        tried, links = tried.unionByName(new), links.unionByName(more)
-        most *= 8
+    if links.isEmpty() and tried.isEmpty():
+        return links
+
+    # A few more hubs of the largest component, which take in most of the nodes left outside.
+    open_ = _placed(ranked, links)
+    order = Window.partitionBy("key").orderBy(F.desc("degree"), "node")
+    pivots = written(
+        open_.where("comp = main").withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= PIVOTS)
+        .select("key", F.col("node").alias("hub")), "pivots",
+    )
+    more = open_.where("comp <> main").join(pivots, "key").select(*_pairs("node", "hub")).distinct()
+    more = written(more.join(tried, ["a", "b"], "left_anti"), "pairs")
+    tried, links = tried.unionByName(more), written(links.unionByName(verified(more, signs, texts, least)), "links")
+
+    # Then whatever still lies apart is tried with all of its buckets.
+    open_ = _placed(ranked, links)
+    rest = written(_across(open_, signs, least).join(tried, ["a", "b"], "left_anti"), "pairs")
+    return written(links.unionByName(verified(rest, signs, texts, least)), "links")
 
 
 def near_dedup(docs: DataFrame, *, least: float = SIMILARITY) -> DataFrame:
