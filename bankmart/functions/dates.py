@@ -25,13 +25,19 @@ def event_time(value: Column, pattern: str | None = None) -> Column:
     """Text to ``timestamp_ntz``; null where it does not fit.
 
     Without a pattern ISO 8601 is expected. A pattern of date letters only is
-    parsed as a date, so no zone takes part.
+    parsed as a date, and one with a time of day as a time in UTC, whose clock is
+    then taken: the session's zone has no part in either. A pattern with a zone
+    gives the clock in UTC.
     """
     if pattern is None:
         return value.try_cast("timestamp_ntz")
-    if any(letter in pattern for letter in "Hhkms"):
-        return F.try_to_timestamp(value, F.lit(pattern)).cast("timestamp_ntz")
-    return F.try_to_date(value, pattern).cast("timestamp_ntz")
+    if not any(letter in pattern for letter in "HhkKms"):
+        return F.try_to_date(value, pattern).cast("timestamp_ntz")
+    if not any(letter in pattern for letter in "xXzZVO"):
+        value, pattern = F.concat(value, F.lit(" +0000")), f"{pattern} xx"
+    micros = F.unix_micros(F.try_to_timestamp(value, F.lit(pattern)))
+    seconds = (micros / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(18,6)")
+    return F.lit(dt.date(1970, 1, 1)).cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
 
 
 def month_start(value: Column) -> Column:

@@ -14,8 +14,9 @@ from bankmart.schemas import MONEY
 
 
 def key(value: Column) -> Column:
-    """Text to a long key. Goes through decimal so that ``'7.0'`` reads as 7."""
-    return value.try_cast("decimal(20,0)").try_cast("bigint")
+    """Text to a long key. ``'7.0'`` reads as 7; what is not a whole number is null."""
+    number = value.try_cast("decimal(38,18)")
+    return F.when(number % 1 == 0, number.try_cast("bigint"))
 
 
 def amount(value: Column) -> Column:

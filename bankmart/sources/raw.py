@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bankmart.functions import dates, numbers, text
 from bankmart.operators.dedup import SOURCE_ORDER
@@ -13,37 +15,77 @@ from bankmart.schemas import BASE_TABLES
 
 RAW_FILES = "*.{csv,txt}"
 
+# What to do with files of one name in several folders.
+STOP, LAST_WINS, ALL = "stop", "last", "all"
 
-def raw_files(spark: SparkSession, root: str) -> DataFrame:
-    """Name, path and size of every raw file under ``root``, one row per name.
 
-    Files of the same name in different folders are one raw file; the last path
-    wins. Contents are not read. Raises when there is no file at all.
+class SameName(Exception):
+    """Raised for files of one name when the caller did not say what they mean."""
+
+
+def raw_files(spark: SparkSession, root: str, same_name: str = STOP) -> DataFrame:
+    """Name, path and size of every raw file under ``root``.
+
+    Files of one name in different folders stop the job, unless the caller says
+    that the last path wins or that all of them count. Contents are not read.
+    Raises when there is no file at all.
     """
-    listed = (
+    files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", RAW_FILES)
         .load(root)
         .select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "path", "length")
     )
-    latest = Window.partitionBy("file_name").orderBy(F.col("path").desc())
-    files = listed.withColumn("_n", F.row_number().over(latest)).filter("_n = 1").drop("_n")
     if files.isEmpty():
         raise FileNotFoundError(f"no {RAW_FILES} files under {root}")
+    if same_name == LAST_WINS:
+        return files.groupBy("file_name").agg(F.max("path").alias("path"), F.max_by("length", "path").alias("length"))
+    if same_name == STOP:
+        repeated = files.groupBy("file_name").count().filter("count > 1").orderBy("file_name").first()
+        if repeated is not None:
+            raise SameName(f"{repeated['count']} files under {root} are named {repeated['file_name']}")
     return files
 
 
-def read_raw_file(spark: SparkSession, root: str, file_name: str, **options: object) -> DataFrame:
-    """Read one raw file by its name, wherever under ``root`` it lies."""
-    match = raw_files(spark, root).filter(F.col("file_name") == file_name).select("path").first()
-    if match is None:
-        raise FileNotFoundError(f"no raw file named {file_name} under {root}")
-    return read_csv(spark, match["path"], **options)
+def read_raw_table(
+    spark: SparkSession, root: str, names: str | Sequence[str], same_name: str = STOP, **options: object
+) -> DataFrame:
+    """Read a table of one or more raw files, wherever under ``root`` they lie.
 
+    A name with a slash is a folder under ``root``, all of whose files count; any
+    other is a file name. The list of a table's files is held by the driver, as
+    Spark's own reader holds it.
+    """
+    names = [names] if isinstance(names, str) else list(names)
+    paths: list[str] = []
+    wanted = [n for n in names if "/" not in n]
+    if wanted:
+        # Only the names asked for have to be one file each.
+        chosen = raw_files(spark, root, ALL).filter(F.col("file_name").isin(*wanted))
+        found = [(r["file_name"], r["path"]) for r in chosen.select("file_name", "path").orderBy("path").collect()]
+        for name in wanted:
+            own = [path for file, path in found if file == name]
+            if not own:
+                raise FileNotFoundError(f"no raw file named {name} under {root}")
+            if len(own) > 1 and same_name == STOP:
+                raise SameName(f"{len(own)} files under {root} are named {name}")
+            paths += own[-1:] if same_name == LAST_WINS else own
+    for folder in (n for n in names if "/" in n):
+        inside = raw_files(spark, f"{root.rstrip('/')}/{folder.strip('/')}", ALL)
+        paths += [r["path"] for r in inside.select("path").orderBy("path").collect()]
+    return read_csv(spark, paths, **options)
+
+
+def read_csv(
+    spark: SparkSession, path: str | Sequence[str], *, multi_line: bool = False, malformed: str = STOP
+) -> DataFrame:
+    """Headed CSV files or folders as text columns plus the position of each row.
 
-def read_csv(spark: SparkSession, path: str | list[str], *, multi_line: bool = False) -> DataFrame:
-    """A headed CSV file or folder as text columns plus the position of each row.
+    Every file's own header names its columns: files whose headers differ are
+    read by header and put together by name, and columns that one lacks are null
+    there. A row with more or fewer fields than its header stops the job;
+    ``malformed="keep"`` fills up short rows and cuts long ones.
 
     Missing-value markers become null. Types are applied later by name
     (``typed``), so nothing is inferred and the data is read once. Quotes inside
@@ -53,7 +95,34 @@ def read_csv(spark: SparkSession, path: str | list[str], *, multi_line: bool = F
     The position is (file, block, row number within the task): a block is read by
     one task from top to bottom, so positions sort in file order.
     """
-    frame = spark.read.csv(path, header=True, escape='"', multiLine=multi_line)
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file in _files_of(spark, [path] if isinstance(path, str) else list(path)):
+        # Only the first line of a file is read here.
+        groups.setdefault(tuple(spark.read.csv(file, header=True, escape='"', multiLine=multi_line).columns), []).append(file)
+    frames = [_read_alike(spark, files, columns, multi_line, malformed) for columns, files in groups.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def _files_of(spark: SparkSession, paths: list[str]) -> list[str]:
+    """The files behind paths and folders, in order."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths).select("path")
+    files = [r["path"] for r in listed.distinct().orderBy("path").collect()]
+    if not files:
+        raise FileNotFoundError(f"no file in {paths}")
+    return files
+
+
+def _read_alike(
+    spark: SparkSession, files: list[str], columns: Sequence[str], multi_line: bool, malformed: str
+) -> DataFrame:
+    """Files of one header."""
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in columns])
+    # Without column pruning a row is seen whole, so that its fields can be counted.
+    reader = spark.read.schema(schema).option("columnPruning", malformed != STOP)
+    frame = reader.csv(
+        files, header=True, escape='"', multiLine=multi_line, enforceSchema=False,
+        mode="FAILFAST" if malformed == STOP else "PERMISSIVE",
+    )
     position = F.struct(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
@@ -64,13 +133,18 @@ def read_csv(spark: SparkSession, path: str | list[str], *, multi_line: bool = F
 
 
 def typed(
-    df: DataFrame, table: str, date_format: str | None = None, keep: Sequence[str] = (SOURCE_ORDER,)
+    df: DataFrame,
+    table: str,
+    date_format: str | None = None,
+    keep: Sequence[str] = (SOURCE_ORDER,),
+    observation: Observation | None = None,
 ) -> DataFrame:
     """Text columns to the types of a base table; unreadable values become null.
 
     Columns are picked by name without regard to case, as in the base tables.
     Columns to ``keep`` follow unchanged, if present: by default the source
-    position, for the deduplication that comes next.
+    position, for the deduplication that comes next. An ``observation`` gets, by
+    column, the number of values that were there but could not be read.
     """
     converters = {
         "bigint": numbers.key,
@@ -78,8 +152,11 @@ def typed(
         "timestamp_ntz": lambda value: dates.event_time(value, date_format),
         "string": lambda value: value,
     }
-    columns = [
-        converters[field.dataType.simpleString()](F.col(field.name)).alias(field.name)
-        for field in BASE_TABLES[table].fields
-    ]
+    converted = {
+        field.name: converters[field.dataType.simpleString()](F.col(field.name)) for field in BASE_TABLES[table].fields
+    }
+    if observation is not None:
+        lost = {name: F.count_if(F.col(name).isNotNull() & value.isNull()) for name, value in converted.items()}
+        df = df.observe(observation, *[count.alias(name) for name, count in lost.items()])
+    columns = [value.alias(name) for name, value in converted.items()]
     return df.select(*columns, *[c for c in df.columns if c in keep])

@@ -4,7 +4,7 @@ from bankmart.plans import cleaning
 from bankmart.schemas import BASE_TABLES, base_schema
 
 
-def test_account_keeps_one_row_per_customer_by_default(spark):
+def test_account_keys(spark):
     df = raw(
         spark, "DimAccount",
         {"AccountID": "1", "CustomerID": "7.0", "OpenDate": "2020-01-01", "Balance": None},
@@ -12,12 +12,12 @@ def test_account_keeps_one_row_per_customer_by_default(spark):
         {"AccountID": "3", "CustomerID": None, "Balance": "1"},
         {"AccountID": "4", "CustomerID": "8", "ClosedDate": "2021-02-03", "Balance": "2"},
     )
-    per_customer = cleaning.clean_account(df)
+    per_customer = cleaning.clean_account(df, key="CustomerID")
     assert rows(per_customer, "AccountID", "CustomerID", "OpenDate", "ClosedDate", "Balance") == [
         (1, 7, day("2020-01-01"), None, 0.0), (4, 8, None, day("2021-02-03"), 2.0),
     ]
     assert per_customer.filter("ingested_at is null").isEmpty()
-    assert rows(cleaning.clean_account(df, key="AccountID"), "AccountID") == [(1,), (2,), (4,)]
+    assert rows(cleaning.clean_account(df), "AccountID") == [(1,), (2,), (4,)]
 
 
 def test_customer_keys_and_dates(spark):

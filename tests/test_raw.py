@@ -1,8 +1,9 @@
 import pytest
 from helpers import rows, settings
+from pyspark.sql import Observation
 
 from bankmart.operators.dedup import SOURCE_ORDER, keep_first
-from bankmart.sources.raw import raw_files, read_csv, read_raw_file, typed
+from bankmart.sources.raw import ALL, LAST_WINS, SameName, raw_files, read_csv, read_raw_table, typed
 
 
 def write(path, content):
@@ -16,10 +17,49 @@ def test_raw_files_are_found_by_name_in_any_folder(spark, tmp_path):
     write(tmp_path / "b" / "c" / "notes.txt", "x\n1\n")
     write(tmp_path / "b" / "accounts.csv", "x\n22\n")
     write(tmp_path / "b" / "skip.json", "{}")
-    found = rows(raw_files(spark, str(tmp_path)), "file_name", "path")
-    assert [name for name, _ in found] == ["accounts.csv", "notes.txt"]
-    assert found[0][1].endswith("/b/accounts.csv")
-    assert rows(read_raw_file(spark, str(tmp_path), "accounts.csv"), "x") == [("22",)]
+    root = str(tmp_path)
+    found = rows(raw_files(spark, root, LAST_WINS), "file_name", "path", "length")
+    assert [name for name, _, _ in found] == ["accounts.csv", "notes.txt"]
+    assert found[0][1].endswith("/b/accounts.csv") and found[0][2] == 5
+    assert raw_files(spark, root, ALL).count() == 3
+    assert rows(read_raw_table(spark, root, "accounts.csv", LAST_WINS), "x") == [("22",)]
+    assert rows(read_raw_table(spark, root, "accounts.csv", ALL), "x") == [("1",), ("22",)]
+
+
+def test_files_of_one_name_stop_the_job_by_default(spark, tmp_path):
+    write(tmp_path / "2024" / "01" / "transactions.csv", "x\n1\n")
+    write(tmp_path / "2024" / "02" / "transactions.csv", "x\n2\n")
+    write(tmp_path / "notes.csv", "x\n3\n")
+    root = str(tmp_path)
+    for read in (lambda: raw_files(spark, root), lambda: read_raw_table(spark, root, "transactions.csv")):
+        with pytest.raises(SameName, match="2 files .* transactions.csv"):
+            read()
+    assert rows(read_raw_table(spark, root, "notes.csv"), "x") == [("3",)]
+
+
+def test_a_table_is_several_files_or_a_folder(spark, tmp_path):
+    write(tmp_path / "2024" / "01" / "t.csv", "a,b\n1,x\n")
+    write(tmp_path / "2024" / "02" / "t.csv", "b,a\ny,2\n")
+    write(tmp_path / "more.csv", "a\n3\n")
+    expected = [("1", "x"), ("2", "y")]
+    assert rows(read_raw_table(spark, str(tmp_path), "2024/"), "a", "b") == expected
+    assert rows(read_raw_table(spark, str(tmp_path), ["2024/", "more.csv"]), "a", "b") == [*expected, ("3", None)]
+    assert rows(read_csv(spark, str(tmp_path / "2024")), "a", "b") == expected
+
+
+@pytest.mark.parametrize("line", ["1,2,3", "1"])
+def test_rows_that_do_not_fit_their_header_stop_the_job(spark, tmp_path, line):
+    path = write(tmp_path / "t.csv", f"a,b\n1,2\n{line}\n")
+    with pytest.raises(Exception, match="MALFORMED"):
+        read_csv(spark, path).select("a").collect()
+    assert len(rows(read_csv(spark, path, malformed="keep"), "a")) == 2
+
+
+def test_unreadable_values_are_counted(spark, tmp_path):
+    path = write(tmp_path / "t.csv", "ProductCategoryID,ProductCategoryName\n1,a\nx,b\n7.5,c\n,d\n")
+    seen = Observation("lost")
+    assert rows(typed(read_csv(spark, path), "DimProductCategory", observation=seen), "ProductCategoryID") == [(None,)] * 3 + [(1,)]
+    assert seen.get == {"ProductCategoryID": 2, "ProductCategoryName": 0}
 
 
 def test_no_raw_file_is_an_error(spark, tmp_path):
@@ -28,7 +68,7 @@ def test_no_raw_file_is_an_error(spark, tmp_path):
         raw_files(spark, str(tmp_path))
     write(tmp_path / "a.csv", "x\n1\n")
     with pytest.raises(FileNotFoundError):
-        read_raw_file(spark, str(tmp_path), "b.csv")
+        read_raw_table(spark, str(tmp_path), "b.csv")
 
 
 def test_csv_text_is_kept_and_markers_are_null(spark, tmp_path):
