@@ -14,16 +14,20 @@ def in_date_range(
 ) -> DataFrame:
     """Rows from ``first`` to ``last``, both included; an open end is ``None``.
 
-    When the frame has a ``year`` column (the fact is partitioned by it) the
-    implied year bounds are added so that other years' files are never listed.
+    When the frame has ``year`` and ``month`` columns (the fact is partitioned by
+    them) the implied bounds on both are added, so that the files of other months
+    are never listed.
     """
-    by_year = "year" in df.columns
+    folders = {"year", "month"} <= set(df.columns)
+    year, month = F.col("year"), F.col("month")
     if first is not None:
         df = df.filter(F.col(column) >= F.lit(first))
-        df = df.filter(F.col("year") >= first.year) if by_year else df
+        if folders:
+            df = df.filter((year > first.year) | ((year == first.year) & (month >= first.month)))
     if last is not None:
         df = df.filter(F.col(column) <= F.lit(last))
-        df = df.filter(F.col("year") <= last.year) if by_year else df
+        if folders:
+            df = df.filter((year < last.year) | ((year == last.year) & (month <= last.month)))
     return df
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bankmart.functions.numbers import exact_average, percent
+from bankmart.store import written
 
 
 def running_total(value: str, order_by: str, *partition_by: str) -> Column:
@@ -20,26 +21,34 @@ def running_total(value: str, order_by: str, *partition_by: str) -> Column:
 def rank_within(stored: DataFrame, group: str, score: Column, output: str) -> DataFrame:
     """Add the rank by descending score within the group; equal scores share a rank.
 
-    A rank is one more than the number of rows with a larger score, so the window
-    runs over one row per distinct score instead of over the rows, and a group
-    holding most of the rows is not sorted in one task. Of ``n`` counted events
-    there are at most ``sqrt(2 n)`` distinct counts. Null scores count as largest.
-    ``stored`` is read twice: pass a written table.
+    A rank is one more than the number of rows with a larger score. One row per
+    distinct score is dealt out by range, so a group with most of the products or
+    scores spreads over tasks: each counts its own range, and the ranges' totals,
+    one row per group and range, give what lies before it. Null scores count as
+    largest. ``stored`` is read twice: pass a written table.
     """
     scored = stored.withColumn("_score", score)
-    larger = (
-        Window.partitionBy(group)
-        .orderBy(F.col("_score").desc_nulls_first())
-        .rowsBetween(Window.unboundedPreceding, -1)
+    descending = F.col("_score").desc_nulls_first()
+    # Written, as a range must keep its number.
+    counted = written(
+        scored.groupBy(F.col(group).alias("_group"), "_score").agg(F.count(F.lit(1)).alias("_rows"))
+        .repartitionByRange(F.col("_group").asc_nulls_first(), descending)
+        .withColumn("_range", F.spark_partition_id()),
+        "scores",
     )
-    ranks = (
-        scored.groupBy(group, "_score")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(
-            F.col(group).alias("_group"),
-            F.col("_score").alias("_of"),
-            (F.coalesce(F.sum("_rows").over(larger), F.lit(0)) + 1).cast("bigint").alias(output),
-        )
+    ranges = Window.partitionBy("_group").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = (
+        counted.groupBy("_group", "_range").agg(F.sum("_rows").alias("_in_range"))
+        .select("_group", "_range", F.coalesce(F.sum("_in_range").over(ranges), F.lit(0)).alias("_before"))
+    )
+    larger = Window.partitionBy("_group", "_range").orderBy(descending).rowsBetween(Window.unboundedPreceding, -1)
+    within = counted.withColumn("_larger", F.coalesce(F.sum("_rows").over(larger), F.lit(0)))
+    placed = within.alias("w").join(
+        before.alias("b"),
+        F.col("w._group").eqNullSafe(F.col("b._group")) & (F.col("w._range") == F.col("b._range")),
+    )
+    ranks = placed.select(
+        "w._group", F.col("_score").alias("_of"), (F.col("_larger") + F.col("_before") + 1).cast("bigint").alias(output)
     )
     same = F.col(group).eqNullSafe(F.col("_group")) & F.col("_score").eqNullSafe(F.col("_of"))
     return scored.join(ranks, same).drop("_score", "_group", "_of")

@@ -185,7 +185,7 @@ def failure_risk(
         "category", "sub_category", "productname", "total_txns", "completed", "failed",
         percent(F.col("failed"), F.col("total_txns"), 2).alias("failure_rate_pct"),
         "total_volume", "failed_volume", "risk_rank_in_category",
-    ).orderBy(F.col("failure_rate_pct").desc_nulls_first())
+    ).orderBy(F.col("failure_rate_pct").desc_nulls_first(), "category", "sub_category", "productname")
 
 
 def product_volume_rank(
@@ -198,7 +198,7 @@ def product_volume_rank(
     )
     return rank_within(written(outcomes, "outcomes"), "category", F.col("total_txns"), "volume_rank").select(
         "category", "productname", "total_txns", "failed", "total_volume", "volume_rank"
-    ).orderBy(F.col("total_txns").desc_nulls_first())
+    ).orderBy(F.col("total_txns").desc_nulls_first(), "category", "productname")
 
 
 def product_volume_rank_sub(
@@ -216,7 +216,7 @@ def product_volume_rank_sub(
     )
     return rank_within(written(outcomes, "outcomes"), "category", F.col("total_txns"), "volume_rank").select(
         "category", "sub_category", "productname", "total_txns", "completed", "failed", "total_volume", "volume_rank"
-    ).orderBy(F.col("total_txns").desc_nulls_first())
+    ).orderBy(F.col("total_txns").desc_nulls_first(), "category", "sub_category", "productname")
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -35,11 +35,16 @@ def test_rank_equals_the_window_function(spark, records):
     assert rows(rank_within(df, "g", F.col("v"), "r")) == rows(literal)
 
 
-def test_rank_sorts_distinct_scores_only(spark):
-    df = spark.range(1000).select("id", (F.col("id") % 2).alias("g"), (F.col("id") % 7).alias("v"))
-    plan = plan_of(rank_within(df, "g", F.col("v"), "r"))
-    window = plan.index("Window [")
-    assert plan.index("HashAggregate(keys=[g", window) > window and "Cartesian" not in plan and "NestedLoop" not in plan
+def test_no_group_is_ranked_in_one_task(spark):
+    df = spark.range(3000).select("id", (F.col("id") % 2).alias("g"), (F.col("id") % 700).alias("v"))
+    ranked = rank_within(df, "g", F.col("v"), "r")
+    plan = plan_of(ranked)
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    # One window counts within a range, the other adds up one row per group and range.
+    assert len(windows) == 2 and sum("_range" in line.split("], [")[1] for line in windows) == 1
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
+    literal = F.rank().over(Window.partitionBy("g").orderBy(F.col("v").desc())).cast("bigint")
+    assert rows(ranked) == rows(df.withColumn("r", literal))
 
 
 def literal_top(scores, k):
