@@ -12,11 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from bankmart.operators.quality import raise_on_error, run_checks
 from bankmart.plans import analytics, indicators
 from bankmart.plans.checks import CHECKS
+from bankmart.plans.cleaning import ACCOUNT_KEYS
+from bankmart.plans.marts import COMPLETED_STATUS
 from bankmart.plans.pipeline import clean_zone, publish, published
 from bankmart.schemas import BASE_TABLES
-from bankmart.session import folder_bytes, size_for
+from bankmart.session import SETTINGS, folder_bytes, size_for
 from bankmart.sinks.load import load_tables, outcome_frame, raise_on_failure
-from bankmart.sinks.tables import refresh_table
+from bankmart.sinks.tables import refresh_database_table, refresh_table
+from bankmart.sources.raw import ALL, LAST_WINS, STOP
 from bankmart.sources.tables import base_tables
 from bankmart.store import written
 
@@ -49,6 +52,7 @@ REPORTS: dict[str, Callable[[Models, Models, Selection], DataFrame]] = {
     "daily_volume": lambda _, models, chosen: indicators.daily_volume(
         models["fact_transactions"], models["dim_date"], chosen.first, chosen.last
     ),
+    "undated_volume": lambda _, models, __: indicators.undated_volume(models["fact_transactions"]),
     "branch_liquidity": lambda _, models, __: indicators.branch_liquidity(models["dim_account"]),
     "balance_distribution": lambda _, models, __: indicators.balance_distribution(models["dim_account"]),
     "rolling_30d": lambda _, models, chosen: indicators.rolling_30d(
@@ -70,38 +74,80 @@ def _pair(text: str) -> tuple[str, str]:
     return name, value
 
 
+def _sized(spark: SparkSession, args: argparse.Namespace, measured: Callable[[], int]) -> None:
+    """Size the session by the bytes given, or else by what the job reads."""
+    size_for(spark, args.input_bytes or measured())
+
+
+def _stored_bytes(spark: SparkSession, database: str) -> int:
+    """Bytes of the base tables that are there, by their locations."""
+    names = [t for t in BASE_TABLES if spark.catalog.tableExists(f"{database}.{t}")]
+    details = [spark.sql(f"DESCRIBE FORMATTED `{database}`.`{t}`").filter("col_name = 'Location'").first() for t in names]
+    return sum(folder_bytes(spark, row["data_type"]) for row in details if row is not None)
+
+
 def clean(spark: SparkSession, args: argparse.Namespace) -> None:
-    size_for(spark, folder_bytes(spark, args.raw))
-    options = {table: {"date_format": pattern} for table, pattern in args.date_format}
-    shapes = clean_zone(spark, args.raw, args.cleaned, dict(args.file), options)
+    _sized(spark, args, lambda: folder_bytes(spark, args.raw))
+    options: dict[str, dict[str, str]] = {}
+    for table, pattern in args.date_format:
+        options.setdefault(table, {})["date_format"] = pattern
+    options.setdefault("DimAccount", {})["key"] = args.account_key
+    files: dict[str, list[str]] = {}
+    for table, name in args.file:
+        files.setdefault(table, []).append(name)
+    unreadable: dict[str, dict[str, int]] = {}
+    shapes = clean_zone(spark, args.raw, args.cleaned, files, options, args.same_name, unreadable)
     for table, (rows, columns) in shapes.items():
         print(f"{table}: {rows} rows, {columns} columns")
+        for column, count in unreadable[table].items():
+            print(f"  {column}: {count} values could not be read and are null")
 
 
 def load(spark: SparkSession, args: argparse.Namespace) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{args.database}`")
-    outcomes = load_tables(spark, args.cleaned, lambda df, table: refresh_table(df, f"{args.database}.{table}"))
+    _sized(spark, args, lambda: folder_bytes(spark, args.cleaned))
+    if args.jdbc_url:
+        properties = dict(args.jdbc_property)
+
+        def refresh(df: DataFrame, table: str) -> None:
+            refresh_database_table(df, args.jdbc_url, table, properties, args.connections)
+    else:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{args.database}`")
+
+        def refresh(df: DataFrame, table: str) -> None:
+            refresh_table(df, f"{args.database}.{table}")
+
+    outcomes = load_tables(spark, args.cleaned, refresh)
     outcome_frame(spark, outcomes).show(truncate=False)
     raise_on_failure(outcomes)
 
 
 def build(spark: SparkSession, args: argparse.Namespace) -> None:
-    publish(base_tables(spark, args.database), args.database, args.as_of)
+    _sized(spark, args, lambda: _stored_bytes(spark, args.database))
+    publish(base_tables(spark, args.database), args.database, args.as_of, args.completed_status)
 
 
 def check(spark: SparkSession, args: argparse.Namespace) -> None:
+    _sized(spark, args, lambda: _stored_bytes(spark, args.database))
     results = written(run_checks(published(base_tables(spark, args.database), args.database), CHECKS), "checks")
     results.filter("not passed").show(len(CHECKS), truncate=False)
     raise_on_error(results)
 
 
 def report(spark: SparkSession, args: argparse.Namespace) -> None:
+    _sized(spark, args, lambda: _stored_bytes(spark, args.database))
     base = base_tables(spark, args.database)
     chosen = Selection(args.first, args.last, tuple(args.account_type))
     result = REPORTS[args.name](base, published(base, args.database), chosen)
     result.write.mode("overwrite").parquet(args.output)
 
 
+def _property(text: str) -> tuple[str, str]:
+    name, separator, value = text.partition("=")
+    if not separator:
+        raise argparse.ArgumentTypeError(f"expected <name>=<value>, got {text}")
+    return name, value
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="bankmart")
     jobs = top.add_subparsers(required=True)
@@ -109,20 +155,34 @@ def parser() -> argparse.ArgumentParser:
     def job(name: str, run: Callable[[SparkSession, argparse.Namespace], None]) -> argparse.ArgumentParser:
         sub = jobs.add_parser(name)
         sub.set_defaults(run=run)
-        sub.add_argument("--input-bytes", type=int, default=0, help="raw data size, to size splits and shuffles")
+        sub.add_argument("--input-bytes", type=int, default=0, help="overrides the measured size of the input")
         return sub
 
     sub = job("clean", clean)
     sub.add_argument("--raw", required=True, help="folder tree; its size is measured")
     sub.add_argument("--cleaned", required=True)
-    sub.add_argument("--file", type=_pair, action="append", required=True, metavar="TABLE=FILE")
+    sub.add_argument(
+        "--file", type=_pair, action="append", required=True, metavar="TABLE=FILE",
+        help="a file name, or a folder under --raw ending in a slash; repeatable per table",
+    )
+    sub.add_argument(
+        "--same-name", choices=[STOP, LAST_WINS, ALL], default=STOP, help="files of one name in several folders"
+    )
+    sub.add_argument(
+        "--account-key", choices=ACCOUNT_KEYS, default=ACCOUNT_KEYS[0], help="CustomerID keeps one account per customer"
+    )
     sub.add_argument("--date-format", type=_pair, action="append", default=[], metavar="TABLE=PATTERN")
     sub = job("load", load)
     sub.add_argument("--cleaned", required=True)
-    sub.add_argument("--database", required=True)
+    target = sub.add_mutually_exclusive_group(required=True)
+    target.add_argument("--database", help="catalog database")
+    target.add_argument("--jdbc-url", help="database whose tables are there already")
+    sub.add_argument("--jdbc-property", type=_property, action="append", default=[], metavar="NAME=VALUE")
+    sub.add_argument("--connections", type=int, default=8)
     sub = job("publish", build)
     sub.add_argument("--database", required=True)
     sub.add_argument("--as-of", type=dt.date.fromisoformat)
+    sub.add_argument("--completed-status", default=COMPLETED_STATUS, help="status that is_completed looks for")
     sub = job("check", check)
     sub.add_argument("--database", required=True)
     sub = job("report", report)
@@ -138,7 +198,10 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: Sequence[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = SparkSession.builder.appName("bankmart").getOrCreate()
-    size_for(spark, args.input_bytes)
+    for name, value in SETTINGS.items():
+        # Static settings are the cluster's.
+        if spark.conf.isModifiable(name):
+            spark.conf.set(name, value)
     args.run(spark, args)
 
 

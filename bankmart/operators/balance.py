@@ -1,9 +1,10 @@
 """Left joins that stay balanced when a few keys hold much of the left side.
 
 Adaptive execution splits skewed join partitions only above a size. Where that is
-not enough, hot keys are found from a sample and their rows are dealt to several
-pieces; the right side gets one copy of a hot row per piece. Which keys are
-treated as hot changes the work of each task, never the result.
+not enough, keys with more rows than an average shuffle partition are found in one
+pass and their rows are dealt to several pieces; the right side gets one copy of a
+hot row per piece. Which keys are treated as hot changes the work of each task,
+never the result.
 """
 
 from __future__ import annotations
@@ -14,12 +15,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bankmart.store import written
-
-# A key is hot with this share of the rows, so there are fewer than 1 / SHARE.
-SHARE = 0.001
-SAMPLE = 0.001
-LEAST_SAMPLED = 100
+# So many values of a column can be hot, and so many are tracked to find them.
+MOST_HOT = 1000
+TRACKED = 20_000
 
 
 @dataclass(frozen=True)
@@ -49,26 +47,29 @@ def _power_of_two(pieces: float) -> int:
     return 1 << max(0, math.ceil(math.log2(pieces)))
 
 
-def find_hot_keys(df: DataFrame, key: str, sample: float = SAMPLE) -> HotKeys:
-    """Keys of ``df``, null included, with more than ``SHARE`` of its rows, from a sample of one column.
+def find_hot_keys(df: DataFrame, *keys: str) -> tuple[HotKeys, ...]:
+    """For each key column its values, null included, that hold more rows than an average shuffle partition.
 
-    Fewer than ``1 / SHARE`` keys can have that share, so few come back. Each is
-    dealt to so many pieces that one is no larger than an average shuffle
-    partition; all pieces together are about twice as many as there are partitions.
+    One pass over the key columns, whatever their number: a sketch of ``TRACKED``
+    values per column finds every value that holds ``1 / MOST_HOT`` of the rows. A
+    hot one is dealt to so many pieces that each is no larger than an average
+    partition, so all pieces are about twice as many as there are partitions.
     """
-    sampled = written(df.select(F.col(key).alias("key")).sample(sample, seed=1).groupBy("key").count(), "sample")
-    rows = sampled.agg(F.sum("count")).first()[0] or 0
-    largest = sampled.filter(F.col("count") > max(LEAST_SAMPLED, SHARE * rows)).orderBy("key").collect()
+    sketches = [F.expr(f"approx_top_k(`{key}`, {MOST_HOT}, {TRACKED})").alias(f"_{i}") for i, key in enumerate(keys)]
+    row = df.agg(F.count(F.lit(1)).alias("rows"), *sketches).first()
     partitions = _shuffle_partitions(df.sparkSession)
-    keys: dict[int, tuple[object, ...]] = {}
-    null_pieces = 1
-    for row in largest:
-        pieces = _power_of_two(row["count"] / rows * partitions)
-        if row["key"] is None:
-            null_pieces = pieces
-        elif pieces > 1:
-            keys[pieces] = (*keys.get(pieces, ()), row["key"])
-    return HotKeys(keys, null_pieces)
+    found = []
+    for i in range(len(keys)):
+        hot: dict[int, tuple[object, ...]] = {}
+        null_pieces = 1
+        for value, count in sorted(row[f"_{i}"] or (), key=lambda r: (r[0] is not None, r[0] or 0)):
+            pieces = _power_of_two(count / row["rows"] * partitions)
+            if value is None:
+                null_pieces = pieces
+            elif pieces > 1:
+                hot[pieces] = (*hot.get(pieces, ()), value)
+        found.append(HotKeys(hot, null_pieces))
+    return tuple(found)
 
 
 def balanced_left_join(left: DataFrame, right: DataFrame, key: str, spread_by: str, hot: HotKeys) -> DataFrame:

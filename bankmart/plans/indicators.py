@@ -37,6 +37,15 @@ def daily_volume(
     )
 
 
+def undated_volume(transactions: DataFrame) -> DataFrame:
+    """Transactions without a date and their amount, which ``daily_volume`` and ``rolling_30d`` leave out."""
+    undated = transactions.filter(F.col("date_key").isNull())
+    return undated.agg(
+        F.count(F.lit(1)).alias("txn_count"),
+        F.coalesce(F.sum("transaction_amount"), F.lit(0)).cast(TOTAL).alias("total_amount"),
+    )
+
+
 def branch_liquidity(accounts: DataFrame) -> DataFrame:
     """Balance of open accounts per region."""
     return (

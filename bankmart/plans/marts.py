@@ -16,7 +16,7 @@ AGE_BUCKETS = ((25, "18-24"), (35, "25-34"), (50, "35-49"), (65, "50-64"))
 OLDEST_BUCKET = "65+"
 UNKNOWN_AGE = "Unknown"
 
-# Statuses behind the fact's flags, as spelled after staging.
+# Statuses behind the fact's flags, as spelled after staging. The second is a default.
 FAILED_STATUS = "FAILED"
 COMPLETED_STATUS = "COMPLETED"
 
@@ -90,6 +90,8 @@ def fact_transactions(
     calendar: DataFrame | None = None,
     hot_accounts: HotKeys = NONE_HOT,
     hot_products: HotKeys = NONE_HOT,
+    completed_status: str = COMPLETED_STATUS,
+    hot_dates: HotKeys = NONE_HOT,
 ) -> DataFrame:
     """One row per transaction with the attributes of its account, product and day.
 
@@ -112,9 +114,8 @@ def fact_transactions(
         derived = _calendar_columns(F.col("transaction_date"))
         rows = rows.withColumns({name: derived[name] for name in day_columns})
     else:
-        rows = rows.join(
-            calendar.select("date_key", *day_columns), F.col("transaction_date") == F.col("date_key"), "left"
-        ).drop("date_key")
+        days = calendar.select(F.col("date_key").alias("transaction_date"), *day_columns)
+        rows = balanced_left_join(rows, days, "transaction_date", "transaction_id", hot_dates)
 
     def flag(condition: Column) -> Column:
         return F.when(condition, 1).otherwise(0)
@@ -127,6 +128,6 @@ def fact_transactions(
         "product_name", "sub_category_name", "category_name", *day_columns,
         "transaction_amount",
         flag(F.col("transaction_status") == FAILED_STATUS).alias("is_failed"),
-        flag(F.col("transaction_status") == COMPLETED_STATUS).alias("is_completed"),
+        flag(F.col("transaction_status") == completed_status).alias("is_completed"),
         flag(F.col("is_weekend")).alias("is_weekend_txn"),
     )

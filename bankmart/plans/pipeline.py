@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from bankmart.functions.dates import AsOf
 from bankmart.operators.balance import NONE_HOT, HotKeys, find_hot_keys
@@ -13,11 +13,11 @@ from bankmart.plans.cleaning import CLEANING_JOBS
 from bankmart.sinks.files import write_parquet
 from bankmart.sinks.load import LOAD_ORDER
 from bankmart.sinks.tables import Layout, as_table, as_view
-from bankmart.sources.raw import read_raw_file
+from bankmart.sources.raw import STOP, read_raw_table
 from bankmart.sources.tables import base_tables
 
 Save = Callable[[str, DataFrame], DataFrame]
-FindHot = Callable[[DataFrame, str], HotKeys]
+FindHot = Callable[..., tuple[HotKeys, ...]]
 
 # The fact is pruned by month, and within a month's files by account.
 FACT_LAYOUT = Layout(partition_by=("year", "month"), sort_by=("account_id",))
@@ -27,21 +27,26 @@ def clean_zone(
     spark: SparkSession,
     raw_root: str,
     cleaned_root: str,
-    file_names: Mapping[str, str],
+    file_names: Mapping[str, str | Sequence[str]],
     options: Mapping[str, Mapping[str, str]] | None = None,
+    same_name: str = STOP,
+    unreadable: dict[str, dict[str, int]] | None = None,
 ) -> dict[str, tuple[int, int]]:
-    """Clean the raw file of each base table into a Parquet dataset; returns shapes.
+    """Clean the raw files of each base table into a Parquet dataset; returns shapes.
 
     ``options`` are passed to a table's cleaning job, such as its date format.
+    ``unreadable`` gets, by table and column, the values that could not be read.
     """
     datasets = {table: name for name, table in LOAD_ORDER}
-    return {
-        table: write_parquet(
-            CLEANING_JOBS[table](read_raw_file(spark, raw_root, file_name), **(options or {}).get(table, {})),
-            f"{cleaned_root.rstrip('/')}/{datasets[table]}",
-        )
-        for table, file_name in file_names.items()
-    }
+    shapes = {}
+    for table, names in file_names.items():
+        seen = Observation(f"unreadable {table}")
+        raw = read_raw_table(spark, raw_root, names, same_name)
+        cleaned = CLEANING_JOBS[table](raw, observation=seen, **(options or {}).get(table, {}))
+        shapes[table] = write_parquet(cleaned, f"{cleaned_root.rstrip('/')}/{datasets[table]}")
+        if unreadable is not None:
+            unreadable[table] = {column: count for column, count in seen.get.items() if count}
+    return shapes
 
 
 def staging_models(base: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
@@ -59,8 +64,8 @@ def _keep_lazy(_name: str, df: DataFrame) -> DataFrame:
     return df
 
 
-def _none_hot(_df: DataFrame, _key: str) -> HotKeys:
-    return NONE_HOT
+def _none_hot(_df: DataFrame, *keys: str) -> tuple[HotKeys, ...]:
+    return (NONE_HOT,) * len(keys)
 
 
 def star_schema(
@@ -69,6 +74,7 @@ def star_schema(
     save_staging: Save = _keep_lazy,
     save_mart: Save = _keep_lazy,
     find_hot: FindHot = _none_hot,
+    completed_status: str = marts.COMPLETED_STATUS,
 ) -> dict[str, DataFrame]:
     """All nine models; each is saved before the models that read it are built.
 
@@ -79,16 +85,16 @@ def star_schema(
     models["dim_customer"] = save_mart("dim_customer", marts.dim_customer(models["stg_customers"], as_of))
     models["dim_account"] = save_mart(
         "dim_account",
-        marts.dim_account(accounts, models["dim_customer"], as_of, find_hot(accounts, "customer_id")),
+        marts.dim_account(accounts, models["dim_customer"], as_of, *find_hot(accounts, "customer_id")),
     )
     models["dim_product"] = save_mart("dim_product", marts.dim_product(models["stg_products"]))
     models["dim_date"] = save_mart("dim_date", marts.dim_date(transactions))
+    hot_accounts, hot_products = find_hot(transactions, "account_id", "product_id")
     models["fact_transactions"] = save_mart(
         "fact_transactions",
         marts.fact_transactions(
             transactions, models["dim_account"], models["dim_product"],
-            hot_accounts=find_hot(transactions, "account_id"),
-            hot_products=find_hot(transactions, "product_id"),
+            hot_accounts=hot_accounts, hot_products=hot_products, completed_status=completed_status,
         ),
     )
     return models
@@ -102,11 +108,18 @@ def published(base: Mapping[str, DataFrame], database: str) -> dict[str, DataFra
     return staging_models(base) | base_tables(base["FactTransaction"].sparkSession, database, MARTS)
 
 
-def publish(base: Mapping[str, DataFrame], database: str, as_of: AsOf = None) -> dict[str, DataFrame]:
+def publish(
+    base: Mapping[str, DataFrame],
+    database: str,
+    as_of: AsOf = None,
+    completed_status: str = marts.COMPLETED_STATUS,
+) -> dict[str, DataFrame]:
     """Register staging views and write the marts as tables of ``database``."""
 
     def save_mart(name: str, df: DataFrame) -> DataFrame:
         layout = FACT_LAYOUT if name == "fact_transactions" else Layout()
         return as_table(df, f"`{database}`.`{name}`", layout)
 
-    return star_schema(base, as_of, lambda name, df: as_view(df, name), save_mart, find_hot_keys)
+    return star_schema(
+        base, as_of, lambda name, df: as_view(df, name), save_mart, find_hot_keys, completed_status
+    )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from bankmart.functions.numbers import money
 from bankmart.functions.text import lower_trimmed, trimmed, upper_trimmed
+from bankmart.operators.balance import NONE_HOT, HotKeys, balanced_left_join
 from bankmart.schemas import INGESTED_AT
 
 
@@ -58,11 +59,14 @@ def stg_customers(customers: DataFrame) -> DataFrame:
     )
 
 
-def stg_products(products: DataFrame, sub_categories: DataFrame, categories: DataFrame) -> DataFrame:
+def stg_products(
+    products: DataFrame, sub_categories: DataFrame, categories: DataFrame, hot_sub_categories: HotKeys = NONE_HOT
+) -> DataFrame:
     """Products with their sub-category and category, both optional.
 
     The category is joined to the sub-categories first: two short tables, and
-    the products are joined once.
+    the products are joined once. Hot sub-categories, and products without one,
+    are dealt out if given.
     """
     category = categories.select(
         F.col("ProductCategoryID").alias("category_id"),
@@ -78,6 +82,7 @@ def stg_products(products: DataFrame, sub_categories: DataFrame, categories: Dat
         trimmed(F.col("ProductName")).alias("product_name"),
         F.col("ProductSubcategoryID").alias("_sub_category"),
     )
-    return product.join(sub_category, F.col("_sub_category") == F.col("sub_category_id"), "left").select(
+    keyed = sub_category.withColumn("_sub_category", F.col("sub_category_id"))
+    return balanced_left_join(product, keyed, "_sub_category", "product_id", hot_sub_categories).select(
         "product_id", "product_name", "sub_category_id", "sub_category_name", "category_id", "category_name"
     )

@@ -36,20 +36,19 @@ def skewed(spark):
 
 def test_finds_the_key_and_sizes_its_pieces(spark):
     with settings(spark, spark_sql_shuffle_partitions="36"):
-        found = find_hot_keys(skewed(spark), "k", sample=0.5)
+        found = find_hot_keys(skewed(spark), "k", "id")
     # A third of 36 partitions is 12, a sixth is 6; both are rounded up to a power of two.
-    assert found == HotKeys({16: (7,)}, 8)
+    assert found == (HotKeys({16: (7,)}, 8), HotKeys())
 
 
 def test_nothing_is_hot_without_repeats_or_rows(spark):
-    assert find_hot_keys(spark.range(30_000).withColumnRenamed("id", "k"), "k", sample=0.5) == HotKeys()
-    assert find_hot_keys(spark.range(0).withColumnRenamed("id", "k"), "k") == HotKeys()
+    assert find_hot_keys(spark.range(30_000).withColumnRenamed("id", "k"), "k") == (HotKeys(),)
+    assert find_hot_keys(spark.range(0).withColumnRenamed("id", "k"), "k") == (HotKeys(),)
 
 
 def test_only_nulls_can_be_hot(spark):
     df = spark.range(1000).select("id", F.lit(None).cast("long").alias("k"))
-    found = find_hot_keys(df, "k", sample=1.0)
-    assert found == HotKeys({}, 4)
+    assert find_hot_keys(df, "k") == (HotKeys({}, 4),)
 
 
 @pytest.mark.parametrize("balanced", [True, False])
@@ -62,7 +61,7 @@ def test_no_task_gets_a_third_of_the_rows(spark, balanced):
         spark_sql_adaptive_coalescePartitions_enabled="false",
     ):
         left = skewed(spark)
-        hot = find_hot_keys(left, "k", sample=0.5) if balanced else HotKeys()
+        hot = find_hot_keys(left, "k")[0] if balanced else HotKeys()
         joined = balanced_left_join(left, right, "k", "id", hot)
         per_task = Counter(r.t for r in joined.select(F.spark_partition_id().alias("t")).collect())
         assert "SortMergeJoin" in plan_of(joined)
