@@ -6,9 +6,6 @@ as doubles, which round differently at ties.
 
 from __future__ import annotations
 
-from bankmart.operators.quality import ACCEPTED_VALUES, NOT_NULL, UNIQUE, Check
-from bankmart.plans.checks import CHECKS
-
 # ---------------------------------------------------------------- base tables
 
 _LINES = """
@@ -275,23 +272,94 @@ _COUNTS = _with(
     ),
 )
 
+# Dataset, base table, its rows here, and its columns with the ingest stamp.
+_DATASETS = (
+    ("dim_product_category", "DimProductCategory", "cat", 2),
+    ("dim_product_sub_category", "DimProductSubCategory", "sub", 3),
+    ("dim_product", "DimProduct", "prod", 3),
+    ("dim_customer", "DimCustomer", "cust", 9),
+    ("dim_customer_usa", "DimCustomerUSA", "cust_usa", 9),
+    ("dim_account", "DimAccount", "account", 9),
+    ("fact_transaction", "FactTransaction", "txn", 9),
+)
+_BASE = [_TRANSACTION, _ACCOUNT, _CUSTOMER, _customer("cust_usa", "r_name = 'AMERICA'"), _PRODUCT]
+
+_LOADED = _with(_BASE, "\nUNION ALL ".join(
+    f"SELECT '{name}' AS name, '{table}' AS \"table\", 'SUCCESS' AS status, count(*) AS rows,"
+    f" {columns}::INTEGER AS \"columns\", NULL::VARCHAR AS error FROM {cte}"
+    for name, table, cte, columns in _DATASETS
+))
+
+_STAMPS = _with(_BASE, "\nUNION ALL ".join(
+    f"SELECT '{table}' AS table_name, count(*) AS rows, count(*) AS stamped, true AS one_stamp FROM {cte}"
+    for _, table, cte, columns in _DATASETS if columns == 9
+))
+
 # -------------------------------------------------------------------- checks
 
 
-def _check_failures(check: Check) -> str:
-    model = {"fact_transactions": "fact"}.get(check.model, check.model)
-    column = f'"{check.column}"'
-    if check.kind == UNIQUE:
+# Model, column, kind, severity, and accepted values or parent, of the 42 declared checks.
+_EXPECTED = (
+    ("stg_transactions", "transaction_id", "unique", "error", ""),
+    ("stg_transactions", "transaction_id", "not_null", "error", ""),
+    ("stg_transactions", "account_id", "not_null", "error", ""),
+    ("stg_transactions", "transaction_amount", "not_null", "error", ""),
+    ("stg_transactions", "transaction_date", "not_null", "error", ""),
+    ("stg_transactions", "status", "accepted_values", "error", "SUCCESS FAILED"),
+    ("stg_customers", "customer_id", "unique", "error", ""),
+    ("stg_customers", "customer_id", "not_null", "error", ""),
+    ("stg_customers", "full_name", "not_null", "error", ""),
+    ("stg_accounts", "account_id", "unique", "error", ""),
+    ("stg_accounts", "account_id", "not_null", "error", ""),
+    ("stg_accounts", "customer_id", "not_null", "error", ""),
+    ("stg_products", "product_id", "unique", "error", ""),
+    ("stg_products", "product_id", "not_null", "error", ""),
+    ("stg_products", "product_name", "not_null", "error", ""),
+    ("dim_customer", "customer_id", "unique", "error", ""),
+    ("dim_customer", "customer_id", "not_null", "error", ""),
+    ("dim_customer", "full_name", "not_null", "error", ""),
+    ("dim_customer", "status", "accepted_values", "error", "ACTIVE INACTIVE SUSPENDED"),
+    ("dim_account", "account_id", "unique", "error", ""),
+    ("dim_account", "account_id", "not_null", "error", ""),
+    ("dim_account", "customer_id", "not_null", "error", ""),
+    ("dim_account", "balance", "not_null", "error", ""),
+    ("dim_account", "account_status", "accepted_values", "error", "OPEN CLOSED"),
+    ("dim_account", "customer_id", "relationships", "error", "dim_customer customer_id"),
+    ("dim_product", "product_id", "unique", "error", ""),
+    ("dim_product", "product_id", "not_null", "error", ""),
+    ("dim_product", "product_name", "not_null", "error", ""),
+    ("dim_product", "category_name", "not_null", "error", ""),
+    ("dim_date", "date_key", "unique", "error", ""),
+    ("dim_date", "date_key", "not_null", "error", ""),
+    ("dim_date", "year", "not_null", "error", ""),
+    ("dim_date", "month", "not_null", "error", ""),
+    ("fact_transactions", "transaction_id", "unique", "error", ""),
+    ("fact_transactions", "transaction_id", "not_null", "error", ""),
+    ("fact_transactions", "account_id", "not_null", "error", ""),
+    ("fact_transactions", "date_key", "not_null", "error", ""),
+    ("fact_transactions", "transaction_amount", "not_null", "error", ""),
+    ("fact_transactions", "transaction_status", "accepted_values", "error", "SUCCESS FAILED"),
+    ("fact_transactions", "account_id", "relationships", "warn", "dim_account account_id"),
+    ("fact_transactions", "product_id", "relationships", "error", "dim_product product_id"),
+    ("fact_transactions", "date_key", "relationships", "error", "dim_date date_key"),
+)
+
+
+def _check_failures(name: str, column: str, kind: str, other: str) -> str:
+    model = {"fact_transactions": "fact"}.get(name, name)
+    column = f'"{column}"'
+    if kind == "unique":
         repeated = f"SELECT {column} FROM {model} WHERE {column} IS NOT NULL GROUP BY {column} HAVING count(*) > 1"
         return f"SELECT count(*) FROM ({repeated})"
-    if check.kind == NOT_NULL:
+    if kind == "not_null":
         return f"SELECT count(*) FROM {model} WHERE {column} IS NULL"
-    if check.kind == ACCEPTED_VALUES:
-        accepted = ", ".join(f"'{value}'" for value in check.values)
+    if kind == "accepted_values":
+        accepted = ", ".join(f"'{value}'" for value in other.split())
         return f"SELECT count(DISTINCT {column}) FROM {model} WHERE {column} NOT IN ({accepted})"
+    parent, parent_column = other.split()
     return (
         f"SELECT count(*) FROM {model} WHERE {column} IS NOT NULL"
-        f' AND NOT EXISTS (SELECT 1 FROM {check.parent} p WHERE p."{check.parent_column}" = {model}.{column})'
+        f' AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p."{parent_column}" = {model}.{column})'
     )
 
 
@@ -299,9 +367,9 @@ _CHECK_RESULTS = _with(
     _STAR,
     "SELECT *, failures = 0 AS passed FROM ("
     + "\nUNION ALL ".join(
-        f"SELECT '{c.name}' AS test_name, '{c.model}' AS model, '{c.column}' AS \"column\", '{c.kind}' AS kind,"
-        f" '{c.severity}' AS severity, ({_check_failures(c)}) AS failures"
-        for c in CHECKS
+        f"SELECT '{kind}_{model}_{column}' AS test_name, '{model}' AS model, '{column}' AS \"column\", '{kind}' AS kind,"
+        f" '{severity}' AS severity, ({_check_failures(model, column, kind, other)}) AS failures"
+        for model, column, kind, severity, other in _EXPECTED
     )
     + ")",
 )
@@ -366,6 +434,7 @@ SELECT transaction_id, account_id, customer_id, product_id, date_key, transactio
         "raw_zone_accounts": _with([_ACCOUNT_ROWS], _FIRST_OF_CUSTOMER),
         "clean_account_by_id": _with([_ACCOUNT], "SELECT * FROM account"),
         "dedup_transactions": _with([_TRANSACTION], "SELECT * FROM txn"),
+        "raw_zone_transactions": _with([_TRANSACTION], "SELECT * FROM txn"),
         "stg_transactions": _with([_TRANSACTION, _STG_TXN], "SELECT * FROM stg_transactions"),
         "stg_accounts": _with([_ACCOUNT, _STG_ACCOUNT], "SELECT * FROM stg_accounts"),
         "stg_customers": _with([_CUSTOMER, _STG_CUSTOMER], "SELECT * FROM stg_customers"),
@@ -376,6 +445,13 @@ SELECT transaction_id, account_id, customer_id, product_id, date_key, transactio
         "dim_date": _with(_CALENDAR, "SELECT * FROM dim_date"),
         "fact_transactions": fact,
         "fact_transactions_joined_calendar": fact,
+        "fact_transactions_split": fact,
+        "published_fact": fact,
+        "load_outcomes": _LOADED,
+        "ingest_stamps": _STAMPS,
+        "undated_volume": _with(_STAR, """
+SELECT count(*) AS txn_count, coalesce(sum(transaction_amount), 0)::DECIMAL(25,2) AS total_amount
+FROM fact WHERE date_key IS NULL"""),
         "dq_results": _CHECK_RESULTS,
         "daily_volume": _daily_volume("TRUE"),
         "daily_volume_in_range": _daily_volume(f"date_key {_RANGE}"),

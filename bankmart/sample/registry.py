@@ -9,8 +9,9 @@ the shared folder (``bankmart.store``). The ``clean_*``, ``stg_*``, ``dim_*`` an
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Mapping
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,18 +20,28 @@ from bankmart.operators.balance import HotKeys, find_hot_keys
 from bankmart.operators.quality import run_checks
 from bankmart.plans import analytics, cleaning, indicators, marts, staging
 from bankmart.plans.checks import CHECKS
-from bankmart.plans.pipeline import FACT_LAYOUT
+from bankmart.plans.pipeline import FACT_LAYOUT, publish
 from bankmart.sample import adapter
-from bankmart.schemas import BASE_TABLES, INGESTED_AT
+from bankmart.schemas import BASE_TABLES, INGESTED_AT, STAMPED_TABLES
 from bankmart.session import folder_bytes, size_for
-from bankmart.sinks.files import write_partitioned
-from bankmart.sources.raw import read_csv, typed
+from bankmart.sinks.files import write_parquet, write_partitioned
+from bankmart.sinks.load import LOAD_ORDER, load_tables, outcome_frame, raise_on_failure
+from bankmart.sinks.tables import refresh_table
+from bankmart.sources.raw import read_csv, read_raw_table, typed
+from bankmart.sources.tables import base_tables
 from bankmart.store import TableStore
 
 AS_OF = dt.date(2024, 1, 1)
 FIRST, LAST = dt.date(1997, 3, 1), dt.date(1998, 2, 28)
 TYPES = ("1-URGENT", "5-LOW")
 
+# The columns that the model joins go by, looked through together.
+HOT_KEYS = {"stg_transactions": ("account_id", "product_id"), "stg_accounts": ("customer_id",)}
+
+# Keys called hot to have the split joins run whatever the data: keys by number of pieces, and pieces of nulls.
+CALLED_HOT = HotKeys({4: (1, 2, 3, 4, 5), 16: (7, 32, 33)}, 8)
+CALLED_HOT_DAYS = HotKeys({4: (dt.date(1996, 1, 1), dt.date(1997, 3, 1))}, 8)
+
 # The test tables are compressed Parquet; as text rows they are several times larger.
 TEXT_GROWTH = 4
 
@@ -42,6 +53,7 @@ class Bank:
         self._spark, self._sf_dir = spark, sf_dir
         size_for(spark, TEXT_GROWTH * folder_bytes(spark, sf_dir))
         self._store = TableStore(spark, "sample")
+        self._name = uuid.uuid4().hex
         self._hot: dict[tuple[str, str], HotKeys] = {}
 
     def raw(self, table: str) -> DataFrame:
@@ -68,15 +80,35 @@ class Bank:
 
         return read_csv(self._spark, self._store.path(f"raw_{table}", write))
 
+    def raw_zone_in_parts(self, table: str) -> DataFrame:
+        """As ``raw_zone``, in several folders whose files have their columns in different orders."""
+        raw = self.raw(table)
+        typed_columns = BASE_TABLES[table].fieldNames()
+        ranked = typed(raw.select(F.struct(*typed_columns).alias("text"), "*"), table, keep=["text"])
+        key, names = typed_columns[0], {1: typed_columns, 2: typed_columns[::-1]}
+
+        def write(path: str) -> None:
+            # All copies of a key lie in one part, whose files hold the rows in ascending order.
+            for part, columns in names.items():
+                own = ranked.filter(F.coalesce(F.col(key), F.lit(0)) % 2 == part - 1)
+                ordered = own.orderBy(*[F.col(c).asc_nulls_first() for c in typed_columns])
+                ordered.select(*[f"text.{c}" for c in columns]).write.mode("overwrite").csv(
+                    f"{path}/{part}", header=True, escape='"',
+                    ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+                )
+
+        root = self._store.path(f"parts_{table}", write)
+        return read_raw_table(self._spark, root, ["1/", "2/"])
+
     def base(self, table: str) -> DataFrame:
-        """A loaded base table. All accounts are kept, not one per customer."""
-        options = {"key": "AccountID"} if table == "DimAccount" else {}
-        return self._store.table(table, lambda: self.cleaned(table, **options))
+        """A loaded base table."""
+        return self._store.table(table, lambda: self.cleaned(table))
 
     def hot(self, model: str, key: str) -> HotKeys:
         """Keys with a large share of a staging model's rows, looked for once."""
         if (model, key) not in self._hot:
-            self._hot[model, key] = find_hot_keys(getattr(self, model)(), key)
+            keys = HOT_KEYS[model]
+            self._hot |= {(model, k): hot for k, hot in zip(keys, find_hot_keys(getattr(self, model)(), *keys))}
         return self._hot[model, key]
 
     def stg_transactions(self) -> DataFrame:
@@ -113,6 +145,50 @@ class Bank:
             self.hot("stg_transactions", "account_id"), self.hot("stg_transactions", "product_id"),
         )
 
+    def fact_transactions_split(self) -> DataFrame:
+        """The fact with hot keys in each of its joins, the calendar's included."""
+        products = marts.dim_product(staging.stg_products(
+            *[self.base(t) for t in ("DimProduct", "DimProductSubCategory", "DimProductCategory")], CALLED_HOT
+        ))
+        accounts = marts.dim_account(self.stg_accounts(), self.mart("dim_customer"), AS_OF, CALLED_HOT)
+        return marts.fact_transactions(
+            self.stg_transactions(), accounts, products, self.mart("dim_date"), CALLED_HOT, CALLED_HOT,
+            hot_dates=CALLED_HOT_DAYS,
+        )
+
+    def load_outcomes(self) -> DataFrame:
+        """All base tables cleaned to Parquet and loaded in order, with the outcome of each."""
+        root = self._store.path("cleaned", lambda path: [
+            write_parquet(self.cleaned(table), f"{path}/{name}") for name, table in LOAD_ORDER
+        ])
+        outcomes = load_tables(
+            self._spark, root, lambda df, table: refresh_table(df, f"{self.database()}.{table}")
+        )
+        raise_on_failure(outcomes)
+        return outcome_frame(self._spark, outcomes)
+
+    def database(self) -> str:
+        """A catalog database of this folder's own, in the shared folder."""
+        name = f"bankmart_{self._name}"
+        self._store.path("database", lambda path: self._spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{path}'"))
+        return name
+
+    def published_fact(self) -> DataFrame:
+        """The fact as a published table, from base tables loaded before."""
+        self.load_outcomes()
+        base = base_tables(self._spark, self.database())
+        return publish(base, self.database(), AS_OF)["fact_transactions"]
+
+    def ingest_stamps(self) -> DataFrame:
+        """For each stamped table its rows, those with a stamp, and whether there is one stamp."""
+        stamp = F.col(INGESTED_AT)
+        frames = [
+            self.base(table).agg(F.count(F.lit(1)).alias("rows"), F.count(stamp).alias("stamped"), (F.min(stamp) == F.max(stamp)).alias("one_stamp"))
+            .select(F.lit(table).alias("table_name"), "rows", "stamped", "one_stamp")
+            for table in STAMPED_TABLES
+        ]
+        return reduce(DataFrame.unionByName, frames)
+
     def mart(self, name: str) -> DataFrame:
         """A stored dimension or the stored fact."""
         if name == "fact_transactions":
@@ -162,12 +238,13 @@ def _cleaning_queries() -> dict[str, Callable[[Bank], DataFrame]]:
         "clean_product": "DimProduct",
         "clean_customer": "DimCustomer",
         "clean_customer_usa": "DimCustomerUSA",
-        "dedup_accounts_per_customer": "DimAccount",
+        "clean_account_by_id": "DimAccount",
         "dedup_transactions": "FactTransaction",
     }
     jobs = {name: lambda b, t=table: _unstamped(b.cleaned(t)) for name, table in names.items()}
-    jobs["raw_zone_accounts"] = lambda b: _unstamped(cleaning.clean_account(b.raw_zone("DimAccount")))
-    jobs["clean_account_by_id"] = lambda b: _unstamped(b.cleaned("DimAccount", key="AccountID"))
+    jobs["raw_zone_accounts"] = lambda b: _unstamped(cleaning.clean_account(b.raw_zone("DimAccount"), key="CustomerID"))
+    jobs["raw_zone_transactions"] = lambda b: _unstamped(cleaning.clean_transaction(b.raw_zone_in_parts("FactTransaction")))
+    jobs["dedup_accounts_per_customer"] = lambda b: _unstamped(b.cleaned("DimAccount", key="CustomerID"))
     return jobs
 
 
@@ -192,6 +269,11 @@ BANK_QUERIES: dict[str, Callable[[Bank], DataFrame]] = {
     "dim_date": Bank.dim_date,
     "fact_transactions": Bank.fact_transactions,
     "fact_transactions_joined_calendar": lambda b: b.fact_transactions(joined_calendar=True),
+    "fact_transactions_split": Bank.fact_transactions_split,
+    "published_fact": Bank.published_fact,
+    "load_outcomes": Bank.load_outcomes,
+    "ingest_stamps": Bank.ingest_stamps,
+    "undated_volume": lambda b: indicators.undated_volume(b.mart("fact_transactions")),
     "dq_results": lambda b: run_checks(b.models(), CHECKS),
     "daily_volume": lambda b: indicators.daily_volume(b.mart("fact_transactions"), b.mart("dim_date")),
     "daily_volume_in_range": lambda b: indicators.daily_volume(
