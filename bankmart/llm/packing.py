@@ -11,8 +11,10 @@ Nothing is shuffled: a scan task tokenises its own documents.
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterable, Iterator
 from functools import partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,63 +29,69 @@ from bankmart.llm.shipping import ship
 TOKENIZER = "word_bpe_49k.json"
 END = 1
 ROWS = 256
-KNOWN_WORDS = 250_000
-TOGETHER = 200
+KNOWN = 300_000
+LONGEST_KNOWN = 200
 
 # Texts of these characters alone are split into words here, as the tokenizer does; their
 # normal form is themselves in lower case. Any other text goes to the tokenizer whole.
 PLAIN = re.compile(r"[\t-\r -~\xa0-įı-ſ]*")
 LETTERS = r"a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ſ"
 DIGITS = r"0-9\xb2\xb3\xb9\xbc-\xbe"
-WORDS = re.compile(rf"[{LETTERS}]+|'(?:s|t|re|ve|m|ll|d)|[{DIGITS}]|[^\s{LETTERS}{DIGITS}]+")
+PIECES = re.compile(rf"[{LETTERS}]+|'(?:s|t|re|ve|m|ll|d)|[{DIGITS}]|[^\s{LETTERS}{DIGITS}]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The characters that stand for bytes in the vocabulary: printable ones for themselves, the others from 256 on."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in set(printable)]
+    return {b: chr(b) for b in printable} | {b: chr(256 + n) for n, b in enumerate(others)}
 
 
 class Words:
-    """Token ids of texts as little-endian unsigned 32-bit bytes, remembering words met before.
+    """Token ids of texts as little-endian unsigned 32-bit bytes, remembering pieces met before.
 
-    Words are kept in two generations: when the young one is full it becomes the old one, whose
-    words come back as they are met. Memory is bounded and frequent words stay.
+    Pieces are kept in two generations: when the young one is full it becomes the old one, whose
+    pieces come back as they are met. Memory is bounded and frequent pieces stay.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        vocabulary = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
+        self.model, self.letters = self.tokenizer.model, _byte_letters()
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        found = [WORDS.findall(t.lower()) if PLAIN.fullmatch(t) else None for t in texts]
-        missing = set().union(*(words for words in found if words)).difference(self.young)
-        if len(self.young) + len(missing) > KNOWN_WORDS:
+        found = [PIECES.findall(t.lower()) if PLAIN.fullmatch(t) else None for t in texts]
+        flat = list(chain.from_iterable(filter(None, found)))
+        ids = list(map(self.young.get, flat))
+        holes = [i for i, known in enumerate(ids) if known is None]
+        for i in holes:
+            ids[i] = self.piece(flat[i])
+        if len(self.young) > KNOWN:
             self.young, self.old = {}, self.young
-            missing = set().union(*(words for words in found if words))
-        back = missing.intersection(self.old)
-        self.young.update((word, self.old[word]) for word in back)
-        self.learn(list(missing - back))
-        get = self.young.__getitem__
-        return [b"".join(map(get, words)) if words is not None else self.whole(t) for words, t in zip(found, texts)]
-
-    def learn(self, words: list[str]) -> None:
-        """Tokenise words many at a time; a word's ids end with the one that closes a word."""
-        for start in range(0, len(words), TOGETHER):
-            part = words[start : start + TOGETHER]
-            ids = self.ids(" ".join(part))
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) == len(part) and cuts[-1] == len(ids):
-                data = ids.tobytes()
-                at = [0, *(4 * cuts).tolist()]
-                self.young.update((word, data[a:b]) for word, a, b in zip(part, at, at[1:]))
+        out, at = [], 0
+        for pieces_, text in zip(found, texts):
+            if pieces_ is None:
+                out.append(self.whole(text))
             else:
-                self.young.update((word, self.whole(word)) for word in part)
-
-    def ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+                out.append(b"".join(ids[at : at + len(pieces_)]))
+                at += len(pieces_)
+        return out
+
+    def piece(self, piece: str) -> bytes:
+        """The ids of one piece, from memory or the vocabulary's merges."""
+        known = self.young.get(piece) or self.old.get(piece)
+        if known is None:
+            tokens = self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))
+            known = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+        if len(piece) <= LONGEST_KNOWN:
+            self.young[piece] = known
+        return known
 
     def whole(self, text: str) -> bytes:
-        return self.ids(text).tobytes()
+        ids = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        return np.array(ids, "<u4").tobytes()
 
 
 def pieces(length: int, longest: int) -> list[int]:

@@ -82,7 +82,7 @@ def test_words_equal_the_tokenizer(texts):
 
 
 def test_words_come_back_from_the_old_generation(monkeypatch, tokenizer):
-    monkeypatch.setattr("bankmart.llm.packing.KNOWN_WORDS", 5)
+    monkeypatch.setattr("bankmart.llm.packing.KNOWN", 5)
     words = Words(public_tokenizers.path(TOKENIZER))
     for text in ["one two three", "four five six seven", "one two", "", "a b c d e f g h", "one <|endoftext|> don't"]:
         assert np.frombuffer(words.encode([text])[0], "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
