@@ -7,11 +7,13 @@ push-down for every later reader, which an RDD checkpoint would not.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import threading
 import uuid
 from collections.abc import Callable
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -19,11 +21,27 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 # Stand-in folders of local sessions with nothing configured, by application.
 _local_folders: dict[str, str] = {}
 
+# Folders of this process's applications, removed when it ends.
+_owned: set[str] = set()
+
+
+@atexit.register
+def remove_owned() -> None:
+    """Remove what this process's applications have written. Best effort: it may not reach the store any more."""
+    jvm = SparkContext._jvm
+    while jvm is not None and _owned:
+        try:
+            path = jvm.org.apache.hadoop.fs.Path(_owned.pop())
+            path.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(path, True)
+        except Exception:  # noqa: BLE001 - the process ends
+            return
+
 
 def shared_folder(spark: SparkSession) -> str:
     """This application's folder under the one the cluster names for checkpoints.
 
-    A machine-local folder is used only in local mode with nothing configured.
+    It is removed when the process ends. A machine-local folder is used only in
+    local mode with nothing configured.
     """
     context = spark.sparkContext
     application = context.applicationId
@@ -32,7 +50,9 @@ def shared_folder(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
         root = _local_folders[application] = tempfile.mkdtemp(prefix="bankmart-")
-    return f"{root.rstrip('/')}/bankmart/{application}"
+    folder = f"{root.rstrip('/')}/bankmart/{application}"
+    _owned.add(folder)
+    return folder
 
 
 def written(df: DataFrame, label: str = "result") -> DataFrame:

@@ -108,3 +108,19 @@ def test_calendar_expressions(spark):
 def test_today_can_be_given(spark):
     assert value(spark, dates.today(dt.date(2024, 1, 1))) == dt.date(2024, 1, 1)
     assert value(spark, dates.today() == F.current_date()) is True
+
+
+@pytest.mark.parametrize(
+    "text_, key", [("7", 7), ("7.0", 7), ("-3.000", -3), ("7.5", None), ("x", None), ("1e3", 1000), ("99999999999999999999", None)]
+)
+def test_keys_are_whole_numbers(spark, text_, key):
+    assert value(spark, numbers.key(F.lit(text_))) == key
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_times_do_not_depend_on_the_zone(spark, zone):
+    with settings(spark, spark_sql_session_timeZone=zone):
+        for stamp in ("2024-03-10 02:30:00", "1969-12-31 23:59:59", "2024-11-03 01:30:00"):
+            by_pattern = dates.event_time(F.lit(stamp), "yyyy-MM-dd HH:mm:ss")
+            assert value(spark, by_pattern) == value(spark, dates.event_time(F.lit(stamp))) == dt.datetime.fromisoformat(stamp)
+        assert value(spark, dates.event_time(F.lit("bad"), "yyyy-MM-dd HH:mm")) is None

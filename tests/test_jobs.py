@@ -1,0 +1,87 @@
+"""Job options: account keys, sizes, settings, database target, status and repeated files."""
+
+import pytest
+from helpers import rows, settings
+from test_pipeline import FILES
+
+from bankmart import jobs
+from bankmart.session import SETTINGS
+from bankmart.sinks.load import LOAD_ORDER
+
+
+@pytest.fixture(scope="module")
+def zone(tmp_path_factory):
+    root = tmp_path_factory.mktemp("zone")
+    (root / "raw" / "more").mkdir(parents=True)
+    for name, text in FILES.values():
+        (root / "raw" / name).write_text(text)
+    header = FILES["FactTransaction"][1].splitlines()[0]
+    (root / "raw" / "more" / "late.csv").write_text(f"{header}\n90,101,2024-01-01,4,credit,atm,5,Success\n91,x,2024-01-01,4,credit,atm,5.5,Success\n")
+    return root
+
+
+def cleaned(zone, name, *more):
+    files = [part for table, (file, _) in FILES.items() for part in ("--file", f"{table}={file}")]
+    target = str(zone / name)
+    jobs.main(["clean", "--raw", str(zone / "raw"), "--cleaned", target, *files, *more])
+    return target
+
+
+@pytest.fixture(scope="module")
+def loaded(spark, zone):
+    jobs.main(["load", "--cleaned", cleaned(zone, "all", "--file", "FactTransaction=more/"), "--database", "bank_options"])
+    yield "bank_options"
+    spark.sql("DROP DATABASE bank_options CASCADE")
+
+
+def test_every_account_is_kept_unless_asked_otherwise(spark, zone):
+    assert spark.read.parquet(f"{cleaned(zone, 'a')}/dim_account").count() == 3
+    assert spark.read.parquet(f"{cleaned(zone, 'b', '--account-key', 'CustomerID')}/dim_account").count() == 2
+
+
+def test_no_transaction_of_a_second_account_is_without_a_customer(spark, loaded):
+    jobs.main(["publish", "--database", loaded, "--as-of", "2024-01-01", "--completed-status", "SUCCESS"])
+    fact = spark.table(f"{loaded}.fact_transactions")
+    assert rows(fact.filter("account_id = 101"), "customer_id") == [(1,), (1,)]
+    assert fact.filter("customer_id is null").isEmpty()
+    assert rows(fact, "transaction_status", "is_completed") == sorted(
+        [("FAILED", 0), ("SUCCESS", 1), ("SUCCESS", 1), ("SUCCESS", 1)]
+    )
+
+
+def test_unreadable_values_are_reported(zone, capsys):
+    cleaned(zone, "c", "--file", "FactTransaction=more/")
+    out = capsys.readouterr().out
+    assert "FactTransaction: 6 rows" in out
+    assert "AccountID: 1 values could not be read" in out and "ProductID: 1 values" in out and "TransactionDate: 1 values" in out
+
+
+def test_jobs_run_with_the_pipeline_settings_and_measured_sizes(spark, loaded, monkeypatch, tmp_path):
+    seen = []
+    monkeypatch.setattr(jobs, "size_for", lambda spark, size: seen.append(size))
+    with settings(spark, spark_sql_session_timeZone="America/New_York"):
+        for arguments in (["publish"], ["report", "--name", "row_counts", "--output", str(tmp_path / "r")]):
+            spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+            jobs.main([*arguments, "--database", loaded])
+            assert all(spark.conf.get(k) == v for k, v in SETTINGS.items())
+    jobs.main(["publish", "--database", loaded, "--input-bytes", "5"])
+    assert len(seen) == 3 and seen[0] > 5_000 and seen[1] > 5_000 and seen[2] == 5
+
+
+def test_load_into_a_database(zone, monkeypatch):
+    calls = []
+    monkeypatch.setattr(jobs, "refresh_database_table", lambda df, *options: calls.append((df.count(), *options)))
+    jobs.main([
+        "load", "--cleaned", cleaned(zone, "d"), "--jdbc-url", "jdbc:x", "--jdbc-property", "user=u", "--jdbc-property", "password=a=b",
+        "--connections", "3",
+    ])
+    assert [c[2] for c in calls] == [table for _, table in LOAD_ORDER]
+    assert calls[0][1:] == ("jdbc:x", "DimProductCategory", {"user": "u", "password": "a=b"}, 3)
+    with pytest.raises(SystemExit):
+        jobs.main(["load", "--cleaned", "c"])
+
+
+def test_undated_transactions_have_a_report(spark, loaded, tmp_path):
+    jobs.main(["publish", "--database", loaded])
+    jobs.main(["report", "--database", loaded, "--name", "undated_volume", "--output", str(tmp_path / "u")])
+    assert [r.txn_count for r in spark.read.parquet(str(tmp_path / "u")).collect()] == [1]

@@ -2,6 +2,7 @@ import pytest
 from helpers import base, money, rows, settings
 from pyspark.sql import functions as F
 
+from bankmart import store
 from bankmart.sinks import load
 from bankmart.sinks.files import write_parquet, write_partitioned
 from bankmart.sinks.tables import Layout, as_table, as_view, database_options, refresh_table
@@ -63,6 +64,17 @@ def test_refresh_replaces_rows_and_keeps_the_definition(spark, database):
     assert spark.sql(f"SHOW TBLPROPERTIES {name} ('note')").collect()[0].value == "bank"
 
 
+@pytest.mark.parametrize("layout", [Layout(), Layout(partition_by=("year",))])
+def test_a_failed_build_leaves_the_table(spark, database, layout):
+    df = spark.range(10).select("id", F.when(F.col("id") > 3, F.col("id").cast("int") % 2).alias("year"))
+    as_table(df, f"`{database}`.`kept`", layout)
+    failing = df.withColumn("id", F.raise_error(F.lit("no")).cast("long"))
+    with pytest.raises(Exception, match="no"):
+        as_table(failing, f"`{database}`.`kept`", layout)
+    assert rows(spark.table(f"{database}.kept")) == rows(df)
+    assert rows(as_table(df.filter("id < 5"), f"`{database}`.`kept`", layout)) == rows(df.filter("id < 5"))
+
+
 def test_view_is_lazy(spark):
     assert rows(as_view(spark.range(2), "lazy_view").filter("id = 1")) == [(1,)]
     assert base_tables(spark, names=["lazy_view"])["lazy_view"].count() == 2
@@ -121,11 +133,18 @@ def test_store_uses_the_configured_folder_and_writes_once(spark):
         calls.append(1)
         return spark.range(3)
 
-    store = TableStore(spark, "test")
-    assert store.table("t", build).count() == store.table("t", build).count() == 3
+    tables = TableStore(spark, "test")
+    assert tables.table("t", build).count() == tables.table("t", build).count() == 3
     assert len(calls) == 1
 
 
+def test_folders_are_removed_at_the_end(spark, tmp_path, monkeypatch):
+    (tmp_path / "own" / "part").mkdir(parents=True)
+    monkeypatch.setattr(store, "_owned", {str(tmp_path / "own")})
+    store.remove_owned()
+    assert tmp_path.exists() and not (tmp_path / "own").exists() and not store._owned
+
+
 def test_written_keeps_types_and_prunes_columns(spark):
     stored = written(base(spark, "DimAccount", {"AccountID": 1, "Balance": 2.0}))
     assert rows(stored, "AccountID", "Balance") == [(1, 2.0)]
@@ -146,6 +165,7 @@ def test_store_falls_back_to_a_local_folder_only_in_local_mode(spark, monkeypatc
     class Session:
         sparkContext, conf = Context(), Conf()
 
+    monkeypatch.setattr(store, "_owned", set())
     folder = shared_folder(Session())
     assert folder == shared_folder(Session()) and folder.endswith("/bankmart/app-1")
     monkeypatch.setattr(Context, "master", "yarn")
