@@ -140,7 +140,79 @@ FROM m GROUP BY conv_id
 """
 
 
+SECRETS_SQL = r"""
+WITH rules(place, kind, least, pattern) AS (VALUES
+  (0, 'assign', 12, '((?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+))'),
+  (1, 'access', 18, '((AKIA[A-Z0-9]+))'),
+  (2, 'hex', 16, '(([0-9a-f]+))'),
+  (3, 'github', 1, '((gh[pousr]_[A-Za-z0-9]{36,}))'),
+  (4, 'slack', 1, '((xox[baprs]-[A-Za-z0-9-]{10,}))'),
+  (5, 'private_key', 1, '((-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----))'),
+  (6, 'jwt', 1, '((eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}))')),
+docs AS (SELECT doc_id, row_number() OVER () AS n, coalesce(text, '') AS text FROM documents),
+parts AS (SELECT doc_id, n, place, kind, least,
+                 regexp_extract_all(text, '(?s)(.*?)(?:' || pattern || '|\z)', 1) AS before,
+                 regexp_extract_all(text, '(?s)(.*?)(?:' || pattern || '|\z)', 2) AS match,
+                 regexp_extract_all(text, '(?s)(.*?)(?:' || pattern || '|\z)', 3) AS value
+          FROM docs, rules),
+pieces AS (SELECT doc_id, n, place, kind, least, unnest(before) AS before, unnest(match) AS match, unnest(value) AS value,
+                  unnest(range(len(before))) AS i FROM parts),
+placed AS (SELECT *, sum(length(before) + length(match)) OVER (PARTITION BY n, place ORDER BY i) AS stop FROM pieces),
+spans AS (SELECT n, place, kind, (stop - length(match))::BIGINT AS start, kind || ':' || (stop - length(match))::BIGINT || ':' || stop::BIGINT AS span
+          FROM placed WHERE length(value) >= least)
+SELECT doc_id, count(span) FILTER (kind = 'assign') AS n_assign, count(span) FILTER (kind = 'access') AS n_access,
+       count(span) FILTER (kind = 'hex') AS n_hex,
+       sha256(coalesce(string_agg(span, ',' ORDER BY start, place) FILTER (place < 3), '')) AS base_sha256,
+       coalesce(string_agg(span, ',' ORDER BY start, place), '') AS spans
+FROM docs LEFT JOIN spans USING (n) GROUP BY n, doc_id
+"""
+
+_TEMPLATES = ",\n  ".join(
+    f"('{t.label}', {t.base}, {t.share}, string_split('{' '.join(t.words)}', ' '), string_split('{' '.join(t.key)}', ' '),"
+    f" {next(i for i in range(len(t.words)) if t.words[i : i + len(t.key)] == t.key)})"
+    for t in license_scan.TEMPLATES
+)
+
+LICENSES_SQL = r"""
+WITH templates(label, base, least, words, key, place) AS (VALUES
+  """ + _TEMPLATES + r"""),
+docs AS (SELECT doc_id, row_number() OVER () AS n,
+                regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS own FROM documents),
+places AS (SELECT n, own, label, base, least, words, unnest(range(len(own))) - place AS start
+           FROM docs, templates WHERE list_has_all(own, key)),
+keyed AS (SELECT places.* FROM places JOIN templates t USING (words)
+          WHERE start >= 0 AND own[start + t.place + 1 : start + t.place + len(t.key)] = t.key),
+found AS (SELECT *, len(list_filter(range(1, len(words) + 1), lambda k: own[start + k] = words[k])) / len(words) AS share FROM keyed),
+good AS (SELECT * FROM found WHERE share >= least)
+SELECT doc_id, len(any_value(d.own)) AS n_words, count(label) FILTER (base) AS n_base,
+       (min(start) FILTER (base))::BIGINT AS first_word, (max(start) FILTER (base))::BIGINT AS last_word,
+       coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base), '') AS base_labels,
+       coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS labels, coalesce(max(share), 0.0)::DOUBLE AS score
+FROM docs d LEFT JOIN good USING (n) GROUP BY n, doc_id
+"""
+
+WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+h AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS hex FROM p),
+m AS (SELECT hex, max(page_id) AS of_id FROM h GROUP BY hex)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(32), lambda i:
+           substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                  ((('0x' || substr(hex, (i // 4) * 5 + 1, 5))::BIGINT >> ((3 - i % 4) * 5)) & 31)::INTEGER + 1, 1)), '') AS payload_digest,
+       CASE WHEN page_id <> of_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id <> of_id THEN of_id END AS refers_to
+FROM h JOIN m USING (hex)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": LINE_DEDUP_SQL, "op3_neighbours": NEIGHBOURS_SQL, "op4_chat": CHAT_SQL} | (
-        {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
-    )
+    """What SQL cannot express has no entry: near copies, reparameterised items, token ids, the trained classifier."""
+    return {
+        "op1_line_dedup": LINE_DEDUP_SQL,
+        "op3_neighbours": NEIGHBOURS_SQL,
+        "op4_chat": CHAT_SQL,
+        "op5_secrets": SECRETS_SQL,
+        "op6_licenses": LICENSES_SQL,
+        "op9_warc": WARC_SQL,
+    } | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
