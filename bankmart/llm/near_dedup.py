@@ -60,10 +60,13 @@ class _Hashes(dict):
 
 
 def bag(text: str | None, known: _Hashes, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of a text's shingles, in order, and how often each stands in it. Fewer words are one shingle."""
+    """Hashes of a text's shingles, in order, and how often each stands in it. Fewer words are one shingle.
+
+    A text without a word is one shingle too, which only equal texts share.
+    """
     words = WORD.findall((text or "").lower())
     if not words:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.array([xxhash.xxh3_64_intdigest(f"\0{(text or '').strip()}")], np.uint64), np.ones(1, np.int64)
     if len(known) > KNOWN_WORDS:
         known.clear()
     h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
@@ -125,9 +128,7 @@ def _signed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start in range(0, batch.num_rows, ROWS):
             part = batch.slice(start, ROWS)
-            pairs = [(d, b) for d, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist()) if len((b := bag(t, known))[0])]
-            if not pairs:
-                continue
+            pairs = [(d, bag(t, known)) for d, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist())]
             marks = _mix(signatures([b for _, b in pairs]).view(np.uint64))
             keys = marks.reshape(len(pairs), BANDS, BAND_ROWS)
             band = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64) * STEP, (len(pairs), BANDS))
@@ -280,9 +281,9 @@ def near_dedup(docs: DataFrame, *, least: float = SIMILARITY) -> DataFrame:
 
     Documents whose shingle bags have a weighted Jaccard similarity of ``least`` or more are of
     one class, and so are those linked through others. Words are runs of word characters in
-    lower case; a text of fewer than five is one shingle. A text without a word is a class of
-    its own, and so is a row without an id, whose class is null. Rows that repeat an id are one
-    document, linked by any of its texts. Other columns are ignored. No rows: no rows.
+    lower case; a text of fewer than five is one shingle. Texts without a word are alike if they
+    are equal but for white space at the ends; null is empty. A row without an id is a class of
+    its own, which is null. Rows that repeat an id are one document, linked by any of its texts. Other columns are ignored. No rows: no rows.
     """
     ship(docs.sparkSession)
     plain = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc"), "text")

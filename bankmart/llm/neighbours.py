@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bankmart.llm.columns import pick
+from bankmart.llm.joins import small
 from bankmart.llm.shipping import ship
 from bankmart.store import written
 
@@ -143,8 +144,10 @@ def nearest(
     )
     q = _blocked(whole.where(queries), query_block, "query-blocks").toDF("dim", "qids", "q", "qblock")
     c = _blocked(whole, candidate_block, "candidate-blocks").toDF("dim", "cids", "c", "cblock")
-    # One row per tile, keyed by the numbers of its two blocks: small lists of block numbers, joined per dimension.
-    tiles = q.select("dim", "qblock").join(c.select(F.col("dim").alias("d"), "cblock"), F.col("dim") == F.col("d")).drop("d")
+    # One row per tile, keyed by the numbers of its two blocks.
+    # Candidate blocks' numbers go to the query blocks, so that no task lists all tiles.
+    numbers = small(c.select(F.col("dim").alias("d"), "cblock"), 16)
+    tiles = q.select("dim", "qblock").join(numbers, F.col("dim") == F.col("d")).drop("d")
     filled = tiles.join(q.drop("dim"), "qblock").join(c.drop("dim"), "cblock").select("dim", "qids", "q", "cids", "c")
     found = filled.mapInArrow(partial(_tiles, k=k), "query_id long, vec_id long, score double")
     # A row may come from several copies of an id; ranks count ids.

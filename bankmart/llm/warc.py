@@ -71,7 +71,7 @@ def _records(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
 
 
-def write_warc(pages: DataFrame, path: str, *, min_bytes: int = 0, per_file: int = 4000) -> None:
+def write_warc(pages: DataFrame, path: str, *, min_bytes: int = 0, per_file: int = 1000) -> None:
     """Write a capture per row of ``page_id``, ``url``, ``html`` to gzip archives under ``path``.
 
     A null html is an empty payload. Of rows with equal payloads of ``min_bytes`` or more the

@@ -20,7 +20,7 @@ def expected(rows):
         return x
 
     for (i, a), (j, b) in combinations(bags, 2):
-        if len(a[0]) and len(b[0]) and similarity(a, b) >= 0.8:
+        if similarity(a, b) >= 0.8:
             x, y = sorted((root(i), root(j)))
             parent[y] = x
     return sorted(((i, None if i is None else root(i)) for i, _ in rows), key=str)
@@ -46,6 +46,12 @@ def test_odd_rows(odd_docs, no_docs):
     assert near_dedup(no_docs).count() == 0
 
 
+def test_texts_without_words(spark):
+    rows = [(1, None), (2, ""), (3, " \n"), (4, "!!"), (5, "??"), (6, "!!\n"), (7, "a"), (8, "A.")]
+    got = found(near_dedup(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert got == [(1, 1), (2, 1), (3, 1), (4, 4), (5, 5), (6, 4), (7, 7), (8, 7)]
+
+
 def test_copies_linked_through_an_original_alone(spark):
     # Each copy is similar to the original, which has the largest id, but not to the other copies.
     rng = random.Random(3)
