@@ -76,9 +76,9 @@ def _calendar_columns(date: Column) -> dict[str, Column]:
     }
 
 
-def dim_date(stg_transactions: DataFrame) -> DataFrame:
+def dim_date(transactions: DataFrame, date: str = "transaction_date") -> DataFrame:
     """One row per calendar day of the transaction date range, gaps filled."""
-    spine = date_spine(stg_transactions, "transaction_date", "date_key")
+    spine = date_spine(transactions, date, "date_key")
     columns = [column.alias(name) for name, column in _calendar_columns(F.col("date_key")).items()]
     return spine.select("date_key", F.col("date_key").alias("full_date"), *columns)
 

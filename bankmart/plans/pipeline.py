@@ -75,10 +75,13 @@ def star_schema(
     save_mart: Save = _keep_lazy,
     find_hot: FindHot = _none_hot,
     completed_status: str = marts.COMPLETED_STATUS,
+    stored: bool = False,
 ) -> dict[str, DataFrame]:
     """All nine models; each is saved before the models that read it are built.
 
     Lazy by default. ``find_hot`` runs a job to find the keys that the joins split.
+    ``stored``: ``save_mart`` returns marts that are written, so that they are read
+    rather than the transactions.
     """
     models = {name: save_staging(name, df) for name, df in staging_models(base).items()}
     transactions, accounts = models["stg_transactions"], models["stg_accounts"]
@@ -88,7 +91,6 @@ def star_schema(
         marts.dim_account(accounts, models["dim_customer"], as_of, *find_hot(accounts, "customer_id")),
     )
     models["dim_product"] = save_mart("dim_product", marts.dim_product(models["stg_products"]))
-    models["dim_date"] = save_mart("dim_date", marts.dim_date(transactions))
     hot_accounts, hot_products = find_hot(transactions, "account_id", "product_id")
     models["fact_transactions"] = save_mart(
         "fact_transactions",
@@ -97,6 +99,9 @@ def star_schema(
             hot_accounts=hot_accounts, hot_products=hot_products, completed_status=completed_status,
         ),
     )
+    # A stored fact has the dates of all transactions in one short column.
+    dated = (models["fact_transactions"], "date_key") if stored else (transactions, "transaction_date")
+    models["dim_date"] = save_mart("dim_date", marts.dim_date(*dated))
     return models
 
 
@@ -121,5 +126,5 @@ def publish(
         return as_table(df, f"`{database}`.`{name}`", layout)
 
     return star_schema(
-        base, as_of, lambda name, df: as_view(df, name), save_mart, find_hot_keys, completed_status
+        base, as_of, lambda name, df: as_view(df, name), save_mart, find_hot_keys, completed_status, stored=True
     )

@@ -7,8 +7,11 @@ import pytest
 from helpers import money, rows
 
 from bankmart import jobs
+from bankmart.operators.balance import find_hot_keys
 from bankmart.operators.quality import ChecksFailed, run_checks
+from bankmart.plans import pipeline
 from bankmart.plans.checks import CHECKS
+from bankmart.plans.marts import dim_date as marts_dim_date
 from bankmart.plans.pipeline import clean_zone, publish, star_schema
 from bankmart.sinks.load import load_tables, raise_on_failure
 from bankmart.sinks.tables import refresh_table
@@ -95,6 +98,15 @@ def test_lazy_models_equal_published_ones(spark, database):
         assert rows(lazy[name]) == rows(published[name])
 
 
+def test_publish_reads_the_transactions_twice(spark, database, monkeypatch):
+    """Once for hot keys and once for the fact; the calendar reads the stored fact."""
+    seen = []
+    monkeypatch.setattr(pipeline, "find_hot_keys", lambda df, *keys: seen.append(keys) or find_hot_keys(df, *keys))
+    monkeypatch.setattr(pipeline.marts, "dim_date", lambda df, date: seen.append(date) or marts_dim_date(df, date))
+    publish(base_tables(spark, database), database, AS_OF)
+    assert seen == [("customer_id",), ("account_id", "product_id"), "date_key"]
+
+
 def test_publishing_again_replaces(spark, database):
     publish_again = partial(publish, base_tables(spark, database), database, AS_OF)
     first = publish_again()["fact_transactions"].count()
