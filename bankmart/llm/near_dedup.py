@@ -9,10 +9,9 @@ give candidates, and the overlap of the bags themselves confirms them.
 
 Bags that are equal are one node from the start. In a bucket, nodes are not paired with each
 other but with a hub, the one that shares most buckets. Where that leaves a bucket in several
-components, the nodes outside the largest are paired with a few more hubs of it. Those that still
-lie apart are held against all other components of their buckets, block by block on registers,
-so no link between candidates is missed that would join two classes. Links are joined to
-components by contraction in Spark.
+components, the nodes outside the largest are held against all others of the bucket, block by
+block on more registers, so no link between candidates is missed that would join two classes.
+Links are joined to components by contraction in Spark.
 """
 
 from __future__ import annotations
@@ -25,7 +24,7 @@ from hashlib import blake2b
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bankmart.llm.columns import pick
@@ -39,7 +38,7 @@ BANDS, BAND_ROWS = 25, 5
 REGISTERS = BANDS * BAND_ROWS
 # Candidates that agree in fewer registers, this many standard deviations below, are dropped: as few as the bands miss.
 DEVIATIONS = 4
-PIVOTS = 8
+FINE = 1024
 BLOCK = 512
 ROWS = 128
 WORD = re.compile(r"\w+")
@@ -166,8 +165,8 @@ def _linked(batches: Iterable[pa.RecordBatch], least: float) -> Iterator[pa.Reco
             yield pa.RecordBatch.from_arrays([part.column(0).filter(mask), part.column(1).filter(mask)], names=["a", "b"])
 
 
-def _agreement(least: float) -> int:
-    return int(REGISTERS * least - DEVIATIONS * (REGISTERS * least * (1 - least)) ** 0.5)
+def _agreement(least: float, registers: int = REGISTERS) -> int:
+    return int(registers * least - DEVIATIONS * (registers * least * (1 - least)) ** 0.5)
 
 
 def verified(pairs: DataFrame, signs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
@@ -221,58 +220,58 @@ def _tile(batches: Iterable[pa.RecordBatch], least: int) -> Iterator[pa.RecordBa
         for i in range(batch.num_rows):
             (x, cx, sx), (y, cy, sy) = (
                 (np.array(batch.column(n)[i].as_py()), np.array(batch.column(n + 1)[i].as_py()),
-                 np.frombuffer(b"".join(batch.column(n + 2)[i].as_py()), "<u4").reshape(-1, REGISTERS))
+                 np.frombuffer(b"".join(batch.column(n + 2)[i].as_py()), np.uint8).reshape(-1, FINE))
                 for n in (0, 3)
             )
-            for at in range(0, len(x), 16):
-                own = slice(at, at + 16)
+            for at in range(0, len(x), 8):
+                own = slice(at, at + 8)
                 same = (sx[own, None, :] == sy[None, :, :]).sum(axis=2)
                 r, c = np.nonzero((same >= least) & (cx[own, None] != cy[None, :]))
                 a, b = x[own][r], y[c]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], names=["a", "b"])
 
 
-def _across(open_: DataFrame, signs: DataFrame, least: float) -> DataFrame:
+def _fine(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A byte of each of many more registers."""
+    known = _Hashes()
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS):
+            part = batch.slice(start, ROWS)
+            marks = _mix(signatures([bag(t, known) for t in part.column(1).to_pylist()], FINE).view(np.uint64))
+            rows = pa.array([row.tobytes() for row in marks.astype(np.uint8)], pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column(0), rows], names=["doc", "signature"])
+
+
+def _across(open_: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """All pairs of the open buckets with a node outside the largest component that lie apart and seem similar enough.
 
-    Buckets are cut into blocks of about ``BLOCK`` nodes, and each pair of blocks is compared
-    as two matrices of registers. Pairs are rows only once they agree.
+    Buckets are cut into blocks of about ``BLOCK`` nodes, and each pair of blocks is compared as
+    two matrices of registers: of their nodes ``FINE`` registers are computed, which tell pairs
+    just below the wanted similarity from those above. Pairs are rows only once they agree.
     """
+    nodes = written(open_.select(F.col("node").alias("doc")).distinct(), "open-nodes")
+    signs = texts.join(small(nodes, 16), "doc").select("doc", "text").mapInArrow(_fine, "doc long, signature binary")
+    signs = written(signs, "fine-signatures")
     number = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK)).alias("block")
     rows = open_.select("key", "node", "comp", "main", number).join(signs.withColumnRenamed("doc", "node"), "node")
     lists = [F.collect_list(c) for c in ("node", "comp", "signature")]
     all_ = written(rows.groupBy("key", "block").agg(*[x.alias(n) for x, n in zip(lists, ("y", "cy", "sy"))]), "member-blocks")
     outer = written(rows.where("comp <> main").groupBy("key", "block").agg(*[x.alias(n) for x, n in zip(lists, ("x", "cx", "sx"))]), "outer-blocks")
     tiles = outer.drop("block").join(all_.drop("block"), "key").select("x", "cx", "sx", "y", "cy", "sy")
-    return tiles.mapInArrow(partial(_tile, least=_agreement(least)), "a long, b long").distinct()
+    return tiles.mapInArrow(partial(_tile, least=_agreement(least, FINE)), "a long, b long").distinct()
 
 
 def links_of(members: DataFrame, signs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """Links that join all candidates of the buckets (``key``, ``node``) whose bags are as similar as asked."""
-    sizes = written(members.groupBy("key").agg(F.count("*").alias("size")), "bucket-sizes")
-    busy = written(members.join(sizes, "key").groupBy("node").agg(F.sum(F.col("size") - 1).alias("degree")), "degrees")
-    ranked = written(members.join(busy, "node"), "ranked-members")
+    """Links that join all candidates of the buckets (``key``, ``node``, ``size``) whose bags are as similar as asked."""
+    busy = written(members.groupBy("node").agg(F.sum(F.col("size") - 1).alias("degree")), "degrees")
+    ranked = members.join(busy, "node")
     # A bucket's hub shares most buckets with others: of copies, most often their original.
     hubs = written(ranked.groupBy("key").agg(F.max_by("node", F.struct("degree", -F.col("node"))).alias("hub")), "hubs")
-    tried = written(ranked.join(hubs, "key").where("node <> hub").select(*_pairs("node", "hub")).distinct(), "pairs")
+    tried = written(members.join(hubs, "key").where("node <> hub").select(*_pairs("node", "hub")).distinct(), "pairs")
     links = written(verified(tried, signs, texts, least), "links")
-    if links.isEmpty() and tried.isEmpty():
-        return links
-
-    # A few more hubs of the largest component, which take in most of the nodes left outside.
-    open_ = _placed(ranked, links)
-    order = Window.partitionBy("key").orderBy(F.desc("degree"), "node")
-    pivots = written(
-        open_.where("comp = main").withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= PIVOTS)
-        .select("key", F.col("node").alias("hub")), "pivots",
-    )
-    more = open_.where("comp <> main").join(pivots, "key").select(*_pairs("node", "hub")).distinct()
-    more = written(more.join(tried, ["a", "b"], "left_anti"), "pairs")
-    tried, links = tried.unionByName(more), written(links.unionByName(verified(more, signs, texts, least)), "links")
-
-    # Then whatever still lies apart is tried with all of its buckets.
-    open_ = _placed(ranked, links)
-    rest = written(_across(open_, signs, least).join(tried, ["a", "b"], "left_anti"), "pairs")
+    # Whatever lies apart still is tried with all of its buckets.
+    open_ = _placed(members, links)
+    rest = written(_across(open_, texts, least).join(tried, ["a", "b"], "left_anti"), "pairs")
     return written(links.unionByName(verified(rest, signs, texts, least)), "links")
 
 
@@ -294,8 +293,9 @@ def near_dedup(docs: DataFrame, *, least: float = SIMILARITY) -> DataFrame:
     nodes = written(signs.groupBy("digest").agg(F.min("doc").alias("node")), "nodes")
     own = written(signs.join(nodes, [signs["digest"] == nodes["digest"], signs["doc"] == nodes["node"]], "left_semi").drop("digest"), "node-signatures")
     rows = own.select(F.col("doc").alias("node"), F.explode("bands").alias("key"))
-    shared = rows.groupBy("key").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x < y").select("key")
-    members = written(rows.join(shared, "key").select("key", "node").distinct(), "buckets")
+    # A row for each id and bucket, also where an id has several bags.
+    shared = written(rows.distinct().groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "shared-buckets")
+    members = written(rows.distinct().join(shared, "key"), "buckets")
     suspects = written(members.select(F.col("node").alias("doc")).distinct(), "suspects")
     texts = written(plain.join(small(suspects, 16), "doc"), "suspect-texts")
     links = links_of(members, own.select("doc", "signature"), texts, least)
