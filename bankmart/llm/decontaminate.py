@@ -4,9 +4,10 @@ Texts are brought to templates: a number, a name (a capitalised word within a se
 unit after a number become placeholders of their type, other words are in lower case. Windows
 of a template's words are hash-joined: every window of an item, and of a document one at each
 sixth word, which meets any stretch of thirteen words. At each place so found, item and document
-are laid against each other word by word. The longest stretch that agrees must have thirteen
-words, or be the whole of a shorter item, and its slots must be consistent: each number, name
-or unit of the item stands for one and the same in the document, and the other way about.
+are laid against each other word by word. A stretch that agrees must have thirteen words, or be
+the whole of a shorter item, and its slots must be consistent: each number, name or unit of the
+item stands for one and the same in the document, and the other way about. A slot that breaks
+this ends a stretch, as a word does that differs; every stretch between is judged.
 
 All of it is built-in functions. Documents are not shuffled while the windows of the benchmark
 and the places found are small enough to be looked up from the scan.
@@ -82,10 +83,58 @@ def _run(flags: Column) -> Column:
     return F.aggregate(flags, zero, step)["best"]
 
 
+def _breaks(slots: Column, key: str, other: str) -> Column:
+    """Pairs of slots that may not stand in one stretch: one ``key``, and not one ``other``. Neighbours within a key suffice."""
+    order = F.array_sort(F.transform(slots, lambda p: F.struct(p["kind"].alias("kind"), p[key].alias("key"), p["at"].alias("at"), p[other].alias("other"))))
+    n = F.greatest(F.size(order) - 1, F.lit(0))
+    return F.filter(
+        F.zip_with(F.slice(order, 1, n), F.slice(order, 2, n), lambda a, b: F.when(
+            (a["kind"] == b["kind"]) & (a["key"] == b["key"]) & (a["other"] != b["other"]), F.struct(b["at"].alias("end"), (a["at"] + 1).alias("start"))
+        )),
+        lambda x: x.isNotNull(),
+    )
+
+
+def _stretches(pairs: Column, need: Column) -> Column:
+    """Start and length of every longest stretch of ``need`` words that agree, with consistent slots."""
+    # A word that does not agree ends a stretch, and the next one starts behind it; so does a slot at odds with an earlier one.
+    cuts = F.transform(F.filter(pairs, lambda p: ~p["agree"]), lambda p: F.struct(p["at"].alias("end"), (p["at"] + 1).alias("start")))
+    slots = F.filter(pairs, lambda p: p["agree"] & p["slot"])
+    size = F.size(pairs)
+    last = F.array(F.struct(size.alias("end"), (size + 1).alias("start")))
+    events = F.array_sort(F.concat(cuts, _breaks(slots, "i", "d"), _breaks(slots, "d", "i"), last))
+    none = F.array().cast("array<struct<start:int,length:int>>")
+
+    def step(a, e):
+        own = F.array(F.struct(a["start"].alias("start"), (e["end"] - a["start"]).alias("length")))
+        whole = (e["start"] > a["start"]) & (e["end"] - a["start"] >= need)
+        return F.struct(F.greatest(a["start"], e["start"]).alias("start"), F.when(whole, F.concat(a["out"], own)).otherwise(a["out"]).alias("out"))
+
+    return F.aggregate(events, F.struct(F.lit(0).alias("start"), none.alias("out")), step)["out"]
+
+
+def _plain_enough(run: Column, need: Column) -> Column:
+    """Start and length of the longest part of ``need`` words of which enough are no placeholders; null without any."""
+    size = F.size(run)
+    # What words are above their share up to each place: a part has enough where it ends no lower than it starts.
+    gain = lambda p: F.when(p["counted"], F.lit(-LEAST_WORDS)).otherwise(F.lit(1 - LEAST_WORDS))
+    total = F.aggregate(run, F.lit(0.0).cast("double"), lambda a, p: a + gain(p))
+    height = F.transform(F.sequence(F.lit(0), size), lambda k: F.aggregate(F.slice(run, 1, k), F.lit(0.0).cast("double"), lambda a, p: a + gain(p)))
+
+    def longest(s):
+        ends = F.filter(F.sequence(s + need, size), lambda e: F.get(height, e) >= F.get(height, s))
+        return F.struct((F.array_max(ends) - s).alias("length"), (-s).alias("back"))
+
+    parts = F.filter(F.transform(F.sequence(F.lit(0), size - need), longest), lambda x: x["length"].isNotNull())
+    best = F.array_max(parts)
+    part = F.struct((-best["back"]).alias("start"), best["length"].alias("length"))
+    return F.when(total >= 0, F.struct(F.lit(0).alias("start"), size.alias("length"))).when(best.isNotNull(), part)
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id``, ``item_id``, ``run_words``, ``n_slots``, ``same_slots``: one row per document and item found in it.
 
-    ``run_words`` is the length of the longest stretch they share, ``n_slots`` its placeholders,
+    ``run_words`` is the length of the longest stretch they share and that counts, ``n_slots`` its placeholders,
     ``same_slots`` whether all stand for the very words of the item. ``docs`` has ``doc_id`` and
     ``text``, ``benchmark`` ``item_id`` and ``text``; other columns are ignored. Null or empty
     texts hold nothing. Rows that repeat an id, or have none, are searched each for itself and
@@ -135,13 +184,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             F.slice("draw", first + F.col("shift") + 1, count).alias("d"),
         ).alias("pairs"),
     )
-    laid = laid.withColumn("best", _run(F.transform("pairs", lambda p: (p["t"] == p["dt"]) | (p["i"] == p["d"]))))
-    laid = laid.where(F.col("best.length") >= F.col("need"))
-    laid = laid.withColumn("run", F.slice("pairs", 1 - F.col("best.back"), F.col("best.length")))
-    laid = laid.withColumn("slots", F.filter("run", lambda p: _is_slot(p["t"]) | _is_slot(p["dt"])))
-    kinds = lambda *names: F.size(F.array_distinct(F.transform("slots", lambda p: F.struct(p["t"].alias("t"), *[p[n].alias(n) for n in names]))))
-    consistent = (kinds("i") == kinds("i", "d")) & (kinds("d") == kinds("i", "d"))
-    laid = laid.where(consistent & (F.size("slots") <= (1 - LEAST_WORDS) * F.col("best.length")))
+    agree = lambda p: (p["t"] == p["dt"]) | (p["i"] == p["d"])
+    laid = laid.where(_run(F.transform("pairs", agree))["length"] >= F.col("need"))
+    slot = lambda p: _is_slot(p["t"]) | _is_slot(p["dt"])
+    laid = laid.withColumn("pairs", F.transform("pairs", lambda p, at: F.struct(
+        at.alias("at"), p["i"].alias("i"), p["d"].alias("d"), agree(p).alias("agree"), slot(p).alias("slot"), slot(p).alias("counted"),
+        F.when(_is_slot(p["t"]), p["t"]).otherwise(p["dt"]).alias("kind"),
+    )))
+    laid = laid.select("doc_id", "item_id", "need", "pairs", F.explode(_stretches(F.col("pairs"), F.col("need"))).alias("whole"))
+    laid = laid.withColumn("run", F.slice("pairs", F.col("whole.start") + 1, F.col("whole.length")))
+    laid = laid.withColumn("best", _plain_enough(F.col("run"), F.col("need"))).where("best IS NOT NULL")
+    laid = laid.withColumn("run", F.slice("run", F.col("best.start") + 1, F.col("best.length")))
+    laid = laid.withColumn("slots", F.filter("run", lambda p: p["counted"]))
     return laid.groupBy("doc_id", "item_id").agg(
         F.max(F.col("best.length").cast("long")).alias("run_words"),
         F.max_by(F.size("slots").cast("long"), F.struct("best.length", F.size("slots"))).alias("n_slots"),

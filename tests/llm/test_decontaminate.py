@@ -84,3 +84,25 @@ def test_test_tables_by_brute_force(spark, docs, monkeypatch):
     shared = lambda t, x: any(" ".join(w[k : k + RUN]) in x for w in [t.split()] for k in range(len(w) - RUN + 1))
     texts = {d.doc_id: " ".join(word.findall(d.text.lower())) for d in docs.collect()}
     assert all(shared(own[i], texts[d]) for d, i in got)
+
+
+def plain(n, seed=9):
+    rng = random.Random(seed)
+    return [f"w{rng.randrange(16**6):06x}q" for _ in range(n)]
+
+
+def test_a_slot_at_odds_ends_a_stretch_and_no_more(spark):
+    words = plain(40)
+    words[2] = words[34] = "5"
+    other = [*words[:34], "6", *words[35:]]
+    got = found(spark, [(1, " ".join(other)), (2, " ".join([*words[:8], "other", *words[9:20]]))], [(1, " ".join(words))])
+    assert set(got) == {(1, 1)} and got[1, 1]["run_words"] == 37 and got[1, 1]["same_slots"]
+
+
+def test_a_stretch_full_of_placeholders_hides_no_other(spark):
+    words, numbers = plain(20), [str(i) for i in range(100, 130)]
+    item, doc = " ".join(words + numbers), " ".join(words + [str(int(n) + 500) for n in numbers])
+    got = found(spark, [(1, doc)], [(1, item)])
+    assert got[1, 1]["run_words"] == 40 and got[1, 1]["n_slots"] == 20
+    again = " ".join(plain(20, 1) + [str(i) for i in range(5)] + ["end"] + words)
+    assert set(found(spark, [(1, again + " x " + " ".join(numbers))], [(1, item)])) == {(1, 1)}
