@@ -2,8 +2,8 @@
 
 Texts are brought to templates: a number, a name (a capitalised word within a sentence) and a
 unit after a number become placeholders of their type, other words are in lower case. Windows
-of a template's words are hash-joined: every window of an item, and of a document one at each
-sixth word, which meets any stretch of thirteen words. At each place so found, item and document
+are hash-joined at every place, of a document with names as placeholders and as plain words, of
+an item with every choice between these, so a copy in other case is met too. At each place so found, item and document
 are laid against each other word by word. A stretch that agrees must have thirteen words, or be
 the whole of a shorter item, and its slots must be consistent: each number, name or unit of the
 item stands for one and the same in the document, and the other way about. A slot that breaks
@@ -24,7 +24,6 @@ from bankmart.store import written
 
 WINDOW = 8
 RUN = 13
-STRIDE = RUN - WINDOW + 1
 LEAST_WORDS = 0.5
 
 NUMBER, NAME, UNIT = "", "", ""
@@ -49,9 +48,25 @@ def raw_words(text: Column) -> Column:
     return _words(_joined(text))
 
 
+def _alone(pattern: str) -> str:
+    """A pattern for whole words."""
+    return rf"(?<![^{GAP[1:-2]}])(?:{pattern})(?![^{GAP[1:-2]}])"
+
+
+def _lookup(words: Column) -> Column:
+    """Words as they are looked up: what is a unit behind a number is the placeholder in every place."""
+    return F.transform(words, lambda w: F.when(w.isin(UNITS), UNIT).otherwise(w))
+
+
+def plain_words(text: Column) -> Column:
+    """As many words as ``raw_words``, with placeholders for numbers alone."""
+    return _words(F.regexp_replace(_joined(text), _alone(r"\d+"), NUMBER))
+
+
 def template_words(text: Column) -> Column:
     """As many words as ``raw_words``, with placeholders."""
-    t = F.regexp_replace(_joined(text), r"\p{Lu}(?<=[\p{Ll}\d,;] \p{Lu})\p{Ll}\p{L}*", NAME)
+    t = F.regexp_replace(_joined(text), r"\s+", " ")
+    t = F.regexp_replace(t, r"\p{Lu}(?<=[\p{Ll}\d,;] \p{Lu})\p{Ll}\p{L}*", NAME)
     t = F.regexp_replace(t, r"\b\d+\b", NUMBER)
     t = F.regexp_replace(t, rf"{NUMBER} (?:{'|'.join(UNITS)})\b", f"{NUMBER} {UNIT}")
     return _words(t)
@@ -61,15 +76,44 @@ def _is_slot(word: Column) -> Column:
     return word.isin(NUMBER, NAME, UNIT)
 
 
-def _windows(words: Column, size: int, stride: int) -> Column:
-    """Place and hash of windows, but for those that are mostly placeholders."""
-    last = F.size(words) - size
-    at = F.when(last >= 0, F.sequence(F.lit(0), last, F.lit(stride))).otherwise(F.array().cast("array<int>"))
-    return F.transform(at, lambda i: F.struct(i.alias("at"), F.xxhash64(F.slice(words, i + 1, size)).alias("hash")))
+def _forms(text: Column) -> list[Column]:
+    """The words of a text as they are looked up, one array for each way to read its names; null for one like the first."""
+    first, *more = [_lookup(form(text)) for form in (plain_words, template_words)]
+    return [first, *[F.when(m != first, m) for m in more]]
+
+
+def _doc_windows(rows: DataFrame, forms: list[str], size: int) -> DataFrame:
+    """Place and hash of the windows at every place, in each form in which they differ."""
+    last = F.size(forms[0]) - size
+    at = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+    hashes = lambda i: [F.when(F.col(f).isNotNull(), F.xxhash64(F.slice(f, i + 1, size))).alias(f) for f in forms]
+    places = rows.select("doc", F.explode(F.transform(at, lambda i: F.struct(i.alias("at"), *hashes(i)))).alias("w"))
+    own = F.array_distinct(F.array_compact(F.array(*[F.col(f"w.{f}") for f in forms])))
+    return places.select("doc", "w.at", F.explode(own).alias("hash"))
+
+
+def _item_windows(items: DataFrame, forms: list[str], size: int) -> DataFrame:
+    """Place and hash of the windows at every place, with each choice of names read as names or as words.
+
+    Of the windows of a stretch with enough plain words one has as many itself, so no others are needed.
+    """
+    last = F.size(forms[0]) - size
+    at = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+    few = lambda words: F.size(F.filter(words, lambda w: w.isin(NUMBER, NAME))) <= (1 - LEAST_WORDS) * size
+    windows = items.select("item", *forms, F.explode(at).alias("at"))
+    windows = windows.select("item", "at", *[F.slice(f, F.col("at") + 1, size).alias(f) for f in forms])
+    first, last_form = F.col(forms[0]), F.coalesce(F.col(forms[-1]), F.col(forms[0]))
 
+    def either(made, pair):
+        plain = F.transform(made, lambda words: F.concat(words, F.array(pair["word"])))
+        named = F.transform(made, lambda words: F.concat(words, F.array(F.lit(NAME))))
+        return F.filter(F.when(pair["name"], F.concat(plain, named)).otherwise(plain), few)
 
-def _exploded(rows: DataFrame, keep: list[str], size: int, stride: int) -> DataFrame:
-    return rows.select(*keep, F.explode(_windows(F.col("words"), size, stride)).alias("w")).select(*keep, "w.at", "w.hash")
+    pairs = F.zip_with(first, last_form, lambda w, n: F.struct(w.alias("word"), (n == NAME).alias("name")))
+    chosen = F.aggregate(pairs, F.array(F.array().cast("array<string>")), either)
+    # Words that hold a name and more are in the forms alone.
+    chosen = F.filter(F.concat(chosen, F.array_compact(F.array(*[F.col(f) for f in forms]))), few)
+    return windows.select("item", F.col("at").alias("item_at"), F.explode(F.array_distinct(F.transform(chosen, lambda w: F.xxhash64(w)))).alias("hash"))
 
 
 def _run(flags: Column) -> Column:
@@ -141,26 +185,23 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     reported under that id once; so are items. Stretches that are mostly placeholders don't count. No
     documents or no items: no rows.
     """
-    items = pick(benchmark, "item_id", "text").where("text IS NOT NULL").select(
-        "item_id", template_words(F.col("text")).alias("words"), raw_words(F.col("text")).alias("raw")
-    ).withColumn("need", F.least(F.size("words"), F.lit(RUN)))
+    items = pick(benchmark, "item_id", "text").where("text IS NOT NULL")
+    forms = [f"form{n}" for n in range(len(_forms(F.col("text"))))]
+    named = [f.alias(n) for f, n in zip(_forms(F.col("text")), forms)]
+    items = items.select("item_id", template_words(F.col("text")).alias("words"), raw_words(F.col("text")).alias("raw"), *named)
+    items = items.withColumn("need", F.least(F.size("words"), F.lit(RUN)))
     # A number of its own for each row: ids may repeat or be null.
     items = written(items.where("need > 0").withColumn("item", F.monotonically_increasing_id()), "benchmark-items")
     texts = pick(docs, "doc_id", "text").withColumn("doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)))
-    parsed = texts.select("doc", template_words(F.col("text")).alias("words"))
+    parsed = texts.select("doc", *named)
 
-    # Items shorter than a full stretch are looked for whole, at every place.
+    # Items shorter than a full stretch are looked for whole.
     short = [r["need"] for r in items.where(F.col("need") < RUN).select("need").distinct().collect()]  # at most RUN - 1
-    plans = [(F.col("need") == RUN, WINDOW, STRIDE)] + [(F.col("need") == n, n, 1) for n in sorted(short)]
+    plans = [(F.col("need") == RUN, WINDOW)] + [(F.col("need") == n, n) for n in sorted(short)]
     found = None
-    for which, size, stride in plans:
-        own = written(
-            _exploded(items.where(which), ["item", "words"], size, 1)
-            .where(F.size(F.filter(F.slice("words", F.col("at") + 1, size), _is_slot)) <= (1 - LEAST_WORDS) * size)
-            .select("item", F.col("at").alias("item_at"), "hash"),
-            "benchmark-windows",
-        )
-        hits = _exploded(parsed, ["doc"], size, stride).join(small(own, 48), "hash")
+    for which, size in plans:
+        own = written(_item_windows(items.where(which), forms, size), "benchmark-windows")
+        hits = _doc_windows(parsed, forms, size).join(small(own, 48), "hash")
         hits = hits.select("doc", "item", (F.col("at") - F.col("item_at")).alias("shift"))
         found = hits if found is None else found.unionByName(hits)
     # Partial aggregates first: a document leaves a task with one row for each place of an item.
@@ -172,7 +213,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     # Of a document only the words beside each item go on.
     laid = rows.select("doc_id", "dwords", "draw", F.explode("places").alias("p")).select("doc_id", "dwords", "draw", "p.*")
-    laid = laid.join(small(items, 4096), "item")
+    laid = laid.join(small(items.drop(*forms), 4096), "item")
     first = F.greatest(F.lit(0), -F.col("shift"))
     # None, where another row of the same id holds the place.
     count = F.greatest(F.lit(0), F.least(F.size("words") - first, F.size("dwords") - F.col("shift") - first))
@@ -188,7 +229,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     laid = laid.where(_run(F.transform("pairs", agree))["length"] >= F.col("need"))
     slot = lambda p: _is_slot(p["t"]) | _is_slot(p["dt"])
     laid = laid.withColumn("pairs", F.transform("pairs", lambda p, at: F.struct(
-        at.alias("at"), p["i"].alias("i"), p["d"].alias("d"), agree(p).alias("agree"), slot(p).alias("slot"), slot(p).alias("counted"),
+        at.alias("at"), p["i"].alias("i"), p["d"].alias("d"), agree(p).alias("agree"), slot(p).alias("slot"),
+        ((p["i"] != p["d"]) | (p["t"] == NUMBER) | (p["dt"] == NUMBER) | ((p["t"] == NAME) & (p["dt"] == NAME))).alias("counted"),
         F.when(_is_slot(p["t"]), p["t"]).otherwise(p["dt"]).alias("kind"),
     )))
     laid = laid.select("doc_id", "item_id", "need", "pairs", F.explode(_stretches(F.col("pairs"), F.col("need"))).alias("whole"))

@@ -106,3 +106,23 @@ def test_a_stretch_full_of_placeholders_hides_no_other(spark):
     assert got[1, 1]["run_words"] == 40 and got[1, 1]["n_slots"] == 20
     again = " ".join(plain(20, 1) + [str(i) for i in range(5)] + ["end"] + words)
     assert set(found(spark, [(1, again + " x " + " ".join(numbers))], [(1, item)])) == {(1, 1)}
+
+
+@pytest.mark.parametrize("first", range(1, 8))
+def test_every_alignment_of_a_run_full_of_slots(spark, first):
+    words = plain(13, first)
+    for k in range(first, first + 5):
+        words[k] = str(300 + k)
+    other = [str(int(w) + 70) if w.isdigit() else w for w in words]
+    rows = [(n, " ".join(["pad"] * n + other + ["end"] * (n % 3))) for n in range(6)]
+    assert {d for d, _ in found(spark, rows, [(1, " ".join(words))])} == set(range(6))
+
+
+def test_copies_in_other_case_and_spacing(spark):
+    words = plain(30, 3)
+    for k, name in zip(range(2, 30, 4), ["Alder", "Boris", "Clara", "Dmitri", "Elena", "Fred", "Greta"]):
+        words[k] = name
+    words[9] = "17"
+    item = " ".join(words)
+    rows = [item.lower(), item.upper(), item.replace(" ", "  "), item.replace(" ", "\n"), item.lower().replace("17", "18"), item.replace("Boris", "boris").replace("Greta", "Olga")]
+    assert {d for d, _ in found(spark, list(enumerate(rows)), [(1, item)])} == set(range(len(rows)))
