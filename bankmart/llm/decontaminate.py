@@ -1,6 +1,6 @@
 """Find benchmark questions in documents, also with other numbers, names or units.
 
-Texts are brought to templates: a number, a name (a capitalised word within a sentence) and a
+Texts are brought to templates: a number, a name (a capitalised word) and a
 unit after a number become placeholders of their type, other words are in lower case. Windows
 are hash-joined at every place, of a document with names as placeholders and as plain words, of
 an item with every choice between these, so a copy in other case is met too. At each place so found, item and document
@@ -63,6 +63,12 @@ def plain_words(text: Column) -> Column:
     return _words(F.regexp_replace(_joined(text), _alone(r"\d+"), NUMBER))
 
 
+def capital_words(text: Column) -> Column:
+    """As many words as ``raw_words``, with placeholders for numbers and every capitalised word."""
+    t = F.regexp_replace(_joined(text), _alone(r"\d+"), NUMBER)
+    return _words(F.regexp_replace(t, _alone(r"\p{Lu}\p{L}+"), NAME))
+
+
 def template_words(text: Column) -> Column:
     """As many words as ``raw_words``, with placeholders."""
     t = F.regexp_replace(_joined(text), r"\s+", " ")
@@ -78,7 +84,7 @@ def _is_slot(word: Column) -> Column:
 
 def _forms(text: Column) -> list[Column]:
     """The words of a text as they are looked up, one array for each way to read its names; null for one like the first."""
-    first, *more = [_lookup(form(text)) for form in (plain_words, template_words)]
+    first, *more = [_lookup(form(text)) for form in (plain_words, template_words, capital_words)]
     return [first, *[F.when(m != first, m) for m in more]]
 
 
@@ -144,9 +150,12 @@ def _stretches(pairs: Column, need: Column) -> Column:
     # A word that does not agree ends a stretch, and the next one starts behind it; so does a slot at odds with an earlier one.
     cuts = F.transform(F.filter(pairs, lambda p: ~p["agree"]), lambda p: F.struct(p["at"].alias("end"), (p["at"] + 1).alias("start")))
     slots = F.filter(pairs, lambda p: p["agree"] & p["slot"])
+    # Words that open a sentence are held against each other also where they are equal.
+    opening = F.filter(pairs, lambda p: p["agree"] & p["capital"])
+    breaks = [_breaks(s, *keys) for s in (slots, opening) for keys in (("i", "d"), ("d", "i"))]
     size = F.size(pairs)
     last = F.array(F.struct(size.alias("end"), (size + 1).alias("start")))
-    events = F.array_sort(F.concat(cuts, _breaks(slots, "i", "d"), _breaks(slots, "d", "i"), last))
+    events = F.array_sort(F.concat(cuts, *breaks, last))
     none = F.array().cast("array<struct<start:int,length:int>>")
 
     def step(a, e):
@@ -188,7 +197,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = pick(benchmark, "item_id", "text").where("text IS NOT NULL")
     forms = [f"form{n}" for n in range(len(_forms(F.col("text"))))]
     named = [f.alias(n) for f, n in zip(_forms(F.col("text")), forms)]
-    items = items.select("item_id", template_words(F.col("text")).alias("words"), raw_words(F.col("text")).alias("raw"), *named)
+    items = items.select("item_id", template_words(F.col("text")).alias("words"), raw_words(F.col("text")).alias("raw"), capital_words(F.col("text")).alias("capital"), *named)
     items = items.withColumn("need", F.least(F.size("words"), F.lit(RUN)))
     # A number of its own for each row: ids may repeat or be null.
     items = written(items.where("need > 0").withColumn("item", F.monotonically_increasing_id()), "benchmark-items")
@@ -209,10 +218,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     by_doc = written(places.groupBy("doc").agg(F.collect_list(F.struct("item", "shift")).alias("places")), "benchmark-documents")
     rows = texts.join(small(by_doc, 16 + 64), "doc").select(
-        "doc_id", template_words(F.col("text")).alias("dwords"), raw_words(F.col("text")).alias("draw"), "places"
+        "doc_id", template_words(F.col("text")).alias("dwords"), raw_words(F.col("text")).alias("draw"),
+        capital_words(F.col("text")).alias("dcapital"), "places",
     )
     # Of a document only the words beside each item go on.
-    laid = rows.select("doc_id", "dwords", "draw", F.explode("places").alias("p")).select("doc_id", "dwords", "draw", "p.*")
+    laid = rows.select("doc_id", "dwords", "draw", "dcapital", F.explode("places").alias("p")).select("doc_id", "dwords", "draw", "dcapital", "p.*")
     laid = laid.join(small(items.drop(*forms), 4096), "item")
     first = F.greatest(F.lit(0), -F.col("shift"))
     # None, where another row of the same id holds the place.
@@ -223,15 +233,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             F.slice("words", first + 1, count).alias("t"), F.slice("raw", first + 1, count).alias("i"),
             F.slice("dwords", first + F.col("shift") + 1, count).alias("dt"),
             F.slice("draw", first + F.col("shift") + 1, count).alias("d"),
+            F.slice("capital", first + 1, count).alias("c"),
+            F.slice("dcapital", first + F.col("shift") + 1, count).alias("dc"),
         ).alias("pairs"),
     )
-    agree = lambda p: (p["t"] == p["dt"]) | (p["i"] == p["d"])
+    # Capitalised words, also at the start of a sentence, stand for each other as names do.
+    agree = lambda p: (p["t"] == p["dt"]) | (p["i"] == p["d"]) | (p["c"] == p["dc"])
     laid = laid.where(_run(F.transform("pairs", agree))["length"] >= F.col("need"))
-    slot = lambda p: _is_slot(p["t"]) | _is_slot(p["dt"])
+    slot = lambda p: _is_slot(p["t"]) | _is_slot(p["dt"]) | (p["i"] != p["d"])
+    capital = lambda p: ~_is_slot(p["t"]) & ~_is_slot(p["dt"]) & (p["c"] == NAME) & (p["dc"] == NAME)
     laid = laid.withColumn("pairs", F.transform("pairs", lambda p, at: F.struct(
-        at.alias("at"), p["i"].alias("i"), p["d"].alias("d"), agree(p).alias("agree"), slot(p).alias("slot"),
+        at.alias("at"), p["i"].alias("i"), p["d"].alias("d"), agree(p).alias("agree"), slot(p).alias("slot"), capital(p).alias("capital"),
         ((p["i"] != p["d"]) | (p["t"] == NUMBER) | (p["dt"] == NUMBER) | ((p["t"] == NAME) & (p["dt"] == NAME))).alias("counted"),
-        F.when(_is_slot(p["t"]), p["t"]).otherwise(p["dt"]).alias("kind"),
+        F.when(_is_slot(p["t"]), p["t"]).when(_is_slot(p["dt"]), p["dt"]).otherwise(p["c"]).alias("kind"),
     )))
     laid = laid.select("doc_id", "item_id", "need", "pairs", F.explode(_stretches(F.col("pairs"), F.col("need"))).alias("whole"))
     laid = laid.withColumn("run", F.slice("pairs", F.col("whole.start") + 1, F.col("whole.length")))

@@ -126,3 +126,17 @@ def test_copies_in_other_case_and_spacing(spark):
     item = " ".join(words)
     rows = [item.lower(), item.upper(), item.replace(" ", "  "), item.replace(" ", "\n"), item.lower().replace("17", "18"), item.replace("Boris", "boris").replace("Greta", "Olga")]
     assert {d for d, _ in found(spark, list(enumerate(rows)), [(1, item)])} == set(range(len(rows)))
+
+
+def test_names_that_open_sentences(spark):
+    item = "Anna has 3 apples and 4 pears. Boris has 5 plums and 6 figs. Clara has 7 nuts and 8 dates."
+    again = item.replace("Anna", "Zoe").replace("Boris", "Otto").replace("Clara", "Mia")
+    mixed = again.replace("Otto", "Zoe").replace("Mia", "Zoe").replace("5", "9").replace("6", "9")
+    short = "Anna buys 3 red apples"
+    got = found(
+        spark,
+        [(1, again), (2, "Here: “" + again + "”"), (3, again.replace("Zoe", "ZOE").replace("Mia", "MIA")), (4, mixed), (5, "Zoe buys 4 red apples"), (6, "he buys 4 red apples")],
+        [(1, item), (2, short)],
+    )
+    assert set(got) == {(1, 1), (2, 1), (3, 1), (5, 2)}
+    assert got[1, 1]["run_words"] == 21 and got[1, 1]["n_slots"] == 9 and not got[1, 1]["same_slots"]
