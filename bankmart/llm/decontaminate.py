@@ -2,8 +2,9 @@
 
 Texts are brought to templates: a number, a name (a capitalised word) and a
 unit after a number become placeholders of their type, other words are in lower case. Windows
-are hash-joined at every place, of a document with names as placeholders and as plain words, of
-an item with every choice between these, so a copy in other case is met too. At each place so found, item and document
+are hash-joined, of a document one at each sixth word, which meets any stretch of thirteen words,
+with names as placeholders and as plain words, of an item all, with every choice between these,
+so a copy in other case is met too. How many words are placeholders is judged later. At each place so found, item and document
 are laid against each other word by word. A stretch that agrees must have thirteen words, or be
 the whole of a shorter item, and its slots must be consistent: each number, name or unit of the
 item stands for one and the same in the document, and the other way about. A slot that breaks
@@ -24,6 +25,7 @@ from bankmart.store import written
 
 WINDOW = 8
 RUN = 13
+STRIDE = RUN - WINDOW + 1
 LEAST_WORDS = 0.5
 
 NUMBER, NAME, UNIT = "", "", ""
@@ -48,25 +50,25 @@ def raw_words(text: Column) -> Column:
     return _words(_joined(text))
 
 
-def _alone(pattern: str) -> str:
-    """A pattern for whole words."""
-    return rf"(?<![^{GAP[1:-2]}])(?:{pattern})(?![^{GAP[1:-2]}])"
+def _alone(first: str, more: str) -> str:
+    """A pattern for whole words, by their first character and the others."""
+    return rf"{first}(?<![^{GAP[1:-2]}]{first}){more}(?![^{GAP[1:-2]}])"
 
 
-def _lookup(words: Column) -> Column:
-    """Words as they are looked up: what is a unit behind a number is the placeholder in every place."""
-    return F.transform(words, lambda w: F.when(w.isin(UNITS), UNIT).otherwise(w))
+def _measured(text: Column) -> Column:
+    """Text with placeholders for numbers and the units behind them, which words alone decide."""
+    t = F.regexp_replace(_joined(text), _alone(r"\d", r"\d*"), NUMBER)
+    return F.regexp_replace(t, rf"{NUMBER}{GAP}(?i:{'|'.join(UNITS)})(?![^{GAP[1:-2]}])", f"{NUMBER} {UNIT}")
 
 
 def plain_words(text: Column) -> Column:
-    """As many words as ``raw_words``, with placeholders for numbers alone."""
-    return _words(F.regexp_replace(_joined(text), _alone(r"\d+"), NUMBER))
+    """As many words as ``raw_words``, with placeholders for numbers and units."""
+    return _words(_measured(text))
 
 
 def capital_words(text: Column) -> Column:
-    """As many words as ``raw_words``, with placeholders for numbers and every capitalised word."""
-    t = F.regexp_replace(_joined(text), _alone(r"\d+"), NUMBER)
-    return _words(F.regexp_replace(t, _alone(r"\p{Lu}\p{L}+"), NAME))
+    """As many words as ``raw_words``, with placeholders for numbers, units and every capitalised word."""
+    return _words(F.regexp_replace(_measured(text), _alone(r"\p{Lu}", r"\p{L}+"), NAME))
 
 
 def template_words(text: Column) -> Column:
@@ -84,28 +86,32 @@ def _is_slot(word: Column) -> Column:
 
 def _forms(text: Column) -> list[Column]:
     """The words of a text as they are looked up, one array for each way to read its names; null for one like the first."""
-    first, *more = [_lookup(form(text)) for form in (plain_words, template_words, capital_words)]
+    first, *more = [form(text) for form in (plain_words, template_words, capital_words)]
     return [first, *[F.when(m != first, m) for m in more]]
 
 
-def _doc_windows(rows: DataFrame, forms: list[str], size: int) -> DataFrame:
-    """Place and hash of the windows at every place, in each form in which they differ."""
-    last = F.size(forms[0]) - size
-    at = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-    hashes = lambda i: [F.when(F.col(f).isNotNull(), F.xxhash64(F.slice(f, i + 1, size))).alias(f) for f in forms]
-    places = rows.select("doc", F.explode(F.transform(at, lambda i: F.struct(i.alias("at"), *hashes(i)))).alias("w"))
-    own = F.array_distinct(F.array_compact(F.array(*[F.col(f"w.{f}") for f in forms])))
-    return places.select("doc", "w.at", F.explode(own).alias("hash"))
+def _hash(words: Column) -> Column:
+    """Of a window. What is a unit behind a number is one at its start, too, where the number is not seen."""
+    first = F.get(words, F.lit(0))
+    return F.xxhash64(F.when(first.isin(UNITS), UNIT).otherwise(first), F.slice(words, 2, F.size(words)))
 
 
-def _item_windows(items: DataFrame, forms: list[str], size: int) -> DataFrame:
-    """Place and hash of the windows at every place, with each choice of names read as names or as words.
+def _places(words: str, size: int, stride: int) -> Column:
+    last = F.size(words) - size
+    return F.when(last >= 0, F.sequence(F.lit(0), last, F.lit(stride))).otherwise(F.array().cast("array<int>"))
 
-    Of the windows of a stretch with enough plain words one has as many itself, so no others are needed.
-    """
-    last = F.size(forms[0]) - size
-    at = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-    few = lambda words: F.size(F.filter(words, lambda w: w.isin(NUMBER, NAME))) <= (1 - LEAST_WORDS) * size
+
+def _doc_windows(rows: DataFrame, forms: list[str], size: int, stride: int) -> DataFrame:
+    """Place and hash of windows, in each form in which they differ."""
+    cut = lambda i: [F.slice(f, i + 1, size).alias(f) for f in forms]
+    places = rows.select("doc", F.explode(F.transform(_places(forms[0], size, stride), lambda i: F.struct(i.alias("at"), *cut(i)))).alias("w"))
+    hashes = [F.when(F.col(f"w.{f}").isNotNull(), _hash(F.col(f"w.{f}"))) for f in forms]
+    return places.select("doc", "w.at", F.explode(F.array_distinct(F.array_compact(F.array(*hashes)))).alias("hash"))
+
+
+def _item_windows(items: DataFrame, forms: list[str], size: int) -> DataFrame:
+    """Place and hash of the windows at every place, with each choice of names read as names or as words."""
+    at = _places(forms[0], size, 1)
     windows = items.select("item", *forms, F.explode(at).alias("at"))
     windows = windows.select("item", "at", *[F.slice(f, F.col("at") + 1, size).alias(f) for f in forms])
     first, last_form = F.col(forms[0]), F.coalesce(F.col(forms[-1]), F.col(forms[0]))
@@ -113,13 +119,13 @@ def _item_windows(items: DataFrame, forms: list[str], size: int) -> DataFrame:
     def either(made, pair):
         plain = F.transform(made, lambda words: F.concat(words, F.array(pair["word"])))
         named = F.transform(made, lambda words: F.concat(words, F.array(F.lit(NAME))))
-        return F.filter(F.when(pair["name"], F.concat(plain, named)).otherwise(plain), few)
+        return F.when(pair["name"], F.concat(plain, named)).otherwise(plain)
 
     pairs = F.zip_with(first, last_form, lambda w, n: F.struct(w.alias("word"), (n == NAME).alias("name")))
     chosen = F.aggregate(pairs, F.array(F.array().cast("array<string>")), either)
     # Words that hold a name and more are in the forms alone.
-    chosen = F.filter(F.concat(chosen, F.array_compact(F.array(*[F.col(f) for f in forms]))), few)
-    return windows.select("item", F.col("at").alias("item_at"), F.explode(F.array_distinct(F.transform(chosen, lambda w: F.xxhash64(w)))).alias("hash"))
+    chosen = F.concat(chosen, F.array_compact(F.array(*[F.col(f) for f in forms])))
+    return windows.select("item", F.col("at").alias("item_at"), F.explode(F.array_distinct(F.transform(chosen, _hash))).alias("hash"))
 
 
 def _run(flags: Column) -> Column:
@@ -204,13 +210,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     texts = pick(docs, "doc_id", "text").withColumn("doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)))
     parsed = texts.select("doc", *named)
 
-    # Items shorter than a full stretch are looked for whole.
+    # Items shorter than a full stretch are looked for whole, at every place.
     short = [r["need"] for r in items.where(F.col("need") < RUN).select("need").distinct().collect()]  # at most RUN - 1
-    plans = [(F.col("need") == RUN, WINDOW)] + [(F.col("need") == n, n) for n in sorted(short)]
+    plans = [(F.col("need") == RUN, WINDOW, STRIDE)] + [(F.col("need") == n, n, 1) for n in sorted(short)]
     found = None
-    for which, size in plans:
+    for which, size, stride in plans:
         own = written(_item_windows(items.where(which), forms, size), "benchmark-windows")
-        hits = _doc_windows(parsed, forms, size).join(small(own, 48), "hash")
+        hits = _doc_windows(parsed, forms, size, stride).join(small(own, 48), "hash")
         hits = hits.select("doc", "item", (F.col("at") - F.col("item_at")).alias("shift"))
         found = hits if found is None else found.unionByName(hits)
     # Partial aggregates first: a document leaves a task with one row for each place of an item.
