@@ -23,11 +23,17 @@ ORACLE_SQL = None
 BYTES_PER_ID = 16
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose ``doc_id`` is not among ``ids``. A null is an id like any other."""
-    plain, (doc,) = numbered(docs, "doc_id")
-    gone = small(written(ids.toDF("gone").distinct(), "gone"), BYTES_PER_ID)
-    return plain.join(gone, plain[doc].eqNullSafe(gone["gone"]), "left_anti").toDF(*docs.columns)
+def _by_row(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``docs`` by position with a number for each row, ``row``; and ``row``, ``id``, ``text``. Ids may repeat or be null."""
+    plain, (doc, text) = numbered(docs, "doc_id", "text")
+    rows = written(plain.withColumn("row", F.monotonically_increasing_id()), "rows")
+    return rows, rows.select("row", F.col(doc).alias("id"), F.col(text).alias("text"))
+
+
+def _without(rows: DataFrame, gone: DataFrame, columns: list[str]) -> DataFrame:
+    """The rows whose number is not among ``gone``."""
+    gone = small(written(gone.toDF("gone"), "gone"), BYTES_PER_ID)
+    return rows.join(gone, rows["row"] == gone["gone"], "left_anti").drop("row").toDF(*columns)
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,13 +56,27 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near copies the document with the smallest id."""
-    return _without(docs, near_dedup(docs).where("doc_id <> class_id").select("doc_id"))
+    """Of each class of near copies the document with the smallest id, or else the first without one.
+
+    Rows are compared each for itself. Those of a class that repeat the id that stays are of that document, and stay.
+    A row with neither id nor text is a copy of nothing.
+    """
+    rows, own = _by_row(docs)
+    others = written(near_dedup(own.where("id IS NOT NULL OR text IS NOT NULL").select(F.col("row").alias("doc_id"), "text")).where("doc_id <> class_id").select("doc_id", "class_id"), "copies")
+    firsts = others.select(F.col("class_id").alias("doc_id"), "class_id").distinct()
+    members = small(written(others.unionByName(firsts).toDF("member", "class"), "members"), 2 * BYTES_PER_ID)
+    members = written(own.select("row", "id").join(members, F.col("row") == F.col("member")).select("row", "id", "class"), "classes")
+    order = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("row").alias("row"))
+    kept = small(written(members.groupBy("class").agg(F.min(order).alias("kept")), "kept"), 2 * BYTES_PER_ID)
+    gone = members.join(kept, "class").where("row <> kept.row AND NOT coalesce(id = kept.id, false)").select("row")
+    return _without(rows, gone, docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    return _without(docs, decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id"))
+    """Documents that hold no benchmark item, row by row."""
+    rows, own = _by_row(docs)
+    found = decontaminate.contaminated(own.select(F.col("row").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    return _without(rows, found.select("doc_id").distinct(), docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -69,6 +69,19 @@ def test_a_null_id_is_dropped_only_for_its_own_sake(spark, odd_docs, docs):
     assert sorted(r[0] for r in plain if r[0] is not None) == [1, 2, 2, 3, 5, 5, 7] and sum(r[0] is None for r in plain) == 2
 
 
+def test_rows_without_an_id_or_with_a_repeated_one_go_by_themselves(spark):
+    item = table(spark, SF, "benchmark").first().text
+    other = "a clean text of its own about rivers and hills that nobody has copied from anywhere else"
+    copied = "one more text that stands here twice or more, word for word, and that is long enough for shingles"
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = lambda texts: spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in texts], schema)
+    got = lambda df: sorted(((r.doc_id, r.text) for r in df.collect()), key=str)
+    clean = corpus_pipeline.without_benchmark(spark, rows([(None, item), (None, other), (4, item), (4, copied)]), SF)
+    assert got(clean) == sorted([(None, other), (4, copied)], key=str)
+    single = corpus_pipeline.one_of_each_class(spark, rows([(None, copied), (None, copied), (None, other), (9, item), (6, other), (9, other)]), SF)
+    assert got(single) in ([(6, other), (9, item), (None, copied)], sorted([(6, other), (9, item), (None, copied)], key=str))
+
+
 def test_registered():
     assert registry.queries()["pipeline"] is corpus_pipeline.run
     names = [n for n in registry.queries() if n != "pipeline"]
