@@ -73,7 +73,7 @@ def capital_words(text: Column) -> Column:
 
 def template_words(text: Column) -> Column:
     """As many words as ``raw_words``, with placeholders."""
-    t = F.regexp_replace(_joined(text), r"\s+", " ")
+    t = F.regexp_replace(_joined(text), r"[^\S ]\s*| \s+", " ")
     t = F.regexp_replace(t, r"\p{Lu}(?<=[\p{Ll}\d,;] \p{Lu})\p{Ll}\p{L}*", NAME)
     t = F.regexp_replace(t, r"\b\d+\b", NUMBER)
     t = F.regexp_replace(t, rf"{NUMBER} (?:{'|'.join(UNITS)})\b", f"{NUMBER} {UNIT}")
