@@ -90,10 +90,9 @@ def _forms(text: Column) -> list[Column]:
     return [first, *[F.when(m != first, m) for m in more]]
 
 
-def _hash(words: Column) -> Column:
+def _hash(first: Column, others: Column) -> Column:
     """Of a window. What is a unit behind a number is one at its start, too, where the number is not seen."""
-    first = F.get(words, F.lit(0))
-    return F.xxhash64(F.when(first.isin(UNITS), UNIT).otherwise(first), F.slice(words, 2, F.size(words)))
+    return F.xxhash64(F.when(first.isin(UNITS), UNIT).otherwise(first), others)
 
 
 def _places(words: str, size: int, stride: int) -> Column:
@@ -103,10 +102,10 @@ def _places(words: str, size: int, stride: int) -> Column:
 
 def _doc_windows(rows: DataFrame, forms: list[str], size: int, stride: int) -> DataFrame:
     """Place and hash of windows, in each form in which they differ."""
-    cut = lambda i: [F.slice(f, i + 1, size).alias(f) for f in forms]
-    places = rows.select("doc", F.explode(F.transform(_places(forms[0], size, stride), lambda i: F.struct(i.alias("at"), *cut(i)))).alias("w"))
-    hashes = [F.when(F.col(f"w.{f}").isNotNull(), _hash(F.col(f"w.{f}"))) for f in forms]
-    return places.select("doc", "w.at", F.explode(F.array_distinct(F.array_compact(F.array(*hashes)))).alias("hash"))
+    hashes = lambda i: [F.when(F.col(f).isNotNull(), _hash(F.get(f, i), F.slice(f, i + 2, size - 1))).alias(f) for f in forms]
+    places = rows.select("doc", F.explode(F.transform(_places(forms[0], size, stride), lambda i: F.struct(i.alias("at"), *hashes(i)))).alias("w"))
+    own = F.array_distinct(F.array_compact(F.array(*[F.col(f"w.{f}") for f in forms])))
+    return places.select("doc", "w.at", F.explode(own).alias("hash"))
 
 
 def _item_windows(items: DataFrame, forms: list[str], size: int) -> DataFrame:
@@ -125,7 +124,7 @@ def _item_windows(items: DataFrame, forms: list[str], size: int) -> DataFrame:
     chosen = F.aggregate(pairs, F.array(F.array().cast("array<string>")), either)
     # Words that hold a name and more are in the forms alone.
     chosen = F.concat(chosen, F.array_compact(F.array(*[F.col(f) for f in forms])))
-    return windows.select("item", F.col("at").alias("item_at"), F.explode(F.array_distinct(F.transform(chosen, _hash))).alias("hash"))
+    return windows.select("item", F.col("at").alias("item_at"), F.explode(F.array_distinct(F.transform(chosen, lambda w: _hash(F.get(w, F.lit(0)), F.slice(w, 2, size))))).alias("hash"))
 
 
 def _run(flags: Column) -> Column:
