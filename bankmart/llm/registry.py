@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from bankmart.llm.columns import table
 from bankmart.llm.line_dedup import line_dedup
-from bankmart.llm import chat, decontaminate, language, license_scan, neighbours, secret_scan, warc
+from bankmart.llm import chat, decontaminate, language, license_scan, neighbours, periodic, secret_scan, warc
 from bankmart.llm.near_dedup import near_dedup
 from bankmart.llm.packing import pack
 from bankmart.store import shared_folder
@@ -89,9 +89,31 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def _repeating(docs: DataFrame) -> DataFrame:
+    """Every tenth document by a hash of its id, its words from one place on repeating with a period that follows from the hash."""
+    hashed = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("h"))
+    split = hashed.withColumn("words", F.when(F.expr("h % 10 = 0"), F.expr(r"regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+', 0)")))
+    n = split.withColumn("n", F.size("words")).withColumn("a", F.expr("CASE WHEN n > 0 THEN int(h div 10 % n) END"))
+    p = n.withColumn("p", F.expr("int(1 + (n - a) div (3 + h div 10 % 8))"))
+    changed = "array_join(concat(slice(words, 1, a), slice(flatten(array_repeat(slice(words, a + 1, p), 12)), 1, n - a)), ' ')"
+    return p.select("doc_id", F.expr(f"CASE WHEN a IS NOT NULL THEN {changed} ELSE text END AS text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(_repeating(table(spark, sf_dir, "documents")))
+    longest = found.withColumn("best", F.expr("array_min(transform(runs, r -> struct(-r.length AS below, r.start AS start, r.period AS period)))"))
+    return longest.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", (-F.col("best.below")).alias("length"), "best.period",
+        F.expr("-1000 * best.below div best.period").alias("exponent_milli"),
+        F.expr("sha2(array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), ''), 256)").alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     numbered = {f.__name__: f for f in (
         op1_line_dedup, op2_near_dedup, op3_neighbours, op4_chat, op5_secrets, op6_licenses, op7_decontaminate, op8_packing, op9_warc, op10_language,
+        op13_periodic_runs,
     )}
     return numbered | {"pipeline": corpus_pipeline.run}
 
@@ -206,6 +228,35 @@ FROM h JOIN m USING (hex)
 """
 
 
+PERIODIC_SQL = r"""
+WITH crc AS MATERIALIZED (
+  SELECT list_transform(range(256), lambda x: list_reduce([x, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, s: xor(c >> 1, (c & 1) * 3988292384))) AS steps),
+docs AS MATERIALIZED (
+  SELECT doc_id, row_number() OVER () AS doc, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+                                     lambda c, b: xor(c >> 8, steps[xor(c, b) % 256 + 1]))) AS h
+  FROM documents, crc),
+placed AS (SELECT *, len(w) AS n, h // 10 AS g, (h // 10) % len(w) AS a FROM docs),
+words AS MATERIALIZED (
+  SELECT doc, n, i, CASE WHEN h % 10 = 0 AND i >= a THEN w[a + (i - a) % (1 + (n - a) // (3 + g % 8)) + 1] ELSE w[i + 1] END AS word
+  FROM (SELECT *, unnest(range(n)) AS i FROM placed)),
+matches AS (SELECT y.doc, y.i, y.i - x.i AS q, y.i - row_number() OVER (PARTITION BY y.doc, y.i - x.i ORDER BY y.i) AS island
+            FROM words x JOIN words y ON x.doc = y.doc AND x.word = y.word AND x.i < y.i AND 4 * (y.i - x.i) <= x.n),
+stretches AS (SELECT doc, q, min(i) - q AS start, count(*) + q AS length FROM matches GROUP BY doc, q, island),
+long AS (SELECT * FROM stretches WHERE length >= greatest(6, 4 * q)),
+runs AS MATERIALIZED (
+  SELECT * FROM long r WHERE NOT EXISTS (
+    SELECT 1 FROM long s WHERE s.doc = r.doc AND s.q < r.q AND s.start <= r.start AND s.start + s.length >= r.start + r.length)),
+best AS (SELECT doc, count(*) AS n_runs, min((-length, start, q)) AS b,
+                string_agg(start || ',' || length || ',' || q || chr(10), '' ORDER BY start, q) AS listed FROM runs GROUP BY doc),
+kept AS (SELECT doc, string_agg(word, ' ' ORDER BY i) AS collapsed FROM words w
+         WHERE NOT EXISTS (SELECT 1 FROM runs r WHERE r.doc = w.doc AND w.i >= r.start + r.q AND w.i < r.start + r.length) GROUP BY doc)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, b[2] AS start, -b[1] AS length, b[3] AS period, -1000 * b[1] // b[3] AS exponent_milli,
+       sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM docs LEFT JOIN best USING (doc) LEFT JOIN kept USING (doc)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """What SQL cannot express has no entry: near copies, reparameterised items, token ids, the trained classifier."""
     return {
@@ -215,4 +266,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_secrets": SECRETS_SQL,
         "op6_licenses": LICENSES_SQL,
         "op9_warc": WARC_SQL,
+        "op13_periodic_runs": PERIODIC_SQL,
     } | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
