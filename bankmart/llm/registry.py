@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from bankmart.llm.columns import table
 from bankmart.llm.line_dedup import line_dedup
-from bankmart.llm import chat, decontaminate, language, license_scan, neighbours, periodic, secret_scan, warc
+from bankmart.llm import chat, decontaminate, divergence, html_text, language, license_scan, neighbours, periodic, secret_scan, warc
 from bankmart.llm.near_dedup import near_dedup
 from bankmart.llm.packing import pack
 from bankmart.store import shared_folder
@@ -89,6 +89,14 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op11_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def _repeating(docs: DataFrame) -> DataFrame:
     """Every tenth document by a hash of its id, its words from one place on repeating with a period that follows from the hash."""
     hashed = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("h"))
@@ -113,7 +121,7 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     numbered = {f.__name__: f for f in (
         op1_line_dedup, op2_near_dedup, op3_neighbours, op4_chat, op5_secrets, op6_licenses, op7_decontaminate, op8_packing, op9_warc, op10_language,
-        op13_periodic_runs,
+        op11_html_text, op12_source_divergence, op13_periodic_runs,
     )}
     return numbered | {"pipeline": corpus_pipeline.run}
 
@@ -228,6 +236,32 @@ FROM h JOIN m USING (hex)
 """
 
 
+DIVERGENCE_SQL = r"""
+WITH docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+words AS (SELECT doc, lang, source, unnest(terms) AS term FROM docs),
+kept AS MATERIALIZED (SELECT lang, term, count(*) AS total FROM words GROUP BY lang, term HAVING count(DISTINCT doc) >= 3),
+counts AS MATERIALIZED (SELECT lang, source, term, count(*) AS n FROM words JOIN kept USING (lang, term) GROUP BY lang, source, term),
+langs AS (SELECT lang, coalesce(sum(total), 0) AS lang_n, count(term) AS v FROM (SELECT DISTINCT lang FROM docs) LEFT JOIN kept USING (lang) GROUP BY lang),
+sizes AS MATERIALIZED (
+  SELECT lang, source, coalesce(sum(n), 0) AS group_n FROM (SELECT DISTINCT lang, source FROM docs) LEFT JOIN counts USING (lang, source) GROUP BY lang, source),
+cells AS MATERIALIZED (
+  SELECT lang, source, term, n, total, lang_n, v, 1 + 1000000000::HUGEINT * (coalesce(n, 0) + 1) // (group_n + v)::HUGEINT AS p
+  FROM sizes JOIN langs USING (lang) JOIN kept USING (lang) LEFT JOIN counts USING (lang, source, term)),
+pairs AS (SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // y.p) AS value
+          FROM cells x JOIN cells y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL),
+all_pairs AS (SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(value, 0)::BIGINT AS value
+              FROM sizes x JOIN sizes y ON x.lang = y.lang AND x.source <> y.source
+              LEFT JOIN pairs ON pairs.lang = x.lang AND pairs.source = x.source AND pairs.item = y.source),
+own AS (SELECT lang, source, term, p, 1 + 1000000000::HUGEINT * (total + 1) // (lang_n + v)::HUGEINT AS q FROM cells WHERE n > 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+           FROM (FROM all_pairs UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT FROM own WHERE p > q))
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
 PERIODIC_SQL = r"""
 WITH crc AS MATERIALIZED (
   SELECT list_transform(range(256), lambda x: list_reduce([x, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, s: xor(c >> 1, (c & 1) * 3988292384))) AS steps),
@@ -258,7 +292,7 @@ FROM docs LEFT JOIN best USING (doc) LEFT JOIN kept USING (doc)
 
 
 def oracle_sql() -> dict[str, str]:
-    """What SQL cannot express has no entry: near copies, reparameterised items, token ids, the trained classifier."""
+    """What SQL cannot express has no entry: near copies, reparameterised items, token ids, the trained classifier, page texts."""
     return {
         "op1_line_dedup": LINE_DEDUP_SQL,
         "op3_neighbours": NEIGHBOURS_SQL,
@@ -266,5 +300,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_secrets": SECRETS_SQL,
         "op6_licenses": LICENSES_SQL,
         "op9_warc": WARC_SQL,
+        "op12_source_divergence": DIVERGENCE_SQL,
         "op13_periodic_runs": PERIODIC_SQL,
     } | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

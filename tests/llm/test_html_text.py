@@ -1,0 +1,113 @@
+"""Main text of pages: planted pages, a plain reading of the test pages, and broken markup."""
+
+import html
+import random
+import re
+
+import pytest
+
+from bankmart.llm import html_text, registry
+from bankmart.llm.html_text import main_text
+
+LONG = (
+    "The committee said that it would look at all of the plans again before the end of the year, and that none of "
+    "them had been chosen so far. It is not known when they will be made public, or who is to pay for the work that must be done."
+)
+LONGER = "In the meantime, " + LONG[0].lower() + LONG[1:]
+NEAR = "He said that this is what they had wanted to do from the start of it all."
+
+
+def text(page):
+    return main_text(page)[0]
+
+
+def test_article_without_what_stands_around_it():
+    page = f"""<!DOCTYPE html><html><head><title>No title</title><style>p {{ }}</style><script>var a = "<p>no</p>";</script></head>
+    <body class="no-sidebar"><header><h1>The Daily</h1><p>{LONG}</p></header>
+    <nav><ul><li><a href="/">Home</a></li><li>Plain entry</li></ul></nav>
+    <div class="cookie-notice">We use cookies. {LONG}</div><!-- <p>no comment</p> -->
+    <article><header><h1>A &amp; B</h1></header><p>Short.</p><p>{LONG}<p>un&shy;closed &nbsp; paragraph<br>goes
+    on</p><div class="ad">Buy this now</div><form><label>Name</label><input name=a><p>{LONG}</p></form>
+    <p>By <a href="x">someone</a> with a name that is rather long</p><aside><p>{LONG}</p></aside>
+    <ul><li>One thing</li><li>Another thing</li></ul><ul class=tags><li><a>tag one</a></li><li><a>tag two</a></li></ul>
+    <section id="comments"><article><p>{LONG}</p></article></section></article>
+    <div class="sidebar"><p>{LONG}</p></div><footer>Some text &copy; 2020. {LONG}</footer></body></html>"""
+    assert text(page).split("\n") == [
+        "A & B", "Short.", LONG, "un\xadclosed paragraph goes on", "By someone with a name that is rather long", "One thing", "Another thing",
+    ]
+
+
+def test_rules_where_the_page_says_nothing():
+    page = f"""<body><div><a href=1>Home</a> <a href=2>News</a> <a href=3>Sport</a></div><div>Welcome here</div>
+    <h1>A heading</h1><div>{LONG}</div><div>Short one.</div><div>{NEAR}</div><div>{LONGER}</div><div>Read on</div>
+    <div>xkcd foo bar baz qux quux corge grault garply waldo fred plugh xyzzy thud and then nothing more at all</div>
+    <div>Copyright © {LONG}</div><div>Terms</div>"""
+    assert text(page).split("\n") == ["A heading", LONG, "Short one.", NEAR, LONGER]
+
+
+def test_short_blocks_inherit_from_both_sides():
+    stops = html_text.STOP_WORDS
+    made = lambda *texts: [html_text.Block(t, False, False, 0, 0) for t in texts]
+    assert html_text.labels(made("short", LONG, "short", LONGER, "short"), stops) == [False, True, True, True, False]
+    assert html_text.labels(made("short", NEAR, "short"), stops) == [False] * 3
+    assert html_text.labels(made(LONG, "short", NEAR), stops) == [True, False, True]
+
+
+@pytest.mark.parametrize("page,expected", [
+    (None, ""), ("", ""), ("   \n", ""), ("<article>", ""), ("<article>a < b &lt;p&gt; &#65;&#x42; &am &amp</article>", "a < b <p> AB &am &"),
+    ("<article><p>one<p>two</article>", "one\ntwo"), ("<article>one<script>no", "one"), ("<article>one<!-- no", "one"),
+    ("<article><p title='a>b'>one</p><p title=\"x</article>", "one\nx"), ("<ARTICLE><P>One</P></ARTICLE>", "One"),
+    ("<article><p>a<b>b</p><p>c</b>d</p></div></article>tail", "ab\ncd"), ("<main><div><div>a</div>b<hr>c</div></main>", "a\nb\nc"),
+    ("<article><table><tr><td>a<td>b<tr><td>c</table>d</article>", "a\nb\nc\nd"), ("<article>a<svg><text>no</text><path/></svg>b</article>", "ab"),
+    ("<nav><p>no<article><p>yes</p></article>", "yes"), ("<div class='layout sidebar-right'><article>yes</article></div>", "yes"),
+    ("<article class='comment'>no</article><article>yes</article>", "yes"), ("<article>a<span class=ad>no</span> b</article>", "a b"),
+    ("<article><p hidden>no</p><p aria-hidden='true'>no</p>yes</article>", "yes"), ("<article><p class=notice>no<p>yes</article>", "yes"),
+])
+def test_small_pages(page, expected):
+    assert text(page) == expected
+
+
+def test_equals_a_plain_reading_of_the_test_pages(spark):
+    """The test pages mark their article; its paragraphs are all text."""
+    sf_dir = "/root/testdata/sf0.01"
+    found = {r["page_id"]: r for r in registry.op11_html_text(spark, sf_dir).collect()}
+    for page in spark.read.parquet(f"{sf_dir}/pages.parquet").collect():
+        article = re.search(r"<article>(.*?)(</article>|$)", page["html"], re.S).group(1)
+        parts = [html.unescape(re.sub("<[^>]*>", "", p.replace("<br>", "\n"))) for p in re.split("</?(?:p|h1)>", article)]
+        expected = "\n".join(" ".join(p.split()) for p in parts if p.strip())
+        row = found.pop(page["page_id"])
+        assert (row["url"], row["text"], row["n_chars"]) == (page["url"], expected, len(expected))
+    assert not found
+
+
+def test_any_order_of_tags_is_read():
+    draw = random.Random(1)
+    parts = ["<p>", "</p>", "<div class=ad>", "</div>", "<article>", "</article>", "<a href='", "'>", "</a>", "<li>", "<!--", "-->", "<script>",
+             "</script>", "<table><td>", "</table>", '"', "<", ">", "&", "text ", "<b/>", "<svg>", "</svg>", "</", "<select>", "</x>", "<h1>"]
+    for _ in range(3000):
+        main_text("".join(draw.choices(parts, k=draw.randint(1, 40))))
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<p ", '<a title="', "<!--", "<script ", "<script>", "<div>", "</div", "&", "<", "<li><a>"])
+def test_time_grows_with_the_page(piece):
+    main_text(piece * 20_000)
+
+
+def test_odd_rows_and_clashing_columns(spark):
+    rows = [(1, "u", "<article>one", "x"), (1, "u", "<article>one", "x"), (None, None, None, None), (2, "v", "", None), (3, None, f"<p>{LONG * 2000}", "y")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, TEXT string")
+    out = html_text.extract(pages)
+    assert out.columns == ["page_id", "url", "html", "TEXT", "text", "n_chars", "n_blocks"]
+    plain = [tuple(r) for r in out.toDF(*"abcdefg").select("a", "d", "e", "f", "g").orderBy("a").collect()]
+    assert plain == [(None, None, "", 0, 0), (1, "x", "one", 3, 1), (1, "x", "one", 3, 1), (2, None, "", 0, 0), (3, "y", LONG * 2000, 2000 * len(LONG), 1)]
+
+
+def test_no_rows(spark):
+    assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_stop_words_are_a_parameter(spark):
+    page = "<div>" + "alpha beta " * 40 + "</div>"
+    pages = spark.createDataFrame([(1, page)], "page_id long, html string")
+    assert html_text.extract(pages).first()["text"] == ""
+    assert html_text.extract(pages, stop_words=["alpha"]).first()["text"] == ("alpha beta " * 40).strip()
