@@ -12,6 +12,34 @@ from bankmart.schemas import BASE_TABLES, INGESTED_AT, base_schema
 
 STAMP = dt.datetime(2024, 1, 1)
 
+# A raw zone: file name and content of each base table.
+CUSTOMER_HEADER = "CustomerID,FullName,DOB,Gender,Region,Email,Status,JoinDate\n"
+FILES = {
+    "DimProductCategory": ("categories.csv", "ProductCategoryID,ProductCategoryName\n1,Retail \n"),
+    "DimProductSubCategory": (
+        "subs.txt", "ProductSubCategoryID,ProductCategoryID,ProductSubCategoryName\n10,1,Cards\n11,NA,Loose\n",
+    ),
+    "DimProduct": ("products.csv", "ProductID,ProductSubcategoryID,ProductName\n5,10.0, Gold\n6,11.0,Odd\n"),
+    "DimCustomer": (
+        "customers.csv",
+        CUSTOMER_HEADER
+        + "1,Ann, 1/2/1990,F,West,ANN@x.y,Active,2020-01-01\n".replace(", 1/2", ",1/2")
+        + "1,Ann again,1/2/1990,F,West,,Active,2020-01-01\n,Nobody,,,,,,\n2,Bob,NA,M,East,b@x.y,Dormant,bad\n",
+    ),
+    "DimCustomerUSA": ("usa.csv", CUSTOMER_HEADER + "1,Ann,1/2/1990,F,West,ANN@x.y,Active,2020-01-01\n"),
+    "DimAccount": (
+        "accounts.csv",
+        "AccountID,CustomerID,AccountType,OpenDate,ClosedDate,Status,RegistrationID,Balance\n"
+        "100,1,Savings,2023-12-01,,Open,1,10.5\n101,1,Current,2023-12-01,,Open,2,\n102,2,Savings,bad,,Closed,3,nan\n",
+    ),
+    "FactTransaction": (
+        "transactions.csv",
+        "TransactionID,AccountID,TransactionDate,TransactionAmount,TransactionType,TransactionChannel,ProductID,Status\n"
+        "1,100,2023-12-30,5.25,credit,atm,5,Success\n1,100,2023-12-31,7,credit,atm,5,Success\n"
+        "2,101,2024-01-01,1,debit, web ,6,Failed\n3,102,bad,2,debit,web,9,Success\n4,,2024-01-01,3,debit,web,5,Success\n",
+    ),
+}
+
 
 def day(text: str) -> dt.datetime:
     return dt.datetime.fromisoformat(text)

@@ -1,8 +1,7 @@
 """Job options: account keys, sizes, settings, database target, status and repeated files."""
 
 import pytest
-from helpers import rows, settings
-from test_pipeline import FILES
+from helpers import FILES, rows, settings
 
 from bankmart import jobs
 from bankmart.session import SETTINGS
