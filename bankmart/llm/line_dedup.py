@@ -4,9 +4,9 @@ Two Bloom filters, of line hashes seen once and seen twice, are built by every s
 task and merged bit by bit. Only lines whose hash is in the second one are shuffled,
 as digests, to confirm the repeat exactly and find the smallest document that has it.
 
-A filter has ``bits`` bits whatever the data, so it bounds what a task, the driver
-and a broadcast hold (8 MB at the default). A crowded filter only lets more lines be
-shuffled; the result does not depend on it.
+A filter has ``bits`` bits whatever the data, so it bounds what is held: a scan task has two
+filters (16 MB at the default), the driver and a broadcast one (8 MB). A crowded filter only
+lets more lines be shuffled; the result does not depend on it.
 """
 
 from __future__ import annotations
@@ -47,11 +47,10 @@ def digest(key: bytes) -> bytes:
     return blake2b(key, digest_size=16).digest()
 
 
-def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
+def _texts(batches: Iterable[pa.RecordBatch], at: int) -> Iterator[list[str | None]]:
     for batch in batches:
         for start in range(0, batch.num_rows, ROWS):
-            part = batch.slice(start, ROWS)
-            yield part.column(0).to_pylist(), part.column(1).to_pylist()
+            yield batch.column(at).slice(start, ROWS).to_pylist()
 
 
 def _probes(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -63,18 +62,26 @@ def _hashes(found: Iterable[bytes]) -> np.ndarray:
     return np.fromiter((xxhash.xxh3_64_intdigest(k) for k in found), dtype=np.uint64)
 
 
+def _set(filter_: np.ndarray, at: np.ndarray) -> None:
+    np.bitwise_or.at(filter_, at >> 3, np.uint8(128) >> (at & 7).astype(np.uint8))
+
+
+def _get(filter_: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (filter_[at >> 3] << (at & 7).astype(np.uint8) & 128).astype(bool)
+
+
 def _task_filters(batches: Iterable[pa.RecordBatch], bits: int, min_chars: int) -> Iterator[pa.RecordBatch]:
-    once, twice = np.zeros(bits, bool), np.zeros(bits, bool)
-    for _, texts in _texts(batches):
+    once, twice = np.zeros(bits >> 3, np.uint8), np.zeros(bits >> 3, np.uint8)
+    for texts in _texts(batches, 0):
         own = [_hashes({k for k in keys(t, min_chars) if k is not None}) for t in texts]
         values, counts = np.unique(np.concatenate(own), return_counts=True)
-        a, b = _probes(values, bits)
-        again = (counts > 1) | (once[a] & once[b])
-        twice[a[again]] = twice[b[again]] = True
-        once[a] = once[b] = True
-    packed = np.packbits(once), np.packbits(twice)
-    for i in range(0, packed[0].size, SEGMENT_BYTES):
-        part = [p[i : i + SEGMENT_BYTES].tobytes() for p in packed]
+        probes = _probes(values, bits)
+        again = (counts > 1) | np.logical_and(*[_get(once, at) for at in probes])
+        for at in probes:
+            _set(twice, at[again])
+            _set(once, at)
+    for i in range(0, once.size, SEGMENT_BYTES):
+        part = [f[i : i + SEGMENT_BYTES].tobytes() for f in (once, twice)]
         if any(part[0]):
             yield pa.RecordBatch.from_pydict(
                 {"segment": pa.array([i // SEGMENT_BYTES], pa.int32()), "once": [part[0]], "twice": [part[1]]}
@@ -97,19 +104,22 @@ def _merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _suspects(batches: Iterable[pa.RecordBatch], twice, bits: int, min_chars: int) -> Iterator[pa.RecordBatch]:
+    """The digests of lines that the filter has, behind the other columns of their row."""
     filled = np.frombuffer(twice.value, np.uint8)
-    for ids, texts in _texts(batches):
-        pairs = [(i, k) for i, t in zip(ids, texts) for k in {k for k in keys(t, min_chars) if k is not None}]
-        if not pairs:
-            continue
-        hit = np.ones(len(pairs), bool)
-        for at in _probes(_hashes(k for _, k in pairs), bits):
-            hit &= (filled[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
-        chosen = [pairs[i] for i in np.flatnonzero(hit)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([i for i, _ in chosen], pa.int64()), pa.array([digest(k) for _, k in chosen], pa.binary())],
-            names=["doc", "digest"],
-        )
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS):
+            part = batch.slice(start, ROWS)
+            pairs = [
+                (i, k) for i, t in enumerate(part.column(0).to_pylist()) for k in {k for k in keys(t, min_chars) if k is not None}
+            ]
+            if not pairs:
+                continue
+            hit = np.logical_and(*[_get(filled, at) for at in _probes(_hashes(k for _, k in pairs), bits)])
+            chosen = [pairs[i] for i in np.flatnonzero(hit)]
+            rows = part.select(part.schema.names[1:]).take(pa.array([i for i, _ in chosen], pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [*rows.columns, pa.array([digest(k) for _, k in chosen], pa.binary())], names=["doc", "a", "b", "digest"]
+            )
 
 
 def _kept(batches: Iterable[pa.RecordBatch], at: int, min_chars: int) -> Iterator[pa.RecordBatch]:
@@ -137,8 +147,8 @@ def _kept(batches: Iterable[pa.RecordBatch], at: int, min_chars: int) -> Iterato
 
 
 def twice_filter(texts: DataFrame, bits: int, min_chars: int) -> bytes:
-    """The merged filter of hashes that more than one document may hold. ``texts``: id and text."""
-    parts = texts.mapInArrow(
+    """The merged filter of hashes that more than one row may hold. ``texts``: ``text``."""
+    parts = texts.select("text").mapInArrow(
         partial(_task_filters, bits=bits, min_chars=min_chars), "segment int, once binary, twice binary"
     )
     merged = parts.repartition("segment").mapInArrow(_merge, "segment int, twice binary")
@@ -156,32 +166,40 @@ def line_dedup(docs: DataFrame, *, min_chars: int = 10, bits: int = 1 << 26) ->
     compared stripped of ASCII white space with A-Z in lower case. A key of ``min_chars``
     code points or more that several documents hold stays in the smallest ``doc_id`` alone,
     there as often as it stands. Rows with the same id are one document; rows without an id
-    are one that comes after all others. Every other column is returned as it is; extra
+    are one that comes after all others. Either may be any share of the rows: what a row loses
+    is gathered for that row alone. Every other column is returned as it is; extra
     columns may bear any name, also ``n_lines``, which is then there twice. No rows: no rows.
     ``bits`` is a power of two from 2**20 to 2**32.
     """
-    ship(docs.sparkSession)
+    spark = docs.sparkSession
+    ship(spark)
     plain, (doc, text) = numbered(docs, "doc_id", "text")
-    key = F.coalesce(F.col(doc).cast("long"), F.lit(NO_ID))
-    texts = plain.select(key.alias("doc"), F.col(text).alias("text"))
-    twice = docs.sparkSession.sparkContext.broadcast(twice_filter(texts, bits, min_chars))
+    # What is dropped of a row follows from its id and text, which two hashes stand for.
+    own = [F.coalesce(F.col(doc).cast("long"), F.lit(NO_ID)).alias("doc"), F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b")]
+    texts = plain.select(F.col(text).alias("text"), *own)
+    twice = spark.sparkContext.broadcast(twice_filter(texts, bits, min_chars))
     suspects = written(
         texts.mapInArrow(
-            partial(_suspects, twice=twice, bits=bits, min_chars=min_chars), "doc long, digest binary"
+            partial(_suspects, twice=twice, bits=bits, min_chars=min_chars), "doc long, a long, b long, digest binary"
         ),
         "line-suspects",
     )
+    twice.destroy()
     # Written, so that the join shuffles it anew and can split a line that very many documents hold.
     first = written(
         suspects.groupBy("digest").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
         .where("first < last").select("digest", "first"),
         "first-lines",
     )
-    drop = (
+    drop = written(
         suspects.join(small(first, 48), "digest").where("doc > first")
-        .groupBy("doc").agg(F.collect_set("digest").alias("drop"))
+        .groupBy("doc", "a", "b").agg(F.collect_set("digest").alias("drop")),
+        "dropped-lines",
     )
-    joined = plain.withColumn("id", key).join(drop, F.col("id") == F.col("doc"), "left").select(*plain.columns, "drop")
+    keyed = plain.select("*", *[c.alias(f"own_{n}") for c, n in zip(own, "dab")])
+    same = [F.col(f"own_{n}") == F.col(c) for n, c in zip("dab", ("doc", "a", "b"))]
+    # Texts are shuffled only where the list of what goes is too large to be broadcast.
+    joined = keyed.join(small(drop, 64 + 24 * F.size("drop")), same, "left").select(*plain.columns, "drop")
     at = plain.columns.index(text)
     n = len(plain.columns)
     counts = [StructField(f"c{n + i}", LongType()) for i in range(2)]

@@ -85,7 +85,7 @@ def test_rows_without_an_id_or_with_a_repeated_one_go_by_themselves(spark):
 def test_registered():
     assert registry.queries()["pipeline"] is corpus_pipeline.run
     names = [n for n in registry.queries() if n != "pipeline"]
-    assert [int(re.match(r"op(\d+)_", n)[1]) for n in names] == list(range(1, 11))
+    assert [int(re.match(r"op(\d+)_", n)[1]) for n in names] == list(range(1, 14))
     assert set(registry.oracle_sql()) <= set(registry.queries())
 
 

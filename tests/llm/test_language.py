@@ -1,7 +1,9 @@
 """Language prediction on rows kept from training."""
 
+import random
 import zlib
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from bankmart.llm import language, registry
@@ -52,6 +54,53 @@ def test_other_scripts_are_rejected(spark, docs):
         assert rejected and lang in model.languages
 
 
+UNLEARNED = {
+    "Italian": "Nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura, ché la diritta via era smarrita. Ahi quanto a dir qual era è cosa dura esta selva selvaggia e aspra e forte che nel pensier rinova la paura! ",
+    "Polish": "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem. ",
+    "Finnish": "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto. ",
+    "Turkish": "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler. ",
+}
+
+
+def test_unlearned_languages_in_the_same_script_are_rejected(spark):
+    model = language.train(spark.read.parquet(f"{SF}/documents.parquet"))
+    for name, text in UNLEARNED.items():
+        assert model.nearest(text * 5)[2], name
+    # Repeats say nothing new: as many distinct trigrams, the same limit.
+    assert model.nearest(UNLEARNED["Polish"])[2] == model.nearest(UNLEARNED["Polish"] * 50)[2]
+
+
+def test_random_letters_are_rejected(spark):
+    model = language.train(spark.read.parquet(f"{SF}/documents.parquet"))
+    draw = random.Random(5)
+    for words in (5, 40, 300):
+        assert model.nearest(" ".join("".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(words)))[2]
+
+
+def test_clean_held_out_documents_stay(spark):
+    """Of ten times as many documents, learned from a bounded sample of the others, none goes."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    held = docs.where(language.held_out(F.col("doc_id")))
+    assert language.identify(held, language.train(docs)).where("rejected").count() == 0
+
+
+def test_limits_rise_with_length():
+    lengths, scores = np.repeat([0, 1, 2, 3], 400), np.tile(np.linspace(0.2, 1, 400), 4) * np.repeat([1, 0.5, 2, 1], 400)
+    limits = language.least_cosines(lengths, scores)
+    assert len(limits) == 4 and limits[0] == limits[1] < limits[2] == limits[3]
+    assert language.least_cosines(np.array([], int), np.array([])).tolist() == [0.0]
+    assert language.least_cosines(np.array([1]), np.array([0.9])).tolist() == [0.0, 0.0]
+
+
+def test_the_sample_is_bounded(spark):
+    """Rows without an id, or of one id, are drawn each by its text; equal rows fill no more than the bound."""
+    rows = [(None, f"some english words number {i}", "en") for i in range(3000)]
+    rows += [(7, "ein deutscher text", "de")] * 3000
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(6)
+    drawn = {r["lang"]: (r["n"], r["texts"]) for r in language.sampled(docs, 100).groupBy("lang").agg(F.count("*").alias("n"), F.countDistinct("text").alias("texts")).collect()}
+    assert drawn["en"] == (100, 100) and drawn.get("de", (100, 1)) == (100, 1)
+
+
 def test_counts_are_of_trigrams():
     at, n = language.counts("aaaa")
     assert n.sum() == 4  # " aa", "aaa" twice, "aa "

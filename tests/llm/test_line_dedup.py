@@ -69,3 +69,21 @@ def test_joins_are_not_limited_to_small_tables(docs, monkeypatch):
 @pytest.mark.parametrize("text,keys", [(None, [None]), ("short", [None]), ("éééééééééé", ["éééééééééé".encode()]), ("ééééé", [None])])
 def test_keys_count_code_points(text, keys):
     assert module.keys(text, 10) == keys
+
+
+@pytest.mark.parametrize("same_id", [None, 7])
+def test_a_third_of_the_rows_under_one_id(spark, same_id, monkeypatch):
+    """What is dropped is gathered by row, so rows without an id, or of one id, do not meet in one list."""
+    rows = [(same_id if i % 3 == 0 else 100 + i, "\n".join(f"line number {(i * j) % 211} of all" for j in range(20))) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert found(line_dedup(docs)) == expected(rows)
+    written, frames = module.written, {}
+    monkeypatch.setattr(module, "written", lambda df, label: frames.setdefault(label, written(df, label)))
+    line_dedup(docs)
+    assert frames["dropped-lines"].selectExpr("max(size(drop))").first()[0] <= 20
+
+
+def test_filters_take_a_bit_each():
+    once = [b for b in module._task_filters(iter([module.pa.RecordBatch.from_pydict({"text": ["a long line\nanother line", "a long line"]})]), 1 << 20, 10)]
+    bits = lambda name: sum(bin(byte)[2:].count("1") for b in once for byte in b[name][0].as_py())
+    assert (bits("once"), bits("twice")) == (4, 2)
