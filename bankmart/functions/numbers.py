@@ -15,8 +15,9 @@ from bankmart.schemas import MONEY
 
 def key(value: Column) -> Column:
     """Text to a long key. ``'7.0'`` reads as 7; what is not a whole number is null."""
+    # Nearly all keys are plain digits; only what these leave is read as a decimal number.
     number = value.try_cast("decimal(38,18)")
-    return F.when(number % 1 == 0, number.try_cast("bigint"))
+    return F.coalesce(value.try_cast("bigint"), F.when(number % 1 == 0, number.try_cast("bigint")))
 
 
 def amount(value: Column) -> Column:

@@ -10,6 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from bankmart.operators.quality import raise_on_error, run_checks
+from bankmart.operators.windows import with_position
 from bankmart.plans import analytics, indicators
 from bankmart.plans.checks import CHECKS
 from bankmart.plans.cleaning import ACCOUNT_KEYS
@@ -17,6 +18,7 @@ from bankmart.plans.marts import COMPLETED_STATUS
 from bankmart.plans.pipeline import clean_zone, publish, published
 from bankmart.schemas import BASE_TABLES
 from bankmart.session import SETTINGS, folder_bytes, size_for
+from bankmart.sinks.ledger import resume_load
 from bankmart.sinks.load import load_tables, outcome_frame, raise_on_failure
 from bankmart.sinks.tables import refresh_database_table, refresh_table
 from bankmart.sources.raw import ALL, LAST_WINS, STOP
@@ -46,6 +48,9 @@ REPORTS: dict[str, Callable[[Models, Models, Selection], DataFrame]] = {
         base["FactTransaction"], base["DimAccount"], base["DimCustomer"]
     ),
     "failure_risk": lambda base, _, __: analytics.failure_risk(*_products(base)),
+    "customer_percentiles": lambda base, _, __: analytics.customer_percentiles(
+        base["FactTransaction"], base["DimAccount"], base["DimCustomer"]
+    ),
     "product_volume_rank": lambda base, _, __: analytics.product_volume_rank(*_products(base)),
     "product_volume_rank_sub": lambda base, _, __: analytics.product_volume_rank_sub(*_products(base)),
     "row_counts": lambda base, _, __: analytics.row_counts(base),
@@ -96,9 +101,14 @@ def clean(spark: SparkSession, args: argparse.Namespace) -> None:
     for table, name in args.file:
         files.setdefault(table, []).append(name)
     unreadable: dict[str, dict[str, int]] = {}
-    shapes = clean_zone(spark, args.raw, args.cleaned, files, options, args.same_name, unreadable)
+    rejected: dict[str, int] = {}
+    shapes = clean_zone(
+        spark, args.raw, args.cleaned, files, options, args.same_name, unreadable, args.rejected, rejected
+    )
     for table, (rows, columns) in shapes.items():
         print(f"{table}: {rows} rows, {columns} columns")
+        if rejected.get(table):
+            print(f"  {rejected[table]} rows do not fit their header and are under {args.rejected}")
         for column, count in unreadable[table].items():
             print(f"  {column}: {count} values could not be read and are null")
 
@@ -108,6 +118,9 @@ def load(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.jdbc_url:
         properties = dict(args.jdbc_property)
 
+        def is_there(table: str) -> bool:
+            return True  # A database table that is gone fails to be emptied, at its next load.
+
         def refresh(df: DataFrame, table: str) -> None:
             refresh_database_table(df, args.jdbc_url, table, properties, args.connections)
     else:
@@ -116,14 +129,20 @@ def load(spark: SparkSession, args: argparse.Namespace) -> None:
         def refresh(df: DataFrame, table: str) -> None:
             refresh_table(df, f"{args.database}.{table}")
 
-    outcomes = load_tables(spark, args.cleaned, refresh)
+        def is_there(table: str) -> bool:
+            return spark.catalog.tableExists(f"{args.database}.{table}")
+
+    if args.ledger:
+        outcomes = resume_load(spark, args.cleaned, refresh, args.ledger, is_there)
+    else:
+        outcomes = load_tables(spark, args.cleaned, refresh)
     outcome_frame(spark, outcomes).show(truncate=False)
     raise_on_failure(outcomes)
 
 
 def build(spark: SparkSession, args: argparse.Namespace) -> None:
     _sized(spark, args, lambda: _stored_bytes(spark, args.database))
-    publish(base_tables(spark, args.database), args.database, args.as_of, args.completed_status)
+    publish(base_tables(spark, args.database), args.database, args.as_of, args.completed_status, args.join_calendar)
 
 
 def check(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -138,6 +157,8 @@ def report(spark: SparkSession, args: argparse.Namespace) -> None:
     base = base_tables(spark, args.database)
     chosen = Selection(args.first, args.last, tuple(args.account_type))
     result = REPORTS[args.name](base, published(base, args.database), chosen)
+    if args.positions:
+        result = with_position(result, analytics.report_order(args.name))
     result.write.mode("overwrite").parquet(args.output)
 
 
@@ -171,6 +192,7 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument(
         "--account-key", choices=ACCOUNT_KEYS, default=ACCOUNT_KEYS[0], help="CustomerID keeps one account per customer"
     )
+    sub.add_argument("--rejected", help="folder for rows that do not fit their header; without it they stop the job")
     sub.add_argument("--date-format", type=_pair, action="append", default=[], metavar="TABLE=PATTERN")
     sub = job("load", load)
     sub.add_argument("--cleaned", required=True)
@@ -179,10 +201,12 @@ def parser() -> argparse.ArgumentParser:
     target.add_argument("--jdbc-url", help="database whose tables are there already")
     sub.add_argument("--jdbc-property", type=_property, action="append", default=[], metavar="NAME=VALUE")
     sub.add_argument("--connections", type=int, default=8)
+    sub.add_argument("--ledger", help="dataset of outcomes; tables loaded before and unchanged since are left alone")
     sub = job("publish", build)
     sub.add_argument("--database", required=True)
     sub.add_argument("--as-of", type=dt.date.fromisoformat)
     sub.add_argument("--completed-status", default=COMPLETED_STATUS, help="status that is_completed looks for")
+    sub.add_argument("--join-calendar", action="store_true", help="join the calendar to the fact instead of computing its columns")
     sub = job("check", check)
     sub.add_argument("--database", required=True)
     sub = job("report", report)
@@ -192,6 +216,7 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--first", type=dt.date.fromisoformat, help="first day, for reports over days")
     sub.add_argument("--last", type=dt.date.fromisoformat, help="last day")
     sub.add_argument("--account-type", action="append", default=[], help="for account_type_breakdown; repeatable")
+    sub.add_argument("--positions", action="store_true", help="add each row's place, for reports that have an order")
     return top
 
 

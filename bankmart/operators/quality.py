@@ -7,7 +7,7 @@ distinct offending values for ``accepted_values``. Nulls only fail ``not_null``.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from itertools import groupby
@@ -46,59 +46,83 @@ class Check:
         ]
 
 
-def check_unique(df: DataFrame, check: Check) -> DataFrame:
-    """Values that occur more than once; counted map-side first, so hot values are cheap."""
-    repeated = (
-        df.filter(F.col(check.column).isNotNull())
-        .groupBy(check.column)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter("_n > 1")
-    )
-    return repeated.agg(F.count(F.lit(1)).alias("_failures")).select(*check.result(F.col("_failures")))
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
 
 
-def check_relationship(child: DataFrame, parent: DataFrame, check: Check) -> DataFrame:
-    """Child rows whose key has no parent. Joins distinct keys, not rows."""
-    keys = (
-        child.filter(F.col(check.column).isNotNull())
-        .groupBy(F.col(check.column).alias("_key"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    orphans = keys.join(parent.select(F.col(check.parent_column).alias("_key")), "_key", "left_anti")
-    failures = F.coalesce(F.sum("_n"), F.lit(0))
-    return orphans.agg(failures.alias("_failures")).select(*check.result(F.col("_failures")))
+def _numeric(dtype: str) -> bool:
+    return dtype in (*_WHOLE, "float", "double") or dtype.startswith("decimal")
+
+
+def _key(value: Column, own: str, other: str) -> list[Column]:
+    """A value of type ``own`` as a number or a text, spelled as one of type ``other`` that equals it."""
+    number = text = F.lit(None)
+    if own in _WHOLE and other in _WHOLE:
+        number = value
+    elif own == other:
+        text = value
+    elif _numeric(own) and _numeric(other):
+        text = value.try_cast("decimal(38,18)")
+    else:
+        text = value.cast(max(own, other))
+    return [number.cast("bigint").alias("number"), text.cast("string").alias("text")]
+
+
+def _suspects(check: Check, value: Column) -> Column:
+    """Whether a row's value has to be counted for a check: any value, or only one that already fails."""
+    if check.kind == NOT_NULL:
+        return value.isNull()
+    if check.kind == ACCEPTED_VALUES:
+        return ~value.isin(*check.values)
+    return value.isNotNull()
 
 
-def check_rows(df: DataFrame, checks: Iterable[Check]) -> DataFrame:
-    """All null and accepted-value checks of one model in one pass."""
-    checks = list(checks)
+def check_model(df: DataFrame, checks: Sequence[Check], parents: Mapping[str, DataFrame]) -> DataFrame:
+    """All checks of one model from one read of it.
 
-    def failures(check: Check) -> Column:
-        value = F.col(check.column)
-        if check.kind == NOT_NULL:
-            return F.count_if(value.isNull())
-        return F.count_distinct(F.when(~value.isin(*check.values), value))
+    A row becomes one short row for each check that has to count its value: (check, value).
+    These are counted map-side, so hot values and nulls are cheap, and shuffled once, together
+    with the keys of the parent models. What a value adds to the failures of its check
+    follows from its count and from whether a parent has it.
+    """
+    types = dict(df.dtypes)
+
+    def parent_type(check: Check) -> str:
+        return dict(parents[check.parent].dtypes)[check.parent_column] if check.parent else types[check.column]
+
+    def entry(i: int, check: Check) -> Column:
+        value = F.col(f"`{check.column}`")
+        key = _key(value, types[check.column], parent_type(check))
+        return F.when(_suspects(check, value), F.struct(F.lit(i).alias("check"), *key))
 
-    counted = df.agg(*[failures(check).alias(f"_{i}") for i, check in enumerate(checks)])
+    entries = [entry(i, check) for i, check in enumerate(checks)]
+    rows = df.select(F.explode(F.array_compact(F.array(*entries))).alias("entry")).select(
+        "entry.*", F.lit(1).cast("bigint").alias("rows"), F.lit(False).alias("known")
+    )
+    for i, check in enumerate(checks):
+        if check.kind == RELATIONSHIPS:
+            keys = _key(F.col(f"`{check.parent_column}`"), parent_type(check), types[check.column])
+            known = [F.lit(0).cast("bigint").alias("rows"), F.lit(True).alias("known")]
+            rows = rows.unionByName(parents[check.parent].select(F.lit(i).alias("check"), *keys, *known))
+    values = rows.groupBy("check", "number", "text").agg(F.sum("rows").alias("rows"), F.max("known").alias("known"))
+
+    def failures(i: int, check: Check) -> Column:
+        added = {
+            NOT_NULL: F.col("rows"),
+            ACCEPTED_VALUES: F.lit(1),
+            UNIQUE: (F.col("rows") > 1).cast("int"),
+            RELATIONSHIPS: F.when(~F.col("known"), F.col("rows")),
+        }[check.kind]
+        return F.coalesce(F.sum(F.when(F.col("check") == i, added)), F.lit(0)).alias(f"_{i}")
+
+    counted = values.agg(*[failures(i, check) for i, check in enumerate(checks)])
     results = [F.struct(*check.result(F.col(f"_{i}"))) for i, check in enumerate(checks)]
     return counted.select(F.inline(F.array(*results)))
 
 
 def run_checks(models: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
-    """Results of all checks, one row each.
-
-    Models are read several times with few columns each, so pass stored marts and
-    staging views over stored tables.
-    """
-    frames: list[DataFrame] = []
-    for model, of_model in groupby(checks, key=lambda check: check.model):
-        of_model = list(of_model)
-        df = models[model]
-        by_row = [c for c in of_model if c.kind in (NOT_NULL, ACCEPTED_VALUES)]
-        frames += [check_rows(df, by_row)] if by_row else []
-        frames += [check_unique(df, c) for c in of_model if c.kind == UNIQUE]
-        frames += [check_relationship(df, models[c.parent], c) for c in of_model if c.kind == RELATIONSHIPS]
-    return reduce(DataFrame.unionByName, frames)
+    """Results of all checks, one row each, from one read of each model and of the parents it refers to."""
+    by_model = [(model, list(own)) for model, own in groupby(checks, key=lambda check: check.model)]
+    return reduce(DataFrame.unionByName, [check_model(models[model], own, models) for model, own in by_model])
 
 
 class ChecksFailed(Exception):

@@ -5,6 +5,9 @@ All of them work on aggregated rows; the raw fact never enters a window.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,6 +57,62 @@ def rank_within(stored: DataFrame, group: str, score: Column, output: str) -> Da
     return scored.join(ranks, same).drop("_score", "_group", "_of")
 
 
+def _range_offsets(stored: DataFrame, rows: Column) -> DataFrame:
+    """For each ``_range`` the rows of all ranges before it, ``_before``, and of all, ``_all``.
+
+    The driver adds up one number per range, of which there are as many as shuffle partitions.
+    """
+    counts = sorted((r["_range"], r["_in_range"]) for r in stored.groupBy("_range").agg(rows.alias("_in_range")).collect())
+    before = list(accumulate((n for _, n in counts), initial=0))
+    offsets = [(number, start, before[-1]) for (number, _), start in zip(counts, before)]
+    return stored.sparkSession.createDataFrame(offsets, "_range int, _before bigint, _all bigint")
+
+
+def rank_and_percentile(stored: DataFrame, score: str, rank_name: str, percentile_name: str) -> DataFrame:
+    """Every row with its rank by descending score and the percentile of rows with a smaller one.
+
+    Two windows over all rows would sort them in one task. Instead each distinct score is one row
+    with its number of ties, dealt out by range; a range counts what lies before a score within it,
+    and one short row per range gives what lies before the range. Rows get both back by their score,
+    so however many share one, they are counted before they are shuffled. Null scores count as
+    largest; a single row has percentile 0. ``stored`` is read twice: pass a written table.
+    """
+    descending = F.col("_score").desc_nulls_first()
+    # Written, as a range must keep its number.
+    ties = written(
+        stored.groupBy(F.col(score).alias("_score")).agg(F.count(F.lit(1)).alias("_ties"))
+        .repartitionByRange(descending).withColumn("_range", F.spark_partition_id()),
+        "scores",
+    )
+    ranges = _range_offsets(ties, F.sum("_ties"))
+    larger = Window.partitionBy("_range").orderBy(descending).rowsBetween(Window.unboundedPreceding, -1)
+    counted = ties.withColumn("_larger", F.coalesce(F.sum("_ties").over(larger), F.lit(0)))
+    placed = counted.join(F.broadcast(ranges), "_range")
+    rank = F.col("_larger") + F.col("_before") + 1
+    share = percent(F.col("_all") - (rank - 1) - F.col("_ties"), F.col("_all") - 1, 1)
+    ranks = placed.select(
+        "_score", rank.cast("bigint").alias(rank_name), F.coalesce(share, F.lit(0).cast("decimal(12,1)")).alias(percentile_name)
+    )
+    return stored.join(ranks, F.col(score).eqNullSafe(F.col("_score"))).drop("_score")
+
+
+def with_position(df: DataFrame, order: Sequence[Column], output: str = "position") -> DataFrame:
+    """All rows in order, with their place in it from 1.
+
+    Rows are dealt out by range and sorted within ranges, as a final sort does; a row's place is
+    its place within its range plus the rows of all ranges before, one short row per range. ``order``
+    must be total, or else rows that tie get their places in any order. Written, as a range must keep its rows.
+    """
+    within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    ordered = written(
+        df.repartitionByRange(*order).sortWithinPartitions(*order)
+        .select("*", F.spark_partition_id().alias("_range"), within.alias("_within")),
+        "ordered",
+    )
+    placed = ordered.join(F.broadcast(_range_offsets(ordered, F.count(F.lit(1)))), "_range")
+    return placed.select(*df.columns, (F.col("_before") + F.col("_within") + 1).alias(output)).orderBy(output)
+
+
 def rolling_average(df: DataFrame, key: str, day: str, value: str, days: int, output: str) -> DataFrame:
     """Average of ``value`` over the calendar days ``day - days + 1 .. day`` per key.
 

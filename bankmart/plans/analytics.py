@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from bankmart.functions.dates import month_start
 from bankmart.functions.numbers import exact_average, exact_ratio, money, percent
-from bankmart.operators.windows import rank_within, running_total, top_with_percentile
+from bankmart.operators.windows import rank_and_percentile, rank_within, running_total, top_with_percentile
 from bankmart.store import written
 
 # Transaction outcomes as spelled in the base tables, and as
@@ -34,6 +34,23 @@ def _count_where(condition: Column, value: str) -> Column:
     return F.count(F.when(condition, F.col(value)))
 
 
+def report_order(name: str) -> list[Column]:
+    """The order of a report's rows, total if product names are unique within their sub-category."""
+    first, last = lambda c: F.col(c).asc_nulls_first(), lambda c: F.col(c).asc_nulls_last()
+    largest = lambda c: F.col(c).desc_nulls_first()
+    orders = {
+        "monthly_revenue": [last("month"), last("transactiontype")],
+        "top_customers": [first("spend_rank"), first("CustomerID")],
+        "customer_percentiles": [first("spend_rank"), first("CustomerID")],
+        "failure_risk": [largest("failure_rate_pct"), first("category"), first("sub_category"), first("productname")],
+        "product_volume_rank": [largest("total_txns"), first("category"), first("productname")],
+        "product_volume_rank_sub": [largest("total_txns"), first("category"), first("sub_category"), first("productname")],
+    }
+    if name not in orders:
+        raise ValueError(f"{name} has no order")
+    return orders[name]
+
+
 def monthly_revenue(transactions: DataFrame) -> DataFrame:
     """Successful amounts per month and type, with running totals.
 
@@ -71,7 +88,7 @@ def monthly_revenue(transactions: DataFrame) -> DataFrame:
             exact_average(F.col("total_amount"), F.col("amount_count")).alias("avg_amount"),
             "running_total_by_type", "overall_running_total",
         )
-        .orderBy(F.col("month").asc_nulls_last(), F.col("transactiontype").asc_nulls_last())
+        .orderBy(*report_order("monthly_revenue"))
     )
 
 
@@ -111,11 +128,24 @@ def top_customers(transactions: DataFrame, accounts: DataFrame, customers: DataF
     """
     spend = written(customer_spend(transactions, accounts, customers), "customer-spend")
     ranked = top_with_percentile(spend, "total_spent", k, "CustomerID", "spend_rank", "spend_percentile")
+    return _spend_report(ranked).orderBy(*report_order("top_customers"))
+
+
+def _spend_report(ranked: DataFrame) -> DataFrame:
     return ranked.select(
         "CustomerID", "FullName", "Region", "customer_status", "txn_count", "total_spent",
         exact_average(F.col("total_spent"), F.col("amount_count")).alias("avg_txn_amount"),
         "last_transaction_date", "spend_rank", "spend_percentile",
-    ).orderBy("spend_rank", "CustomerID")
+    )
+
+
+def customer_percentiles(transactions: DataFrame, accounts: DataFrame, customers: DataFrame) -> DataFrame:
+    """Every customer with successful spend, with rank and spend percentile among all of them.
+
+    Not sorted: there are as many rows as customers.
+    """
+    spend = written(customer_spend(transactions, accounts, customers), "customer-spend")
+    return _spend_report(rank_and_percentile(spend, "total_spent", "spend_rank", "spend_percentile"))
 
 
 def product_outcomes(
@@ -185,7 +215,7 @@ def failure_risk(
         "category", "sub_category", "productname", "total_txns", "completed", "failed",
         percent(F.col("failed"), F.col("total_txns"), 2).alias("failure_rate_pct"),
         "total_volume", "failed_volume", "risk_rank_in_category",
-    ).orderBy(F.col("failure_rate_pct").desc_nulls_first(), "category", "sub_category", "productname")
+    ).orderBy(*report_order("failure_risk"))
 
 
 def product_volume_rank(
@@ -198,7 +228,7 @@ def product_volume_rank(
     )
     return rank_within(written(outcomes, "outcomes"), "category", F.col("total_txns"), "volume_rank").select(
         "category", "productname", "total_txns", "failed", "total_volume", "volume_rank"
-    ).orderBy(F.col("total_txns").desc_nulls_first(), "category", "productname")
+    ).orderBy(*report_order("product_volume_rank"))
 
 
 def product_volume_rank_sub(
@@ -216,7 +246,7 @@ def product_volume_rank_sub(
     )
     return rank_within(written(outcomes, "outcomes"), "category", F.col("total_txns"), "volume_rank").select(
         "category", "sub_category", "productname", "total_txns", "completed", "failed", "total_volume", "volume_rank"
-    ).orderBy(F.col("total_txns").desc_nulls_first(), "category", "sub_category", "productname")
+    ).orderBy(*report_order("product_volume_rank_sub"))
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

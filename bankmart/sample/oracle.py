@@ -211,7 +211,7 @@ FROM (SELECT date_trunc('month', "TransactionDate") AS month, "TransactionType"
         count(*) AS txn_count, sum(cents) AS cents, count(cents) AS n
       FROM paid WHERE "Status" = 'Success' AND "TransactionDate" IS NOT NULL GROUP BY ALL)""")
 
-_TOP = _with([_TRANSACTION, _CENTS, _ACCOUNT, _CUSTOMER], f"""
+_SPENT = _with([_TRANSACTION, _CENTS, _ACCOUNT, _CUSTOMER], f"""
 SELECT "CustomerID", "FullName", "Region", customer_status, txn_count, {_scaled('cents', 2)} AS total_spent,
   {_average('cents', 'n')} AS avg_txn_amount, last_transaction_date, spend_rank,
   {_scaled('(2000 * smaller + others) // (2 * others)', 1, 12)} AS spend_percentile
@@ -223,8 +223,8 @@ FROM (SELECT *, rank() OVER (ORDER BY cents DESC NULLS FIRST) AS spend_rank,
             FROM paid, account, cust
             WHERE paid."AccountID" = account."AccountID" AND account."CustomerID" = cust."CustomerID"
               AND paid."Status" = 'Success'
-            GROUP BY ALL))
-ORDER BY spend_rank, "CustomerID" LIMIT 20""")
+            GROUP BY ALL))""")
+_TOP = f'{_SPENT}\nORDER BY spend_rank, "CustomerID" LIMIT 20'
 
 
 def _outcomes(keys: str, completed: str, failed: str) -> str:
@@ -295,6 +295,31 @@ _STAMPS = _with(_BASE, "\nUNION ALL ".join(
     for _, table, cte, columns in _DATASETS if columns == 9
 ))
 
+# Outcomes of a load in which the products are refused, and of the one after it.
+_RESUMED = _with(_BASE, "\nUNION ALL ".join(
+    f"SELECT {run} AS run, '{name}' AS name, '{table}' AS \"table\", '{status}' AS status, "
+    + (f"count(*) AS rows, {columns}::INTEGER AS \"columns\", NULL::VARCHAR AS error FROM {cte}" if not error
+       else f"NULL::BIGINT AS rows, NULL::INTEGER AS \"columns\", '{error}' AS error")
+    for run, refused, kept in ((1, True, "SUCCESS"), (2, False, "LOADED_BEFORE"))
+    for name, table, cte, columns in _DATASETS
+    for status, error in [{
+        "DimProduct": ("FAILED", "refused") if refused else ("SUCCESS", ""),
+        "FactTransaction": ("PARENT_FAILED", "not loaded: DimProduct") if refused else ("SUCCESS", ""),
+    }.get(table, (kept, ""))]
+))
+
+_REJECTS = """
+SELECT CASE WHEN reason IS NULL THEN 'kept' ELSE 'rejected' END AS outcome, reason, count(*) AS rows
+FROM (SELECT CASE WHEN l_partkey % 29 = 0 THEN '7 fields instead of 8' WHEN l_partkey % 31 = 0 THEN '9 fields instead of 8'
+                  WHEN l_partkey % 37 = 0 THEN 'quote without end' END AS reason FROM lineitem)
+GROUP BY reason"""
+
+
+def _placed(report: str, order: str) -> str:
+    """A report with the place of each row, by a total order."""
+    return f"SELECT *, row_number() OVER (ORDER BY {order}) AS position FROM ({report})"
+
+
 # -------------------------------------------------------------------- checks
 
 
@@ -422,6 +447,12 @@ SELECT transaction_id, account_id, customer_id, product_id, date_key, transactio
         "failure_risk": _RISK,
         "monthly_revenue": _MONTHLY,
         "top_customers": _TOP,
+        "customer_percentiles": _SPENT,
+        "monthly_revenue_in_order": _placed(_MONTHLY, "month NULLS LAST, transactiontype NULLS LAST"),
+        "top_customers_in_order": _placed(_TOP, 'spend_rank, "CustomerID"'),
+        "failure_risk_in_order": _placed(_RISK, "failure_rate_pct DESC NULLS FIRST, category, sub_category, productname"),
+        "product_volume_rank_in_order": _placed(_VOLUME, "total_txns DESC NULLS FIRST, category, productname"),
+        "product_volume_rank_sub_in_order": _placed(_VOLUME_SUB, "total_txns DESC NULLS FIRST, category, sub_category, productname"),
         "product_volume_rank": _VOLUME,
         "product_volume_rank_sub": _VOLUME_SUB,
         "row_counts": _COUNTS,
@@ -447,7 +478,10 @@ SELECT transaction_id, account_id, customer_id, product_id, date_key, transactio
         "fact_transactions_joined_calendar": fact,
         "fact_transactions_split": fact,
         "published_fact": fact,
+        "published_fact_joined_calendar": fact,
         "load_outcomes": _LOADED,
+        "resumed_load": _RESUMED,
+        "raw_zone_rejects": _REJECTS,
         "ingest_stamps": _STAMPS,
         "undated_volume": _with(_STAR, """
 SELECT count(*) AS txn_count, coalesce(sum(transaction_amount), 0)::DECIMAL(25,2) AS total_amount

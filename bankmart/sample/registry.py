@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from bankmart.operators.balance import HotKeys, find_hot_keys
 from bankmart.operators.quality import run_checks
+from bankmart.operators.windows import with_position
 from bankmart.plans import analytics, cleaning, indicators, marts, staging
 from bankmart.plans.checks import CHECKS
 from bankmart.plans.pipeline import FACT_LAYOUT, publish
@@ -25,9 +26,10 @@ from bankmart.sample import adapter
 from bankmart.schemas import BASE_TABLES, INGESTED_AT, STAMPED_TABLES
 from bankmart.session import folder_bytes, size_for
 from bankmart.sinks.files import write_parquet, write_partitioned
+from bankmart.sinks.ledger import resume_load
 from bankmart.sinks.load import LOAD_ORDER, load_tables, outcome_frame, raise_on_failure
 from bankmart.sinks.tables import refresh_table
-from bankmart.sources.raw import read_csv, read_raw_table, typed
+from bankmart.sources.raw import REJECT, REJECTED, read_csv, read_raw_table, typed
 from bankmart.sources.tables import base_tables
 from bankmart.store import TableStore
 
@@ -38,6 +40,9 @@ TYPES = ("1-URGENT", "5-LOW")
 # The columns that the model joins go by, looked through together.
 HOT_KEYS = {"stg_transactions": ("account_id", "product_id"), "stg_accounts": ("customer_id",)}
 
+# The fact and the product hierarchy, in the order the product queries take them.
+PRODUCT_TABLES = ("FactTransaction", "DimProduct", "DimProductSubCategory", "DimProductCategory")
+
 # Keys called hot to have the split joins run whatever the data: keys by number of pieces, and pieces of nulls.
 CALLED_HOT = HotKeys({4: (1, 2, 3, 4, 5), 16: (7, 32, 33)}, 8)
 CALLED_HOT_DAYS = HotKeys({4: (dt.date(1996, 1, 1), dt.date(1997, 3, 1))}, 8)
@@ -100,6 +105,29 @@ class Bank:
         root = self._store.path(f"parts_{table}", write)
         return read_raw_table(self._spark, root, ["1/", "2/"])
 
+    def raw_zone_rejects(self) -> DataFrame:
+        """Transactions as CSV files in which some lines lack a field, have one more or an open quote: kept and rejected rows."""
+        raw, names = self.raw("FactTransaction"), BASE_TABLES["FactTransaction"].fieldNames()
+        fields = F.concat_ws(",", *[F.coalesce(name, F.lit("")) for name in names])
+        product = F.col("ProductID").cast("bigint")
+        line = (
+            F.when(product % 29 == 0, F.substring_index(fields, ",", len(names) - 1))
+            .when(product % 31 == 0, F.concat(fields, F.lit(",more")))
+            .when(product % 37 == 0, F.concat(fields, F.lit(',"open')))
+            .otherwise(fields)
+        )
+
+        def write(path: str) -> None:
+            # One column, whose name is the header line and whose values are lines, with nothing quoted.
+            raw.select(line.alias(",".join(names))).write.mode("overwrite").csv(
+                path, header=True, sep="\u0001", quote="\u0000", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+            )
+
+        read = read_csv(self._spark, self._store.path("raw_rejects", write), malformed=REJECT)
+        reason = F.col(f"{REJECTED}.reason")
+        outcome = F.when(reason.isNull(), "kept").otherwise("rejected")
+        return read.groupBy(outcome.alias("outcome"), reason.alias("reason")).agg(F.count(F.lit(1)).alias("rows"))
+
     def base(self, table: str) -> DataFrame:
         """A loaded base table."""
         return self._store.table(table, lambda: self.cleaned(table))
@@ -158,15 +186,33 @@ class Bank:
 
     def load_outcomes(self) -> DataFrame:
         """All base tables cleaned to Parquet and loaded in order, with the outcome of each."""
-        root = self._store.path("cleaned", lambda path: [
-            write_parquet(self.cleaned(table), f"{path}/{name}") for name, table in LOAD_ORDER
-        ])
-        outcomes = load_tables(
-            self._spark, root, lambda df, table: refresh_table(df, f"{self.database()}.{table}")
-        )
+        outcomes = load_tables(self._spark, self.cleaned_zone(), self.refresh)
         raise_on_failure(outcomes)
         return outcome_frame(self._spark, outcomes)
 
+    def cleaned_zone(self) -> str:
+        return self._store.path("cleaned", lambda path: [
+            write_parquet(self.cleaned(table), f"{path}/{name}") for name, table in LOAD_ORDER
+        ])
+
+    def refresh(self, df: DataFrame, table: str) -> None:
+        refresh_table(df, f"{self.database()}.{table}")
+
+    def resumed_load(self) -> DataFrame:
+        """The outcomes of a load in which the products were refused, and of the next one, which goes on from there."""
+        ledger = f"{self._store.path('ledgers', lambda path: None)}/{uuid.uuid4().hex}"
+
+        def refuse_products(df: DataFrame, table: str) -> None:
+            if table == "DimProduct":
+                raise ValueError("refused")
+            self.refresh(df, table)
+
+        runs = [
+            outcome_frame(self._spark, resume_load(self._spark, self.cleaned_zone(), load, ledger)).select(F.lit(run).alias("run"), "*")
+            for run, load in ((1, refuse_products), (2, self.refresh))
+        ]
+        return runs[0].unionByName(runs[1])
+
     def database(self) -> str:
         """A catalog database of this folder's own, in the shared folder."""
         name = f"bankmart_{self._name}"
@@ -179,6 +225,18 @@ class Bank:
         base = base_tables(self._spark, self.database())
         return publish(base, self.database(), AS_OF)["fact_transactions"]
 
+    def published_fact_joined_calendar(self) -> DataFrame:
+        """As ``published_fact``, in a database of its own, with a join for each column's source and hot keys in all of them."""
+        self.load_outcomes()
+        name = f"bankmart_joined_{self._name}"
+        self._store.path("joined", lambda path: self._spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{path}'"))
+        return publish(base_tables(self._spark, self.database()), name, AS_OF, join_calendar=True)["fact_transactions"]
+
+    def in_order(self, report: str, *tables: str) -> DataFrame:
+        """A report with each row's place in its order."""
+        build = getattr(analytics, report)
+        return with_position(build(*[self.base(t) for t in tables]), analytics.report_order(report))
+
     def ingest_stamps(self) -> DataFrame:
         """For each stamped table its rows, those with a stamp, and whether there is one stamp."""
         stamp = F.col(INGESTED_AT)
@@ -206,7 +264,7 @@ class Bank:
 
     def product_tables(self) -> list[DataFrame]:
         """The fact and the product hierarchy, in the order the product queries take them."""
-        return [self.base(t) for t in ("FactTransaction", "DimProduct", "DimProductSubCategory", "DimProductCategory")]
+        return [self.base(t) for t in PRODUCT_TABLES]
 
 
 _banks: dict[tuple[str, str], Bank] = {}
@@ -255,9 +313,17 @@ BANK_QUERIES: dict[str, Callable[[Bank], DataFrame]] = {
     "top_customers": lambda b: analytics.top_customers(
         b.base("FactTransaction"), b.base("DimAccount"), b.base("DimCustomer")
     ),
+    "customer_percentiles": lambda b: analytics.customer_percentiles(
+        b.base("FactTransaction"), b.base("DimAccount"), b.base("DimCustomer")
+    ),
     "product_volume_rank": lambda b: analytics.product_volume_rank(*b.product_tables()),
     "product_volume_rank_sub": lambda b: analytics.product_volume_rank_sub(*b.product_tables()),
     "row_counts": lambda b: analytics.row_counts({name: b.base(name) for name in BASE_TABLES}),
+    "monthly_revenue_in_order": lambda b: b.in_order("monthly_revenue", "FactTransaction"),
+    "top_customers_in_order": lambda b: b.in_order("top_customers", "FactTransaction", "DimAccount", "DimCustomer"),
+    "failure_risk_in_order": lambda b: b.in_order("failure_risk", *PRODUCT_TABLES),
+    "product_volume_rank_in_order": lambda b: b.in_order("product_volume_rank", *PRODUCT_TABLES),
+    "product_volume_rank_sub_in_order": lambda b: b.in_order("product_volume_rank_sub", *PRODUCT_TABLES),
     **_cleaning_queries(),
     "stg_transactions": lambda b: _unstamped(b.stg_transactions()),
     "stg_accounts": lambda b: _unstamped(b.stg_accounts()),
@@ -271,7 +337,10 @@ BANK_QUERIES: dict[str, Callable[[Bank], DataFrame]] = {
     "fact_transactions_joined_calendar": lambda b: b.fact_transactions(joined_calendar=True),
     "fact_transactions_split": Bank.fact_transactions_split,
     "published_fact": Bank.published_fact,
+    "published_fact_joined_calendar": Bank.published_fact_joined_calendar,
     "load_outcomes": Bank.load_outcomes,
+    "resumed_load": Bank.resumed_load,
+    "raw_zone_rejects": Bank.raw_zone_rejects,
     "ingest_stamps": Bank.ingest_stamps,
     "undated_volume": lambda b: indicators.undated_volume(b.mart("fact_transactions")),
     "dq_results": lambda b: run_checks(b.models(), CHECKS),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,3 +34,10 @@ def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str], sor
     """Overwrite a dataset laid out by folder."""
     writer = arranged(df, partition_by, sort_by).write.mode("overwrite")
     writer.partitionBy(*partition_by).parquet(path)
+
+
+def remove_folder(path: str) -> None:
+    """Delete a folder and all in it, wherever Spark can write; nothing if it is not there."""
+    jvm = SparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(SparkContext._active_spark_context._jsc.hadoopConfiguration()).delete(folder, True)

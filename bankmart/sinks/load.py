@@ -21,6 +21,8 @@ LOAD_ORDER: tuple[tuple[str, str], ...] = (
 )
 
 SUCCESS, FAILED = "SUCCESS", "FAILED"
+# Of a resumed load: nothing to do, and not tried.
+LOADED_BEFORE, PARENT_FAILED = "LOADED_BEFORE", "PARENT_FAILED"
 
 
 @dataclass(frozen=True)
@@ -41,7 +43,7 @@ class LoadFailed(Exception):
 
     def __init__(self, outcomes: list[LoadOutcome]):
         self.outcomes = outcomes
-        failed = [o.name for o in outcomes if o.status == FAILED]
+        failed = [o.name for o in outcomes if o.status in (FAILED, PARENT_FAILED)]
         super().__init__(f"tables not loaded: {', '.join(failed)}")
 
 

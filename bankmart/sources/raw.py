@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +19,15 @@ RAW_FILES = "*.{csv,txt}"
 # What to do with files of one name in several folders.
 STOP, LAST_WINS, ALL = "stop", "last", "all"
 
+# What else to do with rows that do not fit their header, and the column that marks rejected ones.
+KEEP, REJECT = "keep", "reject"
+REJECTED = "_rejected"
+_TEXT = "_text"
+
+# More bytes than a file has: what a task may read at most, and what opening a file counts as.
+_ONE_FILE = 1 << 40
+_GLOB_SIGNS = re.compile(r"[\\*?\[\]{}]")
+
 
 class SameName(Exception):
     """Raised for files of one name when the caller did not say what they mean."""
@@ -54,38 +64,80 @@ def read_raw_table(
     """Read a table of one or more raw files, wherever under ``root`` they lie.
 
     A name with a slash is a folder under ``root``, all of whose files count; any
-    other is a file name. The list of a table's files is held by the driver, as
-    Spark's own reader holds it.
+    other is a file name. Files are named to Spark by folder and pattern, so their
+    list stays with Spark's own reader, however many there are.
     """
     names = [names] if isinstance(names, str) else list(names)
-    paths: list[str] = []
-    wanted = [n for n in names if "/" not in n]
-    if wanted:
+    places: list[tuple[str, str | None]] = []
+    for name in names:
+        if "/" in name:
+            places.append((f"{root.rstrip('/')}/{name.strip('/')}", RAW_FILES))
+            continue
         # Only the names asked for have to be one file each.
-        chosen = raw_files(spark, root, ALL).filter(F.col("file_name").isin(*wanted))
-        found = [(r["file_name"], r["path"]) for r in chosen.select("file_name", "path").orderBy("path").collect()]
-        for name in wanted:
-            own = [path for file, path in found if file == name]
-            if not own:
-                raise FileNotFoundError(f"no raw file named {name} under {root}")
-            if len(own) > 1 and same_name == STOP:
-                raise SameName(f"{len(own)} files under {root} are named {name}")
-            paths += own[-1:] if same_name == LAST_WINS else own
-    for folder in (n for n in names if "/" in n):
-        inside = raw_files(spark, f"{root.rstrip('/')}/{folder.strip('/')}", ALL)
-        paths += [r["path"] for r in inside.select("path").orderBy("path").collect()]
-    return read_csv(spark, paths, **options)
+        found = raw_files(spark, root, ALL).filter(F.col("file_name") == name)
+        own = found.agg(F.count(F.lit(1)).alias("files"), F.max("path").alias("last")).first()
+        if not own["files"]:
+            raise FileNotFoundError(f"no raw file named {name} under {root}")
+        if own["files"] > 1 and same_name == STOP:
+            raise SameName(f"{own['files']} files under {root} are named {name}")
+        one = own["files"] == 1 or same_name == LAST_WINS
+        places.append((_literal(own["last"]), None) if one else (root, _literal(name)))
+    frames = [read_csv(spark, path, glob=glob, **options) for path, glob in places]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def first_lines(spark: SparkSession, paths: Sequence[str], glob: str | None = None) -> DataFrame:
+    """``path`` and ``header``, its first line that is not blank, of every file behind paths and folders.
+
+    One job, in which each file is a task that stops reading after that line. Spark has no
+    limit by file among its expressions, so the tasks iterate over their rows themselves.
+    """
+
+    def first(lines):
+        for path, line in lines:
+            if line.strip("\ufeff \t"):
+                yield path, line
+                return
+
+    # A session of its own, whose files are neither split nor put together.
+    whole = spark.newSession()
+    for setting in ("maxPartitionBytes", "openCostInBytes"):
+        whole.conf.set(f"spark.sql.files.{setting}", _ONE_FILE)
+    text = whole.read.text(list(paths), recursiveFileLookup=True, **_only(glob))
+    # The path is given as a URI.
+    file = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    starts = text.select(file, "value").where("_metadata.file_block_start = 0")
+    return spark.createDataFrame(starts.rdd.mapPartitions(first), "path string, header string")
+
+
+def _literal(path: str) -> str:
+    """A path or name that no sign of which is read as a pattern."""
+    return _GLOB_SIGNS.sub(r"\\\g<0>", path)
+
+
+def _only(glob: str | None) -> dict[str, str]:
+    return {"pathGlobFilter": glob} if glob else {}
 
 
 def read_csv(
-    spark: SparkSession, path: str | Sequence[str], *, multi_line: bool = False, malformed: str = STOP
+    spark: SparkSession,
+    path: str | Sequence[str],
+    *,
+    multi_line: bool = False,
+    malformed: str = STOP,
+    glob: str | None = None,
 ) -> DataFrame:
     """Headed CSV files or folders as text columns plus the position of each row.
 
     Every file's own header names its columns: files whose headers differ are
     read by header and put together by name, and columns that one lacks are null
-    there. A row with more or fewer fields than its header stops the job;
-    ``malformed="keep"`` fills up short rows and cuts long ones.
+    there. ``glob`` chooses among the files of folders. Jobs are one for all
+    headers and one for each different one, whatever the number of files.
+
+    A row with more or fewer fields than its header stops the job.
+    ``malformed="keep"`` fills up short rows and cuts long ones; ``"reject"``
+    returns them beside the others, marked in the column ``REJECTED`` by their
+    text and the reason (see ``split_rejected``).
 
     Missing-value markers become null. Types are applied later by name
     (``typed``), so nothing is inferred and the data is read once. Quotes inside
@@ -95,41 +147,62 @@ def read_csv(
     The position is (file, block, row number within the task): a block is read by
     one task from top to bottom, so positions sort in file order.
     """
+    paths = [path] if isinstance(path, str) else list(path)
+    lines = first_lines(spark, paths, glob)
+    found = lines.groupBy("header").agg(F.min("path").alias("example")).orderBy("header").collect()
+    if not found:
+        raise FileNotFoundError(f"no file with a header in {paths}")
+    columns = {
+        r["header"]: tuple(spark.read.csv(_literal(r["example"]), header=True, escape='"', multiLine=multi_line).columns) for r in found
+    }
+    if len(set(columns.values())) == 1:
+        return _read_alike(spark, paths, columns[found[0]["header"]], multi_line, malformed, glob)
+    # The files of each header are listed to Spark's reader, which holds such a list itself.
     groups: dict[tuple[str, ...], list[str]] = {}
-    for file in _files_of(spark, [path] if isinstance(path, str) else list(path)):
-        # Only the first line of a file is read here.
-        groups.setdefault(tuple(spark.read.csv(file, header=True, escape='"', multiLine=multi_line).columns), []).append(file)
-    frames = [_read_alike(spark, files, columns, multi_line, malformed) for columns, files in groups.items()]
+    for row in lines.orderBy("path").collect():
+        groups.setdefault(columns[row["header"]], []).append(_literal(row["path"]))
+    frames = [_read_alike(spark, files, names, multi_line, malformed) for names, files in groups.items()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def _files_of(spark: SparkSession, paths: list[str]) -> list[str]:
-    """The files behind paths and folders, in order."""
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths).select("path")
-    files = [r["path"] for r in listed.distinct().orderBy("path").collect()]
-    if not files:
-        raise FileNotFoundError(f"no file in {paths}")
-    return files
-
-
 def _read_alike(
-    spark: SparkSession, files: list[str], columns: Sequence[str], multi_line: bool, malformed: str
+    spark: SparkSession, paths: list[str], columns: Sequence[str], multi_line: bool, malformed: str, glob: str | None = None
 ) -> DataFrame:
     """Files of one header."""
     schema = T.StructType([T.StructField(name, T.StringType()) for name in columns])
+    if malformed == REJECT:
+        schema.add(_TEXT, T.StringType())
     # Without column pruning a row is seen whole, so that its fields can be counted.
-    reader = spark.read.schema(schema).option("columnPruning", malformed != STOP)
+    reader = spark.read.schema(schema).option("columnPruning", malformed == KEEP)
     frame = reader.csv(
-        files, header=True, escape='"', multiLine=multi_line, enforceSchema=False,
-        mode="FAILFAST" if malformed == STOP else "PERMISSIVE",
+        paths, header=True, escape='"', multiLine=multi_line, enforceSchema=False, recursiveFileLookup=True,
+        mode="FAILFAST" if malformed == STOP else "PERMISSIVE", columnNameOfCorruptRecord=_TEXT, **_only(glob),
     )
     position = F.struct(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
-    )
-    columns = [text.null_if_marker(F.col(f"`{c}`")).alias(c) for c in frame.columns]
-    return frame.select(*columns, position.alias(SOURCE_ORDER))
+    ).alias(SOURCE_ORDER)
+    values = [text.null_if_marker(F.col(f"`{c}`")).alias(c) for c in columns]
+    if malformed != REJECT:
+        return frame.select(*values, position)
+    return frame.select(*values, position, _rejection(F.col(_TEXT), columns).alias(REJECTED))
+
+
+def _rejection(line: Column, columns: Sequence[str]) -> Column:
+    """Text and reason of a row that does not fit, null for one that does."""
+    # Spark refuses to read the text of such rows without any of their columns, so one is named.
+    line_or_field = F.coalesce(line, F.col(f"`{columns[0]}`"))
+    unquoted = F.regexp_replace(line_or_field, '"([^"]|"")*"', "")
+    own = F.size(F.split(unquoted, ",")).cast("string")
+    reason = F.when(F.contains(unquoted, F.lit('"')), "quote without end").otherwise(F.concat(own, F.lit(f" fields instead of {len(columns)}")))
+    return F.when(line.isNotNull(), F.struct(line_or_field.alias("text"), reason.alias("reason")))
+
+
+def split_rejected(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows that fit their header, and ``file``, ``block``, ``row``, ``text`` and ``reason`` of the others."""
+    rejected = df.where(F.col(REJECTED).isNotNull()).select(f"{SOURCE_ORDER}.*", f"{REJECTED}.*")
+    return df.where(F.col(REJECTED).isNull()).drop(REJECTED), rejected
 
 
 def typed(

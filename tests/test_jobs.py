@@ -1,11 +1,18 @@
 """Job options: account keys, sizes, settings, database target, status and repeated files."""
 
+from collections import Counter
+
 import pytest
 from helpers import FILES, rows, settings
+from pyspark.sql import functions as F
 
 from bankmart import jobs
+from bankmart.operators.balance import find_hot_keys
+from bankmart.plans import marts
+from bankmart.plans.pipeline import publish
 from bankmart.session import SETTINGS
 from bankmart.sinks.load import LOAD_ORDER
+from bankmart.store import written
 
 
 @pytest.fixture(scope="module")
@@ -84,3 +91,86 @@ def test_undated_transactions_have_a_report(spark, loaded, tmp_path):
     jobs.main(["publish", "--database", loaded])
     jobs.main(["report", "--database", loaded, "--name", "undated_volume", "--output", str(tmp_path / "u")])
     assert [r.txn_count for r in spark.read.parquet(str(tmp_path / "u")).collect()] == [1]
+
+
+def test_rows_that_do_not_fit_go_to_a_folder_of_their_own(spark, zone, capsys, tmp_path):
+    header = FILES["FactTransaction"][1].splitlines()[0]
+    (zone / "raw" / "odd").mkdir(exist_ok=True)
+    (zone / "raw" / "odd" / "odd.csv").write_text(f"{header}\n95,100,2024-01-01,4,credit,atm,5,Success\n96,100\n97,1,2,3,4,5,6,7,8,9\n")
+    target = cleaned(zone, "odd", "--file", "FactTransaction=odd/", "--rejected", str(tmp_path / "rejected"))
+    out = capsys.readouterr().out
+    assert "2 rows do not fit their header" in out and out.count("do not fit") == 1
+    assert 95 in [r.TransactionID for r in spark.read.parquet(f"{target}/fact_transaction").collect()]
+    rejected = spark.read.parquet(str(tmp_path / "rejected" / "fact_transaction"))
+    assert rows(rejected, "text", "reason") == [
+        ("96,100", "2 fields instead of 8"), ("97,1,2,3,4,5,6,7,8,9", "10 fields instead of 8"),
+    ]
+    with pytest.raises(Exception, match="MALFORMED"):
+        cleaned(zone, "odd2", "--file", "FactTransaction=odd/")
+
+
+def test_a_load_job_goes_on_from_its_ledger(spark, zone, tmp_path, capsys):
+    target = ["--cleaned", cleaned(zone, "again"), "--database", "bank_ledger", "--ledger", str(tmp_path / "ledger")]
+    jobs.main(["load", *target])
+    capsys.readouterr()
+    jobs.main(["load", *target])
+    assert capsys.readouterr().out.count("LOADED_BEFORE") == len(LOAD_ORDER)
+    spark.sql("DROP DATABASE bank_ledger CASCADE")
+
+
+def test_reports_with_positions(spark, loaded, tmp_path):
+    jobs.main(["publish", "--database", loaded])
+    for name in ("monthly_revenue", "customer_percentiles"):
+        jobs.main(["report", "--database", loaded, "--name", name, "--output", str(tmp_path / name), "--positions"])
+        placed = spark.read.parquet(str(tmp_path / name)).collect()
+        assert sorted(r.position for r in placed) == list(range(1, len(placed) + 1)) and placed
+    with pytest.raises(ValueError, match="no order"):
+        jobs.main(["report", "--database", loaded, "--name", "row_counts", "--output", str(tmp_path / "x"), "--positions"])
+
+
+def test_every_join_of_a_publish_gets_its_hot_keys(spark, tmp_path):
+    """A third of the products in one sub-category, of the transactions on one day, account and product."""
+    third = lambda column, one: F.when(F.col("id") % 3 == 0, one).otherwise(F.col(column))
+    many = spark.range(0, 30_000, numPartitions=6)
+    stamp = F.current_timestamp().alias("ingested_at")
+    day = F.date_add(F.lit("2020-01-01").cast("date"), third("id", F.lit(5)).cast("int") % 1000).cast("timestamp_ntz")
+    tables = {
+        "DimProductCategory": spark.range(10).select(F.col("id").alias("ProductCategoryID"), F.lit("c").alias("ProductCategoryName")),
+        "DimProductSubCategory": many.select(
+            F.col("id").alias("ProductSubCategoryID"), (F.col("id") % 10).alias("ProductCategoryID"), F.lit("s").alias("ProductSubCategoryName")
+        ),
+        "DimProduct": many.select(F.col("id").alias("ProductID"), third("id", F.lit(7)).alias("ProductSubcategoryID"), F.lit("p").alias("ProductName")),
+        "DimCustomer": many.limit(10).select(
+            F.col("id").alias("CustomerID"), *[F.lit("x").alias(c) for c in ("FullName", "DOB", "Gender", "Region", "Email", "Status")],
+            F.lit(None).cast("timestamp_ntz").alias("JoinDate"), stamp,
+        ),
+        "DimAccount": many.select(
+            F.col("id").alias("AccountID"), (F.col("id") % 10).alias("CustomerID"), F.lit("t").alias("AccountType"),
+            *[F.lit(None).cast("timestamp_ntz").alias(c) for c in ("OpenDate", "ClosedDate")], F.lit("open").alias("Status"),
+            F.col("id").alias("RegistrationID"), F.lit(1.0).alias("Balance"), stamp,
+        ),
+        "FactTransaction": many.select(
+            F.col("id").alias("TransactionID"), third("id", F.lit(9)).alias("AccountID"), day.alias("TransactionDate"),
+            F.lit(1.0).alias("TransactionAmount"), F.lit("t").alias("TransactionType"), F.lit("c").alias("TransactionChannel"),
+            third("id", F.lit(11)).alias("ProductID"), F.lit("Success").alias("Status"), stamp,
+        ),
+    }
+    base = {name: written(df) for name, df in tables.items()}
+    with settings(
+        spark, spark_sql_shuffle_partitions="30", spark_sql_autoBroadcastJoinThreshold="-1", spark_sql_adaptive_coalescePartitions_enabled="false"
+    ):
+        spark.sql("CREATE DATABASE bank_hot")
+        models = publish(base, "bank_hot", join_calendar=True)
+        for name, rows_ in (("stg_products", 30_000), ("fact_transactions", 30_000)):
+            assert models[name].count() == rows_
+        # The view joins as published: count the rows of each task after its join.
+        per_task = Counter(r.t for r in models["stg_products"].select(F.spark_partition_id().alias("t")).collect())
+        assert max(per_task.values()) < 2 * 30_000 / 30 * 1.5
+        fact = marts.fact_transactions(
+            models["stg_transactions"], models["dim_account"], models["dim_product"], models["dim_date"],
+            *find_hot_keys(models["stg_transactions"], "account_id", "product_id"),
+            hot_dates=find_hot_keys(models["stg_transactions"], "transaction_date")[0],
+        )
+        per_task = Counter(r.t for r in fact.select(F.spark_partition_id().alias("t")).collect())
+        assert max(per_task.values()) < 2 * 30_000 / 30 * 1.5
+        spark.sql("DROP DATABASE bank_hot CASCADE")

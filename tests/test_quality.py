@@ -1,5 +1,5 @@
 import pytest
-from helpers import one, rows
+from helpers import one, plan_of, rows
 
 from bankmart.operators import quality as q
 from bankmart.operators.quality import Check
@@ -56,3 +56,31 @@ def test_declared_checks():
     assert len(CHECKS) == 42 and len({check.name for check in CHECKS}) == 42
     assert [kinds.count(k) for k in (q.NOT_NULL, q.UNIQUE, q.ACCEPTED_VALUES, q.RELATIONSHIPS)] == [25, 9, 4, 4]
     assert [c.name for c in CHECKS if c.severity == q.WARN] == ["relationships_fact_transactions_account_id"]
+
+
+def test_one_read_of_a_model_for_all_its_checks(spark, tmp_path):
+    """Plans: the fact once; each parent once for itself and once as the fact's parent."""
+    fact = spark.range(100).selectExpr("id AS k", "id % 7 AS a", "cast(id % 3 AS string) AS b", "date'2024-01-01' AS d")
+    fact.write.parquet(str(tmp_path / "fact"))
+    spark.range(5).selectExpr("cast(id AS int) AS a", "date'2024-01-01' AS d").write.parquet(str(tmp_path / "dim"))
+    models = {name: spark.read.parquet(str(tmp_path / name)) for name in ("fact", "dim")}
+    checks = [
+        Check("fact", "k", q.UNIQUE), Check("fact", "k", q.NOT_NULL), Check("fact", "a", q.NOT_NULL),
+        Check("fact", "b", q.ACCEPTED_VALUES, values=("0", "1")),
+        Check("fact", "a", q.RELATIONSHIPS, parent="dim", parent_column="a"),
+        Check("fact", "d", q.RELATIONSHIPS, parent="dim", parent_column="d"),
+    ]
+    result = q.run_checks(models, checks)
+    plan = plan_of(result)
+    assert sum("FileScan" in line and "/fact]" in line for line in plan.splitlines()) == 1
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    # 5 and 6 have no parent: 14 rows each; "2" is not accepted.
+    assert [r.failures for r in result.collect()] == [0, 0, 0, 1, 28, 0]
+
+
+def test_keys_of_any_type_are_compared_as_a_join_would(spark):
+    parent = spark.sql("SELECT * FROM VALUES (1, 1.50, '1') AS t(i, m, s)")
+    child = spark.sql("SELECT * FROM VALUES (1L, 1.5, '1'), (2L, 1.25, '01'), (NULL, NULL, NULL) AS t(i, m, s)")
+    for column in ("i", "m", "s"):
+        check = Check("child", column, q.RELATIONSHIPS, parent="parent", parent_column=column)
+        assert one(q.run_checks({"parent": parent, "child": child}, [check]))[5] == 1

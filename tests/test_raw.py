@@ -1,9 +1,13 @@
+import uuid
+
 import pytest
 from helpers import rows, settings
 from pyspark.sql import Observation
 
 from bankmart.operators.dedup import SOURCE_ORDER, keep_first
-from bankmart.sources.raw import ALL, LAST_WINS, SameName, raw_files, read_csv, read_raw_table, typed
+from bankmart.sources.raw import (
+    ALL, LAST_WINS, REJECT, SameName, first_lines, raw_files, read_csv, read_raw_table, split_rejected, typed,
+)
 
 
 def write(path, content):
@@ -106,3 +110,74 @@ def test_typed_picks_columns_by_name(spark, tmp_path):
     assert (row.AccountID, row.CustomerID, row.Balance, row.ClosedDate, row.RegistrationID) == (1, 7, 12.5, None, None)
     assert str(row.OpenDate) == "2024-01-02 00:00:00"
     assert df.columns[-1] == SOURCE_ORDER and "Extra" not in df.columns
+
+
+def jobs_run(spark, action):
+    """Spark jobs that an action starts."""
+    group = f"counted-{uuid.uuid4().hex}"
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        action()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_jobs_do_not_grow_with_files(spark, tmp_path):
+    for n in (2, 40):
+        for i in range(n):
+            write(tmp_path / str(n) / f"d{i % 3}" / f"{i}.csv", f"a,b\n{i},x\n" if i % 2 else f"b,a\nx,{i}\n")
+    counts = [jobs_run(spark, lambda n=n: read_raw_table(spark, str(tmp_path), f"{n}/")) for n in (2, 40)]
+    assert counts[0] == counts[1]
+    assert rows(read_raw_table(spark, str(tmp_path), "40/"), "a", "b") == sorted((str(i), "x") for i in range(40))
+
+
+def test_header_is_the_first_line_that_is_not_blank(spark, tmp_path):
+    write(tmp_path / "a.csv", "\n  \nx,y\n1,2\n")
+    write(tmp_path / "b.csv", "\ufeffx,y\n3,4\n")
+    write(tmp_path / "empty.csv", "")
+    write(tmp_path / "c.txt", "z\n")
+    found = {r.path.split("/")[-1]: r.header for r in first_lines(spark, [str(tmp_path)]).collect()}
+    assert found == {"a.csv": "x,y", "b.csv": "x,y", "c.txt": "z"}
+    assert rows(read_csv(spark, str(tmp_path), glob="*.csv"), "x", "y") == [("1", "2"), ("3", "4")]
+    with pytest.raises(FileNotFoundError):
+        read_csv(spark, str(tmp_path / "empty.csv"))
+
+
+def test_a_task_per_file_however_large(spark, tmp_path):
+    write(tmp_path / "large.csv", "a,b\n" + "1,2\n" * 300_000)
+    write(tmp_path / "small.csv", "c\n")
+    with settings(spark, spark_sql_files_maxPartitionBytes="100KB"):
+        first = first_lines(spark, [str(tmp_path)])
+        assert first.rdd.getNumPartitions() == 2
+        assert rows(first, "header") == [("a,b",), ("c",)]
+
+
+def test_names_with_glob_signs(spark, tmp_path):
+    write(tmp_path / "x" / "t[1].csv", "a\n1\n")
+    write(tmp_path / "y" / "t[1].csv", "a\n2\n")
+    write(tmp_path / "y" / "t1.csv", "a\n3\n")
+    write(tmp_path / "z z" / "50%+{a}.csv", "b,a\nx,4\n")
+    write(tmp_path / "z z" / "plain.csv", "a,b\n5,y\n")
+    assert rows(read_raw_table(spark, str(tmp_path), "t[1].csv", ALL), "a") == [("1",), ("2",)]
+    assert rows(read_raw_table(spark, str(tmp_path), "t[1].csv", LAST_WINS), "a") == [("2",)]
+    assert rows(read_raw_table(spark, str(tmp_path), "z z/"), "a", "b") == [("4", "x"), ("5", "y")]
+
+
+def test_rows_that_do_not_fit_are_set_aside(spark, tmp_path):
+    path = write(tmp_path / "t.csv", 'a,b\n1,2\n1,2,3\n4\n"5,\n6,"x,y"\n')
+    kept, rejected = split_rejected(read_csv(spark, path, malformed=REJECT))
+    assert rows(kept, "a", "b") == [("1", "2"), ("6", "x,y")] and kept.columns == ["a", "b", SOURCE_ORDER]
+    assert rejected.columns == ["file", "block", "row", "text", "reason"]
+    assert rows(rejected, "text", "reason", "block", "row") == [
+        ('"5,', "quote without end", 0, 3), ("1,2,3", "3 fields instead of 2", 0, 1), ("4", "1 fields instead of 2", 0, 2),
+    ]
+    assert rejected.first()["file"].endswith("/t.csv")
+
+
+@pytest.mark.parametrize("text,expected", [
+    ("7", 7), ("7.0", 7), (" 7 ", 7), ("7.5", None), ("-3", -3), ("1e3", 1000), ("x", None), ("", None), (None, None), ("9223372036854775807", 2**63 - 1),
+])
+def test_keys(spark, text, expected):
+    frame = spark.createDataFrame([(text, "n")], "ProductCategoryID string, ProductCategoryName string")
+    assert typed(frame, "DimProductCategory").first()["ProductCategoryID"] == expected

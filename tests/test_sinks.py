@@ -1,9 +1,11 @@
+import threading
+
 import pytest
 from helpers import base, money, rows, settings
 from pyspark.sql import functions as F
 
 from bankmart import store
-from bankmart.sinks import load
+from bankmart.sinks import ledger, load
 from bankmart.sinks.files import write_parquet, write_partitioned
 from bankmart.sinks.tables import Layout, as_table, as_view, database_options, refresh_table
 from bankmart.sources.tables import base_tables, constant_rows, read_parquet
@@ -172,3 +174,122 @@ def test_store_falls_back_to_a_local_folder_only_in_local_mode(spark, monkeypatc
     monkeypatch.setattr(Context, "applicationId", "app-2")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(Session())
+
+
+def generation(spark, n, rows=20_000):
+    """Rows that all bear the number of their build, in several files and folders."""
+    return spark.range(0, rows, numPartitions=6).select("id", F.lit(n).alias("n"), (F.col("id") % 4).cast("int").alias("year"))
+
+
+@pytest.mark.parametrize("replace", [
+    lambda df, name: as_table(df, name), lambda df, name: as_table(df, name, Layout(partition_by=("year",))),
+    lambda df, name: refresh_table(df, name),
+], ids=["table", "folders", "refresh"])
+def test_a_reader_during_the_swap_sees_old_or_new(spark, database, replace):
+    name = f"`{database}`.`swapped`"
+    replace(generation(spark, 0), name)
+    seen, wrong, done = [], [], threading.Event()
+
+    def read():
+        while not done.is_set():
+            try:
+                found = spark.table(name).groupBy("n").count().collect()
+                seen.append(found[0]["n"])
+                if [r["count"] for r in found] != [20_000]:
+                    wrong.append(found)
+            except Exception as error:  # noqa: BLE001 - any failure of a reader counts
+                wrong.append(error)
+
+    readers = [threading.Thread(target=read) for _ in range(2)]
+    for reader in readers:
+        reader.start()
+    for n in range(1, 5):
+        replace(generation(spark, n), name)
+    done.set()
+    for reader in readers:
+        reader.join()
+    assert not wrong
+    assert seen and spark.table(name).first()["n"] == 4
+
+
+def test_two_builds_are_kept(spark, database):
+    name = f"{database}.kept_builds"
+    for n in range(4):
+        as_table(generation(spark, n, 10), name)
+    builds = [r.tableName for r in spark.sql(f"SHOW TABLES IN {database}").collect() if r.tableName.startswith("kept_builds__v")]
+    assert sorted(spark.table(f"{database}.{b}").first()["n"] for b in builds) == [2, 3]
+    # Another layout and other columns take the place alike.
+    assert rows(as_table(spark.range(2).withColumn("year", F.lit(1)), name, Layout(partition_by=("year",)))) == [(0, 1), (1, 1)]
+
+
+def test_refreshed_folders_are_removed_but_for_two(spark, database):
+    name = f"{database}.refreshed"
+    folders = []
+    for n in range(4):
+        refresh_table(generation(spark, n, 10), name)
+        folders.append(spark.sql(f"DESCRIBE FORMATTED {name}").filter("col_name = 'Location'").first()["data_type"])
+    assert len(set(folders)) == 4 and {spark.read.parquet(f).first()["n"] for f in folders[2:]} == {2, 3}
+    for gone in folders[:2]:
+        with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+            spark.read.parquet(gone)
+
+
+class Target:
+    """Loads that are counted and refuse some tables."""
+
+    def __init__(self, spark, database, refused=()):
+        self.spark, self.database, self.refused, self.loaded = spark, database, set(refused), []
+
+    def __call__(self, df, table):
+        if table in self.refused:
+            raise ValueError("refused")
+        refresh_table(df, f"{self.database}.{table}")
+        self.loaded.append(table)
+
+    def is_there(self, table):
+        return self.spark.catalog.tableExists(f"{self.database}.{table}")
+
+
+def test_a_load_goes_on_where_it_stopped(spark, tmp_path, database):
+    zone, book = str(tmp_path / "zone"), str(tmp_path / "ledger")
+    for i, (name, _) in enumerate(load.LOAD_ORDER):
+        write_parquet(spark.range(i + 1), f"{zone}/{name}")
+
+    def run(*refused):
+        target = Target(spark, database, refused)
+        outcomes = ledger.resume_load(spark, zone, target, book, target.is_there)
+        return {o.table: o for o in outcomes}, target.loaded
+
+    outcomes, loaded = run("DimProduct", "DimCustomerUSA")
+    assert [o.status for o in outcomes.values()] == ["SUCCESS", "SUCCESS", "FAILED", "SUCCESS", "FAILED", "SUCCESS", "PARENT_FAILED"]
+    assert outcomes["FactTransaction"].error == "not loaded: DimProduct" and len(loaded) == 4
+    with pytest.raises(load.LoadFailed, match="dim_product, dim_customer_usa, fact_transaction"):
+        load.raise_on_failure(list(outcomes.values()))
+
+    outcomes, loaded = run()
+    assert loaded == ["DimProduct", "DimCustomerUSA", "FactTransaction"]
+    assert outcomes["DimCustomer"].status == "LOADED_BEFORE" and outcomes["DimCustomer"].rows == 4
+    assert run()[1] == []
+
+    # Other files: the table, and what refers to it, as emptying a parent empties its children.
+    write_parquet(spark.range(9), f"{zone}/dim_customer")
+    assert run()[1] == ["DimCustomer", "DimAccount", "FactTransaction"]
+    spark.sql(f"DROP TABLE {database}.DimProductCategory")
+    assert run()[1] == ["DimProductCategory", "DimProductSubCategory", "DimProduct", "FactTransaction"]
+
+
+def test_a_dataset_that_is_not_there_fails_alone(spark, tmp_path, database):
+    write_parquet(spark.range(2), str(tmp_path / "z" / "dim_customer"))
+    tables = (("dim_product", "DimProduct"), ("dim_customer", "DimCustomer"))
+    outcomes = ledger.resume_load(spark, str(tmp_path / "z"), Target(spark, database), str(tmp_path / "l"), tables=tables)
+    assert [o.status for o in outcomes] == ["FAILED", "SUCCESS"]
+    assert ledger.last_outcomes(spark, str(tmp_path / "none")) == {}
+
+
+def test_fingerprints_follow_the_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_parquet(spark.range(3), path)
+    first = ledger.fingerprint(spark, path)
+    assert ledger.fingerprint(spark, path) == first
+    write_parquet(spark.range(3), path)
+    assert ledger.fingerprint(spark, path) != first

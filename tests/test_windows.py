@@ -2,6 +2,7 @@ import datetime as dt
 from decimal import ROUND_HALF_UP, Decimal
 from fractions import Fraction
 
+import pytest
 from helpers import money, plan_of, rows
 from hypothesis import HealthCheck, given
 from hypothesis import settings as hypothesis_settings
@@ -9,7 +10,10 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from bankmart.operators.windows import rank_within, rolling_average, running_total, top_with_percentile
+from bankmart.operators.windows import (
+    rank_and_percentile, rank_within, rolling_average, running_total, top_with_percentile, with_position,
+)
+from bankmart.store import written
 
 FEW = hypothesis_settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -99,3 +103,32 @@ def test_rolling_average_equals_brute_force(spark, cents, days):
         mean = Decimal(sum(window)) / Decimal(100 * len(window))
         expected.append((k, start + dt.timedelta(days=d), mean.quantize(Decimal("0.01"), ROUND_HALF_UP)))
     assert rows(rolling_average(df, "k", "d", "v", days, "avg"), "k", "d", "avg") == sorted(expected)
+
+
+@pytest.mark.parametrize("scores", [[5, 3, 3, 1, None, 5, 2], [1], [2] * 50, [None, None], [], list(range(100)) + [7] * 60])
+def test_rank_and_percentile_of_every_row(spark, scores):
+    stored = written(spark.createDataFrame(list(enumerate(scores)), "id int, score int"))
+    ranked = rank_and_percentile(stored, "score", "r", "p")
+    by_size = [float("inf") if s is None else s for s in scores]
+    expected = []
+    for i, s in enumerate(by_size):
+        smaller, others = sum(x < s for x in by_size), len(scores) - 1
+        share = Decimal(100 * smaller) / Decimal(others) if others else Decimal(0)
+        expected.append((i, scores[i], 1 + sum(x > s for x in by_size), share.quantize(Decimal("0.1"), ROUND_HALF_UP)))
+    assert rows(ranked, "id", "score", "r", "p") == sorted(expected)
+
+
+def test_no_task_ranks_all_rows(spark):
+    stored = written(spark.range(1000).select("id", (F.col("id") % 300).alias("score")))
+    plan = plan_of(rank_and_percentile(stored, "score", "r", "p"))
+    assert "SinglePartition" not in plan and "Window" in plan
+
+
+def test_position_is_the_place_in_the_order(spark):
+    stored = spark.range(0, 5000, numPartitions=7).select((F.col("id") * 7919 % 5000).alias("id"), (F.col("id") % 3).alias("k"))
+    order = [F.col("k").desc_nulls_first(), F.col("id").asc()]
+    placed = with_position(stored, order)
+    expected = sorted(((r.id, r.k) for r in stored.collect()), key=lambda r: (-r[1], r[0]))
+    got = placed.collect()
+    assert [(r.id, r.k) for r in got] == expected and [r.position for r in got] == list(range(1, 5001))
+    assert "SinglePartition" not in plan_of(placed) and with_position(stored.limit(0), order).isEmpty()
