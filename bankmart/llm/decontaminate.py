@@ -37,6 +37,12 @@ UNITS = (
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F -¿ -⁯　-〿]+"
 
 
+def _own_letters(text: Column) -> Column:
+    """A text without the placeholders' own characters, which are of private use; they become another of these."""
+    marks = NUMBER + NAME + UNIT
+    return F.when(text.rlike(f"[{marks}]"), F.translate(text, marks, 3 * "\ue003")).otherwise(text)
+
+
 def _joined(text: Column) -> Column:
     """Without the marks inside numbers."""
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[.,](?<=\d[.,])(?=\d)", "")
@@ -171,22 +177,45 @@ def _stretches(pairs: Column, need: Column) -> Column:
     return F.aggregate(events, F.struct(F.lit(0).alias("start"), none.alias("out")), step)["out"]
 
 
-def _plain_enough(run: Column, need: Column) -> Column:
-    """Start and length of the longest part of ``need`` words of which enough are no placeholders; null without any."""
-    size = F.size(run)
-    # What words are above their share up to each place: a part has enough where it ends no lower than it starts.
-    gain = lambda p: F.when(p["counted"], F.lit(-LEAST_WORDS)).otherwise(F.lit(1 - LEAST_WORDS))
-    total = F.aggregate(run, F.lit(0.0).cast("double"), lambda a, p: a + gain(p))
-    height = F.transform(F.sequence(F.lit(0), size), lambda k: F.aggregate(F.slice(run, 1, k), F.lit(0.0).cast("double"), lambda a, p: a + gain(p)))
+def _firsts(levels: str) -> Column:
+    """Of an array of (level, ...) in order the first of each level."""
+    return F.filter(levels, lambda x, i: (i == 0) | (F.get(levels, i - 1)["level"] != x["level"]))
+
+
+def _plain_enough(laid: DataFrame) -> DataFrame:
+    """``laid`` with ``best``: start and length of the longest part of ``run`` of which half are no placeholders.
 
-    def longest(s):
-        ends = F.filter(F.sequence(s + need, size), lambda e: F.get(height, e) >= F.get(height, s))
-        return F.struct((F.array_max(ends) - s).alias("length"), (-s).alias("back"))
+    Null if that has fewer than ``need`` words. Going up by one at a word and down at a placeholder, a part is plain enough
+    that ends no lower than it starts. Below the start there is a first place on each level down to the end's, behind a
+    placeholder, and but for the last a last place, before one: the longest part lies between the two of one level. So
+    placeholders alone are looked at, each once but for their sorting, and only where they are more than the words.
+    """
+    size = F.size("run")
+    at = F.filter(F.transform("run", lambda p, i: F.when(p["counted"], i)), lambda i: i.isNotNull())
+    laid = laid.withColumn("n", F.size(F.filter("run", lambda p: p["counted"])))
+    laid = laid.withColumn("marks", F.when(2 * F.col("n") > size, at)).withColumn("depth", 2 * F.col("n") - size)
+    down = F.transform("marks", lambda c, j: F.struct((2 * j + 1 - c).alias("level"), (c + 1).alias("start")))
+    down = F.concat(F.array(F.struct(F.lit(0).alias("level"), F.lit(0).alias("start"))), down)
+    before = F.transform("marks", lambda c, j: F.struct((2 * j - c).alias("level"), (-c).alias("back")))
+    laid = laid.withColumns({
+        "down": F.array_sort(F.filter(down, lambda x: (x["level"] >= 0) & (x["level"] <= F.col("depth")))),
+        "before": F.array_sort(F.filter(before, lambda x: (x["level"] >= 0) & (x["level"] < F.col("depth")))),
+    })
+    ends = F.concat(F.transform(_firsts("before"), lambda x: -x["back"]), F.array(size))
+    parts = F.zip_with(_firsts("down"), ends, lambda x, end: F.struct((end - x["start"]).alias("length"), (-x["start"]).alias("back")))
+    longest = F.array_max(parts)
+    best = F.when(F.col("marks").isNull(), F.struct(F.lit(0).alias("start"), size.alias("length"))).otherwise(
+        F.struct((-longest["back"]).alias("start"), longest["length"].alias("length"))
+    )
+    laid = laid.withColumn("best", best)
+    enough = F.when(F.col("best.length") >= F.col("need"), F.col("best"))
+    # As the one element of a list, so that a condition on it is not put in terms of the lists above, many times over.
+    return laid.select(*[c for c in laid.columns if c != "best"], F.explode(F.array(enough)).alias("best"))
 
-    parts = F.filter(F.transform(F.sequence(F.lit(0), size - need), longest), lambda x: x["length"].isNotNull())
-    best = F.array_max(parts)
-    part = F.struct((-best["back"]).alias("start"), best["length"].alias("length"))
-    return F.when(total >= 0, F.struct(F.lit(0).alias("start"), size.alias("length"))).when(best.isNotNull(), part)
+
+def _array_bytes(*names: str) -> Column:
+    """About what arrays of texts take in a row."""
+    return sum((F.octet_length(F.concat_ws("", n)) + 24 * F.size(n) for n in names), F.lit(64))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -199,14 +228,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     reported under that id once; so are items. Stretches that are mostly placeholders don't count. No
     documents or no items: no rows.
     """
-    items = pick(benchmark, "item_id", "text").where("text IS NOT NULL")
+    items = pick(benchmark, "item_id", "text").where("text IS NOT NULL").withColumn("text", _own_letters(F.col("text")))
     forms = [f"form{n}" for n in range(len(_forms(F.col("text"))))]
     named = [f.alias(n) for f, n in zip(_forms(F.col("text")), forms)]
     items = items.select("item_id", template_words(F.col("text")).alias("words"), raw_words(F.col("text")).alias("raw"), capital_words(F.col("text")).alias("capital"), *named)
     items = items.withColumn("need", F.least(F.size("words"), F.lit(RUN)))
     # A number of its own for each row: ids may repeat or be null.
     items = written(items.where("need > 0").withColumn("item", F.monotonically_increasing_id()), "benchmark-items")
-    texts = pick(docs, "doc_id", "text").withColumn("doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)))
+    # What is found in a row follows from its text, so rows of one id, or of none, are told apart by two hashes of it.
+    texts = pick(docs, "doc_id", "text").withColumn("text", _own_letters(F.col("text"))).withColumn(
+        "doc", F.struct(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("a"), F.xxhash64(F.lit(1), "text").alias("b"))
+    )
     parsed = texts.select("doc", *named)
 
     # Items shorter than a full stretch are looked for whole, at every place.
@@ -222,15 +254,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     places = written(found.groupBy("doc", "item", "shift").agg(F.count("*").alias("n")).drop("n"), "benchmark-places")
 
     by_doc = written(places.groupBy("doc").agg(F.collect_list(F.struct("item", "shift")).alias("places")), "benchmark-documents")
-    rows = texts.join(small(by_doc, 16 + 64), "doc").select(
+    rows = texts.join(small(by_doc, 64 + 24 * F.size("places")), texts["doc"].eqNullSafe(by_doc["doc"])).select(
         "doc_id", template_words(F.col("text")).alias("dwords"), raw_words(F.col("text")).alias("draw"),
         capital_words(F.col("text")).alias("dcapital"), "places",
     )
     # Of a document only the words beside each item go on.
     laid = rows.select("doc_id", "dwords", "draw", "dcapital", F.explode("places").alias("p")).select("doc_id", "dwords", "draw", "dcapital", "p.*")
-    laid = laid.join(small(items.drop(*forms), 4096), "item")
+    laid = laid.join(small(items.drop(*forms), _array_bytes("words", "raw", "capital")), "item")
     first = F.greatest(F.lit(0), -F.col("shift"))
-    # None, where another row of the same id holds the place.
     count = F.greatest(F.lit(0), F.least(F.size("words") - first, F.size("dwords") - F.col("shift") - first))
     laid = laid.where(count > 0).select(
         "doc_id", "item_id", "need",
@@ -254,7 +285,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )))
     laid = laid.select("doc_id", "item_id", "need", "pairs", F.explode(_stretches(F.col("pairs"), F.col("need"))).alias("whole"))
     laid = laid.withColumn("run", F.slice("pairs", F.col("whole.start") + 1, F.col("whole.length")))
-    laid = laid.withColumn("best", _plain_enough(F.col("run"), F.col("need"))).where("best IS NOT NULL")
+    laid = _plain_enough(laid).where("best IS NOT NULL")
     laid = laid.withColumn("run", F.slice("run", F.col("best.start") + 1, F.col("best.length")))
     laid = laid.withColumn("slots", F.filter("run", lambda p: p["counted"]))
     return laid.groupBy("doc_id", "item_id").agg(

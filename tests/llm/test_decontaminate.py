@@ -6,6 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from bankmart.llm import decontaminate
 from bankmart.llm.decontaminate import RUN, contaminated, raw_words, template_words
 
 ITEM = "In the town of Alder a farmer named Boris sells 12 apples for 3 dollars each and then walks 5 km to visit Clara before noon"
@@ -140,3 +141,68 @@ def test_names_that_open_sentences(spark):
     )
     assert set(got) == {(1, 1), (2, 1), (3, 1), (5, 2)}
     assert got[1, 1]["run_words"] == 21 and got[1, 1]["n_slots"] == 9 and not got[1, 1]["same_slots"]
+
+
+def longest_plain(counted, need):
+    """By trying all parts: length and start of the longest with no more placeholders than words; the first of equals."""
+    n = len(counted)
+    fitting = [(e - s, -s) for s in range(n) for e in range(s + need, n + 1) if 2 * sum(counted[s:e]) <= e - s]
+    return (-max(fitting)[1], max(fitting)[0]) if fitting else None
+
+
+def test_longest_part_that_is_plain_enough(spark):
+    rng = random.Random(3)
+    rows = [[rng.random() < share for _ in range(rng.randint(1, 40))] for share in (0.2, 0.45, 0.5, 0.55, 0.6, 0.7, 0.9, 1.0) for _ in range(60)]
+    data = [(i, rng.choice([1, 3, 8, 13]), [(c,) for c in row]) for i, row in enumerate(rows)]
+    laid = spark.createDataFrame(data, "id int, need int, run array<struct<counted boolean>>")
+    got = {r["id"]: r["best"] and tuple(r["best"]) for r in decontaminate._plain_enough(laid).select("id", "best").collect()}
+    assert got == {i: longest_plain(row, need) for (i, need, _), row in zip(data, rows)}
+
+
+def test_a_table_of_figures_in_an_item(spark):
+    """2,000 numbers against an item of 100: seconds, as placeholders alone are never a hit."""
+    words = plain(20)
+    item = " ".join([*words, *map(str, range(100, 200))])
+    docs = [(1, " ".join(str(i) for i in range(2000))), (2, " ".join([*words, *map(str, range(500, 2500))]))]
+    got = found(spark, docs, [(1, item)])
+    assert set(got) == {(2, 1)} and got[2, 1]["run_words"] == 40
+
+
+def test_a_third_of_the_rows_without_an_id(spark, monkeypatch):
+    """Rows without an id are laid against their own places only."""
+    item = " ".join(plain(30, 4))
+    docs = [(None if i % 3 == 0 else i, " ".join([*plain(20, 100 + i), item if i % 10 == 0 else "", *plain(20, 500 + i)])) for i in range(90)]
+    written, frames = decontaminate.written, {}
+    monkeypatch.setattr(decontaminate, "written", lambda df, label: frames.setdefault(label, written(df, label)))
+    assert set(found(spark, docs, [(1, item)])) == {(i, 1) for i, t in docs if item in t}
+    assert frames["benchmark-documents"].count() == 9
+
+
+def test_placeholder_characters_in_a_text(spark):
+    words = plain(16, 6)
+    words[5] = "17"
+    other = [*words[:5], "\ue000", *words[6:]]
+    assert not found(spark, [(1, " ".join(other[:13]))], [(1, " ".join(words))])
+    assert set(found(spark, [(1, " ".join(words))], [(1, " ".join(words))])) == {(1, 1)}
+
+
+def test_reparameterised_items_of_the_test_table(spark):
+    """Every item of the table, with other numbers and names, in a document of its own: recall and clean ones."""
+    items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").collect()
+    rng, names = random.Random(8), ["Alder", "Boris", "Clara", "Dmitri"]
+
+    def planted(text):
+        """Every eighth word a number or a name."""
+        return " ".join((str(rng.randint(10, 99)) if k % 16 else rng.choice(names)) if k % 8 == 4 else w for k, w in enumerate(text.split()))
+
+    def changed(text):
+        other = dict(zip(names, ["Oleg", "Petra", "Quentin", "Rosa"]))
+        shift = rng.randint(100, 900)
+        return " ".join(str(int(w) + shift) if w.isdigit() else other.get(w, w) for w in text.split())
+
+    own = [(r.item_id, planted(r.text)) for r in items]
+    docs = [(i, " ".join([*plain(30, 1000 + i), changed(t), *plain(30, 2000 + i)])) for i, t in own]
+    clean = [(10_000 + i, " ".join(plain(120, 3000 + i))) for i in range(len(own))]
+    got = set(found(spark, docs + clean, own))
+    assert len({d for d, i in got if d == i}) >= 0.95 * len(own)
+    assert all(d == i or dict(own)[d] == dict(own)[i] for d, i in got)
