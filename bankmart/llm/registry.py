@@ -197,15 +197,39 @@ SELECT doc_id, count(span) FILTER (kind = 'assign') AS n_assign, count(span) FIL
 FROM docs LEFT JOIN spans USING (n) GROUP BY n, doc_id
 """
 
-_TEMPLATES = ",\n  ".join(
-    f"('{t.label}', {t.base}, {t.share}, string_split('{' '.join(t.words)}', ' '), string_split('{' '.join(t.key)}', ' '),"
-    f" {next(i for i in range(len(t.words)) if t.words[i : i + len(t.key)] == t.key)})"
-    for t in license_scan.TEMPLATES
-)
-
 LICENSES_SQL = r"""
-WITH templates(label, base, least, words, key, place) AS (VALUES
-  """ + _TEMPLATES + r"""),
+WITH texts(label, base, least, text, key_text) AS (VALUES
+  ('mit', true, 1.0, 'under the mit license', 'under the mit license'),
+  ('apache-2', true, 1.0, 'apache license version 2', 'apache license version 2'),
+  ('cc-by-nc', true, 1.0, 'cc by nc', 'cc by nc'),
+  ('mit', false, 0.75, 'permission is hereby granted free of charge to any person obtaining a copy of this software', 'hereby granted'),
+  ('mit', false, 0.75, 'the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software', 'copyright notice and this permission notice'),
+  ('isc', false, 0.75, 'permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted', 'with or without fee is hereby granted'),
+  ('bsd', false, 0.75, 'redistribution and use in source and binary forms with or without modification are permitted', 'source and binary forms'),
+  ('bsd', false, 0.75, 'redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer', 'redistributions in binary form must reproduce'),
+  ('bsd', false, 0.75, 'neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software', 'endorse or promote products derived'),
+  ('apache-2', false, 0.75, 'licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license', 'except in compliance with the license'),
+  ('apache-2', false, 0.75, 'unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis', 'required by applicable law or agreed to in writing'),
+  ('gpl', false, 0.75, 'licensed under the gnu general public license version 3', 'general public license'),
+  ('gpl', false, 0.75, 'this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation', 'gnu general public license as published by'),
+  ('gpl', false, 0.75, 'you should have received a copy of the gnu general public license along with this program', 'copy of the gnu general public license'),
+  ('lgpl', false, 0.75, 'licensed under the gnu lesser general public license', 'gnu lesser general public license'),
+  ('lgpl', false, 0.75, 'this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation', 'gnu lesser general public license as published by'),
+  ('agpl', false, 0.75, 'licensed under the gnu affero general public license', 'gnu affero general public license'),
+  ('agpl', false, 0.75, 'this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation', 'gnu affero general public license as published by'),
+  ('mpl-2', false, 0.75, 'this source code form is subject to the terms of the mozilla public license v 2 0', 'mozilla public license'),
+  ('mpl-2', false, 0.75, 'if a copy of the mpl was not distributed with this file you can obtain one at', 'copy of the mpl was not distributed'),
+  ('epl', false, 0.75, 'this program and the accompanying materials are made available under the terms of the eclipse public license', 'eclipse public license'),
+  ('unlicense', false, 0.75, 'this is free and unencumbered software released into the public domain', 'unencumbered software released into the public domain'),
+  ('zlib', false, 0.75, 'in no event will the authors be held liable for any damages arising from the use of this software', 'will the authors be held liable'),
+  ('bsl-1', false, 0.75, 'permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license', 'person or organization obtaining a copy'),
+  ('cc0', false, 0.75, 'the person who associated cc0 with this work has waived all copyright and related or neighboring rights to this work', 'waived all copyright and related or neighboring rights'),
+  ('cc-by', false, 0.75, 'this work is licensed under a creative commons attribution 4 0 international license', 'creative commons attribution 4 0'),
+  ('cc-by-sa', false, 0.75, 'this work is licensed under a creative commons attribution sharealike 4 0 international license', 'creative commons attribution sharealike'),
+  ('cc-by-nc', false, 0.75, 'this work is licensed under a creative commons attribution noncommercial 4 0 international license', 'creative commons attribution noncommercial 4 0'),
+  ('ofl', false, 0.75, 'this font software is licensed under the sil open font license version 1 1', 'sil open font license')),
+split AS (SELECT label, base, least, string_split(text, ' ') AS words, string_split(key_text, ' ') AS key FROM texts),
+templates AS (SELECT *, list_filter(range(len(words)), lambda i: words[i + 1 : i + len(key)] = key)[1] AS place FROM split),
 docs AS (SELECT doc_id, row_number() OVER () AS n,
                 regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS own FROM documents),

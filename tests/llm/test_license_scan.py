@@ -1,9 +1,12 @@
 """Licence places against a plain search for the phrases."""
 
+import math
+import random
 import re
 
 from bankmart.llm import registry
-from bankmart.llm.license_scan import TEMPLATES, licenses
+from bankmart.llm.license_scan import TEMPLATES, index, licenses
+from compare import duckdb_on, duckdb_table, spark_table
 
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -54,3 +57,60 @@ def test_no_rows(no_docs):
 def test_keys_are_parts_of_their_templates():
     for t in TEMPLATES:
         assert " ".join(t.key) in " ".join(t.words)
+
+
+NOTICES = {
+    "gpl": "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or",
+    "lgpl": "# This library is free software; you can redistribute it and/or\n# modify it under the terms of the GNU Lesser General Public\n# License as published by the Free Software Foundation; either",
+    "agpl": "it under the terms of the GNU Affero General Public License as published. Licensed under the GNU Affero General Public License, version 3",
+    "mpl-2": "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed",
+    "isc": "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided",
+    "apache-2": "you may not use this file. Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
+    "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted provided",
+    "epl": "This program and the accompanying materials are made available under the terms of the Eclipse Public License v2.0",
+    "unlicense": "This is free and unencumbered software released into the public domain.",
+    "bsl-1": "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license",
+    "cc-by-sa": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "cc-by": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+}
+
+
+def test_standard_notices(spark):
+    rows = [(label, f"Copyright 2020 someone. {text} and so on") for label, text in NOTICES.items()]
+    out = licenses(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    assert {r["doc_id"]: {f["label"] for f in r["found"] if not f["base"]} for r in out} == {label: {label} for label in NOTICES}
+
+
+def test_any_words_may_be_missing_as_far_as_the_share_goes(spark):
+    """Whichever quarter of a template is replaced but for its key, it is found; with more replaced it is not."""
+    draw, rows, expected = random.Random(4), [], {}
+    for t in TEMPLATES:
+        key = next(i for i in range(len(t.words)) if t.words[i : i + len(t.key)] == t.key)
+        free = [i for i in range(len(t.words)) if not key <= i < key + len(t.key)]
+        most = len(t.words) - math.ceil(t.share * len(t.words))
+        for gone in {0, min(most, len(free)), most + 1} - ({most + 1} if most >= len(free) else set()):
+            out = set(draw.sample(free, gone))
+            rows.append((len(rows), " ".join("other" if i in out else w for i, w in enumerate(t.words)), "x"))
+            expected[rows[-1][0]] = (t.label, gone <= most)
+    got = {r[0]: {f["label"] for f in r[2] if f["start"] == 0} for r in licenses(spark.createDataFrame(rows, "doc_id long, text string, z string")).collect()}
+    assert all((label in got[i]) == held for i, (label, held) in expected.items())
+
+
+def test_index_holds_the_rarest_words():
+    templates = (TEMPLATES[0], TEMPLATES[3])
+    weights = {w: float(len(w)) for t in templates for w in t.words}
+    found = index(templates, weights)
+    # One word of a phrase that must be whole; of sixteen words, four of which may be missing, five.
+    assert found["license"] == [(0, 3)] and sum(len(p) for p in found.values()) == 6
+    assert {w for w, own in found.items() for t, _ in own if t == 1} == {"permission", "obtaining", "software", "granted", "hereby"}
+
+
+def test_query_equals_its_sql(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    assert spark_table(registry.op6_licenses(spark, sf_dir)) == duckdb_table(duckdb_on(sf_dir), registry.LICENSES_SQL)
+
+
+def test_a_file_full_of_rare_words(spark):
+    text = "software license hereby granted permission " * 4000 + NOTICES["isc"]
+    (row,) = licenses(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert {f["label"] for f in row["found"]} == {"isc"}
