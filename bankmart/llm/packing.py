@@ -56,13 +56,15 @@ class Words:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # A text that names an added token, which is one id wherever it stands, goes to the tokenizer whole.
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(added) or "(?!)", re.IGNORECASE)
         self.model, self.letters = self.tokenizer.model, _byte_letters()
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        found = [PIECES.findall(t.lower()) if PLAIN.fullmatch(t) else None for t in texts]
+        found = [PIECES.findall(t.lower()) if PLAIN.fullmatch(t) and not self.added.search(t) else None for t in texts]
         flat = list(chain.from_iterable(filter(None, found)))
         ids = list(map(self.young.get, flat))
         holes = [i for i, known in enumerate(ids) if known is None]
@@ -124,6 +126,7 @@ def pack(docs: DataFrame, *, longest: int = 2048, tokenizer: str | None = None)
     """One row per sequence: ``doc_id``, ``start``, ``length`` (its bucket), ``ids``, ``doc_tokens``, ``sequence_id``, ``offset``.
 
     ``ids`` are unsigned 32-bit little-endian bytes, the end token being the document's last.
+    Names of the tokenizer's added tokens in a text are these tokens, as a plain call of it has them.
     A null or empty text is the end token alone. Rows that repeat an id, or have none, are
     packed each on its own, with that id. Other columns are ignored. No rows: no rows.
     ``longest`` is a power of two. ``tokenizer``: path of a file that every executor has.

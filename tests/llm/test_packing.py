@@ -12,9 +12,7 @@ from bankmart.llm.packing import TOKENIZER, Words, pack, pieces, write_buckets
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(public_tokenizers.path(TOKENIZER))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path(TOKENIZER))
 
 
 def whole(tokenizer, text):
@@ -86,3 +84,11 @@ def test_words_come_back_from_the_old_generation(monkeypatch, tokenizer):
     words = Words(public_tokenizers.path(TOKENIZER))
     for text in ["one two three", "four five six seven", "one two", "", "a b c d e f g h", "one <|endoftext|> don't"]:
         assert np.frombuffer(words.encode([text])[0], "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_added_tokens_are_what_a_plain_call_makes_of_them(tokenizer):
+    words = Words(public_tokenizers.path(TOKENIZER))
+    names = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    texts = ["a <s> b <|endoftext|> c", "<|ENDOFTEXT|>", "x<|endoftext|><|endoftext|>", *[f"before {n}after {n.upper()} {n}" for n in names]]
+    for text, ids in zip(texts, words.encode(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
