@@ -5,8 +5,10 @@ The request and metadata name the response in ``WARC-Concurrent-To``; the reader
 three through that and returns one nested row per capture.
 
 Archives are written by Spark's text writer with the record terminator as line separator,
-gzip-compressed, and read with the binary file source, so any file system will do. A file
-holds the captures of one scan task, ``per_file`` at most.
+gzip-compressed, and read with the binary file source, so any file system will do. Payloads are
+written by classes of their size, and a file holds so many of a class that it has ``FILE_BYTES`` at
+most before compression, or one capture that alone is larger. Spark's writer makes a file one
+gzip member, so archives are read from their start, without an index of members.
 """
 
 from __future__ import annotations
@@ -29,8 +31,12 @@ CRLF = "\r\n"
 DATE = "2024-01-01T00:00:00Z"
 # A lookup of this many bytes at most is broadcast; a larger one is joined by shuffle.
 SMALL_BYTES = 32 << 20
-BYTES_PER_ROW = 64
+BYTES_PER_ROW = 80
 ROWS = 256
+FILE_BYTES = 256 << 20
+# Upper ends of the classes of payload sizes; what a capture's three records add to its payload is below SPARE.
+CLASSES = (1 << 16, 1 << 20, 1 << 24, FILE_BYTES)
+SPARE = 1 << 14
 
 
 def payload_digest(payload: bytes) -> str:
@@ -46,6 +52,10 @@ def _one_line(text: str | None) -> str:
     return " ".join((text or "").split())
 
 
+def _identifier(page: int | None, sha: bytes, copy: int) -> str:
+    return f"urn:capture:{'' if page is None else page}:{sha.hex()}:{copy}"
+
+
 def _records(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The three records of each capture, without the terminator."""
     for batch in batches:
@@ -53,7 +63,7 @@ def _records(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out = []
             for row in batch.slice(start, ROWS).to_pylist():
                 page, html = row["page_id"], row["html"] or ""
-                base = f"urn:capture:{'' if page is None else page}:{row['copy']}"
+                base = _identifier(page, row["sha"], row["copy"])
                 target = f"WARC-Target-URI: {_one_line(row['url'])}"
                 concurrent = f"WARC-Concurrent-To: <{base}:response>"
                 payload = html.encode()
@@ -62,7 +72,7 @@ def _records(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if row["of"] is None:
                     out.append(_fields("response", f"{base}:response", more, http + html))
                 else:
-                    more += [f"WARC-Refers-To: <urn:capture:{row['of']}>", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
+                    more += [f"WARC-Refers-To: <{_identifier(row['of'], row['sha'], row['of_copy'])}:response>", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
                     out.append(_fields("revisit", f"{base}:response", more, http))
                 request = CRLF.join(["GET / HTTP/1.1", f"Referer: {_one_line(row['url'])}", "", ""])
                 out.append(_fields("request", f"{base}:request", [target, concurrent, "Content-Type: application/http; msgtype=request"], request))
@@ -75,39 +85,71 @@ def write_warc(pages: DataFrame, path: str, *, min_bytes: int = 0, per_file: int
     """Write a capture per row of ``page_id``, ``url``, ``html`` to gzip archives under ``path``.
 
     A null html is an empty payload. Of rows with equal payloads of ``min_bytes`` or more the
-    largest ``page_id`` becomes a response and the others revisit it; shorter payloads are all
-    responses. Rows that repeat the largest id are all responses, and so is every row without an
-    id. Other columns are ignored. No rows: no record.
+    largest ``page_id`` becomes a response and the others revisit it, by its record id; shorter payloads
+    are all responses. Rows that repeat the largest id are all responses, the first of which is revisited,
+    and so is every row without an id a response. Other columns are ignored. No rows: no record. A file holds
+    ``per_file`` captures at most. Rows without an id, or equal in id and payload, are told apart by their place in the scan.
     """
     ship(pages.sparkSession)
     plain = (
         pick(pages, "page_id", "url", "html")
         .withColumns({"page_id": F.col("page_id").cast("long"), "html": F.coalesce("html", F.lit(""))})
-        .withColumn("sha", F.unhex(F.sha1("html")))
+        .withColumn("sha", F.unhex(F.sha1("html"))).withColumn("copy", F.monotonically_increasing_id())
+    )
+    # One short row per page: no payload is shuffled.
+    held = written(
+        plain.groupBy("page_id", "sha").agg(
+            F.max(F.octet_length("html")).alias("bytes"), F.count(F.lit(1)).alias("n"), F.min("copy").alias("first")
+        ),
+        "payloads",
     )
-    held = plain.where((F.octet_length("html") >= min_bytes) & F.col("page_id").isNotNull()).select("page_id", "sha")
     # Partial aggregates: a payload that a third of the pages hold leaves a task as one row.
-    best = held.groupBy("sha").agg(F.max("page_id").alias("of"), F.min("page_id").alias("least")).where("least < of")
-    revisits = written(held.join(best, "sha").where("page_id <> of").select("page_id", "sha", "of").distinct(), "revisits")
-    if revisits.count() * BYTES_PER_ROW <= SMALL_BYTES:
-        revisits = F.broadcast(revisits)
-    rows = plain.withColumn("copy", F.monotonically_increasing_id()).join(revisits, ["page_id", "sha"], "left")
-    records = rows.select("page_id", "url", "html", "copy", "of").mapInArrow(_records, "value string")
-    records.write.option("lineSep", CRLF + CRLF).option("compression", "gzip").option("maxRecordsPerFile", 3 * per_file).text(path)
+    best = (
+        held.where((F.col("bytes") >= min_bytes) & F.col("page_id").isNotNull()).groupBy("sha")
+        .agg(F.max(F.struct("page_id", "n", "first")).alias("of"), F.min("page_id").alias("least")).where("least < of.page_id")
+    )
+    # Only what repeats needs a place of its own in its identifier.
+    place = lambda n, first: F.when(n > 1, first).otherwise(0)
+    marks = held.join(best, "sha", "left").select(
+        "page_id", "sha", (F.col("n") > 1).alias("again"),
+        F.when(F.col("page_id") != F.col("of.page_id"), F.struct(F.col("of.page_id").alias("id"), place(F.col("of.n"), F.col("of.first")).alias("copy"))).alias("of"),
+    )
+    marks = written(marks.where("page_id IS NOT NULL AND (again OR of IS NOT NULL)"), "revisits")
+    if marks.count() * BYTES_PER_ROW <= SMALL_BYTES:
+        marks = F.broadcast(marks)
+    rows = plain.join(marks, ["page_id", "sha"], "left").select(
+        "page_id", "url", "html", "sha", F.when(F.col("page_id").isNull() | F.col("again"), F.col("copy")).otherwise(F.lit(0)).alias("copy"),
+        F.col("of.id").alias("of"), F.col("of.copy").alias("of_copy"),
+    )
+    bounds = [*CLASSES, None]
+    classes = [F.count_if((F.col("bytes") > low) & (F.lit(True) if high is None else F.col("bytes") <= high)).alias(f"c{i}")
+               for i, (low, high) in enumerate(zip([-1, *CLASSES], bounds))]
+    counts = held.agg(*classes).first()
+    for i, (low, high) in enumerate(zip([-1, *CLASSES], bounds)):
+        if counts[i] == 0 and (i or any(counts)):
+            continue
+        size = F.octet_length("html")
+        own = rows.where((size > low) & (F.lit(True) if high is None else size <= high))
+        most = min(per_file, max(1, FILE_BYTES // (high + SPARE)) if high else 1)
+        records = own.mapInArrow(_records, "value string")
+        records.write.mode("append").option("lineSep", CRLF + CRLF).option("compression", "gzip").option("maxRecordsPerFile", 3 * most).text(path)
 
 
 def _parsed(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Header fields, by lower-case name, and block of each record, one at a time."""
+    """Header fields, by lower-case name, and block of each record, one at a time.
+
+    A record begins at a line that names the format; lines before one are passed over, and so is
+    the block of a record whose length is missing or no number, which then counts as empty.
+    """
     while line := stream.readline():
-        if not line.strip():
-            continue
         if not line.startswith(b"WARC/"):
-            raise ValueError(f"not a WARC record: {line[:40]!r}")
+            continue
         fields = {}
         while (line := stream.readline()).strip():
             name, _, value = line.decode("utf-8", "replace").partition(":")
             fields[name.strip().lower()] = value.strip()
-        yield fields, stream.read(int(fields["content-length"]))
+        length = fields.get("content-length", "")
+        yield fields, stream.read(int(length)) if length.isascii() and length.isdigit() else b""
 
 
 def _identity(value: str | None) -> str | None:
@@ -128,12 +170,12 @@ def _read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows, held = [], 0
             with gzip.GzipFile(fileobj=io.BytesIO(batch.column(0)[i].as_py())) as unzipped:
                 for f, block in _parsed(io.BufferedReader(unzipped, 1 << 20)):
-                    kind, payload = f["warc-type"], b""
+                    kind, payload = f.get("warc-type", ""), b""
                     if kind in ("response", "revisit"):
                         payload = block.partition(b"\r\n\r\n")[2]
-                    text = block.decode() if kind == "metadata" else None
+                    text = block.decode("utf-8", "replace") if kind == "metadata" else None
                     declared = (f.get("warc-payload-digest") or "").removeprefix("sha1:") or None
-                    rows.append((kind, _identity(f["warc-record-id"]), _identity(f.get("warc-concurrent-to")), _identity(f.get("warc-refers-to")),
+                    rows.append((kind, _identity(f.get("warc-record-id")), _identity(f.get("warc-concurrent-to")), _identity(f.get("warc-refers-to")),
                                  f.get("warc-target-uri"), declared, payload_digest(payload), len(payload), payload, text))
                     held += len(block)
                     if held > 4 << 20:
@@ -144,7 +186,11 @@ def _read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """Every record of the gzip archives under ``path``, one row each, blocks parsed by their declared length."""
+    """Every record of the gzip archives under ``path``, one row each, blocks parsed by their declared length.
+
+    A record without a type has an empty one, one without an id a null id, and one without a length an empty
+    block; metadata that is not UTF-8 is read with replacement characters. A file that is no gzip, or breaks off, stops the job.
+    """
     ship(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
     return files.mapInArrow(_read, RECORD)
@@ -185,5 +231,5 @@ def declared_pages(found: DataFrame) -> DataFrame:
         F.when(revisit, number(field("payload-bytes"))).otherwise(F.col("response.bytes")).alias("payload_bytes"),
         F.when(revisit, F.col("response.declared")).otherwise(F.col("response.digest")).alias("payload_digest"),
         F.col("response.type").alias("record_type"),
-        F.regexp_extract("response.refers_to_id", r"(-?\d+)$", 1).try_cast("long").alias("refers_to"),
+        F.regexp_extract("response.refers_to_id", r"^urn:capture:(-?\d+):", 1).try_cast("long").alias("refers_to"),
     )

@@ -3,7 +3,9 @@
 import base64
 import gzip
 import hashlib
+import random
 import uuid
+from pathlib import Path
 
 import pytest
 
@@ -78,3 +80,38 @@ def test_archives_are_plain_warc(spark, tmp_path):
 
 def test_no_rows(spark):
     assert found(spark, stored(spark, spark.createDataFrame([], "page_id long, url string, html string"))) == []
+
+
+def test_every_revisit_names_a_response(spark):
+    """By an id that one record of the archive has, with the same payload."""
+    df = spark.createDataFrame(ROWS, "page_id long, url string, html string").repartition(4)
+    records = warc.read_warc(spark, stored(spark, df)).collect()
+    ids = [r["record_id"] for r in records]
+    assert len(set(ids)) == len(ids)
+    responses = {r["record_id"]: r["digest"] for r in records if r["type"] == "response"}
+    revisits = [r for r in records if r["type"] == "revisit"]
+    assert len(revisits) == sum(r[3] == "revisit" for r in expected(ROWS)) and all(responses[r["refers_to_id"]] == r["declared"] for r in revisits)
+
+
+def test_files_are_bounded_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 1 << 18)
+    monkeypatch.setattr(warc, "CLASSES", (1 << 10, 1 << 14, 1 << 18))
+    monkeypatch.setattr(warc, "SPARE", 1 << 11)
+    draw = random.Random(2)
+    rows = [(i, "u", "".join(draw.choices("abcdef", k=draw.choice([5, 900, 9000, 200_000, 400_000 if i == 7 else 50])))) for i in range(120)]
+    path = stored(spark, spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(2))
+    sizes = [len(gzip.decompress(p.read_bytes())) for p in Path(path).glob("*.gz")]
+    assert sum(s > 1 << 18 for s in sizes) <= 1 and len(sizes) > 3
+    assert found(spark, path) == expected(rows)
+
+
+def test_records_that_lack_fields_are_read(spark, tmp_path):
+    text = b"\r\n".join([
+        b"junk", b"WARC/1.1", b"WARC-Type: metadata", b"Content-Length: 3", b"", b"\xff\xfe.", b"", b"",
+        b"WARC/1.1", b"WARC-Type: response", b"WARC-Record-ID: <a>", b"", b"lost block", b"WARC/1.1", b"Content-Length: x1", b"", b"",
+        b"WARC/1.1", b"WARC-Type: response", b"WARC-Record-ID: <b>", b"Content-Length: 8", b"", b"h\r\n\r\nabc", b"", b"",
+    ])
+    (tmp_path / "x.warc.gz").write_bytes(gzip.compress(text))
+    got = [(r["type"], r["record_id"], r["bytes"], r["fields"]) for r in warc.read_warc(spark, str(tmp_path)).collect()]
+    assert got == [("metadata", None, 0, "\ufffd\ufffd."), ("response", "a", 0, None), ("", None, 0, None), ("response", "b", 3, None)]
+    assert len(warc.captures(warc.read_warc(spark, str(tmp_path))).collect()) == 2
