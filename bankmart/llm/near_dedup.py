@@ -257,7 +257,9 @@ def _across(open_: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     lists = [F.collect_list(c) for c in ("node", "comp", "signature")]
     all_ = written(rows.groupBy("key", "block").agg(*[x.alias(n) for x, n in zip(lists, ("y", "cy", "sy"))]), "member-blocks")
     outer = written(rows.where("comp <> main").groupBy("key", "block").agg(*[x.alias(n) for x, n in zip(lists, ("x", "cx", "sx"))]), "outer-blocks")
-    tiles = outer.drop("block").join(all_.drop("block"), "key").select("x", "cx", "sx", "y", "cy", "sy")
+    # Pairs of block numbers first, which are short rows; then each pair is dealt out by its blocks, so that a large bucket is many tasks.
+    pairs = written(outer.select("key", F.col("block").alias("own")).join(all_.select("key", "block"), "key"), "block-pairs")
+    tiles = pairs.join(outer.withColumnRenamed("block", "own"), ["key", "own"]).join(all_, ["key", "block"]).select("x", "cx", "sx", "y", "cy", "sy")
     return tiles.mapInArrow(partial(_tile, least=_agreement(least, FINE)), "a long, b long").distinct()
 
 
