@@ -3,10 +3,11 @@
 A page is cut into blocks at block-level tags. The first pass judges each for itself, by its share of
 stop words, its length and the share of its characters inside links: good, bad, or undecided (short,
 or nearly good). In the second pass an undecided block takes the label of the nearest decided blocks
-before and after it; where they differ, a nearly good one is good and a short one bad. Where a page
+before and after it; where they differ, a nearly good one is good and a short one bad, unless it stands in an article. Where a page
 says itself what a part of it is, by its elements or their class, id or role names, that is evidence
 of the first pass: such blocks are bad, and the edge of a region counts as a decided neighbour.
-Within an article, whose edge is good, links alone can make a block bad.
+The edge of an article is good, also of what is only named like one; within an ``article`` or
+``main`` element links alone can make a block bad.
 
 Nothing is shuffled: a task reads the pages of its own scan split.
 """
@@ -75,6 +76,7 @@ cookie cookies copyright disqus footer gdpr header login masthead menu menus mod
 notices notification overlay pager pagination paywall popup promo promoted promotion recommendations recommended related
 replies reply share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar widget""".split())
 COMMENTS = frozenset("comment comments disqus replies reply".split())
+ARTICLES = frozenset("article content entry post story main body".split())
 # Such a word beside a hint makes it speak of the layout of the whole: "no-sidebar", "with-header".
 _LAYOUT = frozenset("no not without with has have is open closed enabled disabled left right layout".split())
 
@@ -86,11 +88,12 @@ _TOKENS = re.compile(
     rf"|[!?/][^>]*(?:>|\Z))",
     re.S | re.I,
 )
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/\"']|$)", re.I)
+_ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/\"']|$)", re.I)
 _EMPTY = re.compile(r"(?:^|[\s\"'])/\s*$")
 _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _WORD = re.compile(r"[^\W\d_]+")
-_GOOD, _WEAK, _STRONG = 1, -1, -2
+# What a part of a page is said to be: an article, likely one, bad, or bad whatever stands within.
+_GOOD, _LIKELY, _WEAK, _STRONG = 2, 1, -1, -2
 
 
 class Block(NamedTuple):
@@ -101,37 +104,40 @@ class Block(NamedTuple):
     region: int
 
 
-def _names_bad(names: str, whole: bool) -> set[str]:
-    """Hints among class or id names. ``whole``: only names that are nothing but a hint."""
+def _said(names: str, whole: bool) -> set[str]:
+    """Hints and words for articles among class or id names. ``whole``: only names that are nothing but a hint."""
     found: set[str] = set()
     for name in names.split():
         parts = [p.lower() for p in _NAME_PARTS.findall(name)]
         if parts and not (len(parts) > 1 and (whole or _LAYOUT & set(parts))):
-            found |= HINTS & {parts[0], parts[-1]}
+            found |= (HINTS | ARTICLES) & {parts[0], parts[-1]}
     return found
 
 
 def _region(tag: str, attributes: str, outer: int, article: bool) -> int:
-    """What an element says of its content: 0 for nothing, else good, bad, or bad whatever stands within."""
-    bad = 0
+    """What an element says of its content: 0 for nothing, else good, likely, bad, or bad whatever stands within."""
+    said = _GOOD if tag in ("article", "main") else 0
     for name, *values in _ATTRIBUTE.findall(attributes) if attributes else ():
         name, value = name.lower(), "".join(values)
         if name in ("class", "id") and tag not in ("html", "body"):
-            hints = _names_bad(value, tag in ("article", "main"))
-            if article or tag in _HEADINGS:
-                hints.discard("header")
-            bad = min(bad, _STRONG if hints & COMMENTS else _WEAK if hints else 0)
+            words = _said(value, tag in ("article", "main"))
+            hints = words & HINTS - ({"header"} if article or tag in _HEADINGS else set())
+            if hints:
+                said = _STRONG if hints & COMMENTS or said == _STRONG else _WEAK
+            elif words and said == 0 and tag in _BLOCK:
+                said = _LIKELY
         elif name == "role" and value.lower() in _BAD_ROLES:
-            bad = min(bad, _WEAK)
+            said = min(said, _WEAK) if said < 0 else _WEAK
+        elif (name == "role" and value.lower() == "main") or (name == "itemprop" and value.lower() == "articlebody"):
+            said = _GOOD if said >= 0 else said
         elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            bad = _STRONG
-    if bad == _STRONG or outer == _STRONG:
+            said = _STRONG
+    if said == _STRONG or outer == _STRONG:
         return _STRONG
-    if tag in ("article", "main") and not bad:
-        return _GOOD
-    if tag in _BAD and not (tag == "header" and article):
-        bad = _STRONG if tag == "aside" else _WEAK
-    return bad or outer
+    if tag in _BAD and said != _GOOD and not (tag == "header" and article):
+        return _STRONG if tag == "aside" else _WEAK
+    # Part of an article is no less, and what is only likely one within a bad part stays bad.
+    return outer if said == 0 or (said == _LIKELY and outer != 0) else said
 
 
 class _Page:
@@ -253,13 +259,13 @@ def labels(found: list[Block], stops: frozenset[str] = STOP_WORDS) -> list[bool]
                 distance += len(found[j].text)
     before, after = _nearest(found, first, 1), _nearest(found, first, -1)[::-1]
     out = []
-    for own, left, right in zip(first, before, after):
+    for block, own, left, right in zip(found, first, before, after):
         if own in ("good", "bad"):
             out.append(own == "good")
         elif left == right:
             out.append(left)
         else:
-            out.append(own == "near")
+            out.append(own == "near" or block.region > 0)
     return out
 
 
@@ -268,7 +274,7 @@ def _nearest(found: list[Block], first: list[str], step: int) -> list[bool]:
     out, last, region = [], False, 0
     for block, own in zip(found[::step], first[::step]):
         if block.region != region:
-            last, region = block.region == _GOOD, block.region
+            last, region = block.region > 0, block.region
         out.append(last)
         if own in ("good", "bad"):
             last = own == "good"

@@ -111,3 +111,11 @@ def test_stop_words_are_a_parameter(spark):
     pages = spark.createDataFrame([(1, page)], "page_id long, html string")
     assert html_text.extract(pages).first()["text"] == ""
     assert html_text.extract(pages, stop_words=["alpha"]).first()["text"] == ("alpha beta " * 40).strip()
+
+
+def test_parts_that_are_named_like_articles():
+    """Short blocks at the edge of such a part stay; the rules still judge long ones, and links."""
+    links = "".join(f"<li><a href={i}>entry {i}</a></li>" for i in range(5))
+    page = f"""<div id=top><ul>{links}</ul></div><div id="page-content"><h2>Title</h2><p>Short.</p><p>{LONG}</p><p>End.</p><ul>{links}</ul>
+    <div class="comment-body"><p>{LONG}</p></div></div><div class="bottom">Terms</div>"""
+    assert text(page).split("\n") == ["Title", "Short.", LONG, "End."]
