@@ -102,6 +102,8 @@ prod AS (
 
 # -------------------------------------------------------------------- models
 
+# Column names, join keys, statuses, age labels and the form of quarters and hierarchies in the models below.
+
 _STG_TXN = """
 stg_transactions AS (
   SELECT "TransactionID" AS transaction_id, "AccountID" AS account_id, "ProductID" AS product_id,

@@ -1,7 +1,8 @@
 """From raw documents to packed training sequences, in stages that are each written and read again.
 
 A stage takes the session, the documents its predecessor kept, and the folder of the tables.
-All but the last return the columns of ``documents``.
+All but the last return the columns of ``documents``, in their order and whatever further ones there
+are, also some whose names clash. Rows may repeat an id or have none; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ def _without(rows: DataFrame, gone: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised. Those that the classifier rejects go."""
+    """Documents whose language is recognised. Those that the classifier rejects go, also null and empty texts and those without a letter."""
     found = language.identify(docs, language.train(docs))
     plain = found.toDF(*[f"c{i}" for i in range(len(found.columns))])
     kept = plain.where(~F.col(plain.columns[-1]))
@@ -45,7 +46,10 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, its text without the lines that an earlier one holds, and its length anew."""
+    """Every document, its text without the lines that an earlier one holds, and its length anew.
+
+    A null text comes out empty. Rows of one id are one document, those without an id one that comes last.
+    """
     kept = line_dedup(docs)
     plain = kept.toDF(*[f"c{i}" for i in range(len(kept.columns))])
     columns = [F.col(c) for c in plain.columns[: len(docs.columns)]]
@@ -73,14 +77,14 @@ def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item, row by row."""
+    """Documents that hold no benchmark item, row by row. Null and empty texts hold none, and an empty benchmark takes none away."""
     rows, own = _by_row(docs)
     found = decontaminate.contaminated(own.select(F.col("row").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
     return _without(rows, found.select("doc_id").distinct(), docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Training sequences of power-of-two length."""
+    """Training sequences of power-of-two length, row by row: a null or empty text is the end token alone."""
     return pack(docs)
 
 
