@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from bankmart.llm.columns import pick
 from bankmart.llm.joins import small
+from bankmart.llm.memory import tidy
 from bankmart.llm.shipping import ship
 from bankmart.store import written
 
@@ -44,6 +45,7 @@ def _pieces(text: bytes) -> Iterator[list[bytes]]:
         start = end
 
 
+@tidy
 def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Occurrences of each term, and documents with it, by language and source, of the rows since the last output."""
     def rows() -> Iterator[pa.RecordBatch]:

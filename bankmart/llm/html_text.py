@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from bankmart.llm.columns import numbered
+from bankmart.llm.memory import tidy
 from bankmart.llm.shipping import ship
 
 ROWS = 256
@@ -287,6 +288,7 @@ def main_text(page: str | None, stops: frozenset[str] = STOP_WORDS) -> tuple[str
     return "\n".join(b.text for b, kept in zip(found, labels(found, stops)) if kept), len(found)
 
 
+@tidy
 def _extract(batches: Iterable[pa.RecordBatch], at: int, stops: frozenset[str]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for start in range(0, whole.num_rows, ROWS):

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 from bankmart.llm.columns import numbered, pick
+from bankmart.llm.memory import tidy
 from bankmart.llm.shipping import ship
 from bankmart.store import written
 
@@ -105,6 +106,7 @@ def vector(found: tuple[np.ndarray, np.ndarray], idf: np.ndarray) -> tuple[np.nd
     return at, weights / (np.linalg.norm(weights) or 1.0)
 
 
+@tidy
 def _features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start in range(0, batch.num_rows, ROWS):
@@ -140,6 +142,7 @@ def pieces(text: str) -> Iterator[str]:
         size *= 2
 
 
+@tidy
 def _nearness(batches: Iterable[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
     """Length and cosine of training texts and their pieces, to the nearest centroid of their own language."""
     languages = np.array(model.value.languages)
@@ -217,6 +220,7 @@ def fit(labelled: DataFrame, *, per_language: int = PER_LANGUAGE, k: int = CLUST
     return model
 
 
+@tidy
 def _predict(batches: Iterable[pa.RecordBatch], model, at: int) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for start in range(0, whole.num_rows, ROWS):

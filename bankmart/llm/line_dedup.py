@@ -24,6 +24,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from bankmart.llm.columns import numbered
 from bankmart.llm.joins import small
+from bankmart.llm.memory import tidy
 from bankmart.llm.shipping import ship
 from bankmart.store import written
 
@@ -70,6 +71,7 @@ def _get(filter_: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (filter_[at >> 3] << (at & 7).astype(np.uint8) & 128).astype(bool)
 
 
+@tidy
 def _task_filters(batches: Iterable[pa.RecordBatch], bits: int, min_chars: int) -> Iterator[pa.RecordBatch]:
     once, twice = np.zeros(bits >> 3, np.uint8), np.zeros(bits >> 3, np.uint8)
     for texts in _texts(batches, 0):
@@ -88,6 +90,7 @@ def _task_filters(batches: Iterable[pa.RecordBatch], bits: int, min_chars: int)
             )
 
 
+@tidy
 def _merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Fold the filters of each segment as they come in: what two tasks saw once was seen twice."""
     held: dict[int, list[np.ndarray]] = {}
@@ -103,6 +106,7 @@ def _merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pydict({"segment": pa.array([segment], pa.int32()), "twice": [twice.tobytes()]})
 
 
+@tidy
 def _suspects(batches: Iterable[pa.RecordBatch], twice, bits: int, min_chars: int) -> Iterator[pa.RecordBatch]:
     """The digests of lines that the filter has, behind the other columns of their row."""
     filled = np.frombuffer(twice.value, np.uint8)
@@ -122,6 +126,7 @@ def _suspects(batches: Iterable[pa.RecordBatch], twice, bits: int, min_chars: in
             )
 
 
+@tidy
 def _kept(batches: Iterable[pa.RecordBatch], at: int, min_chars: int) -> Iterator[pa.RecordBatch]:
     """Replaces the text, and the last column, the digests to drop, by the two counts."""
     for whole in batches:

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from bankmart.llm.columns import pick
 from bankmart.llm.joins import small
+from bankmart.llm.memory import tidy
 from bankmart.llm.shipping import ship
 from bankmart.store import written
 
@@ -122,6 +123,7 @@ def _registers(bags: list[tuple[np.ndarray, np.ndarray]], until: np.ndarray, reg
     return out.reshape(len(bags), registers)
 
 
+@tidy
 def _signed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known = _Hashes()
     for batch in batches:
@@ -144,6 +146,7 @@ def _signed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+@tidy
 def _agreeing(batches: Iterable[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         a, b = (np.frombuffer(b"".join(batch.column(n).to_pylist()), "<u4").reshape(batch.num_rows, -1) for n in (2, 3))
@@ -151,6 +154,7 @@ def _agreeing(batches: Iterable[pa.RecordBatch], least: int) -> Iterator[pa.Reco
         yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
 
+@tidy
 def _linked(batches: Iterable[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
     known, last, held = _Hashes(), None, None
     for batch in batches:
@@ -214,6 +218,7 @@ def _placed(members: DataFrame, links: DataFrame) -> DataFrame:
     return written(placed.join(mixed, "key"), "open-buckets")
 
 
+@tidy
 def _tile(batches: Iterable[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
     """Pairs of a block of outer nodes and one of members that agree in enough registers and lie in different components."""
     for batch in batches:
@@ -231,6 +236,7 @@ def _tile(batches: Iterable[pa.RecordBatch], least: int) -> Iterator[pa.RecordBa
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], names=["a", "b"])
 
 
+@tidy
 def _fine(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A byte of each of many more registers."""
     known = _Hashes()

@@ -24,12 +24,13 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from bankmart.llm.columns import pick
+from bankmart.llm.memory import tidy
 from bankmart.llm.shipping import ship
 
 TOKENIZER = "word_bpe_49k.json"
 END = 1
-ROWS = 256
-KNOWN = 300_000
+ROWS = 64
+KNOWN = 100_000
 LONGEST_KNOWN = 200
 
 # Texts of these characters alone are split into words here, as the tokenizer does; their
@@ -102,6 +103,7 @@ def pieces(length: int, longest: int) -> list[int]:
     return [longest] * (length // longest) + [1 << b for b in reversed(range(rest.bit_length())) if rest >> b & 1]
 
 
+@tidy
 def _pack(batches: Iterable[pa.RecordBatch], path: str, longest: int) -> Iterator[pa.RecordBatch]:
     words, end = Words(path), np.array([END], "<u4").tobytes()
     for batch in batches:

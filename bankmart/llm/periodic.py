@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from bankmart.llm.columns import numbered
+from bankmart.llm.memory import tidy
 from bankmart.llm.shipping import ship
 
 RUNS = ArrayType(StructType([StructField(n, LongType()) for n in ("start", "length", "period")]))
@@ -82,6 +83,7 @@ def _chunks(batches: Iterable[pa.RecordBatch], at: int) -> Iterator[tuple[pa.Rec
             yield batch.slice(start, len(words)), words
 
 
+@tidy
 def _find(batches: Iterable[pa.RecordBatch], at: int, least: int, times: int) -> Iterator[pa.RecordBatch]:
     for batch, words in _chunks(batches, at):
         edges = np.cumsum([0, *map(len, words)])
