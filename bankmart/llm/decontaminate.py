@@ -23,6 +23,8 @@ from bankmart.llm.columns import pick
 from bankmart.llm.joins import small
 from bankmart.store import written
 
+# The forms that texts are looked up in: without names, with names as templates have them, with all capitalised words as names.
+FORMS = ("plain", "template", "capitals")
 WINDOW = 8
 RUN = 13
 STRIDE = RUN - WINDOW + 1
@@ -40,7 +42,8 @@ GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F -¿ -⁯　-〿]+"
 def _own_letters(text: Column) -> Column:
     """A text without the placeholders' own characters, which are of private use; they become another of these."""
     marks = NUMBER + NAME + UNIT
-    return F.when(text.rlike(f"[{marks}]"), F.translate(text, marks, 3 * "\ue003")).otherwise(text)
+    held = F.contains(text, F.lit(NUMBER)) | F.contains(text, F.lit(NAME)) | F.contains(text, F.lit(UNIT))
+    return F.when(held, F.translate(text, marks, 3 * "\ue003")).otherwise(text)
 
 
 def _joined(text: Column) -> Column:
@@ -61,25 +64,33 @@ def _alone(first: str, more: str) -> str:
     return rf"{first}(?<![^{GAP[1:-2]}]{first}){more}(?![^{GAP[1:-2]}])"
 
 
-def _measured(text: Column) -> Column:
+def _measured_of(joined: Column) -> Column:
     """Text with placeholders for numbers and the units behind them, which words alone decide."""
-    t = F.regexp_replace(_joined(text), _alone(r"\d", r"\d*"), NUMBER)
+    t = F.regexp_replace(joined, _alone(r"\d", r"\d*"), NUMBER)
     return F.regexp_replace(t, rf"{NUMBER}{GAP}(?i:{'|'.join(UNITS)})(?![^{GAP[1:-2]}])", f"{NUMBER} {UNIT}")
 
 
 def plain_words(text: Column) -> Column:
     """As many words as ``raw_words``, with placeholders for numbers and units."""
-    return _words(_measured(text))
+    return _words(_measured_of(_joined(text)))
 
 
 def capital_words(text: Column) -> Column:
     """As many words as ``raw_words``, with placeholders for numbers, units and every capitalised word."""
-    return _words(F.regexp_replace(_measured(text), _alone(r"\p{Lu}", r"\p{L}+"), NAME))
+    return _capital_of(_measured_of(_joined(text)))
+
+
+def _capital_of(measured: Column) -> Column:
+    return _words(F.regexp_replace(measured, _alone(r"\p{Lu}", r"\p{L}+"), NAME))
 
 
 def template_words(text: Column) -> Column:
     """As many words as ``raw_words``, with placeholders."""
-    t = F.regexp_replace(_joined(text), r"[^\S ]\s*| \s+", " ")
+    return _template_of(_joined(text))
+
+
+def _template_of(joined: Column) -> Column:
+    t = F.regexp_replace(joined, r"[^\S ]\s*| \s+", " ")
     t = F.regexp_replace(t, r"\p{Lu}(?<=[\p{Ll}\d,;] \p{Lu})\p{Ll}\p{L}*", NAME)
     t = F.regexp_replace(t, r"\b\d+\b", NUMBER)
     t = F.regexp_replace(t, rf"{NUMBER} (?:{'|'.join(UNITS)})\b", f"{NUMBER} {UNIT}")
@@ -90,10 +101,17 @@ def _is_slot(word: Column) -> Column:
     return word.isin(NUMBER, NAME, UNIT)
 
 
-def _forms(text: Column) -> list[Column]:
-    """The words of a text as they are looked up, one array for each way to read its names; null for one like the first."""
-    first, *more = [form(text) for form in (plain_words, template_words, capital_words)]
-    return [first, *[F.when(m != first, m) for m in more]]
+def _with_forms(rows: DataFrame, forms: tuple[str, ...] = FORMS) -> DataFrame:
+    """The words of ``text`` as they are looked up, one array for each way to read its names; null for one like the first.
+
+    What the forms have in common is a column of its own, so that it is made once.
+    """
+    joined = rows.withColumn("_joined", _joined(F.col("text"))).withColumn("_measured", _measured_of(F.col("_joined")))
+    made = joined.withColumns({
+        forms[0]: _words(F.col("_measured")), "_template": _template_of(F.col("_joined")), "_capital": _capital_of(F.col("_measured")),
+    })
+    differs = lambda c: F.when(F.col(c) != F.col(forms[0]), F.col(c))
+    return made.withColumns({forms[1]: differs("_template"), forms[2]: differs("_capital")}).drop("_joined", "_measured", "_template", "_capital")
 
 
 def _hash(first: Column, others: Column) -> Column:
@@ -229,9 +247,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     documents or no items: no rows.
     """
     items = pick(benchmark, "item_id", "text").where("text IS NOT NULL").withColumn("text", _own_letters(F.col("text")))
-    forms = [f"form{n}" for n in range(len(_forms(F.col("text"))))]
-    named = [f.alias(n) for f, n in zip(_forms(F.col("text")), forms)]
-    items = items.select("item_id", template_words(F.col("text")).alias("words"), raw_words(F.col("text")).alias("raw"), capital_words(F.col("text")).alias("capital"), *named)
+    forms = list(FORMS)
+    items = _with_forms(items).select("item_id", template_words(F.col("text")).alias("words"), raw_words(F.col("text")).alias("raw"), capital_words(F.col("text")).alias("capital"), *forms)
     items = items.withColumn("need", F.least(F.size("words"), F.lit(RUN)))
     # A number of its own for each row: ids may repeat or be null.
     items = written(items.where("need > 0").withColumn("item", F.monotonically_increasing_id()), "benchmark-items")
@@ -239,7 +256,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     texts = pick(docs, "doc_id", "text").withColumn("text", _own_letters(F.col("text"))).withColumn(
         "doc", F.struct(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("a"), F.xxhash64(F.lit(1), "text").alias("b"))
     )
-    parsed = texts.select("doc", *named)
+    parsed = _with_forms(texts).select("doc", *forms)
 
     # Items shorter than a full stretch are looked for whole, at every place.
     short = [r["need"] for r in items.where(F.col("need") < RUN).select("need").distinct().collect()]  # at most RUN - 1
