@@ -30,7 +30,7 @@ from bankmart.llm.shipping import ship
 TOKENIZER = "word_bpe_49k.json"
 END = 1
 ROWS = 64
-KNOWN = 100_000
+KNOWN = 200_000
 LONGEST_KNOWN = 200
 
 # Texts of these characters alone are split into words here, as the tokenizer does; their
@@ -58,14 +58,15 @@ class Words:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         # A text that names an added token, which is one id wherever it stands, goes to the tokenizer whole.
-        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.added = re.compile("|".join(added) or "(?!)", re.IGNORECASE)
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
+        self.first = {c for a in added for c in (a[0].lower(), a[0].upper())}
+        self.added = re.compile("|".join(map(re.escape, added)) or "(?!)", re.IGNORECASE)
         self.model, self.letters = self.tokenizer.model, _byte_letters()
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        found = [PIECES.findall(t.lower()) if PLAIN.fullmatch(t) and not self.added.search(t) else None for t in texts]
+        found = [PIECES.findall(t.lower()) if PLAIN.fullmatch(t) and not self.names_token(t) else None for t in texts]
         flat = list(chain.from_iterable(filter(None, found)))
         ids = list(map(self.young.get, flat))
         holes = [i for i, known in enumerate(ids) if known is None]
@@ -82,6 +83,9 @@ class Words:
                 at += len(pieces_)
         return out
 
+    def names_token(self, text: str) -> bool:
+        return any(c in text for c in self.first) and self.added.search(text) is not None
+
     def piece(self, piece: str) -> bytes:
         """The ids of one piece, from memory or the vocabulary's merges."""
         known = self.young.get(piece) or self.old.get(piece)
