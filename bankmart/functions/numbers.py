@@ -13,11 +13,21 @@ from pyspark.sql import functions as F
 from bankmart.schemas import MONEY
 
 
+# Digits that fit a long, with or without zeros after the point; and all that a number can look like.
+PLAIN_KEY = r"\A[+-]?[0-9]{1,18}(?:\.0*)?\z"
+NUMBER = r"\A[\x00-\x20\x7F]*[+-]?(?:\p{Nd}+\.?\p{Nd}*|\.\p{Nd}+)(?:[eE][+-]?\p{Nd}+)?[\x00-\x20\x7F]*\z"
+
+
 def key(value: Column) -> Column:
-    """Text to a long key. ``'7.0'`` reads as 7; what is not a whole number is null."""
-    # Nearly all keys are plain digits; only what these leave is read as a decimal number.
+    """Text to a long key. ``'7.0'`` reads as 7; what is not a whole number is null.
+
+    A cast that fails raises and catches an exception with its message, which costs far more
+    than reading a row; so a text is cast only to what its form shows that it can be.
+    """
     number = value.try_cast("decimal(38,18)")
-    return F.coalesce(value.try_cast("bigint"), F.when(number % 1 == 0, number.try_cast("bigint")))
+    other = F.coalesce(value.try_cast("bigint"), F.when(number % 1 == 0, number.try_cast("bigint")))
+    plain = F.substring_index(value, ".", 1).try_cast("bigint")
+    return F.when(value.rlike(PLAIN_KEY), plain).when(value.rlike(NUMBER), other)
 
 
 def amount(value: Column) -> Column:

@@ -37,6 +37,24 @@ def test_key(spark, given, expected):
     assert value(spark, numbers.key(F.lit(given).cast("string"))) == expected
 
 
+@pytest.mark.parametrize("given, expected", [("7.0", 7), ("-0.00", 0), ("+7.", 7), ("A7", None), ("", None), ("unknown", None)])
+def test_key_tries_no_cast_that_fails(spark, monkeypatch, given, expected):
+    """Casts that stop at what they cannot read: each such failure costs an exception per row."""
+    monkeypatch.setattr(type(F.lit(1)), "try_cast", lambda column, to: column.cast(to))
+    key = numbers.key(F.col("v"))
+    with settings(spark, **{"spark.sql.ansi.enabled": "true"}):
+        assert one(spark.createDataFrame([(given,)], "v string").select(key))[0] == expected
+
+
+@pytest.mark.parametrize(
+    "given, expected",
+    [(" 7.0\n", 7), ("1E+3", 1000), ("1e-1", None), ("10e-1", 1), (".0", 0), ("7.5", None), ("7.0.0", None), ("", None),
+     (str(2**63 - 1), 2**63 - 1), (f"{-2**63}.0", -2**63), (str(2**63), None), ("0" * 30 + "7", 7), ("+-7", None)],
+)
+def test_key_of_other_forms(spark, given, expected):
+    assert value(spark, numbers.key(F.lit(given))) == expected
+
+
 def test_exact_average_rounds_half_away_from_zero(spark):
     def average(total, count):
         return value(spark, numbers.exact_average(F.lit(total).cast("decimal(25,2)"), F.lit(count)))
