@@ -30,7 +30,11 @@ from bankmart.store import written
 
 NO_ID = 2**63 - 1
 SPACE = b" \t\n\x0b\x0c\r"
-SEGMENT_BYTES = 1 << 17
+# Filters are sent in segments, each as its bytes or, where few bits are set, as their numbers: what many
+# small tasks send is then as long as their lines are many. A segment has as many bits as an unsigned 16-bit
+# number tells apart, and those of a part go together.
+PART_BYTES = 1 << 17
+SEGMENT_BYTES = 1 << 13
 ROWS = 512
 
 
@@ -71,6 +75,20 @@ def _get(filter_: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (filter_[at >> 3] << (at & 7).astype(np.uint8) & 128).astype(bool)
 
 
+def _packed(segment: np.ndarray) -> bytes:
+    """A segment as the numbers of its set bits, where these are shorter than the segment."""
+    set_bits = np.flatnonzero(np.unpackbits(segment)).astype("<u2")
+    return set_bits.tobytes() if set_bits.nbytes < SEGMENT_BYTES else segment.tobytes()
+
+
+def _unpacked(part: bytes | pa.Buffer) -> np.ndarray:
+    if len(part) == SEGMENT_BYTES:
+        return np.frombuffer(part, np.uint8).copy()
+    bits = np.zeros(SEGMENT_BYTES * 8, np.uint8)
+    bits[np.frombuffer(part, "<u2")] = 1
+    return np.packbits(bits)
+
+
 @tidy
 def _task_filters(batches: Iterable[pa.RecordBatch], bits: int, min_chars: int) -> Iterator[pa.RecordBatch]:
     once, twice = np.zeros(bits >> 3, np.uint8), np.zeros(bits >> 3, np.uint8)
@@ -82,25 +100,43 @@ def _task_filters(batches: Iterable[pa.RecordBatch], bits: int, min_chars: int)
         for at in probes:
             _set(twice, at[again])
             _set(once, at)
-    for i in range(0, once.size, SEGMENT_BYTES):
-        part = [f[i : i + SEGMENT_BYTES].tobytes() for f in (once, twice)]
+    for i in range(0, once.size, PART_BYTES):
+        part = [f[i : i + PART_BYTES].tobytes() for f in (once, twice)]
         if any(part[0]):
             yield pa.RecordBatch.from_pydict(
-                {"segment": pa.array([i // SEGMENT_BYTES], pa.int32()), "once": [part[0]], "twice": [part[1]]}
+                {"part": pa.array([i // PART_BYTES], pa.int32()), "once": [part[0]], "twice": [part[1]]}
             )
 
 
+def _sent_filters(batches: Iterable[pa.RecordBatch], bits: int, min_chars: int) -> Iterator[pa.RecordBatch]:
+    """The segments of a task's filters that have any bit, packed."""
+    for batch in _task_filters(batches, bits, min_chars):
+        first = batch["part"][0].as_py() * (PART_BYTES // SEGMENT_BYTES)
+        once, twice = (np.frombuffer(batch[n][0].as_buffer(), np.uint8) for n in ("once", "twice"))
+        rows = [
+            (first + at // SEGMENT_BYTES, *[_packed(f[at : at + SEGMENT_BYTES]) for f in (once, twice)])
+            for at in range(0, once.size, SEGMENT_BYTES)
+            if once[at : at + SEGMENT_BYTES].any()
+        ]
+        types = [pa.int32(), pa.binary(), pa.binary()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=["segment", "once", "twice"])
+
+
 @tidy
 def _merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Fold the filters of each segment as they come in: what two tasks saw once was seen twice."""
     held: dict[int, list[np.ndarray]] = {}
     for batch in batches:
-        for row in batch.to_pylist():
-            once, twice = (np.frombuffer(row[n], np.uint8) for n in ("once", "twice"))
-            if row["segment"] in held:
-                old_once, old_twice = held[row["segment"]]
-                once, twice = old_once | once, old_twice | twice | (old_once & once)
-            held[row["segment"]] = [once, twice]
+        for number, *parts in zip(*batch.columns):
+            segment = number.as_py()
+            once, twice = (_unpacked(part.as_buffer()) for part in parts)
+            if segment in held:
+                old_once, old_twice = held[segment]
+                old_twice |= twice
+                old_twice |= old_once & once
+                old_once |= once
+            else:
+                held[segment] = [once, twice]
     for segment, (_, twice) in held.items():
         if twice.any():
             yield pa.RecordBatch.from_pydict({"segment": pa.array([segment], pa.int32()), "twice": [twice.tobytes()]})
@@ -154,7 +190,7 @@ def _kept(batches: Iterable[pa.RecordBatch], at: int, min_chars: int) -> Iterato
 def twice_filter(texts: DataFrame, bits: int, min_chars: int) -> bytes:
     """The merged filter of hashes that more than one row may hold. ``texts``: ``text``."""
     parts = texts.select("text").mapInArrow(
-        partial(_task_filters, bits=bits, min_chars=min_chars), "segment int, once binary, twice binary"
+        partial(_sent_filters, bits=bits, min_chars=min_chars), "segment int, once binary, twice binary"
     )
     merged = parts.repartition("segment").mapInArrow(_merge, "segment int, twice binary")
     filled = bytearray(bits // 8)

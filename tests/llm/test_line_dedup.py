@@ -87,3 +87,38 @@ def test_filters_take_a_bit_each():
     once = [b for b in module._task_filters(iter([module.pa.RecordBatch.from_pydict({"text": ["a long line\nanother line", "a long line"]})]), 1 << 20, 10)]
     bits = lambda name: sum(bin(byte)[2:].count("1") for b in once for byte in b[name][0].as_py())
     assert (bits("once"), bits("twice")) == (4, 2)
+
+
+def _filters(*texts):
+    return list(module._sent_filters(iter([module.pa.RecordBatch.from_pydict({"text": list(texts)})]), 1 << 20, 10))
+
+
+def test_a_task_with_few_lines_sends_little():
+    """Tasks of a finely dealt table: a filter of 128 KB each way for ten lines would be shuffled by each."""
+    parts = _filters("\n".join(f"line number {i}" for i in range(10)), "line number 3")
+    assert sum(b.nbytes for b in parts) < 2000
+
+
+@pytest.mark.parametrize("lines", [3, 3_000, 300_000])
+def test_filters_of_tasks_merge_bit_by_bit(lines):
+    """Sparse, mixed and full segments: what two tasks have, or one has twice, is in the merged filter."""
+    texts = [[f"{task} has line {i}" for i in range(lines)] + ["a line of both", "same in all"] for task in "ab"]
+    parts = [b for own in texts for b in _filters("\n".join(own), own[0])]
+    filled = module.np.zeros(1 << 17, module.np.uint8)
+    for batch in module._merge(iter(parts)):
+        for row in batch.to_pylist():
+            at = row["segment"] * module.SEGMENT_BYTES
+            filled[at : at + module.SEGMENT_BYTES] = module.np.frombuffer(row["twice"], module.np.uint8)
+    once = []
+    for own in texts:
+        bits = module.np.zeros(1 << 20, bool)
+        for at in module._probes(module._hashes({module.keys(t, 10)[0] for t in own}), 1 << 20):
+            bits[at] = True
+        once.append(bits)
+    both = module.np.unpackbits(filled).astype(bool)
+    assert (both & ~(once[0] | once[1])).sum() == 0
+    assert both[once[0] & once[1]].all()
+    twice = module._hashes(module.keys(texts[0][0], 10) + module.keys(texts[1][0], 10) + module.keys("a line of both", 10))
+    assert all(both[at].all() for at in module._probes(twice, 1 << 20))
+    if lines == 3:
+        assert both.sum() <= 2 * 4
