@@ -58,6 +58,8 @@ def _key(value: Column, own: str, other: str) -> list[Column]:
     number = text = F.lit(None)
     if own in _WHOLE and other in _WHOLE:
         number = value
+    elif own == other == "date":
+        number = F.unix_date(value)
     elif own == other:
         text = value
     elif _numeric(own) and _numeric(other):
@@ -95,7 +97,8 @@ def check_model(df: DataFrame, checks: Sequence[Check], parents: Mapping[str, Da
         return F.when(_suspects(check, value), F.struct(F.lit(i).alias("check"), *key))
 
     entries = [entry(i, check) for i, check in enumerate(checks)]
-    rows = df.select(F.explode(F.array_compact(F.array(*entries))).alias("entry")).select(
+    # Nulls are dropped by a filter: array_compact takes a function of elements, which Spark does not compile.
+    rows = df.select(F.explode(F.array(*entries)).alias("entry")).where(F.col("entry").isNotNull()).select(
         "entry.*", F.lit(1).cast("bigint").alias("rows"), F.lit(False).alias("known")
     )
     for i, check in enumerate(checks):

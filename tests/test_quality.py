@@ -84,3 +84,16 @@ def test_keys_of_any_type_are_compared_as_a_join_would(spark):
     for column in ("i", "m", "s"):
         check = Check("child", column, q.RELATIONSHIPS, parent="parent", parent_column=column)
         assert one(q.run_checks({"parent": parent, "child": child}, [check]))[5] == 1
+
+
+def test_checks_are_compiled_and_dates_compared_as_numbers(spark):
+    days = spark.sql("SELECT explode(array(date'2024-01-01', date'2024-01-02', date'1969-12-31', NULL)) AS d")
+    models = {"days": days, "known": days.where("d > date'2024-01-01'")}
+    checks = [
+        Check("days", "d", q.UNIQUE), Check("days", "d", q.NOT_NULL),
+        Check("days", "d", q.RELATIONSHIPS, parent="known", parent_column="d"),
+    ]
+    result = q.run_checks(models, checks)
+    assert rows(result, "failures") == [(0,), (1,), (2,)]
+    plan = plan_of(result)
+    assert "lambda" not in plan and "unix_date" in plan and "cast(d#" not in plan
