@@ -31,7 +31,7 @@ from bankmart.sinks.load import LOAD_ORDER, load_tables, outcome_frame, raise_on
 from bankmart.sinks.tables import refresh_table
 from bankmart.sources.raw import REJECT, REJECTED, read_csv, read_raw_table, typed
 from bankmart.sources.tables import base_tables
-from bankmart.store import TableStore
+from bankmart.store import TableStore, written
 
 AS_OF = dt.date(2024, 1, 1)
 FIRST, LAST = dt.date(1997, 3, 1), dt.date(1998, 2, 28)
@@ -89,10 +89,11 @@ class Bank:
         """As ``raw_zone``, in several folders whose files have their columns in different orders."""
         raw = self.raw(table)
         typed_columns = BASE_TABLES[table].fieldNames()
-        ranked = typed(raw.select(F.struct(*typed_columns).alias("text"), "*"), table, keep=["text"])
         key, names = typed_columns[0], {1: typed_columns, 2: typed_columns[::-1]}
 
         def write(path: str) -> None:
+            # Written, as each of the two sorts reads its rows twice: once for its ranges.
+            ranked = written(typed(raw.select(F.struct(*typed_columns).alias("text"), "*"), table, keep=["text"]), "ranked")
             # All copies of a key lie in one part, whose files hold the rows in ascending order.
             for part, columns in names.items():
                 own = ranked.filter(F.coalesce(F.col(key), F.lit(0)) % 2 == part - 1)

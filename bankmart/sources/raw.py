@@ -89,25 +89,27 @@ def read_raw_table(
 def first_lines(spark: SparkSession, paths: Sequence[str], glob: str | None = None) -> DataFrame:
     """``path`` and ``header``, its first line that is not blank, of every file behind paths and folders.
 
-    One job, in which each file is a task that stops reading after that line. Spark has no
-    limit by file among its expressions, so the tasks iterate over their rows themselves.
+    One job, in which each file is a task that looks at its lines up to that one; Spark still reads
+    the file on to its end. Spark has no limit by file among its expressions, so the tasks iterate
+    over batches of their rows themselves.
     """
 
-    def first(lines):
-        for path, line in lines:
-            if line.strip("\ufeff \t"):
-                yield path, line
-                return
+    def first(batches):
+        for batch in batches:
+            for i, line in enumerate(batch.column("header").to_pylist()):
+                if line.strip("\ufeff \t"):
+                    yield batch.slice(i, 1)
+                    return
 
     # A session of its own, whose files are neither split nor put together.
     whole = spark.newSession()
     for setting in ("maxPartitionBytes", "openCostInBytes"):
         whole.conf.set(f"spark.sql.files.{setting}", _ONE_FILE)
     text = whole.read.text(list(paths), recursiveFileLookup=True, **_only(glob))
-    # The path is given as a URI.
-    file = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    starts = text.select(file, "value").where("_metadata.file_block_start = 0")
-    return spark.createDataFrame(starts.rdd.mapPartitions(first), "path string, header string")
+    starts = text.where("_metadata.file_block_start = 0").select("_metadata.file_path", F.col("value").alias("header"))
+    # The path is given as a URI, decoded once a file.
+    path = F.url_decode(F.replace("file_path", F.lit("+"), F.lit("%2B")))
+    return starts.mapInArrow(first, "file_path string, header string").select(path.alias("path"), "header")
 
 
 def _literal(path: str) -> str:

@@ -1,7 +1,7 @@
 import uuid
 
 import pytest
-from helpers import rows, settings
+from helpers import plan_of, rows, settings
 from pyspark.sql import Observation
 
 from bankmart.operators.dedup import SOURCE_ORDER, keep_first
@@ -153,6 +153,14 @@ def test_a_task_per_file_however_large(spark, tmp_path):
         assert rows(first, "header") == [("a,b",), ("c",)]
 
 
+def test_paths_of_headers_are_decoded_once_a_file(spark, tmp_path):
+    write(tmp_path / "a +%b" / "1.csv", "\n \t\na,b\n1,2\n")
+    first = first_lines(spark, [str(tmp_path / "a +%b")])
+    assert [(r.path.split("/")[-2], r.header) for r in first.collect()] == [("a +%b", "a,b")]
+    plan = plan_of(first)
+    assert plan.index("MapInArrow") > plan.index("decode")
+
+
 def test_names_with_glob_signs(spark, tmp_path):
     write(tmp_path / "x" / "t[1].csv", "a\n1\n")
     write(tmp_path / "y" / "t[1].csv", "a\n2\n")
